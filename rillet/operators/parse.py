@@ -9,7 +9,8 @@ Error policies (``on_error``):
 
 * ``"fail"``       a bad line raises when the plan runs (the default);
 * ``"null"``       bad values become null, the row is kept;
-* ``"quarantine"`` the row gets ``_raw`` (the line) and ``_errors`` (reasons);
+* ``"quarantine"`` the row gets ``_raw`` (the line) and ``_errors`` (reasons,
+                   null for a good line);
                    split with :func:`good_rows` / :func:`bad_rows`.
 """
 
@@ -27,6 +28,7 @@ RAW_COL = "_raw"
 ERRORS_COL = "_errors"
 _PARSED = "__rillet_parsed"
 _CORRUPT = "__rillet_corrupt"
+_ROW = "__rillet_row"
 
 
 def parse_lines(
@@ -81,28 +83,30 @@ def parse_lines(
 
     if on_error == "null":
         return staged.select(*values, *keep)
-    errors = F.filter(F.array(*problems, *reasons), lambda r: r.isNotNull())
+    # concat_ws skips nulls: "" when the line has no problem
+    errors = F.concat_ws("; ", *problems, *reasons)
     if on_error == "quarantine":
-        return staged.select(*values, *keep, line.alias(RAW_COL), errors.alias(ERRORS_COL))
-    # fail: a filter is never pruned away, so every line is checked even if
-    # the caller later selects only some of the columns.
-    check = F.when(
-        F.size(errors) > 0,
-        F.raise_error(F.concat(F.lit("bad input line ("), F.array_join(errors, "; "),
-                               F.lit("): "), F.coalesce(line, F.lit("null")))),
-    ).isNull()
-    return staged.where(check).select(*values, *keep)
+        return staged.select(*values, *keep, line.alias(RAW_COL),
+                             F.when(errors != "", errors).alias(ERRORS_COL))
+    # fail: the row is one struct guarded by the check, so values and checks
+    # share subexpressions in one projection, and no filter is pushed below
+    # the parse (which would inline the parse once per use). The check runs
+    # whenever any parsed field is read.
+    message = F.concat(F.lit("bad input line ("), errors, F.lit("): "),
+                       F.coalesce(line, F.lit("null")))
+    row = F.when(errors != "", F.raise_error(message)).otherwise(F.struct(*values))
+    return (staged.select(row.alias(_ROW), *keep)
+            .select(*[F.col(f"{_ROW}.`{f.name}`").alias(f.name) for f in schema], *keep))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
     """Rows of a quarantine parse without problems, without the bookkeeping columns."""
-    return parsed.where(F.size(ERRORS_COL) == 0).drop(RAW_COL, ERRORS_COL)
+    return parsed.where(F.col(ERRORS_COL).isNull()).drop(RAW_COL, ERRORS_COL)
 
 
 def bad_rows(parsed: DataFrame) -> DataFrame:
     """Rejected lines of a quarantine parse: the line and its reasons."""
-    keep = [c for c in parsed.columns if c not in (RAW_COL, ERRORS_COL)]
-    return parsed.where(F.size(ERRORS_COL) > 0).drop(*keep)
+    return parsed.where(F.col(ERRORS_COL).isNotNull()).select(RAW_COL, ERRORS_COL)
 
 
 def _separator(df: DataFrame, line: Column, schema: Schema, separator: str):
@@ -112,7 +116,9 @@ def _separator(df: DataFrame, line: Column, schema: Schema, separator: str):
     pieces = F.col(_PARSED)
     # Trailing empty pieces do not count: the line is complete when a non-empty
     # piece exists at position n or later (a one-field schema also takes "").
-    complete = F.exists(F.slice(pieces, n, F.size(pieces)), lambda p: p != F.lit(""))
+    # ("" sorts first, so the largest remaining piece is non-empty iff one is).
+    rest = F.slice(pieces, n, F.size(pieces))
+    complete = F.coalesce(F.array_max(rest), F.lit("")) != F.lit("")
     if n == 1:
         complete = complete | (line == F.lit(""))
     texts = {f.name: F.get(pieces, i) for i, f in enumerate(schema)}

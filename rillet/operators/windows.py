@@ -24,6 +24,7 @@ import datetime as dt
 import math
 import re
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,6 +155,7 @@ class SlideStage:
         self.root = root or scratch_dir(spark, "stage")
         self.ntz: bool | None = None
         self.names: list[str] = []
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -175,12 +177,19 @@ class SlideStage:
             .partitionBy(*parts).parquet(self.path(name)))
         if name not in self.names:
             self.names.append(name)
+        self._read.pop(name, None)
+
+    def staged(self, name: str) -> DataFrame:
+        """The staged rows of one view; listed once until the next append."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
     def buckets(self) -> list[int]:
         """Non-empty buckets of all views, from the file listing (no data is read)."""
         found = set()
         for name in self.names:
-            for f in self.spark.read.parquet(self.path(name)).inputFiles():
+            for f in self.staged(name).inputFiles():
                 m = re.search(rf"/{BUCKET}=(-?\d+)/", f)
                 if m:
                     found.add(int(m.group(1)))
@@ -204,50 +213,66 @@ class SlideStage:
         hi = (window[1] - self.start_us) // self.bucket_us - 1
         views = {}
         for name in self.names:
-            staged = self.spark.read.parquet(self.path(name))
+            staged = self.staged(name)
             keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
             views[name] = staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
         return views
 
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
-            out: str | None = None, ansi: bool = False, chunk: int = 64) -> DataFrame:
+            out: str | None = None, ansi: bool = False, chunk: int = 32,
+            workers: int = 4) -> DataFrame | None:
         """Run ``text`` once per window; results land in ``out`` partitioned by window end.
 
-        Windows are written in chunks (one job per chunk); re-running a window
-        replaces its partition only. Returns the results read back, or None
-        when no window holds a row.
+        Windows go in chunks, one write job per chunk; chunks run concurrently
+        on ``workers`` threads, each with its own session (own temp views and
+        ANSI setting). Re-running a window replaces its partition only.
+        Returns the results read back, or None when no window holds a row.
         """
         windows = list(self.windows() if windows is None else windows)
-        out = out or f"{self.root}/_results"
-        ntz = bool(self.ntz)
-        for i in range(0, len(windows), chunk):
-            parts = []
-            for w in windows[i:i + chunk]:
-                views = self.window_views(w)
-                with ansi_mode(self.spark, ansi):
-                    for name, v in views.items():
-                        v.createOrReplaceTempView(name)
-                    res = self.spark.sql(text)
-                parts.append(res.select(_ts_literal(w[0], ntz).alias(WINDOW_START),
-                                        _ts_literal(w[1], ntz).alias(WINDOW_END),
-                                        F.lit(w[1]).alias(_WEND), *res.columns))
-            if not parts:
-                continue
-            batch = parts[0]
-            for p in parts[1:]:
-                batch = batch.unionByName(p)
-            (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy(_WEND).parquet(out))
         if not windows:
             return None
+        out = out or f"{self.root}/_results"
+        chunks = [windows[i:i + chunk] for i in range(0, len(windows), chunk)]
+        if len(chunks) == 1 or workers <= 1:
+            for c in chunks:
+                self._run_chunk(self.spark, text, c, out, ansi)
+        else:
+            with ThreadPoolExecutor(max_workers=min(workers, len(chunks))) as pool:
+                futures = [pool.submit(self._run_chunk, None, text, c, out, ansi) for c in chunks]
+                for f in futures:
+                    f.result()
         return self.spark.read.parquet(out).drop(_WEND)
 
+    def _run_chunk(self, session, text, windows, out, ansi) -> None:
+        own = session is None
+        session = session or self.spark.newSession()
+        staged = {n: (self.staged(n) if not own else session.read.parquet(self.path(n)))
+                  for n in self.names}
+        parts = []
+        for w in windows:
+            lo = (w[0] - self.start_us) // self.bucket_us
+            hi = (w[1] - self.start_us) // self.bucket_us - 1
+            with ansi_mode(session, ansi):
+                for name, df in staged.items():
+                    keep = [c for c in df.columns if c not in (BUCKET, "_batch")]
+                    df.where(F.col(BUCKET).between(lo, hi)).select(*keep).createOrReplaceTempView(name)
+                res = session.sql(text)
+            parts.append(res.select(_ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
+                                    _ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
+                                    F.lit(w[1]).alias(_WEND), *res.columns))
+        batch = parts[0]
+        for p in parts[1:]:
+            batch = batch.unionByName(p)
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(_WEND).parquet(out))
+
 
 def staged_windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length,
-                        slide=None, start=None, ansi: bool = False, chunk: int = 64) -> DataFrame:
+                        slide=None, start=None, ansi: bool = False, chunk: int = 32,
+                        workers: int = 4) -> DataFrame | None:
     """Path S for bounded input: stage every view once, then run ``text`` per window."""
     spark = next(iter(views.values())).sparkSession
     stage = SlideStage(spark, time_col, length, slide, start)
     for name, df in views.items():
         stage.append(name, df)
-    return stage.run(text, ansi=ansi, chunk=chunk)
+    return stage.run(text, ansi=ansi, chunk=chunk, workers=workers)

@@ -110,7 +110,7 @@ class LogFlow:
                             ansi=self.ansi)
 
     def window_sql_each(self, raw: DataFrame, text: str | None = None,
-                        chunk: int = 64) -> DataFrame:
+                        chunk: int = 32, workers: int = 4) -> DataFrame:
         """Path S: the unchanged text once per window (staged rows, pruned reads)."""
         return staged_windowed_sql(self.views(raw), text or self.window_sql, *self.window_args(),
-                                   ansi=self.ansi, chunk=chunk)
+                                   ansi=self.ansi, chunk=chunk, workers=workers)

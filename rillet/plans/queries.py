@@ -137,7 +137,7 @@ def q_coerce_bad_rows(spark, sf_dir):
     schema = {"event_id": "Long", "user_id": "Integer", "event_type": "String"}
     parsed = parse_lines(table_lines(ev, list(schema)), schema, on_error="quarantine")
     return bad_rows(parsed).select(F.col(RAW_COL).alias("line"),
-                                   F.array_join(ERRORS_COL, "; ").alias("reason"))
+                                   F.col(ERRORS_COL).alias("reason"))
 
 
 # -- rules and functions --------------------------------------------------------
