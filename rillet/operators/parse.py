@@ -82,21 +82,32 @@ def parse_lines(
         reasons.append(F.when(~ok, F.lit(f"bad {f.type_name} value for {f.name}")))
 
     if on_error == "null":
-        return staged.select(*values, *keep)
+        return _emit(staged, F.struct(*values), keep)
     # concat_ws skips nulls: "" when the line has no problem
     errors = F.concat_ws("; ", *problems, *reasons)
     if on_error == "quarantine":
-        return staged.select(*values, *keep, line.alias(RAW_COL),
-                             F.when(errors != "", errors).alias(ERRORS_COL))
-    # fail: the row is one struct guarded by the check, so values and checks
-    # share subexpressions in one projection, and no filter is pushed below
-    # the parse (which would inline the parse once per use). The check runs
-    # whenever any parsed field is read.
+        return _emit(staged, F.struct(*values, line.alias(RAW_COL),
+                                      F.when(errors != "", errors).alias(ERRORS_COL)), keep)
+    # fail: the row is guarded by the check, so values and checks share
+    # subexpressions, and every line is checked whatever columns are read.
     message = F.concat(F.lit("bad input line ("), errors, F.lit("): "),
                        F.coalesce(line, F.lit("null")))
+    names = [f.name for f in schema]
     row = F.when(errors != "", F.raise_error(message)).otherwise(F.struct(*values))
+    return _emit(staged, row, keep).select(*names, *keep)
+
+
+def _emit(staged: DataFrame, row: Column, keep: list[str]) -> DataFrame:
+    """The parsed fields as the output of a generator over one struct per line.
+
+    The struct is built in a projection, where common subexpressions of the
+    values and checks are evaluated once. A predicate on a parsed field cannot
+    be pushed below the Generate, so a later filter or join key never
+    re-evaluates (inlines) the parse; predicates on pass-through columns still
+    reach the scan.
+    """
     return (staged.select(row.alias(_ROW), *keep)
-            .select(*[F.col(f"{_ROW}.`{f.name}`").alias(f.name) for f in schema], *keep))
+            .select(F.inline(F.array(F.col(_ROW))), *keep))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

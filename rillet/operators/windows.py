@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
@@ -156,6 +156,8 @@ class SlideStage:
         self.ntz: bool | None = None
         self.names: list[str] = []
         self._read: dict[str, DataFrame] = {}
+        # views computed per window from the staged ones: name -> fn(views) -> DataFrame
+        self.derived: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -216,6 +218,8 @@ class SlideStage:
             staged = self.staged(name)
             keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
             views[name] = staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
+        for name, fn in self.derived.items():
+            views[name] = fn(views)
         return views
 
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
@@ -252,10 +256,15 @@ class SlideStage:
         for w in windows:
             lo = (w[0] - self.start_us) // self.bucket_us
             hi = (w[1] - self.start_us) // self.bucket_us - 1
+            views = {}
+            for name, df in staged.items():
+                keep = [c for c in df.columns if c not in (BUCKET, "_batch")]
+                views[name] = df.where(F.col(BUCKET).between(lo, hi)).select(*keep)
+            for name, fn in self.derived.items():
+                views[name] = fn(views)
             with ansi_mode(session, ansi):
-                for name, df in staged.items():
-                    keep = [c for c in df.columns if c not in (BUCKET, "_batch")]
-                    df.where(F.col(BUCKET).between(lo, hi)).select(*keep).createOrReplaceTempView(name)
+                for name, df in views.items():
+                    df.createOrReplaceTempView(name)
                 res = session.sql(text)
             parts.append(res.select(_ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
                                     _ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),

@@ -18,8 +18,7 @@ from ..functions import FunctionRegistry
 from ..operators.parse import parse_lines
 from ..operators.rules import apply_rules, parse_rules
 from ..operators.sql_stage import run_sql
-from ..operators.windows import (explode_windows, staged_windowed_sql, window_stats,
-                                 windowed_sql)
+from ..operators.windows import SlideStage, explode_windows, window_stats, windowed_sql
 from ..sources.lines import ARRIVAL
 from ..types import SchemaError, as_schema
 
@@ -110,7 +109,18 @@ class LogFlow:
                             ansi=self.ansi)
 
     def window_sql_each(self, raw: DataFrame, text: str | None = None,
-                        chunk: int = 32, workers: int = 4) -> DataFrame:
-        """Path S: the unchanged text once per window (staged rows, pruned reads)."""
-        return staged_windowed_sql(self.views(raw), text or self.window_sql, *self.window_args(),
-                                   ansi=self.ansi, chunk=chunk, workers=workers)
+                        chunk: int = 32, workers: int = 4) -> DataFrame | None:
+        """Path S: the unchanged text once per window (staged rows, pruned reads).
+
+        Without per-batch SQL the derived rows are a row-wise function of the
+        input, so only ``input`` is staged and ``output`` is derived per window.
+        """
+        text = text or self.window_sql
+        typed = self.parse(raw)
+        stage = SlideStage(typed.sparkSession, *self.window_args())
+        stage.append(INPUT, typed)
+        if self.extra_sql is None:
+            stage.derived[OUTPUT] = lambda views: self.derive(views[INPUT])
+        else:
+            stage.append(OUTPUT, self.finalize(self.derive(typed)))
+        return stage.run(text, ansi=self.ansi, chunk=chunk, workers=workers)

@@ -19,7 +19,7 @@ from ..operators.rules import apply_rules
 from ..operators.sql_stage import run_sql, stringify
 from ..operators.union import tagged_union
 from ..operators.windows import window_agg
-from ..sources.lines import ARRIVAL, table_lines
+from ..sources.lines import ARRIVAL, spread, table_lines
 from .flow import LogFlow
 
 HOURS_18 = "18 hours"
@@ -27,7 +27,7 @@ HOURS_6 = "6 hours"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # -- shared flows -------------------------------------------------------------
