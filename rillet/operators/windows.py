@@ -175,6 +175,9 @@ class SlideStage:
         if batch_id is not None:
             out = out.withColumn("_batch", F.lit(int(batch_id)))
             parts.append("_batch")
+        # Rows of one bucket go to one writer task (few files per bucket, not
+        # one per task and bucket); AQE splits a hot bucket over several tasks.
+        out = out.hint("rebalance", BUCKET)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts).parquet(self.path(name)))
         if name not in self.names:
@@ -223,8 +226,8 @@ class SlideStage:
         return views
 
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
-            out: str | None = None, ansi: bool = False, chunk: int = 32,
-            workers: int = 4) -> DataFrame | None:
+            out: str | None = None, ansi: bool = False, chunk: int = 16,
+            workers: int = 8) -> DataFrame | None:
         """Run ``text`` once per window; results land in ``out`` partitioned by window end.
 
         Windows go in chunks, one write job per chunk; chunks run concurrently
@@ -277,8 +280,8 @@ class SlideStage:
 
 
 def staged_windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length,
-                        slide=None, start=None, ansi: bool = False, chunk: int = 32,
-                        workers: int = 4) -> DataFrame | None:
+                        slide=None, start=None, ansi: bool = False, chunk: int = 16,
+                        workers: int = 8) -> DataFrame | None:
     """Path S for bounded input: stage every view once, then run ``text`` per window."""
     spark = next(iter(views.values())).sparkSession
     stage = SlideStage(spark, time_col, length, slide, start)

@@ -109,7 +109,7 @@ class LogFlow:
                             ansi=self.ansi)
 
     def window_sql_each(self, raw: DataFrame, text: str | None = None,
-                        chunk: int = 32, workers: int = 4) -> DataFrame | None:
+                        chunk: int = 16, workers: int = 8) -> DataFrame | None:
         """Path S: the unchanged text once per window (staged rows, pruned reads).
 
         Without per-batch SQL the derived rows are a row-wise function of the
