@@ -114,7 +114,7 @@ def windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, lengt
     return run_sql(exploded, text, ansi=ansi)
 
 
-def _micros(df: DataFrame, time_col: str) -> Column:
+def micros_of(df: DataFrame, time_col: str) -> Column:
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
@@ -169,7 +169,7 @@ class SlideStage:
             self.ntz = ntz
         elif self.ntz != ntz:
             raise SchemaError("all staged views need the same timestamp type")
-        out = df.withColumn(BUCKET, _floor_div(_micros(df, self.time_col) - F.lit(self.start_us),
+        out = df.withColumn(BUCKET, _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us),
                                                self.bucket_us))
         parts = [BUCKET]
         if batch_id is not None:
@@ -233,7 +233,8 @@ class SlideStage:
         Windows go in chunks, one write job per chunk; chunks run concurrently
         on ``workers`` threads, each with its own session (own temp views and
         ANSI setting). Re-running a window replaces its partition only.
-        Returns the results read back, or None when no window holds a row.
+        Returns the results of these windows read back (a partition filter on
+        the window end), or None when no window holds a row.
         """
         windows = list(self.windows() if windows is None else windows)
         if not windows:
@@ -248,7 +249,8 @@ class SlideStage:
                 futures = [pool.submit(self._run_chunk, None, text, c, out, ansi) for c in chunks]
                 for f in futures:
                     f.result()
-        return self.spark.read.parquet(out).drop(_WEND)
+        ends = [w[1] for w in windows]
+        return self.spark.read.parquet(out).where(F.col(_WEND).isin(ends)).drop(_WEND)
 
     def _run_chunk(self, session, text, windows, out, ansi) -> None:
         own = session is None

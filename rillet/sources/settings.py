@@ -24,6 +24,6 @@ def read_rules(path: str) -> list[str]:
 
 
 def read_settings(path: str) -> dict[str, str]:
-    """``key -> text`` of every ``entry`` element; text is stripped of surrounding space."""
+    """``key -> text`` of every ``entry`` element, unstripped (a separator may be a tab)."""
     root = ET.parse(path).getroot()
-    return {e.get("key"): (e.text or "").strip() for e in root.iter("entry") if e.get("key")}
+    return {e.get("key"): e.text or "" for e in root.iter("entry") if e.get("key")}

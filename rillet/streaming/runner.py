@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.render import render
-from ..operators.windows import SlideStage, duration_us, window_stats
+from ..operators.windows import SlideStage, duration_us, micros_of, window_stats
+from ..sinks import echo
 from ..plans.flow import DEFAULT_BATCH_SECONDS, INPUT, OUTPUT, LogFlow
 from ..session import scratch_dir
 
@@ -39,7 +40,8 @@ class FlowStream:
     def __init__(self, flow: LogFlow, lines: DataFrame, output_path: str | None = None,
                  sql_output_path: str | None = None, checkpoint: str | None = None,
                  trigger_seconds: float = DEFAULT_BATCH_SECONDS, lateness=None,
-                 output_form: str = "list", stage_root: str | None = None):
+                 output_form: str = "list", stage_root: str | None = None,
+                 echo_rows: int = 0):
         self.flow = flow
         self.lines = lines
         self.output_path = output_path
@@ -49,6 +51,7 @@ class FlowStream:
         self.trigger_seconds = trigger_seconds
         self.lateness_us = duration_us(lateness) if lateness else 0
         self.output_form = output_form
+        self.echo_rows = echo_rows
         self.stage = None
         if flow.window_sql and sql_output_path:
             self.stage = SlideStage(self.spark, flow.time_col, flow.window_length,
@@ -67,6 +70,10 @@ class FlowStream:
         self.query = writer.start()
         return self.query
 
+    def run(self) -> None:
+        """Start on the processing-time trigger and run until stopped."""
+        self.start().awaitTermination()
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -76,8 +83,10 @@ class FlowStream:
             typed = flow.parse(batch)
             final = flow.finalize(flow.derive(typed),
                                   batch_time=batch.agg(F.min(flow.time_col)).first()[0])
+            cols = [c for c in final.columns if c != flow.time_col]
+            if self.echo_rows:
+                echo(final.select(*cols), self.echo_rows, f"batch {batch_id}:")
             if self.output_path:
-                cols = [c for c in final.columns if c != flow.time_col]
                 lines = render(final, self.output_form, cols).withColumn(
                     "batch_id", F.lit(int(batch_id)))
                 (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -85,8 +94,8 @@ class FlowStream:
             if self.stage is not None:
                 self.stage.append(INPUT, typed, batch_id)
                 self.stage.append(OUTPUT, final, batch_id)
-                latest = batch.agg(F.max(flow.time_col)).first()[0]
-                self._emit(_as_micros(latest) - self.lateness_us)
+                latest = batch.agg(F.max(micros_of(batch, flow.time_col))).first()[0]
+                self._emit(latest - self.lateness_us)
         finally:
             batch.unpersist()
 
@@ -100,9 +109,11 @@ class FlowStream:
                if w[1] > self.emitted_until and (closed_before_us is None
                                                  or w[1] <= closed_before_us)]
         if due:
-            self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
-                           ansi=self.flow.ansi)
+            res = self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
+                                 ansi=self.flow.ansi)
             self.emitted_until = max(w[1] for w in due)
+            if self.echo_rows and res is not None:
+                echo(res, self.echo_rows, "window results:")
 
     def _emitted_so_far(self) -> int:
         """Latest window end already written (resume after a restart)."""
@@ -116,15 +127,6 @@ class FlowStream:
         return max(ends, default=-(2**63))
 
 
-def _as_micros(ts) -> int:
-    import datetime as dt
-    if ts.tzinfo is None:
-        delta = ts - dt.datetime(1970, 1, 1)
-    else:
-        delta = ts - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-    return delta // dt.timedelta(microseconds=1)
-
-
 def stream_window_stats(flow: LogFlow, lines: DataFrame, value_field: str,
                         watermark: str = "0 seconds") -> DataFrame:
     """Path N on a stream: per-window sum, count, min, max of one input field.

@@ -89,3 +89,32 @@ def test_table_lines_round_trip(spark):
         '<xml><entry key="k">1</entry><entry key="s">a&lt;b</entry></xml>')
     assert table_lines(df, ["k", "s"], "json", quote_all=True).first().value == '{"k":"1","s":"a<b"}'
     assert F is not None
+
+
+def test_flow_from_a_settings_file(spark, tmp_path, lines):
+    from conftest import ACCESS_XML
+    from rillet.plans.settings import flow_from_settings
+    import json
+    (tmp_path / "in.json").write_text(json.dumps(ACCESS_FIELDS, indent=1))
+    (tmp_path / "out.json").write_text(json.dumps(ACCESS_OUTPUT))
+    (tmp_path / "rules").write_text("\n".join(ACCESS_RULES) + "\n")
+    (tmp_path / "conf.xml").write_text(
+        '<?xml version="1.0" encoding="UTF-8"?>\n<property>\n'
+        '<entry key="stream.input.format">xml</entry>\n'
+        '<entry key="stream.input.separator">&#009;</entry>\n'
+        '<entry key="stream.extraSQL.enable">true</entry>\n'
+        '<entry key="stream.extraSQL.command">SELECT size FROM extraInput</entry>\n'
+        '<entry key="stream.sql.command">SELECT SUM(size), COUNT(*), MIN(size), MAX(size) FROM output\n    </entry>\n'
+        '<entry key="stream.input.formatFilePath">in.json</entry>\n'
+        '<entry key="stream.output.formatFilePath">out.json</entry>\n'
+        '<entry key="rule.filePath">rules</entry>\n'
+        '<entry key="stream.batchInterval">2</entry>\n'
+        '<entry key="stream.window.length">18000</entry>\n'
+        '<entry key="stream.window.slide">6000</entry>\n</property>\n')
+    st = flow_from_settings(str(tmp_path / "conf.xml"))
+    assert st.flow.fmt == "xml" and st.flow.separator == "\t" and st.batch_seconds == 2.0
+    raw = lines([(ACCESS_XML, dt.datetime(2024, 1, 1, 0, 0, 1))], with_time=True)
+    views = st.flow.views(raw)
+    assert [tuple(r) for r in views["output"].drop("arrival_ts").collect()] == [("1000 MB",)]
+    res = st.flow.window_sql_each(raw)
+    assert {tuple(r)[2:] for r in res.collect()} == {(None, 1, "1000 MB", "1000 MB")}
