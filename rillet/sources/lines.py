@@ -50,6 +50,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     group or one Kafka partition, so that the CPU-heavy parse uses every core.
     A source that already has enough partitions is returned unchanged, so
     large inputs pay no extra shuffle."""
+    if df.isStreaming:  # streams: use the source's own option (Kafka minPartitions)
+        return df
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:
         return df
