@@ -165,10 +165,12 @@ def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_dep
     if any_depth:
         texts = {}
         for f in schema:
+            # one XPath per field: "1" + text of the last entry when the key
+            # exists, "" when it does not
             q = _xpath_quote(f.name)
-            present = F.xpath_boolean(line, F.lit(f"count(//entry[@key={q}]) > 0"))
-            text = F.xpath_string(line, F.lit(f"(//entry[@key={q}])[last()]"))
-            texts[f.name] = F.when(wellformed & present, text)
+            found = F.xpath_string(line, F.lit(
+                f"concat(substring('1', 1, count(//entry[@key={q}])), (//entry[@key={q}])[last()])"))
+            texts[f.name] = F.when(wellformed & found.startswith("1"), F.substr(found, F.lit(2)))
         keyless = F.xpath_boolean(line, F.lit("count(//entry[not(@key)]) > 0"))
         problems.append(F.when(wellformed & keyless, F.lit("entry without key")))
         if strict_keys:

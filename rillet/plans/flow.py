@@ -50,12 +50,15 @@ class LogFlow:
     registry: FunctionRegistry | None = None
     time_col: str = ARRIVAL
     strict_keys: bool = False
+    extra_sql_schema: object = None
     parsed_rules: list = field(init=False, repr=False)
 
     def __post_init__(self):
         self.input_schema = as_schema(self.input_schema)
         self.output_schema = as_schema(self.output_schema)
         self.parsed_rules = parse_rules(self.rules)
+        if self.extra_sql_schema is not None:
+            self.extra_sql_schema = as_schema(self.extra_sql_schema)
         for reserved in (self.time_col,):
             if reserved in self.input_schema or reserved in self.output_schema:
                 raise SchemaError(f"field name {reserved!r} is reserved for the arrival time")
@@ -79,6 +82,15 @@ class LogFlow:
         if self.extra_sql is None:
             return derived
         result = run_sql({EXTRA_INPUT: derived}, self.extra_sql, ansi=self.ansi)
+        if self.extra_sql_schema is not None:
+            # optional check: the analysed result must have the declared columns
+            got = [c for c in result.columns if c != self.time_col]
+            if got != self.extra_sql_schema.names:
+                raise SchemaError(f"per-batch SQL returns {got}, "
+                                  f"declared {self.extra_sql_schema.names}")
+            result = result.select(*[F.col(f"`{f.name}`").cast(f.data_type).alias(f.name)
+                                     for f in self.extra_sql_schema],
+                                   *[c for c in result.columns if c == self.time_col])
         if self.time_col in result.columns or self.time_col not in derived.columns:
             return result
         if batch_time is None:

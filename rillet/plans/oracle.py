@@ -38,6 +38,12 @@ ORACLE_SQL = {
         "strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem"),
     "parse_json": "SELECT event_id, user_id, event_type, value, props FROM events",
     "parse_xml": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "parse_separator_regex": (
+        "SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity FROM lineitem"),
+    "parse_xml_nested": "SELECT event_id, user_id, event_type, value FROM events",
+    "parse_null_mode": (
+        "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(user_id AS INTEGER) END "
+        "AS user_id, event_type FROM events"),
     "coerce_types": (
         "SELECT event_id AS id, CAST((event_id % 200) - 100 AS TINYINT) AS b, "
         "CAST(user_id AS SMALLINT) AS s, CAST(event_id AS INTEGER) AS i, "
@@ -104,6 +110,10 @@ ORACLE_SQL = {
         f"SELECT {_WIN_COLS}, COUNT(*) AS pairs, "
         "COUNT(DISTINCT CAST(user_id AS VARCHAR) || ' MB') AS sizes, "
         f"ROUND(SUM(value), 2) AS sum_value FROM {_win('user_id, value')} GROUP BY ws"),
+    "shipped_settings_flow": (
+        f"SELECT {_WIN_COLS}, SUM(TRY_CAST(size AS DOUBLE)) AS \"sum(size)\", "
+        "COUNT(*) AS \"count(1)\", MIN(size) AS \"min(size)\", MAX(size) AS \"max(size)\" FROM "
+        + _win("CAST(user_id AS VARCHAR) || ' MB' AS size") + " GROUP BY ws"),
     "tagged_union": (
         f"SELECT {_WIN_COLS}, tag, COUNT(*) AS cnt FROM "
         + _win("tag", "(SELECT 1 AS tag, ts FROM events UNION ALL SELECT 2, ts FROM events)")

@@ -19,7 +19,7 @@ from ..operators.rules import apply_rules
 from ..operators.sql_stage import run_sql, stringify
 from ..operators.union import tagged_union
 from ..operators.windows import window_agg
-from ..sources.lines import ARRIVAL, spread, table_lines
+from ..sources.lines import ARRIVAL, spread, table_lines, xml_entries
 from .flow import LogFlow
 
 HOURS_18 = "18 hours"
@@ -35,6 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 EVENT_FIELDS = {"event_id": "Long", "user_id": "Integer", "event_type": "String",
                 "value": "Double", "props": "String"}
 SIZE_RULES = [f'contentSizeWithUnit:{NS}:add:$user_id,"KB"', f'size:{NS}:add:$user_id,"MB"']
+SIZE_RULES_CONTENT = [f'contentSizeWithUnit:{NS}:add:$contentSize,"KB"',
+                      f'size:{NS}:add:$contentSize,"MB"']
 EVENT_OUTPUT = {"size": "String", "kind": "String", "n": "Integer"}
 EVENT_RULES = [f'size:{NS}:add:$user_id,"MB"', f"kind:{NS}:getOriginalStr:$event_type",
                f"n:{NS}:addOne:$user_id"]
@@ -109,6 +111,33 @@ def q_parse_xml(spark, sf_dir):
     return parse_lines(raw, schema, "xml", strict_keys=True)
 
 
+def q_parse_separator_regex(spark, sf_dir):
+    # a literal pipe between fields, read back with the escaped regex \\|
+    fields = {"l_orderkey": "Long", "l_linenumber": "Integer", "l_returnflag": "String",
+              "l_linestatus": "String", "l_quantity": "Double"}
+    raw = table_lines(table(spark, sf_dir, "lineitem"), list(fields), separator="|")
+    return parse_lines(raw, fields, separator="\\|")
+
+
+def q_parse_xml_nested(spark, sf_dir):
+    # two entries nested one level down, found with the any-depth reader
+    ev = table(spark, sf_dir, "events")
+    line = F.concat(F.lit("<xml><group>"), xml_entries(["event_id", "user_id"]),
+                    F.lit("</group>"), xml_entries(["event_type", "value"]), F.lit("</xml>"))
+    schema = {"event_id": "Long", "user_id": "Long", "event_type": "String", "value": "Double"}
+    return parse_lines(ev.select(line.alias("value")), schema, "xml", xml_any_depth=True)
+
+
+def q_parse_null_mode(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(
+            F.col("user_id").cast("string")).alias("user_id"),
+        "event_type")
+    schema = {"event_id": "Long", "user_id": "Integer", "event_type": "String"}
+    return parse_lines(table_lines(ev, list(schema)), schema, on_error="null")
+
+
 def q_coerce_types(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
@@ -289,6 +318,24 @@ def q_window_sql_join(spark, sf_dir):
     return keyed_flow().window_sql_grouped(keyed_lines(spark, sf_dir), text)
 
 
+# The shipped settings: XML input, the two size rules, per-batch SQL keeping
+# one derived column (and the arrival time), and the window statistics text
+# run unchanged over ``output`` in every window.
+SHIPPED_WINDOW_SQL = "SELECT SUM(size), COUNT(*), MIN(size), MAX(size) FROM output"
+
+
+def q_shipped_settings_flow(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumnRenamed("user_id", "contentSize")
+    raw = table_lines(ev, ["event_id", "contentSize", "event_type"], "xml", time_col="ts")
+    flow = LogFlow(
+        input_schema={"event_id": "Long", "contentSize": "Integer", "event_type": "String"},
+        output_schema={"contentSizeWithUnit": "String", "size": "String"},
+        rules=SIZE_RULES_CONTENT, fmt="xml",
+        extra_sql="SELECT size, arrival_ts FROM extraInput",
+        window_sql=SHIPPED_WINDOW_SQL, window_length=HOURS_18, window_slide=HOURS_6)
+    return flow.window_sql_each(raw)
+
+
 def q_tagged_union(spark, sf_dir):
     views = keyed_flow().views(keyed_lines(spark, sf_dir))
     both = tagged_union(views["input"], views["output"])
@@ -338,6 +385,9 @@ QUERIES = {
     "parse_separator": q_parse_separator,
     "parse_json": q_parse_json,
     "parse_xml": q_parse_xml,
+    "parse_separator_regex": q_parse_separator_regex,
+    "parse_xml_nested": q_parse_xml_nested,
+    "parse_null_mode": q_parse_null_mode,
     "coerce_types": q_coerce_types,
     "coerce_bad_rows": q_coerce_bad_rows,
     "rules_project": q_rules_project,
@@ -358,6 +408,7 @@ QUERIES = {
     "window_sql_grouped": q_window_sql_grouped,
     "window_sql_output": q_window_sql_output,
     "window_sql_join": q_window_sql_join,
+    "shipped_settings_flow": q_shipped_settings_flow,
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,
     "sql_semi_join": q_sql_semi_join,

@@ -37,11 +37,16 @@ def json_line(fields: Sequence[str], quote_all: bool = False) -> Column:
     return F.to_json(F.struct(*cols))
 
 
-def xml_line(fields: Sequence[str], root: str = "xml") -> Column:
-    """``<root><entry key="f">text</entry>...</root>``; null fields are left out."""
+def xml_entries(fields: Sequence[str]) -> Column:
+    """``<entry key="f">text</entry>`` for each field; null fields are left out."""
     entries = [F.concat(F.lit(f'<entry key="{f}">'), _xml_escape(_text(f)), F.lit("</entry>"))
                for f in fields]
-    return F.concat(F.lit(f"<{root}>"), F.concat_ws("", *entries), F.lit(f"</{root}>"))
+    return F.concat_ws("", *entries)
+
+
+def xml_line(fields: Sequence[str], root: str = "xml") -> Column:
+    """``<root><entry key="f">text</entry>...</root>``; null fields are left out."""
+    return F.concat(F.lit(f"<{root}>"), xml_entries(fields), F.lit(f"</{root}>"))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

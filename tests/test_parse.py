@@ -99,3 +99,16 @@ def test_bad_settings(lines):
         parse_lines(lines(["x"]), THREE, fmt="csv")
     with pytest.raises(SchemaError):
         parse_lines(lines(["x"]), THREE, on_error="ignore")
+
+
+def test_fail_mode_checks_every_line_even_for_count(lines):
+    with pytest.raises(PySparkException, match="bad Integer value for b"):
+        parse_lines(lines(["x\t1\ty", "x\tnope\ty"]), THREE).count()
+    with pytest.raises(PySparkException, match="bad Integer value for b"):
+        parse_lines(lines(["x\t1\ty", "x\tnope\ty"]), THREE).select("a").collect()
+
+
+def test_null_line(lines, spark):
+    df = spark.createDataFrame([(None,)], "value string")
+    parsed = parse_lines(df, THREE, on_error="quarantine")
+    assert [r._errors for r in bad_rows(parsed).collect()] == ["null line"]

@@ -118,3 +118,34 @@ def test_flow_from_a_settings_file(spark, tmp_path, lines):
     assert [tuple(r) for r in views["output"].drop("arrival_ts").collect()] == [("1000 MB",)]
     res = st.flow.window_sql_each(raw)
     assert {tuple(r)[2:] for r in res.collect()} == {(None, 1, "1000 MB", "1000 MB")}
+
+
+def test_extra_sql_schema_check(lines):
+    import pytest
+    from rillet.types import SchemaError
+    raw = lines([(ACCESS_LINES[0], dt.datetime(2024, 1, 1))], with_time=True)
+    ok = flow(extra_sql_schema={"size": "String"})
+    assert ok.views(raw)["output"].columns == ["size", "arrival_ts"]
+    bad = flow(extra_sql_schema={"other": "String"})
+    with pytest.raises(SchemaError):
+        bad.views(raw)
+
+
+def test_empty_batches_and_late_rows(spark, tmp_path):
+    f = flow()
+    empty = spark.createDataFrame([], "value string, arrival_ts timestamp")
+    out, sql_out = str(tmp_path / "rows"), str(tmp_path / "windows")
+    runner = FlowStream(f, empty, out, sql_out, checkpoint=str(tmp_path / "ck"), lateness=6000)
+    runner.process_batch(empty, 0)
+    assert not os.path.exists(out)
+    mk = lambda secs: spark.createDataFrame(
+        [(ACCESS_LINES[0], dt.datetime(2024, 1, 1) + dt.timedelta(seconds=secs))],
+        "value string, arrival_ts timestamp")
+    runner.process_batch(mk(1), 1)
+    runner.process_batch(mk(13), 2)     # latest 13 s - 6 s lateness: windows ending <= 7 s closed
+    ends = sorted(r.window_end for r in spark.read.parquet(sql_out).collect())
+    assert ends == [dt.datetime(2024, 1, 1, 0, 0, 6)]
+    runner.process_batch(mk(5), 3)      # a late row inside lateness: its open windows still see it
+    runner.flush()
+    got = {r.window_end: r.n for r in spark.read.parquet(sql_out).collect()}
+    assert got[dt.datetime(2024, 1, 1, 0, 0, 12)] == 2 and got[dt.datetime(2024, 1, 1, 0, 0, 18)] == 3
