@@ -158,19 +158,33 @@ class SlideStage:
         self._read: dict[str, DataFrame] = {}
         # views computed per window from the staged ones: name -> fn(views) -> DataFrame
         self.derived: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {}
+        self.direct: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def append(self, name: str, df: DataFrame, batch_id: int | None = None) -> None:
-        """Stage rows; with ``batch_id`` a re-run of the same batch replaces its own files."""
+    def append(self, name: str, df: DataFrame, batch_id: int | None = None,
+               stage: bool = True) -> None:
+        """Add rows of view ``name``.
+
+        Staged (the default): written once by slide bucket; with ``batch_id``
+        a re-run of the same batch replaces its own files. ``stage=False``
+        keeps ``df`` as it is and filters it by each window's time range,
+        which the scan turns into row-group (or partition) pruning: the right
+        choice for a large source already clustered by time, which would
+        otherwise be rewritten whole.
+        """
         ntz = isinstance(df.schema[self.time_col].dataType, T.TimestampNTZType)
         if self.ntz is None:
             self.ntz = ntz
         elif self.ntz != ntz:
-            raise SchemaError("all staged views need the same timestamp type")
-        out = df.withColumn(BUCKET, _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us),
-                                               self.bucket_us))
+            raise SchemaError("all views need the same timestamp type")
+        if name not in self.names:
+            self.names.append(name)
+        if not stage:
+            self.direct[name] = df
+            return
+        out = df.withColumn(BUCKET, self._bucket_of(df))
         parts = [BUCKET]
         if batch_id is not None:
             out = out.withColumn("_batch", F.lit(int(batch_id)))
@@ -180,10 +194,11 @@ class SlideStage:
         out = out.hint("rebalance", BUCKET)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts).parquet(self.path(name)))
-        if name not in self.names:
-            self.names.append(name)
         self._read.pop(name, None)
 
+    def _bucket_of(self, df: DataFrame) -> Column:
+        return _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us), self.bucket_us)
+
     def staged(self, name: str) -> DataFrame:
         """The staged rows of one view; listed once until the next append."""
         if name not in self._read:
@@ -191,14 +206,20 @@ class SlideStage:
         return self._read[name]
 
     def buckets(self) -> list[int]:
-        """Non-empty buckets of all views, from the file listing (no data is read)."""
+        """Non-empty buckets of all views: the file listing of staged views (no
+        data read); one small aggregate of the time column of direct views."""
         found = set()
         for name in self.names:
+            if name in self.direct:
+                df = self.direct[name]
+                found.update(r[0] for r in df.select(self._bucket_of(df).alias("b"))
+                             .distinct().collect())
+                continue
             for f in self.staged(name).inputFiles():
                 m = re.search(rf"/{BUCKET}=(-?\d+)/", f)
                 if m:
                     found.add(int(m.group(1)))
-        return sorted(found)
+        return sorted(b for b in found if b is not None)
 
     def windows(self, buckets: Iterable[int] | None = None) -> list[tuple[int, int]]:
         """``(start_us, end_us)`` of every window that holds a non-empty bucket."""
@@ -213,11 +234,18 @@ class SlideStage:
         return [(s, s + self.length_us) for s in sorted(starts)]
 
     def window_views(self, window: tuple[int, int]) -> dict[str, DataFrame]:
-        """Each view restricted to one window: a partition filter on the bucket."""
+        """Each view restricted to one window: a partition filter on the bucket
+        (staged views) or a time-range filter (direct views); then derived views."""
         lo = (window[0] - self.start_us) // self.bucket_us
         hi = (window[1] - self.start_us) // self.bucket_us - 1
         views = {}
         for name in self.names:
+            if name in self.direct:
+                t = F.col(self.time_col)
+                views[name] = self.direct[name].where(
+                    (t >= _ts_literal(window[0], bool(self.ntz)))
+                    & (t < _ts_literal(window[1], bool(self.ntz))))
+                continue
             staged = self.staged(name)
             keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
             views[name] = staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
@@ -230,11 +258,12 @@ class SlideStage:
             workers: int = 8) -> DataFrame | None:
         """Run ``text`` once per window; results land in ``out`` partitioned by window end.
 
-        Windows go in chunks, one write job per chunk; chunks run concurrently
-        on ``workers`` threads, each with its own session (own temp views and
-        ANSI setting). Re-running a window replaces its partition only.
-        Returns the results of these windows read back (a partition filter on
-        the window end), or None when no window holds a row.
+        Each window's views are registered and the text analysed under a lock
+        (analysis is eager and cheap); the analysed plans of a chunk of windows
+        form one write job, and chunks run concurrently on ``workers`` threads.
+        Re-running a window replaces its partition only. Returns the results of
+        these windows read back (a partition filter on the window end), or None
+        when no window holds a row.
         """
         windows = list(self.windows() if windows is None else windows)
         if not windows:
@@ -243,34 +272,22 @@ class SlideStage:
         chunks = [windows[i:i + chunk] for i in range(0, len(windows), chunk)]
         if len(chunks) == 1 or workers <= 1:
             for c in chunks:
-                self._run_chunk(self.spark, text, c, out, ansi)
+                self._run_chunk(text, c, out, ansi)
         else:
             with ThreadPoolExecutor(max_workers=min(workers, len(chunks))) as pool:
-                futures = [pool.submit(self._run_chunk, None, text, c, out, ansi) for c in chunks]
-                for f in futures:
+                for f in [pool.submit(self._run_chunk, text, c, out, ansi) for c in chunks]:
                     f.result()
         ends = [w[1] for w in windows]
         return self.spark.read.parquet(out).where(F.col(_WEND).isin(ends)).drop(_WEND)
 
-    def _run_chunk(self, session, text, windows, out, ansi) -> None:
-        own = session is None
-        session = session or self.spark.newSession()
-        staged = {n: (self.staged(n) if not own else session.read.parquet(self.path(n)))
-                  for n in self.names}
+    def _run_chunk(self, text: str, windows, out: str, ansi: bool) -> None:
         parts = []
         for w in windows:
-            lo = (w[0] - self.start_us) // self.bucket_us
-            hi = (w[1] - self.start_us) // self.bucket_us - 1
-            views = {}
-            for name, df in staged.items():
-                keep = [c for c in df.columns if c not in (BUCKET, "_batch")]
-                views[name] = df.where(F.col(BUCKET).between(lo, hi)).select(*keep)
-            for name, fn in self.derived.items():
-                views[name] = fn(views)
-            with ansi_mode(session, ansi):
+            views = self.window_views(w)
+            with ansi_mode(self.spark, ansi):  # holds the session lock
                 for name, df in views.items():
                     df.createOrReplaceTempView(name)
-                res = session.sql(text)
+                res = self.spark.sql(text)
             parts.append(res.select(_ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
                                     _ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
                                     F.lit(w[1]).alias(_WEND), *res.columns))
@@ -283,10 +300,11 @@ class SlideStage:
 
 def staged_windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length,
                         slide=None, start=None, ansi: bool = False, chunk: int = 16,
-                        workers: int = 8) -> DataFrame | None:
-    """Path S for bounded input: stage every view once, then run ``text`` per window."""
+                        workers: int = 8, stage: bool = True) -> DataFrame | None:
+    """Path S for bounded input: the unchanged ``text`` once per window.
+    ``stage=False`` filters the views by time range instead of staging them."""
     spark = next(iter(views.values())).sparkSession
-    stage = SlideStage(spark, time_col, length, slide, start)
+    st = SlideStage(spark, time_col, length, slide, start)
     for name, df in views.items():
-        stage.append(name, df)
-    return stage.run(text, ansi=ansi, chunk=chunk, workers=workers)
+        st.append(name, df, stage=stage)
+    return st.run(text, ansi=ansi, chunk=chunk, workers=workers)

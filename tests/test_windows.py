@@ -49,12 +49,14 @@ def test_explode_matches_groupby(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+@pytest.mark.parametrize("stage", [True, False])
 @pytest.mark.parametrize("length,slide", [(18000, 6000), (10000, 4000), (6000, 6000)])
-def test_staged_equals_exploded(spark, length, slide):
+def test_staged_equals_exploded(spark, length, slide, stage):
     rows = [(at(s), s % 7) for s in list(range(0, 40, 3)) + list(range(100, 120, 5))]
     df = spark.createDataFrame(rows, "arrival_ts timestamp, v int")
     text = "SELECT SUM(v) AS s, COUNT(*) AS n, MAX(v) AS hi FROM input"
-    staged = staged_windowed_sql({"input": df}, text, "arrival_ts", length, slide, chunk=3)
+    staged = staged_windowed_sql({"input": df}, text, "arrival_ts", length, slide, chunk=3,
+                                 stage=stage)
     expected = window_agg(df, "arrival_ts", length, slide,
                           aggs=[F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"),
                                 F.max("v").alias("hi")])
@@ -90,9 +92,23 @@ def test_stage_prunes_partitions_and_reruns_idempotently(spark, tmp_path):
     assert first == again
 
 
-def test_timestamp_ntz_windows(spark):
+@pytest.mark.parametrize("stage", [True, False])
+def test_timestamp_ntz_windows(spark, stage):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:01' AS ts, 5 AS v")
-    res = staged_windowed_sql({"input": df}, "SELECT SUM(v) AS s FROM input", "ts", 18000, 6000)
+    res = staged_windowed_sql({"input": df}, "SELECT SUM(v) AS s FROM input", "ts", 18000, 6000,
+                              stage=stage)
     starts = sorted(r.window_start for r in res.collect())
     assert starts == [at(-12), at(-6), at(0)]
     assert dict(res.dtypes)["window_start"] == "timestamp_ntz"
+
+
+def test_direct_views_push_the_time_range_to_the_scan(spark, tmp_path):
+    path = str(tmp_path / "src")
+    spark.createDataFrame([(at(s), s) for s in range(0, 60, 2)],
+                          "arrival_ts timestamp, v int").write.parquet(path)
+    stage = SlideStage(spark, "arrival_ts", 18000, 6000, root=str(tmp_path / "stage"))
+    stage.append("input", spark.read.parquet(path), stage=False)
+    w = stage.windows()[3]
+    plan = stage.window_views(w)["input"]._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(arrival_ts" in plan
+    assert not any(p.name == "stage" for p in tmp_path.iterdir())   # nothing was written
