@@ -163,21 +163,7 @@ def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_dep
     entries = F.coalesce(p["entry"], F.array())
     problems = [F.when(line.isNotNull() & ~wellformed, F.lit("malformed xml"))]
     if any_depth:
-        texts = {}
-        for f in schema:
-            # one XPath per field: "1" + text of the last entry when the key
-            # exists, "" when it does not
-            q = _xpath_quote(f.name)
-            found = F.xpath_string(line, F.lit(
-                f"concat(substring('1', 1, count(//entry[@key={q}])), (//entry[@key={q}])[last()])"))
-            texts[f.name] = F.when(wellformed & found.startswith("1"), F.substr(found, F.lit(2)))
-        keyless = F.xpath_boolean(line, F.lit("count(//entry[not(@key)]) > 0"))
-        problems.append(F.when(wellformed & keyless, F.lit("entry without key")))
-        if strict_keys:
-            names = " or ".join(f"@key={_xpath_quote(n)}" for n in schema.names)
-            undeclared = F.xpath_boolean(line, F.lit(f"count(//entry[@key and not({names})]) > 0"))
-            problems.append(F.when(wellformed & undeclared, F.lit("undeclared keys")))
-        return staged, texts, problems
+        return _xml_any_depth(staged, line, schema, strict_keys, wellformed, problems)
     texts = {}
     for f in schema:
         last = F.try_element_at(F.filter(entries, _key_is(f.name)), F.lit(-1))
@@ -191,6 +177,45 @@ def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_dep
     return staged, texts, problems
 
 
+# XML 1.0 text cannot hold U+0001 (not even as a character reference), so it
+# safely separates the pieces of one XPath result.
+_XSEP = "\x01"
+_XPATH = "__rillet_xpath"
+
+
+def _xml_any_depth(staged: DataFrame, line: Column, schema: Schema, strict_keys: bool,
+                   wellformed: Column, problems: list):
+    """Entries at any depth with a single XPath evaluation per line.
+
+    One ``concat`` returns, per field, "1" + the text of the last entry with
+    that key (or "" when there is none), then flags for entries without a key
+    and for undeclared keys, separated by U+0001.
+    """
+    def flag(cond: str) -> str:
+        return f"substring('1', 1, count(//entry[{cond}]))"
+
+    parts = []
+    for f in schema:
+        q = _xpath_quote(f.name)
+        parts.append(f"concat({flag(f'@key={q}')}, (//entry[@key={q}])[last()])")
+    parts.append(flag("not(@key)"))
+    names = " or ".join(f"@key={_xpath_quote(n)}" for n in schema.names)
+    parts.append(flag(f"@key and not({names})"))
+    expr = "concat(" + f", '{_XSEP}', ".join(parts) + ")"
+    found = F.split(F.xpath_string(line, F.lit(expr)), _XSEP, -1)
+    staged = staged.withColumn(_XPATH, F.when(wellformed, found))
+    x = F.col(_XPATH)
+    texts = {}
+    for i, f in enumerate(schema):
+        piece = F.get(x, i)
+        texts[f.name] = F.when(piece.startswith("1"), F.substr(piece, F.lit(2)))
+    n = len(schema)
+    problems.append(F.when(F.get(x, n) == "1", F.lit("entry without key")))
+    if strict_keys:
+        problems.append(F.when(F.get(x, n + 1) == "1", F.lit("undeclared keys")))
+    return staged, texts, problems
+
+
 def _key_is(name: str):
     return lambda e: e["_key"] == F.lit(name)
 

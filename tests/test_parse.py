@@ -112,3 +112,20 @@ def test_null_line(lines, spark):
     df = spark.createDataFrame([(None,)], "value string")
     parsed = parse_lines(df, THREE, on_error="quarantine")
     assert [r._errors for r in bad_rows(parsed).collect()] == ["null line"]
+
+
+def test_xml_any_depth_cases(lines):
+    df = lines([
+        '<xml><g><entry key="a">x</entry><entry key="b">1</entry></g><entry key="b">2</entry></xml>',
+        '<xml><entry key="a"></entry><h><entry key="b">3</entry></h><entry key="c"> s </entry></xml>',
+        '<xml><entry key="a">x</entry><g><entry>no key</entry></g><entry key="b">4</entry></xml>',
+        '<xml><entry key="a">x',
+        '<xml><entry key="a">a &amp; b</entry><entry key="b">6</entry><entry key="z">q</entry></xml>',
+    ])
+    parsed = parse_lines(df, THREE, "xml", on_error="quarantine", xml_any_depth=True)
+    assert rows(good_rows(parsed)) == [("x", 2, None), ("", 3, " s "), ("a & b", 6, None)]
+    reasons = sorted(r._errors for r in bad_rows(parsed).collect())
+    assert reasons == ["entry without key", "malformed xml"]
+    strict = parse_lines(df, THREE, "xml", on_error="quarantine", xml_any_depth=True,
+                         strict_keys=True)
+    assert "undeclared keys" in {r._errors for r in bad_rows(strict).collect()}
