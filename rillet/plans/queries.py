@@ -84,10 +84,6 @@ def lineitem_input(spark, sf_dir) -> DataFrame:
     return parse_lines(table_lines(li, list(LINEITEM_FIELDS)), LINEITEM_FIELDS)
 
 
-def _drop_arrival(df: DataFrame) -> DataFrame:
-    return df.drop(ARRIVAL)
-
-
 # -- parsing ------------------------------------------------------------------
 
 def q_parse_separator(spark, sf_dir):
