@@ -129,7 +129,7 @@ def _floor_div(x: Column, d: int) -> Column:
     return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("long")
 
 
-def _ts_literal(us: int, ntz: bool) -> Column:
+def ts_literal(us: int, ntz: bool) -> Column:
     if ntz:
         text = (_EPOCH + timedelta(microseconds=us)).isoformat(sep=" ")
         return F.expr(f"TIMESTAMP_NTZ'{text}'")
@@ -159,20 +159,25 @@ class SlideStage:
         # views computed per window from the staged ones: name -> fn(views) -> DataFrame
         self.derived: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {}
         self.direct: dict[str, DataFrame] = {}
+        self._known: dict[str, set[int]] = {}      # buckets written per staged view
+        self._schemas: dict[str, T.StructType] = {}  # staged schema incl. partition columns
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def append(self, name: str, df: DataFrame, batch_id: int | None = None,
-               stage: bool = True) -> None:
+               stage: bool = True, track: bool = False) -> None:
         """Add rows of view ``name``.
 
         Staged (the default): written once by slide bucket; with ``batch_id``
-        a re-run of the same batch replaces its own files. ``stage=False``
-        keeps ``df`` as it is and filters it by each window's time range,
-        which the scan turns into row-group (or partition) pruning: the right
-        choice for a large source already clustered by time, which would
-        otherwise be rewritten whole.
+        a re-run of the same batch replaces its own files. ``track`` records
+        the buckets written (one small aggregate; use it on a persisted
+        micro-batch) so a stream never re-lists its history.
+
+        ``stage=False`` keeps ``df`` as it is and filters it by each window's
+        time range, which the scan turns into row-group (or partition)
+        pruning: the right choice for a large source already clustered by
+        time, which would otherwise be rewritten whole.
         """
         ntz = isinstance(df.schema[self.time_col].dataType, T.TimestampNTZType)
         if self.ntz is None:
@@ -187,14 +192,20 @@ class SlideStage:
         out = df.withColumn(BUCKET, self._bucket_of(df))
         parts = [BUCKET]
         if batch_id is not None:
-            out = out.withColumn("_batch", F.lit(int(batch_id)))
+            out = out.withColumn("_batch", F.lit(int(batch_id)).cast("long"))
             parts.append("_batch")
+        written = {r[0] for r in out.select(BUCKET).distinct().collect()} if track else None
         # Rows of one bucket go to one writer task (few files per bucket, not
         # one per task and bucket); AQE splits a hot bucket over several tasks.
-        out = out.hint("rebalance", BUCKET)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.hint("rebalance", BUCKET).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts).parquet(self.path(name)))
+        self._schemas[name] = out.schema
         self._read.pop(name, None)
+        if written is not None and name in self._known:
+            self._known[name] |= written
+        else:
+            self._known.pop(name, None)   # listed again when next needed
 
     def _bucket_of(self, df: DataFrame) -> Column:
         return _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us), self.bucket_us)
@@ -205,20 +216,28 @@ class SlideStage:
             self._read[name] = self.spark.read.parquet(self.path(name))
         return self._read[name]
 
+    def view_buckets(self, name: str) -> set[int]:
+        """Non-empty buckets of a staged view: tracked, or from one file listing."""
+        if name not in self._known:
+            found = set()
+            for f in self.staged(name).inputFiles():
+                m = re.search(rf"/{BUCKET}=(-?\d+)/", f)
+                if m:
+                    found.add(int(m.group(1)))
+            self._known[name] = found
+        return self._known[name]
+
     def buckets(self) -> list[int]:
-        """Non-empty buckets of all views: the file listing of staged views (no
-        data read); one small aggregate of the time column of direct views."""
+        """Non-empty buckets of all views: staged views from tracking or the
+        file listing (no data read); direct views by one small aggregate."""
         found = set()
         for name in self.names:
             if name in self.direct:
                 df = self.direct[name]
                 found.update(r[0] for r in df.select(self._bucket_of(df).alias("b"))
                              .distinct().collect())
-                continue
-            for f in self.staged(name).inputFiles():
-                m = re.search(rf"/{BUCKET}=(-?\d+)/", f)
-                if m:
-                    found.add(int(m.group(1)))
+            else:
+                found |= self.view_buckets(name)
         return sorted(b for b in found if b is not None)
 
     def windows(self, buckets: Iterable[int] | None = None) -> list[tuple[int, int]]:
@@ -243,16 +262,34 @@ class SlideStage:
             if name in self.direct:
                 t = F.col(self.time_col)
                 views[name] = self.direct[name].where(
-                    (t >= _ts_literal(window[0], bool(self.ntz)))
-                    & (t < _ts_literal(window[1], bool(self.ntz))))
+                    (t >= ts_literal(window[0], bool(self.ntz)))
+                    & (t < ts_literal(window[1], bool(self.ntz))))
                 continue
-            staged = self.staged(name)
-            keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
-            views[name] = staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
+            views[name] = self._staged_range(name, lo, hi)
         for name, fn in self.derived.items():
             views[name] = fn(views)
         return views
 
+    def _staged_range(self, name: str, lo: int, hi: int) -> DataFrame:
+        """Rows of buckets ``lo..hi`` of a staged view.
+
+        With a known schema, only the window's bucket folders are read (no
+        listing of the whole history, no footer inference); otherwise the
+        whole staged table with a partition filter.
+        """
+        schema = self._schemas.get(name)
+        if schema is None:
+            staged = self.staged(name)
+            keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
+            return staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
+        keep = [c for c in schema.fieldNames() if c not in (BUCKET, "_batch")]
+        paths = [f"{self.path(name)}/{BUCKET}={b}"
+                 for b in range(lo, hi + 1) if b in self.view_buckets(name)]
+        if not paths:
+            return self.spark.createDataFrame([], schema).select(*keep)
+        return (self.spark.read.schema(schema).option("basePath", self.path(name))
+                .parquet(*paths).select(*keep))
+
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
             out: str | None = None, ansi: bool = False, chunk: int = 16,
             workers: int = 8) -> DataFrame | None:
@@ -288,8 +325,8 @@ class SlideStage:
                 for name, df in views.items():
                     df.createOrReplaceTempView(name)
                 res = self.spark.sql(text)
-            parts.append(res.select(_ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
-                                    _ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
+            parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
+                                    ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
                                     F.lit(w[1]).alias(_WEND), *res.columns))
         batch = parts[0]
         for p in parts[1:]:

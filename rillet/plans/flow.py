@@ -13,12 +13,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import FunctionRegistry
-from ..operators.parse import parse_lines
+from ..operators.parse import bad_rows, good_rows, parse_lines
 from ..operators.rules import apply_rules, parse_rules
 from ..operators.sql_stage import run_sql
-from ..operators.windows import SlideStage, explode_windows, window_stats, windowed_sql
+from ..operators.windows import (SlideStage, explode_windows, micros_of, ts_literal, window_stats,
+                                 windowed_sql)
 from ..sources.lines import ARRIVAL
 from ..types import SchemaError, as_schema
 
@@ -65,9 +67,16 @@ class LogFlow:
 
     # -- per-row stages ---------------------------------------------------
     def parse(self, raw: DataFrame) -> DataFrame:
-        """Typed ``input`` rows: the declared input fields and the arrival time."""
-        return parse_lines(raw, self.input_schema, self.fmt, self.separator, self.on_error,
-                           strict_keys=self.strict_keys)
+        """Typed ``input`` rows: the declared input fields and the arrival time.
+        With ``on_error="quarantine"`` only the good lines (see :meth:`bad_lines`)."""
+        parsed = parse_lines(raw, self.input_schema, self.fmt, self.separator, self.on_error,
+                             strict_keys=self.strict_keys)
+        return good_rows(parsed) if self.on_error == "quarantine" else parsed
+
+    def bad_lines(self, raw: DataFrame) -> DataFrame:
+        """Rejected lines and their reasons (``on_error="quarantine"``)."""
+        return bad_rows(parse_lines(raw, self.input_schema, self.fmt, self.separator,
+                                    "quarantine", strict_keys=self.strict_keys))
 
     def derive(self, typed: DataFrame) -> DataFrame:
         """Derived rows: the declared output fields and the arrival time."""
@@ -76,9 +85,10 @@ class LogFlow:
                            self.registry, keep=keep,
                            on_error="fail" if self.on_error == "fail" else "null")
 
-    def finalize(self, derived: DataFrame, batch_time=None) -> DataFrame:
+    def finalize(self, derived: DataFrame, batch_time_us: int | None = None) -> DataFrame:
         """Per-batch SQL over ``extraInput`` (when set). A result without the
-        arrival time column gets ``batch_time`` (default: the batch's earliest)."""
+        arrival time column is stamped with ``batch_time_us`` (microseconds
+        since the epoch; default: the batch's earliest arrival)."""
         if self.extra_sql is None:
             return derived
         result = run_sql({EXTRA_INPUT: derived}, self.extra_sql, ansi=self.ansi)
@@ -93,10 +103,10 @@ class LogFlow:
                                    *[c for c in result.columns if c == self.time_col])
         if self.time_col in result.columns or self.time_col not in derived.columns:
             return result
-        if batch_time is None:
-            batch_time = derived.agg(F.min(self.time_col)).first()[0]
-        ttype = derived.schema[self.time_col].dataType
-        return result.withColumn(self.time_col, F.lit(batch_time).cast(ttype))
+        if batch_time_us is None:
+            batch_time_us = derived.agg(F.min(micros_of(derived, self.time_col))).first()[0]
+        ntz = isinstance(derived.schema[self.time_col].dataType, T.TimestampNTZType)
+        return result.withColumn(self.time_col, ts_literal(batch_time_us, ntz))
 
     def views(self, raw: DataFrame) -> dict[str, DataFrame]:
         """``input`` and ``output`` for a bounded replay (the whole input is one batch)."""

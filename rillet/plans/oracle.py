@@ -110,6 +110,10 @@ ORACLE_SQL = {
         f"SELECT {_WIN_COLS}, COUNT(*) AS pairs, "
         "COUNT(DISTINCT CAST(user_id AS VARCHAR) || ' MB') AS sizes, "
         f"ROUND(SUM(value), 2) AS sum_value FROM {_win('user_id, value')} GROUP BY ws"),
+    "stream_flow_windows": (
+        f"SELECT {_WIN_COLS}, CAST(SUM(user_id) AS BIGINT) AS sum_user, COUNT(*) AS cnt, "
+        "CAST(MIN(user_id) AS INTEGER) AS min_user, CAST(MAX(user_id) AS INTEGER) AS max_user "
+        f"FROM {_win('user_id')} GROUP BY ws"),
     "shipped_settings_flow": (
         f"SELECT {_WIN_COLS}, SUM(TRY_CAST(size AS DOUBLE)) AS \"sum(size)\", "
         "COUNT(*) AS \"count(1)\", MIN(size) AS \"min(size)\", MAX(size) AS \"max(size)\" FROM "

@@ -332,6 +332,28 @@ def q_shipped_settings_flow(spark, sf_dir):
     return flow.window_sql_each(raw)
 
 
+def q_stream_flow_windows(spark, sf_dir):
+    """The streaming runner on the whole ``events`` table: lines are written once
+    as files, read back as a stream in several micro-batches (parse, stage per
+    batch id), and every window is run at the end (lateness covers the span)."""
+    from ..session import scratch_dir
+    from ..streaming import FlowStream
+    root = scratch_dir(spark, "stream-query")
+    lines = event_lines(spark, sf_dir)
+    lines.repartition(4).write.parquet(f"{root}/src")
+    stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "1")
+              .parquet(f"{root}/src"))
+    flow = event_flow(window_sql=WINDOW_INPUT_SQL)
+    runner = FlowStream(flow, stream, sql_output_path=f"{root}/windows",
+                        checkpoint=f"{root}/checkpoint", lateness="31 days")
+    query = runner.start(available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    runner.flush()
+    return spark.read.parquet(f"{root}/windows").drop("_wend")
+
+
 def q_tagged_union(spark, sf_dir):
     views = keyed_flow().views(keyed_lines(spark, sf_dir))
     both = tagged_union(views["input"], views["output"])
@@ -405,6 +427,7 @@ QUERIES = {
     "window_sql_output": q_window_sql_output,
     "window_sql_join": q_window_sql_join,
     "shipped_settings_flow": q_shipped_settings_flow,
+    "stream_flow_windows": q_stream_flow_windows,
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,
     "sql_semi_join": q_sql_semi_join,

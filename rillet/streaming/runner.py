@@ -2,13 +2,15 @@
 
 :class:`FlowStream` is a ``foreachBatch`` driver. Per micro-batch it
 
-1. persists the batch (lines are parsed once, several outputs read them);
+1. parses the batch once and persists the typed rows (several outputs read them);
 2. parses, derives and runs the per-batch SQL (``extraInput``);
 3. writes the final rows as text lines into partition ``batch_id=N`` of
-   ``output_path`` (dynamic overwrite: a replayed batch replaces itself);
-4. stages ``input`` and ``output`` rows by slide bucket and runs the window
-   SQL for every window that closed (window end <= latest arrival - lateness),
-   writing partition ``_wend`` of ``sql_output_path``.
+   ``output_path`` (dynamic overwrite: a replayed batch replaces itself), and
+   quarantined lines into ``bad_path``;
+4. stages ``input`` rows (and ``output`` rows when per-batch SQL is set;
+   otherwise they are derived per window) by slide bucket, and runs the
+   window SQL for every window that closed (window end <= latest arrival -
+   lateness), writing partition ``_wend`` of ``sql_output_path``.
 
 Empty batches write nothing. :meth:`FlowStream.flush` runs the windows still
 open when the input ends. Spark's checkpoint (``checkpoint``) makes the
@@ -41,7 +43,7 @@ class FlowStream:
                  sql_output_path: str | None = None, checkpoint: str | None = None,
                  trigger_seconds: float = DEFAULT_BATCH_SECONDS, lateness=None,
                  output_form: str = "list", stage_root: str | None = None,
-                 echo_rows: int = 0):
+                 echo_rows: int = 0, bad_path: str | None = None):
         self.flow = flow
         self.lines = lines
         self.output_path = output_path
@@ -52,11 +54,15 @@ class FlowStream:
         self.lateness_us = duration_us(lateness) if lateness else 0
         self.output_form = output_form
         self.echo_rows = echo_rows
+        self.bad_path = bad_path
         self.stage = None
         if flow.window_sql and sql_output_path:
             self.stage = SlideStage(self.spark, flow.time_col, flow.window_length,
                                     flow.window_slide, flow.window_start,
                                     root=stage_root or f"{self.checkpoint}/stage")
+            if flow.extra_sql is None:
+                # derived rows are a row-wise function of the input: derive per window
+                self.stage.derived[OUTPUT] = lambda views: flow.derive(views[INPUT])
         self.emitted_until = self._emitted_so_far()
         self.query: StreamingQuery | None = None
 
@@ -75,14 +81,20 @@ class FlowStream:
         self.start().awaitTermination()
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        flow = self.flow
+        typed = flow.parse(batch).persist()   # each line is parsed once per batch
         try:
-            if batch.isEmpty():
+            micros = micros_of(typed, flow.time_col)
+            stats = typed.agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("first"),
+                              F.max(micros).alias("last")).first()
+            if self.bad_path and flow.on_error == "quarantine":
+                bad = flow.bad_lines(batch)
+                (bad.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+                    .parquet(self.bad_path))
+            if stats.n == 0:
                 return
-            flow = self.flow
-            typed = flow.parse(batch)
-            final = flow.finalize(flow.derive(typed),
-                                  batch_time=batch.agg(F.min(flow.time_col)).first()[0])
+            final = flow.finalize(flow.derive(typed), batch_time_us=stats.first)
             cols = [c for c in final.columns if c != flow.time_col]
             if self.echo_rows:
                 echo(final.select(*cols), self.echo_rows, f"batch {batch_id}:")
@@ -92,12 +104,12 @@ class FlowStream:
                 (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .partitionBy("batch_id").text(self.output_path))
             if self.stage is not None:
-                self.stage.append(INPUT, typed, batch_id)
-                self.stage.append(OUTPUT, final, batch_id)
-                latest = batch.agg(F.max(micros_of(batch, flow.time_col))).first()[0]
-                self._emit(latest - self.lateness_us)
+                self.stage.append(INPUT, typed, batch_id, track=True)
+                if flow.extra_sql is not None:
+                    self.stage.append(OUTPUT, final, batch_id, track=True)
+                self._emit(stats.last - self.lateness_us)
         finally:
-            batch.unpersist()
+            typed.unpersist()
 
     def flush(self) -> None:
         """Run every window not yet emitted, including those still open."""
