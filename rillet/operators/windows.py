@@ -145,13 +145,16 @@ class SlideStage:
     """
 
     def __init__(self, spark: SparkSession, time_col: str, length, slide=None, start=None,
-                 root: str | None = None):
+                 root: str | None = None, single_task_rows: int = 1_000_000):
         self.spark = spark
         self.time_col = time_col
         self.length_us = duration_us(length)
         self.slide_us = duration_us(length if slide is None else slide)
         self.start_us = duration_us(start) if start else 0
         self.bucket_us = math.gcd(self.length_us, self.slide_us)
+        # a window holding at most this many staged rows runs as one task
+        # (no exchange at all); larger windows keep the parallel plan
+        self.single_task_rows = single_task_rows
         self.root = root or scratch_dir(spark, "stage")
         self.ntz: bool | None = None
         self.names: list[str] = []
@@ -159,8 +162,9 @@ class SlideStage:
         # views computed per window from the staged ones: name -> fn(views) -> DataFrame
         self.derived: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {}
         self.direct: dict[str, DataFrame] = {}
-        self._known: dict[str, set[int]] = {}      # buckets written per staged view
+        self._counts: dict[str, dict[int, int]] = {}  # rows per bucket per staged view
         self._schemas: dict[str, T.StructType] = {}  # staged schema incl. partition columns
+        self._batches: dict[str, set] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -171,8 +175,8 @@ class SlideStage:
 
         Staged (the default): written once by slide bucket; with ``batch_id``
         a re-run of the same batch replaces its own files. ``track`` records
-        the buckets written (one small aggregate; use it on a persisted
-        micro-batch) so a stream never re-lists its history.
+        the rows written per bucket (one small aggregate; use it on a
+        persisted micro-batch) so a stream never re-lists its history.
 
         ``stage=False`` keeps ``df`` as it is and filters it by each window's
         time range, which the scan turns into row-group (or partition)
@@ -194,7 +198,8 @@ class SlideStage:
         if batch_id is not None:
             out = out.withColumn("_batch", F.lit(int(batch_id)).cast("long"))
             parts.append("_batch")
-        written = {r[0] for r in out.select(BUCKET).distinct().collect()} if track else None
+        written = ({r[0]: r[1] for r in out.groupBy(BUCKET).count().collect()}
+                   if track else None)
         # Rows of one bucket go to one writer task (few files per bucket, not
         # one per task and bucket); AQE splits a hot bucket over several tasks.
         (out.hint("rebalance", BUCKET).write.mode("overwrite")
@@ -202,10 +207,14 @@ class SlideStage:
             .partitionBy(*parts).parquet(self.path(name)))
         self._schemas[name] = out.schema
         self._read.pop(name, None)
-        if written is not None and name in self._known:
-            self._known[name] |= written
+        if written is not None and name in self._counts:
+            # a replayed batch id rewrites its own rows: add only new batches
+            if batch_id is None or batch_id not in self._batches.setdefault(name, set()):
+                for b, n in written.items():
+                    self._counts[name][b] = self._counts[name].get(b, 0) + n
+            self._batches.setdefault(name, set()).add(batch_id)
         else:
-            self._known.pop(name, None)   # listed again when next needed
+            self._counts.pop(name, None)   # counted again when next needed
 
     def _bucket_of(self, df: DataFrame) -> Column:
         return _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us), self.bucket_us)
@@ -216,16 +225,16 @@ class SlideStage:
             self._read[name] = self.spark.read.parquet(self.path(name))
         return self._read[name]
 
+    def view_counts(self, name: str) -> dict[int, int]:
+        """Rows per non-empty bucket of a staged view: tracked, or one count
+        grouped by the partition column (parquet answers it from metadata)."""
+        if name not in self._counts:
+            self._counts[name] = {r[0]: r[1] for r in
+                                  self.staged(name).groupBy(BUCKET).count().collect()}
+        return self._counts[name]
+
     def view_buckets(self, name: str) -> set[int]:
-        """Non-empty buckets of a staged view: tracked, or from one file listing."""
-        if name not in self._known:
-            found = set()
-            for f in self.staged(name).inputFiles():
-                m = re.search(rf"/{BUCKET}=(-?\d+)/", f)
-                if m:
-                    found.add(int(m.group(1)))
-            self._known[name] = found
-        return self._known[name]
+        return set(self.view_counts(name))
 
     def buckets(self) -> list[int]:
         """Non-empty buckets of all views: staged views from tracking or the
@@ -252,7 +261,8 @@ class SlideStage:
                 starts.add(self.start_us + k * self.slide_us)
         return [(s, s + self.length_us) for s in sorted(starts)]
 
-    def window_views(self, window: tuple[int, int]) -> dict[str, DataFrame]:
+    def window_views(self, window: tuple[int, int],
+                     session: SparkSession | None = None) -> dict[str, DataFrame]:
         """Each view restricted to one window: a partition filter on the bucket
         (staged views) or a time-range filter (direct views); then derived views."""
         lo = (window[0] - self.start_us) // self.bucket_us
@@ -265,12 +275,12 @@ class SlideStage:
                     (t >= ts_literal(window[0], bool(self.ntz)))
                     & (t < ts_literal(window[1], bool(self.ntz))))
                 continue
-            views[name] = self._staged_range(name, lo, hi)
+            views[name] = self._staged_range(name, lo, hi, session or self.spark)
         for name, fn in self.derived.items():
             views[name] = fn(views)
         return views
 
-    def _staged_range(self, name: str, lo: int, hi: int) -> DataFrame:
+    def _staged_range(self, name: str, lo: int, hi: int, session: SparkSession) -> DataFrame:
         """Rows of buckets ``lo..hi`` of a staged view.
 
         With a known schema, only the window's bucket folders are read (no
@@ -279,16 +289,21 @@ class SlideStage:
         """
         schema = self._schemas.get(name)
         if schema is None:
-            staged = self.staged(name)
+            staged = (self.staged(name) if session is self.spark
+                      else session.read.parquet(self.path(name)))
             keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
             return staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
         keep = [c for c in schema.fieldNames() if c not in (BUCKET, "_batch")]
-        paths = [f"{self.path(name)}/{BUCKET}={b}"
-                 for b in range(lo, hi + 1) if b in self.view_buckets(name)]
-        if not paths:
-            return self.spark.createDataFrame([], schema).select(*keep)
-        return (self.spark.read.schema(schema).option("basePath", self.path(name))
-                .parquet(*paths).select(*keep))
+        counts = self.view_counts(name)
+        present = [b for b in range(lo, hi + 1) if b in counts]
+        if not present:
+            return session.createDataFrame([], schema).select(*keep)
+        paths = [f"{self.path(name)}/{BUCKET}={b}" for b in present]
+        df = (session.read.schema(schema).option("basePath", self.path(name))
+              .parquet(*paths).select(*keep))
+        if sum(counts[b] for b in present) <= self.single_task_rows:
+            df = df.coalesce(1)   # small window: one task, and no exchange downstream
+        return df
 
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
             out: str | None = None, ansi: bool = False, chunk: int = 16,
@@ -318,13 +333,18 @@ class SlideStage:
         return self.spark.read.parquet(out).where(F.col(_WEND).isin(ends)).drop(_WEND)
 
     def _run_chunk(self, text: str, windows, out: str, ansi: bool) -> None:
+        # Staged views can be read in a session of the worker's own, so the
+        # chunks' views and analyses do not wait for each other; direct views
+        # belong to the caller's session and share it under the lock.
+        session = self.spark if self.direct else self._worker_session(ansi)
         parts = []
         for w in windows:
-            views = self.window_views(w)
-            with ansi_mode(self.spark, ansi):  # holds the session lock
-                for name, df in views.items():
-                    df.createOrReplaceTempView(name)
-                res = self.spark.sql(text)
+            views = self.window_views(w, session)
+            if session is self.spark:
+                with ansi_mode(session, ansi):  # holds the session lock
+                    res = _analyse(session, views, text)
+            else:
+                res = _analyse(session, views, text)
             parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
                                     ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
                                     F.lit(w[1]).alias(_WEND), *res.columns))
@@ -334,6 +354,22 @@ class SlideStage:
         (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy(_WEND).parquet(out))
 
+    def _worker_session(self, ansi: bool) -> SparkSession:
+        """A new session on the same context, with the caller's SQL settings."""
+        session = self.spark.newSession()
+        conf = self.spark.conf.getAll
+        for k, v in (conf() if callable(conf) else conf).items():
+            if k.startswith("spark.sql.") and session.conf.isModifiable(k):
+                session.conf.set(k, v)
+        session.conf.set("spark.sql.ansi.enabled", "true" if ansi else "false")
+        return session
+
+
+def _analyse(session: SparkSession, views: Mapping[str, DataFrame], text: str) -> DataFrame:
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return session.sql(text)
+
 
 def staged_windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length,
                         slide=None, start=None, ansi: bool = False, chunk: int = 16,

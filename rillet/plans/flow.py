@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import FunctionRegistry
 from ..operators.parse import bad_rows, good_rows, parse_lines
-from ..operators.rules import apply_rules, parse_rules
+from ..operators.rules import compile_rules, parse_rules
 from ..operators.sql_stage import run_sql
 from ..operators.windows import (SlideStage, explode_windows, micros_of, ts_literal, window_stats,
                                  windowed_sql)
@@ -54,6 +54,7 @@ class LogFlow:
     strict_keys: bool = False
     extra_sql_schema: object = None
     parsed_rules: list = field(init=False, repr=False)
+    _compiled: list | None = field(init=False, repr=False, default=None)
 
     def __post_init__(self):
         self.input_schema = as_schema(self.input_schema)
@@ -79,11 +80,15 @@ class LogFlow:
                                     "quarantine", strict_keys=self.strict_keys))
 
     def derive(self, typed: DataFrame) -> DataFrame:
-        """Derived rows: the declared output fields and the arrival time."""
+        """Derived rows: the declared output fields and the arrival time.
+        The rules are compiled once per flow; the columns are unresolved
+        expressions, reusable on any DataFrame with the input fields."""
+        if self._compiled is None:
+            self._compiled = compile_rules(self.parsed_rules, self.input_schema,
+                                           self.output_schema, self.registry,
+                                           "fail" if self.on_error == "fail" else "null")
         keep = [self.time_col] if self.time_col in typed.columns else []
-        return apply_rules(typed, self.parsed_rules, self.output_schema, self.input_schema,
-                           self.registry, keep=keep,
-                           on_error="fail" if self.on_error == "fail" else "null")
+        return typed.select(*self._compiled, *keep)
 
     def finalize(self, derived: DataFrame, batch_time_us: int | None = None) -> DataFrame:
         """Per-batch SQL over ``extraInput`` (when set). A result without the
