@@ -98,12 +98,51 @@ def window_agg(df: DataFrame, time_col: str, length, slide=None, start=None,
 
 
 def window_stats(df: DataFrame, value_col: str, time_col: str, length, slide=None,
-                 start=None) -> DataFrame:
-    """The default statistics per window: sum, count of rows, min and max of one field."""
+                 start=None, panes: bool | None = None) -> DataFrame:
+    """The default statistics per window: sum, count of rows, min and max of one field.
+
+    ``panes`` (default: when a row falls into more than 4 windows) aggregates
+    per pane of width gcd(length, slide) first and combines the panes of each
+    window afterwards, so only pane rows, not input rows, are multiplied by
+    the number of windows per row. Both plans pre-aggregate before every
+    shuffle.
+    """
+    length_us = duration_us(length)
+    slide_us = duration_us(length if slide is None else slide)
+    if panes is None:
+        panes = -(-length_us // slide_us) > 4
     v = F.col(value_col)
-    return window_agg(df, time_col, length, slide, start, aggs=[
-        F.sum(v).alias(f"sum_{value_col}"), F.count(F.lit(1)).alias("n"),
-        F.min(v).alias(f"min_{value_col}"), F.max(v).alias(f"max_{value_col}")])
+    names = (f"sum_{value_col}", "n", f"min_{value_col}", f"max_{value_col}")
+    if not panes:
+        return window_agg(df, time_col, length, slide, start, aggs=[
+            F.sum(v).alias(names[0]), F.count(F.lit(1)).alias(names[1]),
+            F.min(v).alias(names[2]), F.max(v).alias(names[3])])
+    start_us = duration_us(start) if start else 0
+    g = math.gcd(length_us, slide_us)
+    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    pane = _floor_div(micros_of(df, time_col) - F.lit(start_us), g)
+    per_pane = (df.groupBy(pane.alias("_pane"))
+                .agg(F.sum(v).alias("_s"), F.count(F.lit(1)).alias("_n"),
+                     F.min(v).alias("_lo"), F.max(v).alias("_hi")))
+    # window k starts at start + k*slide; it holds pane p when
+    # k*slide <= p*g and (p+1)*g <= k*slide + length
+    p = F.col("_pane")
+    k_first = -_floor_div(-((p + 1) * F.lit(g) - F.lit(length_us)), slide_us)
+    k_last = _floor_div(p * F.lit(g), slide_us)
+    per_window = (per_pane.withColumn("_k", F.explode(F.sequence(k_first, k_last)))
+                  .groupBy("_k")
+                  .agg(F.sum("_s").alias(names[0]), F.sum("_n").alias(names[1]),
+                       F.min("_lo").alias(names[2]), F.max("_hi").alias(names[3])))
+    begin = F.col("_k") * F.lit(slide_us) + F.lit(start_us)
+    return per_window.select(_ts_from_micros(begin, ntz).alias(WINDOW_START),
+                             _ts_from_micros(begin + F.lit(length_us), ntz).alias(WINDOW_END),
+                             *names)
+
+
+def _ts_from_micros(us: Column, ntz: bool) -> Column:
+    if ntz:
+        return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.timestamp_micros(us)
 
 
 def windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length, slide=None,

@@ -150,4 +150,5 @@ def stream_window_stats(flow: LogFlow, lines: DataFrame, value_field: str,
     if isinstance(typed.schema[flow.time_col].dataType, T.TimestampNTZType):
         typed = typed.withColumn(flow.time_col, F.col(flow.time_col).cast("timestamp"))
     typed = typed.withWatermark(flow.time_col, watermark)
-    return window_stats(typed, value_field, *flow.window_args())
+    # one event-time window aggregation, so the watermark can expire its state
+    return window_stats(typed, value_field, *flow.window_args(), panes=False)

@@ -112,3 +112,16 @@ def test_direct_views_push_the_time_range_to_the_scan(spark, tmp_path):
     plan = stage.window_views(w)["input"]._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(arrival_ts" in plan
     assert not any(p.name == "stage" for p in tmp_path.iterdir())   # nothing was written
+
+
+@pytest.mark.parametrize("length,slide", [(18000, 6000), (10000, 4000), (60000, 2000), (6000, 6000)])
+def test_pane_statistics_equal_expanded(spark, length, slide):
+    rows = [(at(s), float(s % 11) if s % 5 else None) for s in range(-40, 200, 3)]
+    df = spark.createDataFrame(rows, "arrival_ts timestamp, v double")
+    a = window_stats(df, "v", "arrival_ts", length, slide, panes=True)
+    b = window_stats(df, "v", "arrival_ts", length, slide, panes=False)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    ntz = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:05' AS ts, 2.0 AS v")
+    assert sorted(map(tuple, window_stats(ntz, "v", "ts", length, slide, panes=True).collect())) == \
+        sorted(map(tuple, window_stats(ntz, "v", "ts", length, slide, panes=False).collect()))
