@@ -126,6 +126,16 @@ ORACLE_SQL = {
     "sql_semi_join": (
         "SELECT CAST(event_id AS VARCHAR) AS uid, event_type FROM events "
         "WHERE CAST(user_id AS VARCHAR) || ' MB' LIKE '1%'"),
+    "sql_outer_joins": (
+        "SELECT 'left' AS kind, COUNT(*) AS n, "
+        "COUNT(*) FILTER (WHERE CAST(user_id AS VARCHAR) LIKE '1%') AS matched FROM events "
+        "UNION ALL SELECT 'right', COUNT(*) FILTER (WHERE CAST(user_id AS VARCHAR) LIKE '2%'), "
+        "COUNT(*) FILTER (WHERE CAST(user_id AS VARCHAR) LIKE '2%' AND event_type = 'view') "
+        "FROM events "
+        "UNION ALL SELECT 'full', "
+        "COUNT(*) FILTER (WHERE event_type = 'click' OR CAST(user_id AS VARCHAR) LIKE '3%'), "
+        "COUNT(*) FILTER (WHERE event_type = 'click') "
+        "+ COUNT(*) FILTER (WHERE CAST(user_id AS VARCHAR) LIKE '3%') FROM events"),
     "sql_set_ops": (
         "SELECT 'union' AS op, x FROM (SELECT event_type AS x FROM events "
         "UNION SELECT upper(event_type) FROM events) "

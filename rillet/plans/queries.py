@@ -374,6 +374,19 @@ def q_sql_semi_join(spark, sf_dir):
                           "WHERE uid IN (SELECT k FROM output WHERE size LIKE '1%')")
 
 
+def q_sql_outer_joins(spark, sf_dir):
+    views = keyed_flow().views(keyed_lines(spark, sf_dir))
+    return run_sql(views, (
+        "SELECT 'left' AS kind, COUNT(*) AS n, COUNT(o.k) AS matched FROM input i "
+        "LEFT JOIN (SELECT k FROM output WHERE size LIKE '1%') o ON i.uid = o.k "
+        "UNION ALL SELECT 'right', COUNT(*), COUNT(i.uid) FROM "
+        "(SELECT uid FROM input WHERE event_type = 'view') i "
+        "RIGHT JOIN (SELECT k FROM output WHERE size LIKE '2%') o ON i.uid = o.k "
+        "UNION ALL SELECT 'full', COUNT(*), COUNT(i.uid) + COUNT(o.k) FROM "
+        "(SELECT uid FROM input WHERE event_type = 'click') i "
+        "FULL JOIN (SELECT k FROM output WHERE size LIKE '3%') o ON i.uid = o.k"))
+
+
 def q_sql_set_ops(spark, sf_dir):
     views = keyed_flow().views(keyed_lines(spark, sf_dir))
     return run_sql(views, (
@@ -431,6 +444,7 @@ QUERIES = {
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,
     "sql_semi_join": q_sql_semi_join,
+    "sql_outer_joins": q_sql_outer_joins,
     "sql_set_ops": q_sql_set_ops,
     "sql_topk": q_sql_topk,
     "sql_scalars": q_sql_scalars,

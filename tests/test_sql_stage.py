@@ -43,3 +43,13 @@ def test_render_forms(spark):
     df = spark.createDataFrame([(1, None, "x")], "a int, b string, c string")
     got = {f: render(df, f).first().value for f in ("tab", "list", "row")}
     assert got == {"tab": "1\tnull\tx", "list": "[1, null, x]", "row": "[1,null,x]"}
+
+
+def test_other_delegated_aggregates(lines):
+    typed = parse_lines(lines(ACCESS_LINES), ACCESS_FIELDS)
+    res = run_sql({"input": typed},
+                  "SELECT approx_count_distinct(ipAddress) AS a, first(method) AS f, "
+                  "last(protocol) AS l, AVG(contentSize) AS m FROM input GROUP BY responseCode "
+                  "HAVING COUNT(*) > 1")
+    row = res.first()
+    assert (row.a, row.f, row.l, row.m) == (7, "GET", "HTTP/1.1", 1000.0)
