@@ -163,6 +163,10 @@ def micros_of(df: DataFrame, time_col: str) -> Column:
     raise SchemaError(f"time column {time_col!r} must be a timestamp, not {dtype}")
 
 
+def _floor_div_int(x: int, d: int) -> int:
+    return x // d
+
+
 def _floor_div(x: Column, d: int) -> Column:
     """Exact floor division of a long by a positive constant (also before 1970)."""
     return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("long")
@@ -272,6 +276,24 @@ class SlideStage:
                                   self.staged(name).groupBy(BUCKET).count().collect()}
         return self._counts[name]
 
+    def expire(self, before_us: int) -> int:
+        """Delete staged buckets that end at or before ``before_us``: once every
+        window holding them has run they are never read again. Keeps a
+        long-running stream's staging bounded. Returns the buckets removed."""
+        cutoff = _floor_div_int(before_us - self.start_us, self.bucket_us)
+        jvm = self.spark.sparkContext._jvm
+        hconf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = 0
+        for name in self.names:
+            if name in self.direct:
+                continue
+            for b in [b for b in self.view_counts(name) if b < cutoff]:
+                path = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{BUCKET}={b}")
+                path.getFileSystem(hconf).delete(path, True)
+                del self._counts[name][b]
+                removed += 1
+        return removed
+
     def view_buckets(self, name: str) -> set[int]:
         return set(self.view_counts(name))
 

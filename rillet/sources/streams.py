@@ -14,15 +14,20 @@ from .lines import ARRIVAL
 
 
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topics: str,
-                starting_offsets: str = "latest", **options) -> DataFrame:
+                starting_offsets: str = "latest", min_partitions: int | None = None,
+                **options) -> DataFrame:
     """Message values of comma-separated ``topics`` as text; keys are dropped.
 
-    Needs the ``spark-sql-kafka`` package on the classpath.
+    ``min_partitions`` splits large topic partitions over more tasks, so a
+    topic with few partitions still parses on every core. Needs the
+    ``spark-sql-kafka`` package on the classpath.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topics)
               .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"),

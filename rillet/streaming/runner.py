@@ -43,7 +43,7 @@ class FlowStream:
                  sql_output_path: str | None = None, checkpoint: str | None = None,
                  trigger_seconds: float = DEFAULT_BATCH_SECONDS, lateness=None,
                  output_form: str = "list", stage_root: str | None = None,
-                 echo_rows: int = 0, bad_path: str | None = None):
+                 echo_rows: int = 0, bad_path: str | None = None, expire: bool = True):
         self.flow = flow
         self.lines = lines
         self.output_path = output_path
@@ -55,6 +55,7 @@ class FlowStream:
         self.output_form = output_form
         self.echo_rows = echo_rows
         self.bad_path = bad_path
+        self.expire = expire
         self.stage = None
         if flow.window_sql and sql_output_path:
             self.stage = SlideStage(self.spark, flow.time_col, flow.window_length,
@@ -124,6 +125,10 @@ class FlowStream:
             res = self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
                                  ansi=self.flow.ansi)
             self.emitted_until = max(w[1] for w in due)
+            if closed_before_us is not None and self.expire:
+                # buckets wholly before the earliest window still to come
+                self.stage.expire(self.emitted_until - self.stage.length_us
+                                  + self.stage.slide_us)
             if self.echo_rows and res is not None:
                 echo(res, self.echo_rows, "window results:")
 

@@ -146,3 +146,22 @@ def test_empty_batches_and_late_rows(spark, tmp_path):
     runner.flush()
     got = {r.window_end: r.n for r in spark.read.parquet(sql_out).collect()}
     assert got[dt.datetime(2024, 1, 1, 0, 0, 12)] == 2 and got[dt.datetime(2024, 1, 1, 0, 0, 18)] == 3
+
+
+def test_expired_buckets_do_not_change_results(spark, tmp_path):
+    f = flow()
+    out = str(tmp_path / "windows")
+    runner = FlowStream(f, spark.createDataFrame([], "value string, arrival_ts timestamp"),
+                        sql_output_path=out, checkpoint=str(tmp_path / "ck"))
+    mk = lambda secs: spark.createDataFrame(
+        [(ACCESS_LINES[0], dt.datetime(2024, 1, 1) + dt.timedelta(seconds=secs))],
+        "value string, arrival_ts timestamp")
+    for i, secs in enumerate([1, 7, 13, 19, 25, 31, 60]):
+        runner.process_batch(mk(secs), i)
+    runner.flush()
+    staged = os.listdir(tmp_path / "ck" / "stage" / "input")
+    assert len([d for d in staged if d.startswith("_bucket=")]) < 7   # old buckets removed
+    got = {r.window_end: r.n for r in spark.read.parquet(out).collect()}
+    # every row in its 3 windows: 7 rows, 21 memberships
+    assert sum(got.values()) == 21
+    assert got[dt.datetime(2024, 1, 1, 0, 0, 18)] == 3
