@@ -92,9 +92,8 @@ def parse_lines(
     # subexpressions, and every line is checked whatever columns are read.
     message = F.concat(F.lit("bad input line ("), errors, F.lit("): "),
                        F.coalesce(line, F.lit("null")))
-    names = [f.name for f in schema]
     row = F.when(errors != "", F.raise_error(message)).otherwise(F.struct(*values))
-    return _emit(staged, row, keep).select(*names, *keep)
+    return _emit(staged, row, keep).select(*[_q(f.name) for f in schema], *map(_q, keep))
 
 
 def _emit(staged: DataFrame, row: Column, keep: list[str]) -> DataFrame:
@@ -106,8 +105,13 @@ def _emit(staged: DataFrame, row: Column, keep: list[str]) -> DataFrame:
     re-evaluates (inlines) the parse; predicates on pass-through columns still
     reach the scan.
     """
-    return (staged.select(row.alias(_ROW), *keep)
-            .select(F.inline(F.array(F.col(_ROW))), *keep))
+    return (staged.select(row.alias(_ROW), *map(_q, keep))
+            .select(F.inline(F.array(F.col(_ROW))), *map(_q, keep)))
+
+
+def _q(name: str) -> Column:
+    """A column by its exact name (dots and spaces included)."""
+    return F.col(f"`{name}`")
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

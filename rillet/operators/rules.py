@@ -137,14 +137,15 @@ def apply_rules(df: DataFrame, rules, output_schema, input_schema=None,
     """Derived rows: one per input row, the declared output fields, then ``keep`` columns."""
     if input_schema is None:
         input_schema = infer_schema(df.schema)
-    return df.select(*compile_rules(rules, input_schema, output_schema, registry, on_error), *keep)
+    return df.select(*compile_rules(rules, input_schema, output_schema, registry, on_error),
+                     *[F.col(f"`{k}`") for k in keep])
 
 
 def _argument(arg, input_schema: Schema) -> tuple[Column, str]:
     if isinstance(arg, FieldRef):
         if arg.name not in input_schema:
             raise SchemaError(f"rule argument ${arg.name} names no input field")
-        return F.col(arg.name), input_schema.field(arg.name).kind
+        return F.col(f"`{arg.name}`"), input_schema.field(arg.name).kind
     if isinstance(arg, Literal):
         return F.lit(arg.value).cast(spark_type(arg.kind)), arg.kind
     raise SchemaError(f"bad rule argument {arg!r}")

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_dir
 from ..types import SchemaError
-from .sql_stage import ansi_mode
+from .sql_stage import ansi_mode, run_sql
 
 WINDOW_START = "window_start"
 WINDOW_END = "window_end"
@@ -148,7 +148,6 @@ def _ts_from_micros(us: Column, ntz: bool) -> Column:
 def windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length, slide=None,
                  start=None, ansi: bool = False) -> DataFrame:
     """Path A: ``text`` over exploded views; it should group or join on the window columns."""
-    from .sql_stage import run_sql
     exploded = {n: explode_windows(d, time_col, length, slide, start) for n, d in views.items()}
     return run_sql(exploded, text, ansi=ansi)
 
@@ -163,10 +162,6 @@ def micros_of(df: DataFrame, time_col: str) -> Column:
     raise SchemaError(f"time column {time_col!r} must be a timestamp, not {dtype}")
 
 
-def _floor_div_int(x: int, d: int) -> int:
-    return x // d
-
-
 def _floor_div(x: Column, d: int) -> Column:
     """Exact floor division of a long by a positive constant (also before 1970)."""
     return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("long")
@@ -280,7 +275,7 @@ class SlideStage:
         """Delete staged buckets that end at or before ``before_us``: once every
         window holding them has run they are never read again. Keeps a
         long-running stream's staging bounded. Returns the buckets removed."""
-        cutoff = _floor_div_int(before_us - self.start_us, self.bucket_us)
+        cutoff = (before_us - self.start_us) // self.bucket_us
         jvm = self.spark.sparkContext._jvm
         hconf = self.spark.sparkContext._jsc.hadoopConfiguration()
         removed = 0

@@ -129,3 +129,13 @@ def test_xml_any_depth_cases(lines):
     strict = parse_lines(df, THREE, "xml", on_error="quarantine", xml_any_depth=True,
                          strict_keys=True)
     assert "undeclared keys" in {r._errors for r in bad_rows(strict).collect()}
+
+
+def test_field_names_with_dots_and_spaces(lines):
+    from rillet.operators.rules import apply_rules
+    schema = {"a.b": "String", "c d": "Integer"}
+    out = parse_lines(lines(['{"a.b": "x", "c d": 3}']), schema, "json")
+    assert rows(out) == [("x", 3)]
+    derived = apply_rules(out, ["n:MyFunctions:addOne:$c d", "s:MyFunctions:getOriginalStr:$a.b"],
+                          {"n": "Integer", "s": "String"}, schema)
+    assert rows(derived) == [(4, "x")]
