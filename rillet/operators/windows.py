@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_dir
 from ..types import SchemaError
+from .render import render
 from .sql_stage import ansi_mode, run_sql
 
 WINDOW_START = "window_start"
@@ -363,15 +364,17 @@ class SlideStage:
 
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
             out: str | None = None, ansi: bool = False, chunk: int = 16,
-            workers: int = 8) -> DataFrame | None:
+            workers: int = 8, text_out: str | None = None) -> DataFrame | None:
         """Run ``text`` once per window; results land in ``out`` partitioned by window end.
 
         Each window's views are registered and the text analysed under a lock
         (analysis is eager and cheap); the analysed plans of a chunk of windows
         form one write job, and chunks run concurrently on ``workers`` threads.
-        Re-running a window replaces its partition only. Returns the results of
-        these windows read back (a partition filter on the window end), or None
-        when no window holds a row.
+        Re-running a window replaces its partition only. ``text_out`` also
+        writes each result row as a ``[a,b]`` text line (the result columns,
+        without the window columns), partitioned the same way. Returns the
+        results of these windows read back (a partition filter on the window
+        end), or None when no window holds a row.
         """
         windows = list(self.windows() if windows is None else windows)
         if not windows:
@@ -386,7 +389,12 @@ class SlideStage:
                 for f in [pool.submit(self._run_chunk, text, c, out, ansi) for c in chunks]:
                     f.result()
         ends = [w[1] for w in windows]
-        return self.spark.read.parquet(out).where(F.col(_WEND).isin(ends)).drop(_WEND)
+        results = self.spark.read.parquet(out).where(F.col(_WEND).isin(ends))
+        if text_out:
+            cols = [c for c in results.columns if c not in (WINDOW_START, WINDOW_END, _WEND)]
+            (render(results, "row", cols, keep=[_WEND]).write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy(_WEND).text(text_out))
+        return results.drop(_WEND)
 
     def _run_chunk(self, text: str, windows, out: str, ansi: bool) -> None:
         # Staged views can be read in a session of the worker's own, so the

@@ -10,7 +10,8 @@
 4. stages ``input`` rows (and ``output`` rows when per-batch SQL is set;
    otherwise they are derived per window) by slide bucket, and runs the
    window SQL for every window that closed (window end <= latest arrival -
-   lateness), writing partition ``_wend`` of ``sql_output_path``.
+   lateness), writing partition ``_wend`` of ``sql_output_path`` (and, with
+   ``sql_text_path``, the same rows as ``[a,b]`` text lines).
 
 Empty batches write nothing. :meth:`FlowStream.flush` runs the windows still
 open when the input ends. Spark's checkpoint (``checkpoint``) makes the
@@ -43,7 +44,8 @@ class FlowStream:
                  sql_output_path: str | None = None, checkpoint: str | None = None,
                  trigger_seconds: float = DEFAULT_BATCH_SECONDS, lateness=None,
                  output_form: str = "list", stage_root: str | None = None,
-                 echo_rows: int = 0, bad_path: str | None = None, expire: bool = True):
+                 echo_rows: int = 0, bad_path: str | None = None, expire: bool = True,
+                 sql_text_path: str | None = None):
         self.flow = flow
         self.lines = lines
         self.output_path = output_path
@@ -56,6 +58,7 @@ class FlowStream:
         self.echo_rows = echo_rows
         self.bad_path = bad_path
         self.expire = expire
+        self.sql_text_path = sql_text_path
         self.stage = None
         if flow.window_sql and sql_output_path:
             self.stage = SlideStage(self.spark, flow.time_col, flow.window_length,
@@ -123,7 +126,7 @@ class FlowStream:
                                                  or w[1] <= closed_before_us)]
         if due:
             res = self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
-                                 ansi=self.flow.ansi)
+                                 ansi=self.flow.ansi, text_out=self.sql_text_path)
             self.emitted_until = max(w[1] for w in due)
             if closed_before_us is not None and self.expire:
                 # buckets wholly before the earliest window still to come

@@ -47,7 +47,8 @@ def test_stream_matches_bounded_replay(spark, tmp_path):
     _write_files(src, groups, start)
     out, sql_out = str(tmp_path / "rows"), str(tmp_path / "windows")
     runner = FlowStream(flow(), text_lines(spark, str(src), max_files_per_trigger=1), out,
-                        sql_out, checkpoint=str(tmp_path / "ck"))
+                        sql_out, checkpoint=str(tmp_path / "ck"),
+                        sql_text_path=str(tmp_path / "window_lines"))
     q = runner.start(available_now=True)
     q.awaitTermination(120)
     runner.flush()
@@ -55,6 +56,9 @@ def test_stream_matches_bounded_replay(spark, tmp_path):
     bounded = flow().window_sql_each(text_lines(spark, str(src), streaming=False))
     assert streamed == sorted(tuple(r) for r in bounded.collect())
     assert len(streamed) >= 4
+    text_rows = spark.read.text(str(tmp_path / "window_lines"))
+    assert text_rows.count() == len(streamed)
+    assert "[6000,6,1000,1000]" in {r.value for r in text_rows.collect()}
     rows = spark.read.text(out)
     assert rows.count() == 7 and {r.value for r in rows.collect()} == {"[1000 MB]"}
     assert sorted(r.batch_id for r in rows.select("batch_id").distinct().collect()) == [0, 1, 2, 3]
