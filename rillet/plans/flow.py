@@ -21,6 +21,7 @@ from ..operators.rules import compile_rules, parse_rules
 from ..operators.sql_stage import run_sql
 from ..operators.windows import (SlideStage, explode_windows, micros_of, ts_literal, window_stats,
                                  windowed_sql)
+from ..session import scratch_dir
 from ..sources.lines import ARRIVAL
 from ..types import SchemaError, as_schema
 
@@ -113,9 +114,19 @@ class LogFlow:
         ntz = isinstance(derived.schema[self.time_col].dataType, T.TimestampNTZType)
         return result.withColumn(self.time_col, ts_literal(batch_time_us, ntz))
 
-    def views(self, raw: DataFrame) -> dict[str, DataFrame]:
-        """``input`` and ``output`` for a bounded replay (the whole input is one batch)."""
+    def views(self, raw: DataFrame, materialize: bool = False) -> dict[str, DataFrame]:
+        """``input`` and ``output`` for a bounded replay (the whole input is one batch).
+
+        Both views come from one parse plan, which Spark runs once per view a
+        query reads. ``materialize`` parses once instead: the typed rows are
+        written to the shared scratch folder (which also cuts the lineage)
+        and both views read that table.
+        """
         typed = self.parse(raw)
+        if materialize:
+            path = scratch_dir(typed.sparkSession, "typed")
+            typed.write.parquet(path)
+            typed = typed.sparkSession.read.parquet(path)
         return {INPUT: typed, OUTPUT: self.finalize(self.derive(typed))}
 
     # -- windows ----------------------------------------------------------

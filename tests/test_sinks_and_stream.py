@@ -169,3 +169,13 @@ def test_expired_buckets_do_not_change_results(spark, tmp_path):
     # every row in its 3 windows: 7 rows, 21 memberships
     assert sum(got.values()) == 21
     assert got[dt.datetime(2024, 1, 1, 0, 0, 18)] == 3
+
+
+def test_materialized_views_equal_lazy_ones(lines):
+    raw = lines([(v, dt.datetime(2024, 1, 1, 0, 0, i)) for i, v in enumerate(ACCESS_LINES)],
+                with_time=True)
+    lazy = flow().views(raw)
+    mat = flow().views(raw, materialize=True)
+    for name in ("input", "output"):
+        assert sorted(map(tuple, lazy[name].collect())) == sorted(map(tuple, mat[name].collect()))
+    assert "FileScan parquet" in mat["input"]._jdf.queryExecution().executedPlan().toString()
