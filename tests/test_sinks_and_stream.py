@@ -99,7 +99,7 @@ def test_flow_from_a_settings_file(spark, tmp_path, lines):
     (tmp_path / "in.json").write_text(json.dumps(ACCESS_FIELDS, indent=1))
     (tmp_path / "out.json").write_text(json.dumps(ACCESS_OUTPUT))
     (tmp_path / "rules").write_text("\n".join(ACCESS_RULES) + "\n")
-    (tmp_path / "conf.xml").write_text(
+    (tmp_path / "settings.xml").write_text(
         '<?xml version="1.0" encoding="UTF-8"?>\n<property>\n'
         '<entry key="stream.input.format">xml</entry>\n'
         '<entry key="stream.input.separator">&#009;</entry>\n'
@@ -112,7 +112,7 @@ def test_flow_from_a_settings_file(spark, tmp_path, lines):
         '<entry key="stream.batchInterval">2</entry>\n'
         '<entry key="stream.window.length">18000</entry>\n'
         '<entry key="stream.window.slide">6000</entry>\n</property>\n')
-    st = flow_from_settings(str(tmp_path / "conf.xml"))
+    st = flow_from_settings(str(tmp_path / "settings.xml"))
     assert st.flow.fmt == "xml" and st.flow.separator == "\t" and st.batch_seconds == 2.0
     raw = lines([(ACCESS_XML, dt.datetime(2024, 1, 1, 0, 0, 1))], with_time=True)
     views = st.flow.views(raw)
