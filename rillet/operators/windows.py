@@ -209,7 +209,8 @@ class SlideStage:
         return f"{self.root}/{name}"
 
     def append(self, name: str, df: DataFrame, batch_id: int | None = None,
-               stage: bool = True, track: bool = False) -> None:
+               stage: bool = True, track: bool = False,
+               counts: dict[int, int] | None = None) -> None:
         """Add rows of view ``name``.
 
         Staged (the default): written once by slide bucket; with ``batch_id``
@@ -237,8 +238,9 @@ class SlideStage:
         if batch_id is not None:
             out = out.withColumn("_batch", F.lit(int(batch_id)).cast("long"))
             parts.append("_batch")
-        written = ({r[0]: r[1] for r in out.groupBy(BUCKET).count().collect()}
-                   if track else None)
+        written = counts
+        if written is None and track:
+            written = {r[0]: r[1] for r in out.groupBy(BUCKET).count().collect()}
         # Rows of one bucket go to one writer task (few files per bucket, not
         # one per task and bucket); AQE splits a hot bucket over several tasks.
         (out.hint("rebalance", BUCKET).write.mode("overwrite")
@@ -255,6 +257,10 @@ class SlideStage:
         else:
             self._counts.pop(name, None)   # counted again when next needed
 
+    def bucket_of(self, df: DataFrame) -> Column:
+        """The slide bucket of each row of ``df`` (a long)."""
+        return self._bucket_of(df)
+
     def _bucket_of(self, df: DataFrame) -> Column:
         return _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us), self.bucket_us)
 

@@ -340,7 +340,8 @@ def q_stream_flow_windows(spark, sf_dir):
     from ..streaming import FlowStream
     root = scratch_dir(spark, "stream-query")
     lines = event_lines(spark, sf_dir)
-    lines.repartition(4).write.parquet(f"{root}/src")
+    # four files of consecutive arrival times, as a log stream delivers them
+    lines.repartitionByRange(4, ARRIVAL).write.parquet(f"{root}/src")
     stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "1")
               .parquet(f"{root}/src"))
     flow = event_flow(window_sql=WINDOW_INPUT_SQL)

@@ -26,6 +26,7 @@ per open window in the state store instead of staged rows.
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,12 @@ from ..plans.flow import DEFAULT_BATCH_SECONDS, INPUT, OUTPUT, LogFlow
 from ..session import scratch_dir
 
 
+class _Stats(NamedTuple):
+    n: int
+    first: int | None
+    last: int | None
+
+
 class FlowStream:
     def __init__(self, flow: LogFlow, lines: DataFrame, output_path: str | None = None,
                  sql_output_path: str | None = None, checkpoint: str | None = None,
@@ -88,9 +95,15 @@ class FlowStream:
         flow = self.flow
         typed = flow.parse(batch).persist()   # each line is parsed once per batch
         try:
+            # one small job: rows, first and last arrival, rows per slide bucket
             micros = micros_of(typed, flow.time_col)
-            stats = typed.agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("first"),
-                              F.max(micros).alias("last")).first()
+            key = self.stage.bucket_of(typed) if self.stage is not None else F.lit(0)
+            per_bucket = (typed.groupBy(key.alias("b"))
+                          .agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("first"),
+                               F.max(micros).alias("last")).collect())
+            stats = _Stats(sum(r.n for r in per_bucket),
+                           min((r.first for r in per_bucket), default=None),
+                           max((r.last for r in per_bucket), default=None))
             if self.bad_path and flow.on_error == "quarantine":
                 bad = flow.bad_lines(batch)
                 (bad.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
@@ -108,7 +121,8 @@ class FlowStream:
                 (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .partitionBy("batch_id").text(self.output_path))
             if self.stage is not None:
-                self.stage.append(INPUT, typed, batch_id, track=True)
+                self.stage.append(INPUT, typed, batch_id, track=True,
+                                  counts={r.b: r.n for r in per_bucket})
                 if flow.extra_sql is not None:
                     self.stage.append(OUTPUT, final, batch_id, track=True)
                 self._emit(stats.last - self.lateness_us)
