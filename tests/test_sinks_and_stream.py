@@ -179,3 +179,33 @@ def test_materialized_views_equal_lazy_ones(lines):
     for name in ("input", "output"):
         assert sorted(map(tuple, lazy[name].collect())) == sorted(map(tuple, mat[name].collect()))
     assert "FileScan parquet" in mat["input"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_app_runs_a_settings_file(spark, tmp_path):
+    import json
+    from rillet.streaming.app import main
+    (tmp_path / "in.json").write_text(json.dumps(ACCESS_FIELDS))
+    (tmp_path / "out.json").write_text(json.dumps(ACCESS_OUTPUT))
+    (tmp_path / "rules").write_text("\n".join(ACCESS_RULES))
+    rows, sql = tmp_path / "rows", tmp_path / "sql"
+    (tmp_path / "settings.xml").write_text(
+        '<?xml version="1.0" encoding="UTF-8"?>\n<property>\n'
+        '<entry key="stream.input.format">separator</entry>\n'
+        '<entry key="stream.input.separator">&#009;</entry>\n'
+        '<entry key="stream.extraSQL.enable">false</entry>\n'
+        f'<entry key="stream.output.savePath">{rows}</entry>\n'
+        f'<entry key="stream.sql.savePath">{sql}</entry>\n'
+        '<entry key="stream.sql.command">SELECT SUM(contentSize), COUNT(*), MIN(contentSize), '
+        'MAX(contentSize) FROM input</entry>\n'
+        '<entry key="stream.input.formatFilePath">in.json</entry>\n'
+        '<entry key="stream.output.formatFilePath">out.json</entry>\n'
+        '<entry key="rule.filePath">rules</entry>\n'
+        '<entry key="stream.batchInterval">2</entry>\n'
+        '<entry key="stream.window.length">18000</entry>\n'
+        '<entry key="stream.window.slide">6000</entry>\n</property>\n')
+    start = time.mktime(dt.datetime(2024, 1, 1).timetuple())
+    _write_files(tmp_path / "src", [ACCESS_LINES], start)
+    main(["--settings", str(tmp_path / "settings.xml"), "--checkpoint", str(tmp_path / "ck"),
+          "--text-dir", str(tmp_path / "src"), "--available-now"])
+    assert spark.read.text(str(rows)).count() == 7
+    assert {r.value for r in spark.read.text(str(sql / "lines")).collect()} == {"[7000,7,1000,1000]"}
