@@ -75,10 +75,15 @@ class LogFlow:
                              strict_keys=self.strict_keys)
         return good_rows(parsed) if self.on_error == "quarantine" else parsed
 
+    def parse_checked(self, raw: DataFrame) -> DataFrame:
+        """Every line with its parsed fields, ``_raw`` and ``_errors`` (null when
+        good); split it with :func:`good_rows` / :func:`bad_rows`."""
+        return parse_lines(raw, self.input_schema, self.fmt, self.separator, "quarantine",
+                           strict_keys=self.strict_keys)
+
     def bad_lines(self, raw: DataFrame) -> DataFrame:
         """Rejected lines and their reasons (``on_error="quarantine"``)."""
-        return bad_rows(parse_lines(raw, self.input_schema, self.fmt, self.separator,
-                                    "quarantine", strict_keys=self.strict_keys))
+        return bad_rows(self.parse_checked(raw))
 
     def derive(self, typed: DataFrame) -> DataFrame:
         """Derived rows: the declared output fields and the arrival time.

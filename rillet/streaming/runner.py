@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.parse import bad_rows, good_rows
 from ..operators.render import render
 from ..operators.windows import SlideStage, duration_us, micros_of, window_stats
 from ..sinks import echo
@@ -93,7 +94,10 @@ class FlowStream:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         flow = self.flow
-        typed = flow.parse(batch).persist()   # each line is parsed once per batch
+        # each line is parsed once per batch; good and bad rows come from the cache
+        quarantine = flow.on_error == "quarantine"
+        parsed = (flow.parse_checked(batch) if quarantine else flow.parse(batch)).persist()
+        typed = good_rows(parsed) if quarantine else parsed
         try:
             # one small job: rows, first and last arrival, rows per slide bucket
             micros = micros_of(typed, flow.time_col)
@@ -104,9 +108,8 @@ class FlowStream:
             stats = _Stats(sum(r.n for r in per_bucket),
                            min((r.first for r in per_bucket), default=None),
                            max((r.last for r in per_bucket), default=None))
-            if self.bad_path and flow.on_error == "quarantine":
-                bad = flow.bad_lines(batch)
-                (bad.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+            if self.bad_path and quarantine:
+                (bad_rows(parsed).withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
                     .parquet(self.bad_path))
             if stats.n == 0:
@@ -127,7 +130,7 @@ class FlowStream:
                     self.stage.append(OUTPUT, final, batch_id, track=True)
                 self._emit(stats.last - self.lateness_us)
         finally:
-            typed.unpersist()
+            parsed.unpersist()
 
     def flush(self) -> None:
         """Run every window not yet emitted, including those still open."""

@@ -209,3 +209,17 @@ def test_app_runs_a_settings_file(spark, tmp_path):
           "--text-dir", str(tmp_path / "src"), "--available-now"])
     assert spark.read.text(str(rows)).count() == 7
     assert {r.value for r in spark.read.text(str(sql / "lines")).collect()} == {"[7000,7,1000,1000]"}
+
+
+def test_stream_quarantines_bad_lines(spark, tmp_path):
+    f = flow(on_error="quarantine")
+    batch = spark.createDataFrame(
+        [(ACCESS_LINES[0], dt.datetime(2024, 1, 1, 0, 0, 1)),
+         ("1.1.1.1\tGET\t/x\tHTTP/1.1\tnot-a-number\t5", dt.datetime(2024, 1, 1, 0, 0, 2))],
+        "value string, arrival_ts timestamp")
+    runner = FlowStream(f, batch, str(tmp_path / "rows"), checkpoint=str(tmp_path / "ck"),
+                        bad_path=str(tmp_path / "bad"))
+    runner.process_batch(batch, 0)
+    assert spark.read.text(str(tmp_path / "rows")).count() == 1
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert [r._errors for r in bad] == ["bad Integer value for responseCode"]
