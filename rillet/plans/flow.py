@@ -53,6 +53,7 @@ class LogFlow:
     registry: FunctionRegistry | None = None
     time_col: str = ARRIVAL
     strict_keys: bool = False
+    xml_any_depth: bool = False
     extra_sql_schema: object = None
     parsed_rules: list = field(init=False, repr=False)
     _compiled: list | None = field(init=False, repr=False, default=None)
@@ -72,14 +73,14 @@ class LogFlow:
         """Typed ``input`` rows: the declared input fields and the arrival time.
         With ``on_error="quarantine"`` only the good lines (see :meth:`bad_lines`)."""
         parsed = parse_lines(raw, self.input_schema, self.fmt, self.separator, self.on_error,
-                             strict_keys=self.strict_keys)
+                             strict_keys=self.strict_keys, xml_any_depth=self.xml_any_depth)
         return good_rows(parsed) if self.on_error == "quarantine" else parsed
 
     def parse_checked(self, raw: DataFrame) -> DataFrame:
         """Every line with its parsed fields, ``_raw`` and ``_errors`` (null when
         good); split it with :func:`good_rows` / :func:`bad_rows`."""
         return parse_lines(raw, self.input_schema, self.fmt, self.separator, "quarantine",
-                           strict_keys=self.strict_keys)
+                           strict_keys=self.strict_keys, xml_any_depth=self.xml_any_depth)
 
     def bad_lines(self, raw: DataFrame) -> DataFrame:
         """Rejected lines and their reasons (``on_error="quarantine"``)."""
