@@ -26,6 +26,8 @@ per open window in the state store instead of staged rows.
 from __future__ import annotations
 
 import re
+import threading
+import time
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -77,6 +79,7 @@ class FlowStream:
                 self.stage.derived[OUTPUT] = lambda views: flow.derive(views[INPUT])
         self.emitted_until = self._emitted_so_far()
         self.query: StreamingQuery | None = None
+        self._lock = threading.RLock()
 
     def start(self, available_now: bool = False) -> StreamingQuery:
         writer = (self.lines.writeStream.foreachBatch(self.process_batch)
@@ -89,10 +92,29 @@ class FlowStream:
         return self.query
 
     def run(self) -> None:
-        """Start on the processing-time trigger and run until stopped."""
-        self.start().awaitTermination()
+        """Start on the processing-time trigger and run until stopped.
+
+        Between micro-batches, windows closed by the wall clock are emitted
+        even when no new line arrives (see :meth:`tick`)."""
+        query = self.start()
+        while not query.awaitTermination(self.trigger_seconds):
+            self.tick()
+
+    def tick(self, now_us: int | None = None) -> None:
+        """Emit the windows that ended before ``now_us`` (default: the wall
+        clock) minus the lateness, whether or not new lines arrived."""
+        if self.stage is None or not self.stage.names:
+            return
+        if now_us is None:
+            now_us = time.time_ns() // 1000
+        with self._lock:
+            self._emit(now_us - self.lateness_us)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        with self._lock:
+            self._process_batch(batch, batch_id)
+
+    def _process_batch(self, batch: DataFrame, batch_id: int) -> None:
         flow = self.flow
         # each line is parsed once per batch; good and bad rows come from the cache
         quarantine = flow.on_error == "quarantine"
@@ -135,7 +157,8 @@ class FlowStream:
     def flush(self) -> None:
         """Run every window not yet emitted, including those still open."""
         if self.stage is not None and self.stage.names:
-            self._emit(None)
+            with self._lock:
+                self._emit(None)
 
     def _emit(self, closed_before_us: int | None) -> None:
         due = [w for w in self.stage.windows()

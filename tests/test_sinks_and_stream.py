@@ -223,3 +223,17 @@ def test_stream_quarantines_bad_lines(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "rows")).count() == 1
     bad = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert [r._errors for r in bad] == ["bad Integer value for responseCode"]
+
+
+def test_tick_emits_windows_without_new_lines(spark, tmp_path):
+    out = str(tmp_path / "windows")
+    runner = FlowStream(flow(), spark.createDataFrame([], "value string, arrival_ts timestamp"),
+                        sql_output_path=out, checkpoint=str(tmp_path / "ck"))
+    t0 = dt.datetime(2024, 1, 1)
+    runner.process_batch(spark.createDataFrame([(ACCESS_LINES[0], t0 + dt.timedelta(seconds=1))],
+                                               "value string, arrival_ts timestamp"), 0)
+    assert not os.path.exists(out)                      # no window has closed yet
+    epoch_us = lambda d: int((d - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)
+    runner.tick(epoch_us(t0 + dt.timedelta(seconds=12)))  # wall clock passes two window ends
+    ends = sorted(r.window_end for r in spark.read.parquet(out).collect())
+    assert ends == [t0 + dt.timedelta(seconds=6), t0 + dt.timedelta(seconds=12)]
