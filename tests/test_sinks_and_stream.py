@@ -237,3 +237,11 @@ def test_tick_emits_windows_without_new_lines(spark, tmp_path):
     runner.tick(epoch_us(t0 + dt.timedelta(seconds=12)))  # wall clock passes two window ends
     ends = sorted(r.window_end for r in spark.read.parquet(out).collect())
     assert ends == [t0 + dt.timedelta(seconds=6), t0 + dt.timedelta(seconds=12)]
+
+
+def test_kafka_source_names_the_kafka_connector(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from rillet.sources import kafka_lines
+    with pytest.raises(PySparkException, match="(?i)kafka"):
+        kafka_lines(spark, "localhost:9092", "logs", min_partitions=8)

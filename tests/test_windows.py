@@ -125,3 +125,21 @@ def test_pane_statistics_equal_expanded(spark, length, slide):
     ntz = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:05' AS ts, 2.0 AS v")
     assert sorted(map(tuple, window_stats(ntz, "v", "ts", length, slide, panes=True).collect())) == \
         sorted(map(tuple, window_stats(ntz, "v", "ts", length, slide, panes=False).collect()))
+
+
+@pytest.mark.parametrize("stage", [True, False])
+def test_start_offset_is_honoured_by_every_path(spark, stage):
+    rows = [(at(s), s) for s in range(0, 50, 3)]
+    df = spark.createDataFrame(rows, "arrival_ts timestamp, v int")
+    text = "SELECT SUM(v) AS s, COUNT(*) AS n FROM input"
+    staged = staged_windowed_sql({"input": df}, text, "arrival_ts", 12000, 4000, start=1000,
+                                 stage=stage)
+    expected = window_agg(df, "arrival_ts", 12000, 4000, start=1000,
+                          aggs=[F.sum("v").alias("s"), F.count(F.lit(1)).alias("n")])
+    key = ["window_start", "window_end", "s", "n"]
+    got = sorted(tuple(r[k] for k in key) for r in staged.collect())
+    assert got == sorted(tuple(r[k] for k in key) for r in expected.collect())
+    assert all(w.second % 4 == 1 for w, *_ in got)          # starts at 1 s past the slide grid
+    panes = window_stats(df, "v", "arrival_ts", 12000, 4000, start=1000, panes=True)
+    flat = window_stats(df, "v", "arrival_ts", 12000, 4000, start=1000, panes=False)
+    assert sorted(map(tuple, panes.collect())) == sorted(map(tuple, flat.collect()))
