@@ -17,6 +17,7 @@ import threading
 from collections.abc import Mapping
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,31 @@ def run_sql(views: Mapping[str, DataFrame], text: str, ansi: bool = False,
         return spark.sql(text)
 
 
+def referenced_views(views: Mapping[str, DataFrame], text: str,
+                     spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
+    """The names in ``views`` that ``text`` reads, found by Spark's analyser:
+    the text is analysed (not run) with each view left out in turn, and a
+    missing-table error means it is needed. Pass cheap stand-ins (empty
+    DataFrames with the views' schemas)."""
+    if spark is None:
+        spark = next(iter(views.values())).sparkSession
+    needed = set()
+    with ansi_mode(spark, ansi):
+        for left_out in views:
+            for name, df in views.items():
+                if name != left_out:
+                    df.createOrReplaceTempView(name)
+            spark.catalog.dropTempView(left_out)
+            try:
+                spark.sql(text)
+            except AnalysisException as e:
+                if "TABLE_OR_VIEW_NOT_FOUND" in str(e) and left_out in str(e):
+                    needed.add(left_out)
+                else:
+                    raise
+    return needed
+
+
 def stringify(df: DataFrame) -> DataFrame:
     """Every column as text, keeping column order, names and nulls."""
     return df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])

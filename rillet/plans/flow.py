@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions import FunctionRegistry
 from ..operators.parse import bad_rows, good_rows, parse_lines
 from ..operators.rules import compile_rules, parse_rules
-from ..operators.sql_stage import run_sql
+from ..operators.sql_stage import referenced_views, run_sql
 from ..operators.windows import (SlideStage, explode_windows, micros_of, ts_literal, window_stats,
                                  windowed_sql)
 from ..session import scratch_dir
@@ -156,15 +156,26 @@ class LogFlow:
                         chunk: int = 16, workers: int = 8) -> DataFrame | None:
         """Path S: the unchanged text once per window (staged rows, pruned reads).
 
-        Without per-batch SQL the derived rows are a row-wise function of the
-        input, so only ``input`` is staged and ``output`` is derived per window.
+        Only the views the text reads are staged. Without per-batch SQL the
+        derived rows are a row-wise function of the input, so ``output`` is
+        derived per window from the staged input instead of being staged.
         """
         text = text or self.window_sql
         typed = self.parse(raw)
+        needed = self.needed_views(typed, text)
         stage = SlideStage(typed.sparkSession, *self.window_args())
-        stage.append(INPUT, typed)
-        if self.extra_sql is None:
-            stage.derived[OUTPUT] = lambda views: self.derive(views[INPUT])
-        else:
-            stage.append(OUTPUT, self.finalize(self.derive(typed)))
+        if INPUT in needed or (OUTPUT in needed and self.extra_sql is None):
+            stage.append(INPUT, typed)
+        if OUTPUT in needed:
+            if self.extra_sql is None:
+                stage.derived[OUTPUT] = lambda views: self.derive(views[INPUT])
+            else:
+                stage.append(OUTPUT, self.finalize(self.derive(typed)))
         return stage.run(text, ansi=self.ansi, chunk=chunk, workers=workers)
+
+    def needed_views(self, typed: DataFrame, text: str) -> set[str]:
+        """Which of ``input`` / ``output`` the window text reads (analysis only)."""
+        spark = typed.sparkSession
+        empty = spark.createDataFrame([], typed.schema)
+        probe = {INPUT: empty, OUTPUT: self.finalize(self.derive(empty), batch_time_us=0)}
+        return referenced_views(probe, text, spark, ansi=self.ansi)

@@ -70,12 +70,16 @@ class FlowStream:
         self.expire = expire
         self.sql_text_path = sql_text_path
         self.stage = None
+        self.needed: set[str] = set()
         if flow.window_sql and sql_output_path:
             self.stage = SlideStage(self.spark, flow.time_col, flow.window_length,
                                     flow.window_slide, flow.window_start,
                                     root=stage_root or f"{self.checkpoint}/stage")
-            if flow.extra_sql is None:
-                # derived rows are a row-wise function of the input: derive per window
+            # stage only what the window text reads; without per-batch SQL the
+            # derived rows are a row-wise function of the input: derive per window
+            typed_schema = flow.parse(self.spark.createDataFrame([], lines.schema))
+            self.needed = flow.needed_views(typed_schema, flow.window_sql)
+            if OUTPUT in self.needed and flow.extra_sql is None:
                 self.stage.derived[OUTPUT] = lambda views: flow.derive(views[INPUT])
         self.emitted_until = self._emitted_so_far()
         self.query: StreamingQuery | None = None
@@ -146,9 +150,10 @@ class FlowStream:
                 (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .partitionBy("batch_id").text(self.output_path))
             if self.stage is not None:
-                self.stage.append(INPUT, typed, batch_id, track=True,
-                                  counts={r.b: r.n for r in per_bucket})
-                if flow.extra_sql is not None:
+                if INPUT in self.needed or flow.extra_sql is None:
+                    self.stage.append(INPUT, typed, batch_id, track=True,
+                                      counts={r.b: r.n for r in per_bucket})
+                if OUTPUT in self.needed and flow.extra_sql is not None:
                     self.stage.append(OUTPUT, final, batch_id, track=True)
                 self._emit(stats.last - self.lateness_us)
         finally:

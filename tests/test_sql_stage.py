@@ -53,3 +53,16 @@ def test_other_delegated_aggregates(lines):
                   "HAVING COUNT(*) > 1")
     row = res.first()
     assert (row.a, row.f, row.l, row.m) == (7, "GET", "HTTP/1.1", 1000.0)
+
+
+def test_referenced_views(spark):
+    from rillet.operators.sql_stage import referenced_views
+    a = spark.createDataFrame([], "x int")
+    b = spark.createDataFrame([], "y string")
+    views = {"input": a, "output": b}
+    assert referenced_views(views, "SELECT SUM(x) FROM input") == {"input"}
+    assert referenced_views(views, "SELECT y FROM output WHERE y LIKE 'a%'") == {"output"}
+    assert referenced_views(views, "SELECT * FROM input JOIN output ON x = length(y)") == {
+        "input", "output"}
+    assert referenced_views(views, "SELECT x FROM input WHERE x IN (SELECT length(y) FROM output)") \
+        == {"input", "output"}
