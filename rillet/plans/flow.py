@@ -38,6 +38,21 @@ DEFAULT_SLIDE_MS = 6000
 
 @dataclass
 class LogFlow:
+    """One configured flow.
+
+    * ``input_schema`` / ``output_schema``: declared fields (dict, pairs, JSON text);
+    * ``rules``: rule texts (``out:Class:function:args``) or :class:`~rillet.operators.Rule`s;
+    * ``fmt`` (``separator`` | ``json`` | ``xml``), ``separator`` (a regex),
+      ``on_error`` (``fail`` | ``null`` | ``quarantine``), ``strict_keys``, ``xml_any_depth``;
+    * ``extra_sql``: per-batch SQL over ``extraInput`` (None: derived rows pass through),
+      optionally checked against ``extra_sql_schema``;
+    * ``window_sql``: SQL over ``input`` / ``output`` per window of ``window_length``
+      sliding by ``window_slide`` (ints are milliseconds), offset by ``window_start``;
+    * ``ansi``: ANSI mode for the user SQL (off: lenient coercion);
+    * ``registry``: rule functions (default: the shipped ones);
+    * ``time_col``: the arrival time column of the raw lines.
+    """
+
     input_schema: object
     output_schema: object
     rules: object
