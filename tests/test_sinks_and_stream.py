@@ -245,3 +245,15 @@ def test_kafka_source_names_the_kafka_connector(spark):
     from rillet.sources import kafka_lines
     with pytest.raises(PySparkException, match="(?i)kafka"):
         kafka_lines(spark, "localhost:9092", "logs", min_partitions=8)
+
+
+def test_readme_example_runs(spark):
+    import pathlib
+    import re
+    text = (pathlib.Path(__file__).parent.parent / "README.md").read_text()
+    code = re.search(r"```python\n(.*?)```", text, re.S).group(1)
+    scope = {}
+    exec(code, scope)  # noqa: S102 - the README's own example
+    assert scope["views"]["output"].count() > 0
+    assert scope["stats"].count() > 0
+    assert 0 < scope["per_window"].count() <= scope["stats"].count()
