@@ -143,7 +143,8 @@ class FlowStream:
             final = flow.finalize(flow.derive(typed), batch_time_us=stats.first)
             cols = [c for c in final.columns if c != flow.time_col]
             if self.echo_rows:
-                echo(final.select(*cols), self.echo_rows, f"batch {batch_id}:")
+                echo(batch.select("value"), self.echo_rows, f"batch {batch_id} lines:")
+                echo(final.select(*cols), self.echo_rows, f"batch {batch_id} rows:")
             if self.output_path:
                 lines = render(final, self.output_form, cols).withColumn(
                     "batch_id", F.lit(int(batch_id)))

@@ -257,3 +257,14 @@ def test_readme_example_runs(spark):
     assert scope["views"]["output"].count() > 0
     assert scope["stats"].count() > 0
     assert 0 < scope["per_window"].count() <= scope["stats"].count()
+
+
+def test_echo_is_bounded(spark, tmp_path, capsys):
+    f = flow()
+    batch = spark.createDataFrame([(v, dt.datetime(2024, 1, 1)) for v in ACCESS_LINES],
+                                  "value string, arrival_ts timestamp")
+    runner = FlowStream(f, batch, checkpoint=str(tmp_path / "ck"), echo_rows=2)
+    runner.process_batch(batch, 0)
+    out = capsys.readouterr().out
+    assert "batch 0 lines:" in out and "batch 0 rows:" in out
+    assert "only showing top 2 rows" in out
