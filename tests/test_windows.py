@@ -143,3 +143,9 @@ def test_start_offset_is_honoured_by_every_path(spark, stage):
     panes = window_stats(df, "v", "arrival_ts", 12000, 4000, start=1000, panes=True)
     flat = window_stats(df, "v", "arrival_ts", 12000, 4000, start=1000, panes=False)
     assert sorted(map(tuple, panes.collect())) == sorted(map(tuple, flat.collect()))
+
+
+def test_offset_puts_window_ends_on_slide_multiples(spark):
+    df = spark.createDataFrame([(at(s), 1) for s in range(0, 30, 3)], "arrival_ts timestamp, v int")
+    res = window_stats(df, "v", "arrival_ts", 10000, 4000, start=10000 % 4000)
+    assert all(r.window_end.second % 4 == 0 for r in res.collect())
