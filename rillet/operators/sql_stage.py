@@ -13,6 +13,7 @@ analysis, and the session setting is restored afterwards.
 
 from __future__ import annotations
 
+import logging
 import threading
 from collections.abc import Mapping
 from contextlib import contextmanager
@@ -58,19 +59,25 @@ def referenced_views(views: Mapping[str, DataFrame], text: str,
     if spark is None:
         spark = next(iter(views.values())).sparkSession
     needed = set()
-    with ansi_mode(spark, ansi):
-        for left_out in views:
-            for name, df in views.items():
-                if name != left_out:
-                    df.createOrReplaceTempView(name)
-            spark.catalog.dropTempView(left_out)
-            try:
-                spark.sql(text)
-            except AnalysisException as e:
-                if "TABLE_OR_VIEW_NOT_FOUND" in str(e) and left_out in str(e):
-                    needed.add(left_out)
-                else:
-                    raise
+    # the missing-table errors are expected here: keep them out of the log
+    quiet = logging.getLogger("SQLQueryContextLogger")
+    was_disabled, quiet.disabled = quiet.disabled, True
+    try:
+        with ansi_mode(spark, ansi):
+            for left_out in views:
+                for name, df in views.items():
+                    if name != left_out:
+                        df.createOrReplaceTempView(name)
+                spark.catalog.dropTempView(left_out)
+                try:
+                    spark.sql(text)
+                except AnalysisException as e:
+                    if "TABLE_OR_VIEW_NOT_FOUND" in str(e) and left_out in str(e):
+                        needed.add(left_out)
+                    else:
+                        raise
+    finally:
+        quiet.disabled = was_disabled
     return needed
 
 

@@ -141,9 +141,12 @@ def window_stats(df: DataFrame, value_col: str, time_col: str, length, slide=Non
 
 
 def _ts_from_micros(us: Column, ntz: bool) -> Column:
-    if ntz:
-        return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
-    return F.timestamp_micros(us)
+    return wall_clock(us) if ntz else F.timestamp_micros(us)
+
+
+def wall_clock(us: Column) -> Column:
+    """A ``timestamp_ntz`` from microseconds since the epoch (no time zone involved)."""
+    return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
 def windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length, slide=None,

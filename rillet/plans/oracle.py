@@ -89,6 +89,9 @@ ORACLE_SQL = {
     "window_stats": (
         f"SELECT {_WIN_COLS}, ROUND(SUM(value), 2) AS sum_value, COUNT(*) AS n, "
         f"MIN(value) AS min_value, MAX(value) AS max_value FROM {_win('value')} GROUP BY ws"),
+    "stream_native_window_stats": (
+        f"SELECT {_WIN_COLS}, ROUND(SUM(value), 2) AS sum_value, COUNT(*) AS n, "
+        f"MIN(value) AS min_value, MAX(value) AS max_value FROM {_win('value')} GROUP BY ws"),
     "window_tumbling": (
         "SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, "
         "time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS window_end, event_type, "

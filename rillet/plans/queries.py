@@ -355,6 +355,28 @@ def q_stream_flow_windows(spark, sf_dir):
     return spark.read.parquet(f"{root}/windows").drop("_wend")
 
 
+def q_stream_native_window_stats(spark, sf_dir):
+    """Native streaming statistics on the whole ``events`` table: lines as a file
+    stream, ``withWatermark`` + ``groupBy(window)`` in the state store, update
+    mode written per window end. The watermark delay covers the span, so no
+    line is late whatever order the files are read in."""
+    from ..session import scratch_dir
+    from ..streaming import stream_window_stats, write_window_updates
+    root = scratch_dir(spark, "native-stream-query")
+    lines = event_lines(spark, sf_dir)
+    lines.repartitionByRange(4, ARRIVAL).write.parquet(f"{root}/src")
+    stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "1")
+              .parquet(f"{root}/src"))
+    stats = stream_window_stats(event_flow(), stream, "value", watermark="31 days")
+    query = write_window_updates(stats, f"{root}/windows", f"{root}/checkpoint",
+                                 available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    res = spark.read.parquet(f"{root}/windows").drop("_wend")
+    return res.withColumn("sum_value", F.round("sum_value", 2))
+
+
 def q_tagged_union(spark, sf_dir):
     views = keyed_flow().views(keyed_lines(spark, sf_dir))
     both = tagged_union(views["input"], views["output"])
@@ -442,6 +464,7 @@ QUERIES = {
     "window_sql_join": q_window_sql_join,
     "shipped_settings_flow": q_shipped_settings_flow,
     "stream_flow_windows": q_stream_flow_windows,
+    "stream_native_window_stats": q_stream_native_window_stats,
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,
     "sql_semi_join": q_sql_semi_join,

@@ -37,7 +37,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parse import bad_rows, good_rows
 from ..operators.render import render
-from ..operators.windows import SlideStage, duration_us, micros_of, window_stats
+from ..operators.windows import SlideStage, duration_us, micros_of, wall_clock, window_stats
 from ..sinks import echo
 from ..plans.flow import DEFAULT_BATCH_SECONDS, INPUT, OUTPUT, LogFlow
 from ..session import scratch_dir
@@ -201,8 +201,37 @@ def stream_window_stats(flow: LogFlow, lines: DataFrame, value_field: str,
     for one final row per window once the watermark passes its end.
     """
     typed = flow.parse(lines)
-    if isinstance(typed.schema[flow.time_col].dataType, T.TimestampNTZType):
-        typed = typed.withColumn(flow.time_col, F.col(flow.time_col).cast("timestamp"))
+    ntz = isinstance(typed.schema[flow.time_col].dataType, T.TimestampNTZType)
+    if ntz:
+        # the watermark needs instants: read the wall-clock time as UTC (no
+        # session time zone involved), and turn window bounds back afterwards
+        typed = typed.withColumn(flow.time_col, F.timestamp_micros(micros_of(typed, flow.time_col)))
     typed = typed.withWatermark(flow.time_col, watermark)
     # one event-time window aggregation, so the watermark can expire its state
-    return window_stats(typed, value_field, *flow.window_args(), panes=False)
+    stats = window_stats(typed, value_field, *flow.window_args(), panes=False)
+    if ntz:
+        for c in ("window_start", "window_end"):
+            stats = stats.withColumn(c, wall_clock(F.unix_micros(F.col(c))))
+    return stats
+
+
+def write_window_updates(stats: DataFrame, path: str, checkpoint: str,
+                         available_now: bool = False,
+                         trigger_seconds: float = DEFAULT_BATCH_SECONDS) -> StreamingQuery:
+    """Sink for streaming window aggregates (e.g. :func:`stream_window_stats`).
+
+    Update mode: each micro-batch carries only the windows it changed, and
+    writes them into their own partitions (``_wend``, the window end) with
+    dynamic overwrite. The table always holds the latest value of every
+    window, state stays bounded by the watermark, and a replayed batch
+    rewrites the same partitions.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        (df.withColumn("_wend", micros_of(df, "window_end")).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("_wend").parquet(path))
+
+    writer = (stats.writeStream.outputMode("update").foreachBatch(write)
+              .option("checkpointLocation", checkpoint))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=f"{trigger_seconds} seconds"))
+    return writer.start()
