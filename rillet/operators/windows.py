@@ -327,8 +327,8 @@ class SlideStage:
                 starts.add(self.start_us + k * self.slide_us)
         return [(s, s + self.length_us) for s in sorted(starts)]
 
-    def window_views(self, window: tuple[int, int],
-                     session: SparkSession | None = None) -> dict[str, DataFrame]:
+    def window_views(self, window: tuple[int, int], session: SparkSession | None = None,
+                     bases: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
         """Each view restricted to one window: a partition filter on the bucket
         (staged views) or a time-range filter (direct views); then derived views."""
         lo = (window[0] - self.start_us) // self.bucket_us
@@ -341,17 +341,21 @@ class SlideStage:
                     (t >= ts_literal(window[0], bool(self.ntz)))
                     & (t < ts_literal(window[1], bool(self.ntz))))
                 continue
-            views[name] = self._staged_range(name, lo, hi, session or self.spark)
+            views[name] = self._staged_range(name, lo, hi, session or self.spark,
+                                             (bases or {}).get(name))
         for name, fn in self.derived.items():
             views[name] = fn(views)
         return views
 
-    def _staged_range(self, name: str, lo: int, hi: int, session: SparkSession) -> DataFrame:
+    def _staged_range(self, name: str, lo: int, hi: int, session: SparkSession,
+                      base: DataFrame | None = None) -> DataFrame:
         """Rows of buckets ``lo..hi`` of a staged view.
 
-        With a known schema, only the window's bucket folders are read (no
-        listing of the whole history, no footer inference); otherwise the
-        whole staged table with a partition filter.
+        With a known schema only bucket folders that hold rows are read (no
+        listing of the whole history, no footer inference): those of this
+        window, or of ``base`` (:meth:`_chunk_read`, one listing for a chunk
+        of windows) with a partition filter. Otherwise the whole staged
+        table with a partition filter.
         """
         schema = self._schemas.get(name)
         if schema is None:
@@ -364,13 +368,34 @@ class SlideStage:
         present = [b for b in range(lo, hi + 1) if b in counts]
         if not present:
             return session.createDataFrame([], schema).select(*keep)
-        paths = [f"{self.path(name)}/{BUCKET}={b}" for b in present]
-        df = (session.read.schema(schema).option("basePath", self.path(name))
-              .parquet(*paths).select(*keep))
+        if base is None:
+            base = self._read_buckets(name, present, session)
+        df = base.where(F.col(BUCKET).between(lo, hi)).select(*keep)
         if sum(counts[b] for b in present) <= self.single_task_rows:
             df = df.coalesce(1)   # small window: one task, and no exchange downstream
         return df
 
+    def _read_buckets(self, name: str, buckets, session: SparkSession) -> DataFrame:
+        paths = [f"{self.path(name)}/{BUCKET}={b}" for b in sorted(buckets)]
+        return (session.read.schema(self._schemas[name]).option("basePath", self.path(name))
+                .parquet(*paths))
+
+    def _chunk_read(self, windows, session: SparkSession) -> dict[str, DataFrame]:
+        """Per staged view with a known schema, one read of all buckets the
+        chunk's windows hold (one file listing for the chunk)."""
+        bases = {}
+        for name in self.names:
+            if name in self.direct or name not in self._schemas:
+                continue
+            counts = self.view_counts(name)
+            wanted = {b for w in windows
+                      for b in range((w[0] - self.start_us) // self.bucket_us,
+                                     (w[1] - self.start_us) // self.bucket_us)
+                      if b in counts}
+            if wanted:
+                bases[name] = self._read_buckets(name, wanted, session)
+        return bases
+
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
             out: str | None = None, ansi: bool = False, chunk: int = 16,
             workers: int = 8, text_out: str | None = None) -> DataFrame | None:
@@ -410,9 +435,10 @@ class SlideStage:
         # chunks' views and analyses do not wait for each other; direct views
         # belong to the caller's session and share it under the lock.
         session = self.spark if self.direct else self._worker_session(ansi)
+        bases = self._chunk_read(windows, session)
         parts = []
         for w in windows:
-            views = self.window_views(w, session)
+            views = self.window_views(w, session, bases)
             if session is self.spark:
                 with ansi_mode(session, ansi):  # holds the session lock
                     res = _analyse(session, views, text)
