@@ -43,3 +43,14 @@ def test_column_pruning_reaches_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p
     lite = Q.table(spark, SF_SMALL, "orders").select("o_orderkey")
     assert "ReadSchema: struct<o_orderkey:bigint>" in lite._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_only_when_the_source_is_under_partitioned(spark, tmp_path):
+    from rillet.sources import spread
+    n = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=n * 2)
+    assert spread(many) is many                                   # no extra shuffle
+    one = spark.range(0, 1000, numPartitions=1)
+    spread_one = spread(one)
+    assert spread_one.rdd.getNumPartitions() == n
+    assert "RoundRobinPartitioning" in spread_one._jdf.queryExecution().executedPlan().toString()
