@@ -244,6 +244,8 @@ class SlideStage:
         written = counts
         if written is None and track:
             written = {r[0]: r[1] for r in out.groupBy(BUCKET).count().collect()}
+        if written is not None:
+            written = {b: n for b, n in written.items() if b is not None}
         # Rows of one bucket go to one writer task (few files per bucket, not
         # one per task and bucket); AQE splits a hot bucket over several tasks.
         (out.hint("rebalance", BUCKET).write.mode("overwrite")
@@ -278,7 +280,8 @@ class SlideStage:
         grouped by the partition column (parquet answers it from metadata)."""
         if name not in self._counts:
             self._counts[name] = {r[0]: r[1] for r in
-                                  self.staged(name).groupBy(BUCKET).count().collect()}
+                                  self.staged(name).groupBy(BUCKET).count().collect()
+                                  if r[0] is not None}   # rows without a time: no window
         return self._counts[name]
 
     def expire(self, before_us: int) -> int:
@@ -321,8 +324,8 @@ class SlideStage:
         for b in self.buckets() if buckets is None else buckets:
             lo = self.start_us + b * self.bucket_us
             hi = lo + self.bucket_us
-            first = math.ceil((hi - self.length_us - self.start_us) / self.slide_us)
-            last = math.floor((lo - self.start_us) / self.slide_us)
+            first = -((self.length_us + self.start_us - hi) // self.slide_us)   # ceil
+            last = (lo - self.start_us) // self.slide_us                        # floor
             for k in range(first, last + 1):
                 starts.add(self.start_us + k * self.slide_us)
         return [(s, s + self.length_us) for s in sorted(starts)]

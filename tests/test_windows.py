@@ -149,3 +149,14 @@ def test_offset_puts_window_ends_on_slide_multiples(spark):
     df = spark.createDataFrame([(at(s), 1) for s in range(0, 30, 3)], "arrival_ts timestamp, v int")
     res = window_stats(df, "v", "arrival_ts", 10000, 4000, start=10000 % 4000)
     assert all(r.window_end.second % 4 == 0 for r in res.collect())
+
+
+def test_rows_without_time_belong_to_no_window(spark, tmp_path):
+    df = spark.createDataFrame([(at(1), 1), (None, 2), (at(7), 3)], "arrival_ts timestamp, v int")
+    stage = SlideStage(spark, "arrival_ts", 18000, 6000, root=str(tmp_path / "stage"))
+    stage.append("input", df)
+    assert None not in stage.view_counts("input")
+    res = stage.run("SELECT SUM(v) AS s FROM input")
+    # windows [-12,6) [-6,12) [0,18) [6,24) s around the rows at 1 s and 7 s
+    assert sorted(r.s for r in res.collect()) == [1, 3, 4, 4]
+    assert stage.expire(0) == 0
