@@ -42,8 +42,8 @@ ORACLE_SQL = {
         "SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity FROM lineitem"),
     "parse_xml_nested": "SELECT event_id, user_id, event_type, value FROM events",
     "parse_null_mode": (
-        "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(user_id AS INTEGER) END "
-        "AS user_id, event_type FROM events"),
+        "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL "
+        "ELSE CAST(user_id AS INTEGER) END AS user_id, event_type FROM events"),
     "coerce_types": (
         "SELECT event_id AS id, CAST((event_id % 200) - 100 AS TINYINT) AS b, "
         "CAST(user_id AS SMALLINT) AS s, CAST(event_id AS INTEGER) AS i, "
@@ -52,7 +52,7 @@ ORACLE_SQL = {
         "event_type AS str FROM events"),
     "coerce_bad_rows": (
         "SELECT CAST(event_id AS VARCHAR) || chr(9) || 'x' || chr(9) || event_type AS line, "
-        "'bad Integer value for user_id' AS reason FROM events WHERE event_id % 7 = 0"),
+        "'bad Integer value for user_id' AS reason FROM events WHERE event_type = 'error'"),
     "rules_project": (
         "SELECT CAST(user_id AS VARCHAR) || ' KB' AS contentSizeWithUnit, "
         "CAST(user_id AS VARCHAR) || ' MB' AS size FROM events"),
