@@ -25,6 +25,10 @@ def _xml_escape(c: Column) -> Column:
     return F.replace(c, F.lit(">"), F.lit("&gt;"))
 
 
+def _attr(text: str) -> str:
+    return text.replace("&", "&amp;").replace('"', "&quot;").replace("<", "&lt;")
+
+
 def separator_line(fields: Sequence[str], separator: str = "\t") -> Column:
     """Fields joined by ``separator`` (a literal here); null becomes an empty piece."""
     return F.array_join(F.array(*[_text(f) for f in fields]), separator, "")
@@ -39,7 +43,8 @@ def json_line(fields: Sequence[str], quote_all: bool = False) -> Column:
 
 def xml_entries(fields: Sequence[str]) -> Column:
     """``<entry key="f">text</entry>`` for each field; null fields are left out."""
-    entries = [F.concat(F.lit(f'<entry key="{f}">'), _xml_escape(_text(f)), F.lit("</entry>"))
+    entries = [F.concat(F.lit(f'<entry key="{_attr(f)}">'), _xml_escape(_text(f)),
+                        F.lit("</entry>"))
                for f in fields]
     return F.concat_ws("", *entries)
 
@@ -77,5 +82,5 @@ def table_lines(df: DataFrame, fields: Sequence[str], fmt: str = "separator",
         raise ValueError(f"unknown format {fmt!r}")
     cols = [line.alias("value")]
     if time_col:
-        cols.append(F.col(time_col).alias(ARRIVAL))
+        cols.append(F.col(f"`{time_col}`").alias(ARRIVAL))
     return df.select(*cols, *keep)
