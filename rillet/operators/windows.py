@@ -373,7 +373,7 @@ class SlideStage:
             return session.createDataFrame([], schema).select(*keep)
         if base is None:
             base = self._read_buckets(name, present, session)
-        df = base.where(F.col(BUCKET).between(lo, hi)).select(*keep)
+        df = base.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
         if sum(counts[b] for b in present) <= self.single_task_rows:
             df = df.coalesce(1)   # small window: one task, and no exchange downstream
         return df
@@ -450,11 +450,13 @@ class SlideStage:
             parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
                                     ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
                                     F.lit(w[1]).alias(_WEND), *res.columns))
-        batch = parts[0]
-        for p in parts[1:]:
-            batch = batch.unionByName(p)
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(_WEND).parquet(out))
+        # every part has the text's columns in the same order: a balanced tree of
+        # positional unions analyses n log n nodes, not n squared
+        while len(parts) > 1:
+            parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                     for i in range(0, len(parts), 2)]
+        (parts[0].write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(_WEND).parquet(out))
 
     def _worker_session(self, ansi: bool) -> SparkSession:
         """A new session on the same context, with the caller's SQL settings."""
