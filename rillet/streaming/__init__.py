@@ -1,3 +1,3 @@
-from .runner import FlowStream, stream_window_stats, write_window_updates
+from .runner import FlowStream, stream_window_stats, write_window_batch, write_window_updates
 
-__all__ = ["FlowStream", "stream_window_stats", "write_window_updates"]
+__all__ = ["FlowStream", "stream_window_stats", "write_window_batch", "write_window_updates"]

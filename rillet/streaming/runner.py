@@ -226,12 +226,16 @@ def write_window_updates(stats: DataFrame, path: str, checkpoint: str,
     window, state stays bounded by the watermark, and a replayed batch
     rewrites the same partitions.
     """
-    def write(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("_wend", micros_of(df, "window_end")).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy("_wend").parquet(path))
-
-    writer = (stats.writeStream.outputMode("update").foreachBatch(write)
+    writer = (stats.writeStream.outputMode("update")
+              .foreachBatch(lambda df, batch_id: write_window_batch(df, path))
               .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=f"{trigger_seconds} seconds"))
     return writer.start()
+
+
+def write_window_batch(updated: DataFrame, path: str) -> None:
+    """Write the windows of one update: each into its own ``_wend`` partition,
+    replacing only the partitions of these windows."""
+    (updated.withColumn("_wend", micros_of(updated, "window_end")).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("_wend").parquet(path))

@@ -268,3 +268,16 @@ def test_echo_is_bounded(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "batch 0 lines:" in out and "batch 0 rows:" in out
     assert "only showing top 2 rows" in out
+
+
+def test_window_updates_replace_only_their_windows(spark, tmp_path):
+    from rillet.streaming import write_window_batch
+    path = str(tmp_path / "w")
+    mk = lambda rows: spark.createDataFrame(
+        rows, "window_start timestamp, window_end timestamp, n long")
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    write_window_batch(mk([(t(0), t(18), 1), (t(6), t(24), 1)]), path)
+    write_window_batch(mk([(t(6), t(24), 2), (t(12), t(30), 1)]), path)   # update + new window
+    write_window_batch(mk([(t(6), t(24), 2), (t(12), t(30), 1)]), path)   # the same batch replayed
+    got = {r.window_end: r.n for r in spark.read.parquet(path).collect()}
+    assert got == {t(18): 1, t(24): 2, t(30): 1}
