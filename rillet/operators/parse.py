@@ -160,14 +160,16 @@ def _json(df: DataFrame, line: Column, schema: Schema, strict_keys: bool):
 def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_depth: bool):
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
             "ignoreSurroundingSpaces": "false"}
-    ddl = f"entry array<struct<_key:string,_VALUE:string>>, {_CORRUPT} string"
+    # the any-depth reader uses from_xml only to check well-formedness: no fields
+    ddl = (f"{_CORRUPT} string" if any_depth
+           else f"entry array<struct<_key:string,_VALUE:string>>, {_CORRUPT} string")
     staged = df.withColumn(_PARSED, F.from_xml(line, ddl, opts))
     p = F.col(_PARSED)
     wellformed = line.isNotNull() & p.isNotNull() & p[_CORRUPT].isNull()
-    entries = F.coalesce(p["entry"], F.array())
     problems = [F.when(line.isNotNull() & ~wellformed, F.lit("malformed xml"))]
     if any_depth:
         return _xml_any_depth(staged, line, schema, strict_keys, wellformed, problems)
+    entries = F.coalesce(p["entry"], F.array())
     texts = {}
     for f in schema:
         last = F.try_element_at(F.filter(entries, _key_is(f.name)), F.lit(-1))
