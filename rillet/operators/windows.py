@@ -439,14 +439,23 @@ class SlideStage:
         # belong to the caller's session and share it under the lock.
         session = self.spark if self.direct else self._worker_session(ansi)
         bases = self._chunk_read(windows, session)
+        # fast path (all views staged with known schemas, none derived): each
+        # window's view is one SQL definition over the chunk's read
+        by_sql = (session is not self.spark and not self.derived
+                  and all(n in self._schemas for n in self.names))
+        if by_sql:
+            for name, base in bases.items():
+                base.createOrReplaceTempView(_chunk_view(name))
         parts = []
         for w in windows:
-            views = self.window_views(w, session, bases)
-            if session is self.spark:
+            if by_sql:
+                res = self._analyse_by_sql(session, w, text, bases)
+            elif session is self.spark:
+                views = self.window_views(w, session, bases)
                 with ansi_mode(session, ansi):  # holds the session lock
                     res = _analyse(session, views, text)
             else:
-                res = _analyse(session, views, text)
+                res = _analyse(session, self.window_views(w, session, bases), text)
             parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
                                     ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
                                     F.lit(w[1]).alias(_WEND), *res.columns))
@@ -458,6 +467,24 @@ class SlideStage:
         (parts[0].write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(_WEND).parquet(out))
 
+    def _analyse_by_sql(self, session: SparkSession, window, text: str,
+                        bases: dict[str, DataFrame]) -> DataFrame:
+        lo = (window[0] - self.start_us) // self.bucket_us
+        hi = (window[1] - self.start_us) // self.bucket_us - 1
+        for name in self.names:
+            schema = self._schemas[name]
+            keep = [c for c in schema.fieldNames() if c not in (BUCKET, "_batch")]
+            counts = self.view_counts(name)
+            rows = sum(counts.get(b, 0) for b in range(lo, hi + 1))
+            if name not in bases or rows == 0:
+                session.createDataFrame([], schema).select(*keep).createOrReplaceTempView(name)
+                continue
+            hint = "/*+ COALESCE(1) */ " if rows <= self.single_task_rows else ""
+            cols = ", ".join(_quote(c) for c in keep)
+            session.sql(f"CREATE OR REPLACE TEMP VIEW {_quote(name)} AS SELECT {hint}{cols} "
+                        f"FROM {_chunk_view(name)} WHERE {BUCKET} BETWEEN {lo} AND {hi}")
+        return session.sql(text)
+
     def _worker_session(self, ansi: bool) -> SparkSession:
         """A new session on the same context, with the caller's SQL settings."""
         session = self.spark.newSession()
@@ -469,6 +496,14 @@ class SlideStage:
         return session
 
 
+def _chunk_view(name: str) -> str:
+    return _quote(f"__rillet_chunk_{name}")
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _analyse(session: SparkSession, views: Mapping[str, DataFrame], text: str) -> DataFrame:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
