@@ -48,10 +48,12 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        try:
+            local = spark.sparkContext.master.startswith("local")
+        except Exception:  # noqa: BLE001 - no context on the client (Spark Connect)
+            local = False
+        if not local:
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/rillet/{purpose}-{uuid.uuid4().hex}"

@@ -62,10 +62,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     large inputs pay no extra shuffle."""
     if df.isStreaming:  # streams: use the source's own option (Kafka minPartitions)
         return df
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the source as it is
         return df
-    return df.repartition(n)
+    return df if current >= n else df.repartition(n)
 
 
 def table_lines(df: DataFrame, fields: Sequence[str], fmt: str = "separator",
