@@ -364,13 +364,11 @@ class SlideStage:
         if schema is None:
             staged = (self.staged(name) if session is self.spark
                       else session.read.parquet(self.path(name)))
-            keep = [c for c in staged.columns if c not in (BUCKET, "_batch")]
-            return staged.where(F.col(BUCKET).between(lo, hi)).select(*keep)
-        keep = [c for c in schema.fieldNames() if c not in (BUCKET, "_batch")]
+            return staged.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
         counts = self.view_counts(name)
         present = [b for b in range(lo, hi + 1) if b in counts]
         if not present:
-            return session.createDataFrame([], schema).select(*keep)
+            return session.createDataFrame([], schema).drop(BUCKET, "_batch")
         if base is None:
             base = self._read_buckets(name, present, session)
         df = base.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
@@ -477,7 +475,7 @@ class SlideStage:
             counts = self.view_counts(name)
             rows = sum(counts.get(b, 0) for b in range(lo, hi + 1))
             if name not in bases or rows == 0:
-                session.createDataFrame([], schema).select(*keep).createOrReplaceTempView(name)
+                session.createDataFrame([], schema).drop(BUCKET, "_batch").createOrReplaceTempView(name)
                 continue
             hint = "/*+ COALESCE(1) */ " if rows <= self.single_task_rows else ""
             cols = ", ".join(_quote(c) for c in keep)
