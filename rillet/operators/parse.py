@@ -169,16 +169,20 @@ def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_dep
     problems = [F.when(line.isNotNull() & ~wellformed, F.lit("malformed xml"))]
     if any_depth:
         return _xml_any_depth(staged, line, schema, strict_keys, wellformed, problems)
-    entries = F.coalesce(p["entry"], F.array())
+    # Built-in array functions only (no lambdas): the last entry with a key is
+    # found by its position in the reversed key list.
+    keys = F.reverse(F.coalesce(p["entry"]["_key"], F.array()))
+    values = F.reverse(F.coalesce(p["entry"]["_VALUE"], F.array()))
     texts = {}
     for f in schema:
-        last = F.try_element_at(F.filter(entries, _key_is(f.name)), F.lit(-1))
-        texts[f.name] = F.when(last.isNotNull(), F.coalesce(last["_VALUE"], F.lit("")))
-    problems.append(F.when(F.exists(entries, lambda e: e["_key"].isNull()),
+        pos = F.array_position(keys, F.lit(f.name)).cast("int")
+        texts[f.name] = F.when(pos > 0, F.coalesce(F.element_at(values, pos), F.lit("")))
+    # a null key shows as the U+0001 stand-in (XML text cannot hold it)
+    problems.append(F.when(F.array_join(keys, ",", _XSEP).contains(_XSEP),
                            F.lit("entry without key")))
     if strict_keys:
-        declared = F.array(*[F.lit(n) for n in schema.names])
-        problems.append(F.when(F.exists(entries, lambda e: ~F.array_contains(declared, e["_key"])),
+        declared = F.array(*[F.lit(n) for n in schema.names], F.lit(None).cast("string"))
+        problems.append(F.when(F.size(F.array_except(keys, declared)) > 0,
                                F.lit("undeclared keys")))
     return staged, texts, problems
 
@@ -222,10 +226,6 @@ def _xml_any_depth(staged: DataFrame, line: Column, schema: Schema, strict_keys:
     return staged, texts, problems
 
 
-def _key_is(name: str):
-    return lambda e: e["_key"] == F.lit(name)
-
-
 def _xpath_quote(text: str) -> str:
     if '"' not in text:
         return f'"{text}"'
