@@ -66,3 +66,17 @@ def test_referenced_views(spark):
         "input", "output"}
     assert referenced_views(views, "SELECT x FROM input WHERE x IN (SELECT length(y) FROM output)") \
         == {"input", "output"}
+
+
+def test_referenced_views_uses_the_flows_ansi_mode(spark):
+    from rillet.operators.sql_stage import referenced_views
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        views = {"input": spark.createDataFrame([], "x int"),
+                 "output": spark.createDataFrame([], "size string")}
+        text = "SELECT SUM(size), COUNT(*), MIN(size), MAX(size) FROM output"
+        assert referenced_views(views, text, ansi=False) == {"output"}
+        assert spark.conf.get("spark.sql.ansi.enabled") == "true"   # restored
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
