@@ -15,7 +15,7 @@ KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 #: Proposals. Leftmost, non-overlapping and greedy as the plain forms would be:
 #: a local part starts at the start of a run or where the last address ended, a

@@ -100,27 +100,28 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, scale: float = 256.
     n, nq = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("q").cast("long")), F.lit(0))).first()
     shards, blocks = max(1, -(-n // BLOCK_VECTORS)), max(1, -(-nq // BLOCK_QUERIES))
     home = F.xxhash64("uid")
-    theirs = (rows.select("id", "x", "uid", "dim", F.pmod(home, F.lit(shards)).cast("int").alias("shard"),
-                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("qblock")))
-    ours = (rows.filter("q").select("id", "x", "uid", "dim", F.pmod(home, F.lit(blocks)).cast("int").alias("qblock"),
-                                    F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")))
+    ours = rows.filter("q").select("id", "x", "uid", "dim", F.pmod(home, F.lit(blocks)).cast("int").alias("qblock"),
+                                   F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    # names of its own on the other side: the two sides come from one table
+    theirs = rows.select(F.col("id").alias("cid"), F.col("x").alias("cx"), F.col("uid").alias("cuid"),
+                         F.col("dim").alias("cdim"), F.pmod(home, F.lit(shards)).cast("int").alias("cshard"),
+                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cblock"))
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "quid", "vec_id", "score"]
         if not len(q) or not len(c):
             return pd.DataFrame({n: np.zeros(0, dtype=np.int64) for n in names})
         dim = int(q["dim"].iloc[0])
-        exact = np.array(c["x"].tolist(), dtype=np.int64).reshape(len(c), dim)
+        exact = np.array(c["cx"].tolist(), dtype=np.int64).reshape(len(c), dim)
         asked = np.array(q["x"].tolist(), dtype=np.int64).reshape(len(q), dim)
-        place = {u: i for i, u in enumerate(c["uid"].tolist())}
+        place = {u: i for i, u in enumerate(c["cuid"].tolist())}
         own = np.array([place.get(u, -1) for u in q["uid"].tolist()])
         out = [(qid, uid, vid, score) for qid, uid, best in
-               zip(q["id"].tolist(), q["uid"].tolist(), VaFile(exact).search(asked, own, c["id"].to_numpy(), k))
+               zip(q["id"].tolist(), q["uid"].tolist(), VaFile(exact).search(asked, own, c["cid"].to_numpy(), k))
                for score, vid in best]
         return pd.DataFrame(out, columns=names, dtype=np.int64)
 
-    keys = ["dim", "shard", "qblock"]
-    best = (ours.groupBy(*keys).cogroup(theirs.groupBy(*keys))
+    best = (ours.groupBy("dim", "shard", "qblock").cogroup(theirs.groupBy("cdim", "cshard", "cblock"))
             .applyInPandas(search, "query_id long, quid long, vec_id long, score long"))
     order = Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

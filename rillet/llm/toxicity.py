@@ -154,7 +154,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", sample_rows:
                   .withColumn("z", (F.col("toxic") - expect) / F.sqrt(expect + 1))
                   .filter((F.col("z") >= least_score) & (F.col("toxic") >= least_lift * expect))
                   .orderBy(F.desc("z"), "word").limit(toxic_words).collect())
-        common = counts.orderBy(F.desc("ordinary"), "word").limit(ordinary_words).collect()
+        common = counts.filter("ordinary > 0").orderBy(F.desc("ordinary"), "word").limit(ordinary_words).collect()
     finally:
         counts.unpersist()
     windows = [b" " + bytes(r.word) + b" " for r in common]
