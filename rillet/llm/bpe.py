@@ -34,10 +34,11 @@ class WordBpe:
     """Encoder and decoder for a ``tokenizers`` file of a BPE with end-of-word suffix.
 
     Normalizer and pre-tokenizer of the file are used as they are; merges, added
-    tokens and decoding are done here. ``cache_words`` bounds the memo of words.
+    tokens and decoding are done here. ``cache_words`` bounds the memo: two
+    generations of that many words, so that words in use outlive the rare ones.
     """
 
-    def __init__(self, path: str, cache_words: int = 600_000):
+    def __init__(self, path: str, cache_words: int = 200_000):
         import ahocorasick
         from tokenizers import Tokenizer
 
@@ -106,6 +107,7 @@ class WordBpe:
         self._bytes_as = {b: self._split_one(bytes([b])) for b in range(256)}
         self._limit = cache_words
         self._chunks: dict[bytes, tuple[int, ...]] = {}
+        self._older: dict[bytes, tuple[int, ...]] = {}
         self._words: dict[str, tuple[int, ...]] = {}
 
     # -- pair compatibility ---------------------------------------------------
@@ -135,7 +137,7 @@ class WordBpe:
                 until, b = rb + 1, self.left[b]
 
     def _fit(self, a: int, b: int) -> bool:
-        if len(self._fits) > 2_000_000:
+        if len(self._fits) > 300_000:
             self._fits.clear()
         got = self._fits[a << 32 | b] = self._no_earlier(a, b, float("inf"))
         return got
@@ -198,17 +200,22 @@ class WordBpe:
         return [p.encode("utf-8").decode("latin-1").translate(self._bytes_as) for p in self._latin_split(word)]
 
     def _chunk(self, chunk: bytes) -> tuple[int, ...]:
-        out: list[int] = []
-        words = self._words
-        for piece in self._pieces(chunk):
-            ids = words.get(piece)
-            if ids is None:
-                if len(words) >= self._limit:
-                    words.clear()
-                ids = words[piece] = self.encode_word(piece)
-            out += ids
-        ids = tuple(out)
+        """Ids of a blank-delimited chunk that the younger memo does not hold."""
+        ids = self._older.get(chunk)
+        if ids is None:
+            out: list[int] = []
+            words = self._words
+            for piece in self._pieces(chunk):
+                got = words.get(piece)
+                if got is None:
+                    if len(words) >= self._limit:
+                        words.clear()
+                    got = words[piece] = self.encode_word(piece)
+                out += got
+            ids = tuple(out)
         if len(self._chunks) >= self._limit:
+            # cleared in place: the caller holds the younger memo's lookup
+            self._older = dict(self._chunks)
             self._chunks.clear()
         self._chunks[chunk] = ids
         return ids

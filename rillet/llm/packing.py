@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from .bpe import crc32_ids, open_bpe
 
 
+TOKENS_HELD = 1 << 20  # a task hands its pieces on after about this many tokens
+
+
 def piece_lengths(n: int, max_length: int) -> list[int]:
     """Lengths of the pieces of ``n`` tokens: powers of two of at most ``max_length``."""
     full, rest = divmod(n, max_length)
@@ -40,10 +43,15 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
     schema = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, bucket int" + \
         ", ids array<int>" * with_ids
 
+    def frame(rows):
+        out = pd.DataFrame(rows, columns=names)
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
+
     def run(batches):
         bpe = open_bpe(path)
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for d, t in zip(batch["doc_id"], batch["text"]):
                 ids = np.array([*bpe.encode(t), end_id], dtype="<u4")
                 d, n, start = None if pd.isna(d) else int(d), len(ids), 0
@@ -52,9 +60,12 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
                     row = (d, start, size, n, crc32_ids(piece), size.bit_length() - 1)
                     rows.append((*row, piece.astype(np.int32)) if with_ids else row)
                     start += size
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+                held += n
+                if held >= TOKENS_HELD:
+                    yield frame(rows)
+                    rows, held = [], 0
+            if rows:
+                yield frame(rows)
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return (source.mapInPandas(run, schema)

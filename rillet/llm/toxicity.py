@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 CARRIER = b"|#0q7Zk2~Vx9^Jw4=Lm8;Rt6?Bn3!Hd5"
 GAINS = (2, 3, 4, 5, 6)  # thresholds whose exceedances are counted
-MEMO = 400_000
+MEMO = 150_000
 
 
 def words_of(text: str | None) -> list[bytes]:
