@@ -1,7 +1,8 @@
 """Rule functions: ``(namespace, name, argument kinds) -> Column builder``.
 
 A rule names a class and a method; here the class is a namespace looked up by
-its simple name (the text after the last dot), and the method is resolved
+its full name (a class registered without a package answers for any package; a
+name asked for without one must be unambiguous), and the method is resolved
 against the argument kinds **once, when the plan is built**. Boxed and
 primitive spellings share one kind, matching is exact (no widening).
 
@@ -52,7 +53,7 @@ class FunctionRegistry:
                  build: Callable[..., Column]) -> FunctionDef:
         """Register a Column builder; types are type names such as ``"Integer"`` or ``"int"``."""
         kinds = tuple(kind_of(t) for t in arg_types)
-        fdef = FunctionDef(simple_name(namespace), name, kinds, kind_of(return_type), build)
+        fdef = FunctionDef(namespace, name, kinds, kind_of(return_type), build)
         self._defs[(fdef.namespace, name, kinds)] = fdef
         return fdef
 
@@ -71,10 +72,25 @@ class FunctionRegistry:
     def namespaces(self) -> set[str]:
         return {ns for ns, _, _ in self._defs}
 
-    def resolve(self, namespace: str, name: str, arg_kinds: Sequence[str]) -> FunctionDef:
-        ns = simple_name(namespace)
-        if ns not in self.namespaces():
+    def _find(self, namespace: str) -> str:
+        """The registered namespace a rule's class names: the same full name, or one
+        registered (or asked for) without a package, if only one class can be meant."""
+        known = self.namespaces()
+        if namespace in known:
+            return namespace
+        short = simple_name(namespace)
+        if short != namespace:  # a full name: only a class registered without package can be it
+            found = [short] if short in known else []
+        else:
+            found = sorted(n for n in known if simple_name(n) == short)
+        if len(found) > 1:
+            raise SchemaError(f"function class {namespace!r} is ambiguous: {found}")
+        if not found:
             raise SchemaError(f"unknown function class {namespace!r}")
+        return found[0]
+
+    def resolve(self, namespace: str, name: str, arg_kinds: Sequence[str]) -> FunctionDef:
+        ns = self._find(namespace)
         fdef = self._defs.get((ns, name, tuple(arg_kinds)))
         if fdef is None:
             known = sorted(d.signature() for (n, m, _), d in self._defs.items()

@@ -13,12 +13,10 @@ analysis, and the session setting is restored afterwards.
 
 from __future__ import annotations
 
-import logging
 import threading
 from collections.abc import Mapping
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,35 +48,38 @@ def run_sql(views: Mapping[str, DataFrame], text: str, ansi: bool = False,
         return spark.sql(text)
 
 
+@contextmanager
+def borrowed_views(spark: SparkSession, names):
+    """Temp view names used for a while: the caller's own views of these names are
+    back afterwards, and names that were free are free again."""
+    with _lock:
+        names = list(names)
+        temporary = {r.viewName.lower() for r in spark.sql("SHOW VIEWS").collect() if r.isTemporary}
+        before = {n: spark.table(f"`{n}`") if n.lower() in temporary else None for n in names}
+        try:
+            yield
+        finally:
+            for name, df in before.items():
+                if df is None:
+                    spark.catalog.dropTempView(name)
+                else:
+                    df.createOrReplaceTempView(name)
+
+
 def referenced_views(views: Mapping[str, DataFrame], text: str,
                      spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
-    """The names in ``views`` that ``text`` reads, found by Spark's analyser:
-    the text is analysed (not run) with each view left out in turn, and a
-    missing-table error means it is needed. Pass cheap stand-ins (empty
-    DataFrames with the views' schemas)."""
+    """The names in ``views`` that ``text`` reads: all views are registered, the text is
+    analysed once (not run), and the view names are read from the analysed plan. Names
+    are compared as Spark resolves them, without regard to case. Functions and views of
+    the session can be used in the text; the session's own views are left as they were.
+    Pass cheap stand-ins (empty DataFrames with the views' schemas)."""
     if spark is None:
         spark = next(iter(views.values())).sparkSession
-    needed = set()
-    # the missing-table errors are expected here: keep them out of the log
-    quiet = logging.getLogger("SQLQueryContextLogger")
-    was_disabled, quiet.disabled = quiet.disabled, True
-    try:
-        with ansi_mode(spark, ansi):
-            for left_out in views:
-                for name, df in views.items():
-                    if name != left_out:
-                        df.createOrReplaceTempView(name)
-                spark.catalog.dropTempView(left_out)
-                try:
-                    spark.sql(text)
-                except AnalysisException as e:
-                    if "TABLE_OR_VIEW_NOT_FOUND" in str(e) and left_out in str(e):
-                        needed.add(left_out)
-                    else:
-                        raise
-    finally:
-        quiet.disabled = was_disabled
-    return needed
+    with borrowed_views(spark, views), ansi_mode(spark, ansi):
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        plan = spark.sql(text)._jdf.queryExecution().analyzed().treeString().lower()
+    return {name for name in views if f"view (`{name.lower()}`" in plan}
 
 
 def stringify(df: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from ..session import scratch_dir
 from ..types import SchemaError
 from .render import render
-from .sql_stage import ansi_mode, run_sql
+from .sql_stage import ansi_mode, borrowed_views, run_sql
 
 WINDOW_START = "window_start"
 WINDOW_END = "window_end"
@@ -187,16 +187,13 @@ class SlideStage:
     """
 
     def __init__(self, spark: SparkSession, time_col: str, length, slide=None, start=None,
-                 root: str | None = None, single_task_rows: int = 1_000_000):
+                 root: str | None = None):
         self.spark = spark
         self.time_col = time_col
         self.length_us = duration_us(length)
         self.slide_us = duration_us(length if slide is None else slide)
         self.start_us = duration_us(start) if start else 0
         self.bucket_us = math.gcd(self.length_us, self.slide_us)
-        # a window holding at most this many staged rows runs as one task
-        # (no exchange at all); larger windows keep the parallel plan
-        self.single_task_rows = single_task_rows
         self.root = root or scratch_dir(spark, "stage")
         self.ntz: bool | None = None
         self.names: list[str] = []
@@ -248,7 +245,8 @@ class SlideStage:
             written = {b: n for b, n in written.items() if b is not None}
         # Rows of one bucket go to one writer task (few files per bucket, not
         # one per task and bucket); AQE splits a hot bucket over several tasks.
-        (out.hint("rebalance", BUCKET).write.mode("overwrite")
+        # Without a batch id rows are added; with one, the batch's own files are replaced.
+        (out.hint("rebalance", BUCKET).write.mode("append" if batch_id is None else "overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts).parquet(self.path(name)))
         self._schemas[name] = out.schema
@@ -262,6 +260,28 @@ class SlideStage:
         else:
             self._counts.pop(name, None)   # counted again when next needed
 
+    def restore(self, name: str, schema: T.StructType) -> bool:
+        """Take up view ``name`` (rows of ``schema``) as an earlier run staged it, with
+        its buckets and their row counts; False if nothing was staged."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return False
+        self.ntz = isinstance(schema[self.time_col].dataType, T.TimestampNTZType)
+        if name not in self.names:
+            self.names.append(name)
+        self._schemas[name] = T.StructType([*schema.fields, T.StructField(BUCKET, T.LongType()),
+                                            T.StructField("_batch", T.LongType())])
+        self._read[name] = self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
+        rows = self._read[name].groupBy(BUCKET, "_batch").count().collect()
+        counts: dict[int, int] = {}
+        for r in rows:
+            if r[0] is not None:
+                counts[r[0]] = counts.get(r[0], 0) + r[2]
+        self._counts[name] = counts
+        self._batches[name] = {r[1] for r in rows}
+        return True
+
     def bucket_of(self, df: DataFrame) -> Column:
         """The slide bucket of each row of ``df`` (a long)."""
         return self._bucket_of(df)
@@ -371,10 +391,7 @@ class SlideStage:
             return session.createDataFrame([], schema).drop(BUCKET, "_batch")
         if base is None:
             base = self._read_buckets(name, present, session)
-        df = base.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
-        if sum(counts[b] for b in present) <= self.single_task_rows:
-            df = df.coalesce(1)   # small window: one task, and no exchange downstream
-        return df
+        return base.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
 
     def _read_buckets(self, name: str, buckets, session: SparkSession) -> DataFrame:
         paths = [f"{self.path(name)}/{BUCKET}={b}" for b in sorted(buckets)]
@@ -416,53 +433,62 @@ class SlideStage:
             return None
         out = out or f"{self.root}/_results"
         chunks = [windows[i:i + chunk] for i in range(0, len(windows), chunk)]
-        if len(chunks) == 1 or workers <= 1:
-            for c in chunks:
-                self._run_chunk(text, c, out, ansi)
+        with borrowed_views(self.spark, [*self.names, *self.derived, *map(_chunk_view, self.names)]):
+            # analysis takes turns in the caller's session (whose functions and views the
+            # text may use); the chunks' jobs run at the same time
+            plans = [self._plan_chunk(text, c, ansi) for c in chunks]
+        if len(plans) == 1 or workers <= 1:
+            for plan in plans:
+                self._write_chunk(plan, out)
         else:
-            with ThreadPoolExecutor(max_workers=min(workers, len(chunks))) as pool:
-                for f in [pool.submit(self._run_chunk, text, c, out, ansi) for c in chunks]:
+            with ThreadPoolExecutor(max_workers=min(workers, len(plans))) as pool:
+                for f in [pool.submit(self._write_chunk, plan, out) for plan in plans]:
                     f.result()
-        ends = [w[1] for w in windows]
-        results = self.spark.read.parquet(out).where(F.col(_WEND).isin(ends))
+        results = self._results(out, [w[1] for w in windows], plans[0].schema)
         if text_out:
             cols = [c for c in results.columns if c not in (WINDOW_START, WINDOW_END, _WEND)]
             (render(results, "row", cols, keep=[_WEND]).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic").partitionBy(_WEND).text(text_out))
         return results.drop(_WEND)
 
-    def _run_chunk(self, text: str, windows, out: str, ansi: bool) -> None:
-        # Staged views can be read in a session of the worker's own, so the
-        # chunks' views and analyses do not wait for each other; direct views
-        # belong to the caller's session and share it under the lock.
-        session = self.spark if self.direct else self._worker_session(ansi)
+    def _results(self, out: str, ends: list[int], schema: T.StructType) -> DataFrame:
+        """The results of the windows that end at ``ends``: only their folders are read,
+        with the known schema; windows without a result row have none."""
+        jvm, hconf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        paths = [f"{out}/{_WEND}={e}" for e in ends]
+        fs = jvm.org.apache.hadoop.fs.Path(out).getFileSystem(hconf)
+        there = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", out).parquet(*there)
+
+    def _plan_chunk(self, text: str, windows, ansi: bool) -> DataFrame:
+        """The analysed union of the text over a chunk of windows."""
+        session = self.spark
         bases = self._chunk_read(windows, session)
-        # fast path (all views staged with known schemas, none derived): each
-        # window's view is one SQL definition over the chunk's read
-        by_sql = (session is not self.spark and not self.derived
-                  and all(n in self._schemas for n in self.names))
-        if by_sql:
-            for name, base in bases.items():
-                base.createOrReplaceTempView(_chunk_view(name))
+        # all views staged with known schemas, none derived: each window's view is one SQL
+        # definition over the chunk's read
+        by_sql = not self.direct and not self.derived and all(n in self._schemas for n in self.names)
         parts = []
-        for w in windows:
+        with ansi_mode(session, ansi):
             if by_sql:
-                res = self._analyse_by_sql(session, w, text, bases)
-            elif session is self.spark:
-                views = self.window_views(w, session, bases)
-                with ansi_mode(session, ansi):  # holds the session lock
-                    res = _analyse(session, views, text)
-            else:
-                res = _analyse(session, self.window_views(w, session, bases), text)
-            parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
-                                    ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
-                                    F.lit(w[1]).alias(_WEND), *res.columns))
+                for name, base in bases.items():
+                    base.createOrReplaceTempView(_chunk_view(name))
+            for w in windows:
+                res = (self._analyse_by_sql(session, w, text, bases) if by_sql
+                       else _analyse(session, self.window_views(w, session, bases), text))
+                parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
+                                        ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
+                                        *res.columns, F.lit(w[1]).cast("long").alias(_WEND)))
         # every part has the text's columns in the same order: a balanced tree of
         # positional unions analyses n log n nodes, not n squared
         while len(parts) > 1:
             parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
                      for i in range(0, len(parts), 2)]
-        (parts[0].write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        return parts[0]
+
+    def _write_chunk(self, plan: DataFrame, out: str) -> None:
+        (plan.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(_WEND).parquet(out))
 
     def _analyse_by_sql(self, session: SparkSession, window, text: str,
@@ -477,25 +503,14 @@ class SlideStage:
             if name not in bases or rows == 0:
                 session.createDataFrame([], schema).drop(BUCKET, "_batch").createOrReplaceTempView(name)
                 continue
-            hint = "/*+ COALESCE(1) */ " if rows <= self.single_task_rows else ""
             cols = ", ".join(_quote(c) for c in keep)
-            session.sql(f"CREATE OR REPLACE TEMP VIEW {_quote(name)} AS SELECT {hint}{cols} "
-                        f"FROM {_chunk_view(name)} WHERE {BUCKET} BETWEEN {lo} AND {hi}")
+            session.sql(f"CREATE OR REPLACE TEMP VIEW {_quote(name)} AS SELECT {cols} "
+                        f"FROM {_quote(_chunk_view(name))} WHERE {BUCKET} BETWEEN {lo} AND {hi}")
         return session.sql(text)
 
-    def _worker_session(self, ansi: bool) -> SparkSession:
-        """A new session on the same context, with the caller's SQL settings."""
-        session = self.spark.newSession()
-        conf = self.spark.conf.getAll
-        for k, v in (conf() if callable(conf) else conf).items():
-            if k.startswith("spark.sql.") and session.conf.isModifiable(k):
-                session.conf.set(k, v)
-        session.conf.set("spark.sql.ansi.enabled", "true" if ansi else "false")
-        return session
-
 
 def _chunk_view(name: str) -> str:
-    return _quote(f"__rillet_chunk_{name}")
+    return f"__rillet_chunk_{name}"
 
 
 def _quote(name: str) -> str:

@@ -155,3 +155,6 @@ ORACLE_SQL = {
         "COALESCE(NULLIF(event_type, 'click'), 'C') AS c, "
         "CASE WHEN value > 100 THEN 'hi' ELSE 'lo' END AS f FROM events"),
 }
+
+# late rows and restarts must not change any window
+ORACLE_SQL["stream_late_rows"] = ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_flow_windows"]

@@ -19,7 +19,7 @@ from ..operators.rules import apply_rules
 from ..operators.sql_stage import run_sql, stringify
 from ..operators.union import tagged_union
 from ..operators.windows import window_agg
-from ..sources.lines import ARRIVAL, spread, table_lines, xml_entries
+from ..sources.lines import ARRIVAL, table_lines, xml_entries
 from .flow import LogFlow
 
 HOURS_18 = "18 hours"
@@ -27,7 +27,7 @@ HOURS_6 = "6 hours"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # -- shared flows -------------------------------------------------------------
@@ -334,44 +334,72 @@ def q_shipped_settings_flow(spark, sf_dir):
     return flow.window_sql_each(raw)
 
 
-def q_stream_flow_windows(spark, sf_dir):
-    """The streaming runner on the whole ``events`` table: lines are written once
-    as files, read back as a stream in several micro-batches (parse, stage per
-    batch id), and every window is run at the end (lateness covers the span)."""
-    from ..session import scratch_dir
+def _line_files(spark, lines, root, *order) -> DataFrame:
+    """``lines`` written as files (as many as their size asks for) by ``order`` and read as
+    a stream in several micro-batches."""
+    lines.repartitionByRange(*order).write.parquet(f"{root}/src")
+    return _line_stream(spark, lines, root)
+
+
+def _line_stream(spark, lines, root) -> DataFrame:
+    files = len(spark.read.schema(lines.schema).parquet(f"{root}/src").inputFiles())
+    return (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", str(-(-files // 4)))
+            .parquet(f"{root}/src"))
+
+
+def _run_stream(stream, root, flush=True):
     from ..streaming import FlowStream
-    root = scratch_dir(spark, "stream-query")
-    lines = event_lines(spark, sf_dir)
-    # four files of consecutive arrival times, as a log stream delivers them
-    lines.repartitionByRange(4, ARRIVAL).write.parquet(f"{root}/src")
-    stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "1")
-              .parquet(f"{root}/src"))
-    flow = event_flow(window_sql=WINDOW_INPUT_SQL)
-    runner = FlowStream(flow, stream, sql_output_path=f"{root}/windows",
-                        checkpoint=f"{root}/checkpoint", lateness="31 days")
+    runner = FlowStream(event_flow(window_sql=WINDOW_INPUT_SQL), stream, sql_output_path=f"{root}/windows",
+                        checkpoint=f"{root}/checkpoint")
     query = runner.start(available_now=True)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    runner.flush()
+    if flush:
+        runner.flush()
+
+
+def _stream_root(spark):
+    from ..session import scratch_dir
+    return scratch_dir(spark, "stream-query")
+
+
+def q_stream_flow_windows(spark, sf_dir):
+    """The streaming runner on the whole ``events`` table: lines are written once
+    as files, read back as a stream in several micro-batches (parse, stage per
+    batch id); windows run as arrival times close them, the last ones at the end."""
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    _run_stream(_line_files(spark, lines, root, F.col(ARRIVAL)), root)
+    return spark.read.parquet(f"{root}/windows").drop("_wend")
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """The runner on lines dealt to the micro-batches by a hash: every batch brings rows of
+    windows that ran before, which are completed."""
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    _run_stream(_line_files(spark, lines, root, F.xxhash64("value")), root)
+    return spark.read.parquet(f"{root}/windows").drop("_wend")
+
+
+def q_stream_restart(spark, sf_dir):
+    """The runner on half of the lines, flushed and gone; a second one takes up its
+    checkpoint and staged rows when the other half has arrived, out of order."""
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    _run_stream(_line_files(spark, lines.where(half == 0), root, F.col(ARRIVAL)), root)
+    lines.where(half == 1).repartitionByRange(F.col(ARRIVAL)).write.mode("append").parquet(f"{root}/src")
+    _run_stream(_line_stream(spark, lines, root), root)
     return spark.read.parquet(f"{root}/windows").drop("_wend")
 
 
 def q_stream_native_window_stats(spark, sf_dir):
     """Native streaming statistics on the whole ``events`` table: lines as a file
-    stream, ``withWatermark`` + ``groupBy(window)`` in the state store, update
-    mode written per window end. The watermark delay covers the span, so no
-    line is late whatever order the files are read in."""
-    from ..session import scratch_dir
+    stream, ``groupBy(window)`` in the state store, update mode written per window
+    end. Without a watermark no line is late whatever order the files are read in."""
     from ..streaming import stream_window_stats, write_window_updates
-    root = scratch_dir(spark, "native-stream-query")
-    lines = event_lines(spark, sf_dir)
-    lines.repartitionByRange(4, ARRIVAL).write.parquet(f"{root}/src")
-    stream = (spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "1")
-              .parquet(f"{root}/src"))
-    stats = stream_window_stats(event_flow(), stream, "value", watermark="31 days")
-    query = write_window_updates(stats, f"{root}/windows", f"{root}/checkpoint",
-                                 available_now=True)
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    stats = stream_window_stats(event_flow(), _line_files(spark, lines, root, F.col(ARRIVAL)), "value", watermark=None)
+    query = write_window_updates(stats, f"{root}/windows", f"{root}/native", available_now=True)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
@@ -380,7 +408,7 @@ def q_stream_native_window_stats(spark, sf_dir):
 
 
 def q_tagged_union(spark, sf_dir):
-    views = keyed_flow().views(keyed_lines(spark, sf_dir))
+    views = keyed_flow().views(keyed_lines(spark, sf_dir), materialize=True)
     both = tagged_union(views["input"], views["output"])
     return window_agg(both, ARRIVAL, HOURS_18, HOURS_6, by=["tag"],
                       aggs=[F.count(F.lit(1)).alias("cnt")])
@@ -394,13 +422,13 @@ def q_sql_distinct(spark, sf_dir):
 
 
 def q_sql_semi_join(spark, sf_dir):
-    views = keyed_flow().views(keyed_lines(spark, sf_dir))
+    views = keyed_flow().views(keyed_lines(spark, sf_dir), materialize=True)
     return run_sql(views, "SELECT uid, event_type FROM input "
                           "WHERE uid IN (SELECT k FROM output WHERE size LIKE '1%')")
 
 
 def q_sql_outer_joins(spark, sf_dir):
-    views = keyed_flow().views(keyed_lines(spark, sf_dir))
+    views = keyed_flow().views(keyed_lines(spark, sf_dir), materialize=True)
     return run_sql(views, (
         "SELECT 'left' AS kind, COUNT(*) AS n, COUNT(o.k) AS matched FROM input i "
         "LEFT JOIN (SELECT k FROM output WHERE size LIKE '1%') o ON i.uid = o.k "
@@ -413,7 +441,7 @@ def q_sql_outer_joins(spark, sf_dir):
 
 
 def q_sql_set_ops(spark, sf_dir):
-    views = keyed_flow().views(keyed_lines(spark, sf_dir))
+    views = keyed_flow().views(keyed_lines(spark, sf_dir), materialize=True)
     return run_sql(views, (
         "SELECT 'union' AS op, x FROM (SELECT event_type AS x FROM input "
         "UNION SELECT upper(event_type) FROM input) "
@@ -466,6 +494,8 @@ QUERIES = {
     "window_sql_join": q_window_sql_join,
     "shipped_settings_flow": q_shipped_settings_flow,
     "stream_flow_windows": q_stream_flow_windows,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_restart": q_stream_restart,
     "stream_native_window_stats": q_stream_native_window_stats,
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,

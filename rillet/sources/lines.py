@@ -54,22 +54,6 @@ def xml_line(fields: Sequence[str], root: str = "xml") -> Column:
     return F.concat(F.lit(f"<{root}>"), xml_entries(fields), F.lit(f"</{root}>"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread ``df`` round-robin over ``min_partitions`` tasks (default: the
-    session's parallelism) when its source yields fewer, e.g. one large row
-    group or one Kafka partition, so that the CPU-heavy parse uses every core.
-    A source that already has enough partitions is returned unchanged, so
-    large inputs pay no extra shuffle."""
-    if df.isStreaming:  # streams: use the source's own option (Kafka minPartitions)
-        return df
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the source as it is
-        return df
-    return df if current >= n else df.repartition(n)
-
-
 def table_lines(df: DataFrame, fields: Sequence[str], fmt: str = "separator",
                 separator: str = "\t", time_col: str | None = None, keep: Sequence[str] = (),
                 quote_all: bool = False) -> DataFrame:

@@ -1,6 +1,6 @@
 """Run a whole flow from a settings file, until stopped.
 
-    python -m rillet.streaming.app --settings settings.xml --checkpoint s3://bucket/ck \\
+    python -m rillet.streaming.app --settings settings.xml --checkpoint /shared/ck \\
         --bootstrap-servers host:9092 [--topics logs]
     python -m rillet.streaming.app --settings settings.xml --checkpoint /shared/ck \\
         --text-dir /shared/incoming --available-now
@@ -15,9 +15,11 @@ is flushed, and the program ends.
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import SparkSession
 
+from ..functions import default_registry
 from ..plans.settings import flow_from_settings
 from ..sources import kafka_lines, text_lines
 from .runner import FlowStream
@@ -25,6 +27,11 @@ from .runner import FlowStream
 
 def build(spark: SparkSession, args: argparse.Namespace) -> FlowStream:
     st = flow_from_settings(args.settings)
+    if getattr(args, "functions", None):
+        module, _, name = args.functions.partition(":")
+        registry = default_registry()
+        getattr(importlib.import_module(module), name)(registry)
+        st.flow.registry = registry
     if args.text_dir:
         lines = text_lines(spark, args.text_dir, max_files_per_trigger=args.max_files)
     else:
@@ -37,7 +44,7 @@ def build(spark: SparkSession, args: argparse.Namespace) -> FlowStream:
                       sql_output_path=f"{sql_out}/results" if sql_out else None,
                       sql_text_path=f"{sql_out}/lines" if sql_out else None,
                       checkpoint=args.checkpoint, trigger_seconds=st.batch_seconds,
-                      echo_rows=args.echo)
+                      echo_rows=args.echo, lateness=getattr(args, "lateness", None))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -50,6 +57,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-files", type=int, default=None, help="files per micro-batch")
     p.add_argument("--available-now", action="store_true",
                    help="process the data present, flush all windows, then stop")
+    p.add_argument("--lateness", default=None,
+                   help="e.g. '10 minutes': windows are final, and staged rows expire, this long "
+                        "after their end (default: windows are completed however late rows come)")
+    p.add_argument("--functions", default=None, metavar="MODULE:CALLABLE",
+                   help="called with the function registry to add rule functions of your own")
     p.add_argument("--echo", type=int, default=0, help="print up to N rows per batch")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("rillet").getOrCreate()

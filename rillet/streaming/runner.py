@@ -13,10 +13,17 @@
    lateness), writing partition ``_wend`` of ``sql_output_path`` (and, with
    ``sql_text_path``, the same rows as ``[a,b]`` text lines).
 
+No record is lost by default: without ``lateness``, a window that already ran is run
+again when a later batch brings rows for it, and staged rows stay. With ``lateness``, a
+window is final once the latest arrival is that far past its end and staged rows expire;
+lines that come later still are counted (``late_rows``) and written to ``late_path``.
+
 Empty batches write nothing. :meth:`FlowStream.flush` runs the windows still
-open when the input ends. Spark's checkpoint (``checkpoint``) makes the
-source offsets recoverable; every write is idempotent, so a batch replayed
-after a failure produces the same files.
+open when the input ends; they are provisional, a later run completes them. Spark's
+checkpoint (``checkpoint``) makes the source offsets recoverable; staged rows and a
+progress mark, written only after all windows of an emit, are taken up again after a
+restart. Every write is idempotent, so a batch replayed after a failure produces the
+same files.
 
 :func:`stream_window_stats` is the native alternative for the default
 statistics query: ``withWatermark`` + ``groupBy(window)``, with one aggregate
@@ -25,7 +32,6 @@ per open window in the state store instead of staged rows.
 
 from __future__ import annotations
 
-import re
 import threading
 import time
 from typing import NamedTuple
@@ -43,6 +49,9 @@ from ..plans.flow import DEFAULT_BATCH_SECONDS, INPUT, OUTPUT, LogFlow
 from ..session import scratch_dir
 
 
+NEVER = -(2**62)
+
+
 class _Stats(NamedTuple):
     n: int
     first: int | None
@@ -55,7 +64,7 @@ class FlowStream:
                  trigger_seconds: float = DEFAULT_BATCH_SECONDS, lateness=None,
                  output_form: str = "list", stage_root: str | None = None,
                  echo_rows: int = 0, bad_path: str | None = None, expire: bool = True,
-                 sql_text_path: str | None = None):
+                 sql_text_path: str | None = None, late_path: str | None = None):
         self.flow = flow
         self.lines = lines
         self.output_path = output_path
@@ -63,7 +72,9 @@ class FlowStream:
         self.spark = lines.sparkSession
         self.checkpoint = checkpoint or scratch_dir(self.spark, "stream")
         self.trigger_seconds = trigger_seconds
-        self.lateness_us = duration_us(lateness) if lateness else 0
+        self.lateness_us = duration_us(lateness) if lateness is not None else None
+        self.late_path = late_path or f"{self.checkpoint}/late"
+        self.late_rows = 0
         self.output_form = output_form
         self.echo_rows = echo_rows
         self.bad_path = bad_path
@@ -81,7 +92,13 @@ class FlowStream:
             self.needed = flow.needed_views(typed_schema, flow.window_sql)
             if OUTPUT in self.needed and flow.extra_sql is None:
                 self.stage.derived[OUTPUT] = lambda views: flow.derive(views[INPUT])
-        self.emitted_until = self._emitted_so_far()
+        self.closed_until, self.last_seen = self._progress()
+        if self.stage is not None:
+            empty = self.spark.createDataFrame([], typed_schema.schema)
+            if self._stages(INPUT):
+                self.stage.restore(INPUT, typed_schema.schema)
+            if self._stages(OUTPUT):
+                self.stage.restore(OUTPUT, flow.finalize(flow.derive(empty), batch_time_us=0).schema)
         self.query: StreamingQuery | None = None
         self._lock = threading.RLock()
 
@@ -104,15 +121,24 @@ class FlowStream:
         while not query.awaitTermination(self.trigger_seconds):
             self.tick()
 
+    def _stages(self, name: str) -> bool:
+        if name == INPUT:
+            return INPUT in self.needed or self.flow.extra_sql is None
+        return OUTPUT in self.needed and self.flow.extra_sql is not None
+
     def tick(self, now_us: int | None = None) -> None:
         """Emit the windows that ended before ``now_us`` (default: the wall
-        clock) minus the lateness, whether or not new lines arrived."""
+        clock) minus the lateness, if the last trigger found no new lines."""
         if self.stage is None or not self.stage.names:
             return
+        if self.query is not None:
+            last = self.query.lastProgress
+            if last is None or last["numInputRows"]:
+                return  # lines are still coming in: their arrival times close windows
         if now_us is None:
             now_us = time.time_ns() // 1000
         with self._lock:
-            self._emit(now_us - self.lateness_us)
+            self._emit(now_us - (self.lateness_us or 0), set())
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         with self._lock:
@@ -122,6 +148,7 @@ class FlowStream:
         flow = self.flow
         # each line is parsed once per batch; good and bad rows come from the cache
         quarantine = flow.on_error == "quarantine"
+        stats = None
         parsed = (flow.parse_checked(batch) if quarantine else flow.parse(batch)).persist()
         typed = good_rows(parsed) if quarantine else parsed
         try:
@@ -132,8 +159,8 @@ class FlowStream:
                           .agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("first"),
                                F.max(micros).alias("last")).collect())
             stats = _Stats(sum(r.n for r in per_bucket),
-                           min((r.first for r in per_bucket), default=None),
-                           max((r.last for r in per_bucket), default=None))
+                           min((r.first for r in per_bucket if r.first is not None), default=None),
+                           max((r.last for r in per_bucket if r.last is not None), default=None))
             if self.bad_path and quarantine:
                 (bad_rows(parsed).withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
@@ -141,6 +168,8 @@ class FlowStream:
             if stats.n == 0:
                 return
             final = flow.finalize(flow.derive(typed), batch_time_us=stats.first)
+            if flow.extra_sql is not None:
+                final = final.persist()  # several outputs read it; the text runs once
             cols = [c for c in final.columns if c != flow.time_col]
             if self.echo_rows:
                 echo(batch.select("value"), self.echo_rows, f"batch {batch_id} lines:")
@@ -151,54 +180,92 @@ class FlowStream:
                 (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .partitionBy("batch_id").text(self.output_path))
             if self.stage is not None:
-                if INPUT in self.needed or flow.extra_sql is None:
+                self._keep_late(typed, batch_id)
+                if self._stages(INPUT):
                     self.stage.append(INPUT, typed, batch_id, track=True,
                                       counts={r.b: r.n for r in per_bucket})
-                if OUTPUT in self.needed and flow.extra_sql is not None:
+                if self._stages(OUTPUT):
                     self.stage.append(OUTPUT, final, batch_id, track=True)
-                self._emit(stats.last - self.lateness_us)
+                if stats.last is not None:
+                    self.last_seen = max(self.last_seen, stats.last)
+                    self._emit(self.last_seen - (self.lateness_us or 0),
+                               {r.b for r in per_bucket if r.b is not None})
         finally:
+            if flow.extra_sql is not None and stats is not None and stats.n:
+                final.unpersist()
             parsed.unpersist()
 
+    def _keep_late(self, typed: DataFrame, batch_id: int) -> None:
+        """With a lateness: rows of windows that are final go to the late rows' table."""
+        if self.lateness_us is None or self.closed_until <= NEVER:
+            return
+        # the first window of a row is final if it ended by then
+        start, slide, length = self.stage.start_us, self.stage.slide_us, self.stage.length_us
+        at = micros_of(typed, self.flow.time_col) - F.lit(start)
+        last_start = at - F.pmod(at, F.lit(slide))
+        first_end = last_start - F.lit((length - 1) // slide * slide) + F.lit(length)
+        first_end = F.when(first_end > at, first_end).otherwise(first_end + F.lit(slide)) + F.lit(start)
+        late = typed.where(first_end <= F.lit(self.closed_until))
+        n = late.count()
+        if n:
+            self.late_rows += n
+            (late.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.late_path))
+
     def flush(self) -> None:
-        """Run every window not yet emitted, including those still open."""
+        """Run every window that is not final, those still open included. They count as
+        provisional: rows of a later batch or run complete them."""
         if self.stage is not None and self.stage.names:
             with self._lock:
-                self._emit(None)
+                due = [w for w in self.stage.windows() if w[1] > self.closed_until]
+                self._run(due)
 
-    def _emit(self, closed_before_us: int | None) -> None:
+    def _emit(self, closed_before_us: int, touched: set[int]) -> None:
+        again: set[tuple[int, int]] = set()
+        if self.lateness_us is None and touched:
+            again = {w for w in self.stage.windows(touched) if w[1] <= self.closed_until}
         due = [w for w in self.stage.windows()
-               if w[1] > self.emitted_until and (closed_before_us is None
-                                                 or w[1] <= closed_before_us)]
-        if due:
-            res = self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
-                                 ansi=self.flow.ansi, text_out=self.sql_text_path)
-            self.emitted_until = max(w[1] for w in due)
-            if closed_before_us is not None and self.expire:
+               if self.closed_until < w[1] <= closed_before_us or w in again]
+        if not due:
+            return
+        self._run(due)
+        last = max(w[1] for w in due)
+        if last > self.closed_until:
+            self.closed_until = last
+            self._mark_progress()
+            if self.lateness_us is not None and self.expire:
                 # buckets wholly before the earliest window still to come
-                self.stage.expire(self.emitted_until - self.stage.length_us
-                                  + self.stage.slide_us)
-            if self.echo_rows and res is not None:
-                echo(res, self.echo_rows, "window results:")
-
-    def _emitted_so_far(self) -> int:
-        """Latest window end already written (resume after a restart)."""
-        if not self.sql_output_path:
-            return -(2**63)
-        try:
-            files = self.spark.read.parquet(self.sql_output_path).inputFiles()
-        except Exception:  # nothing written yet
-            return -(2**63)
-        ends = [int(m.group(1)) for f in files if (m := re.search(r"/_wend=(-?\d+)/", f))]
-        return max(ends, default=-(2**63))
+                self.stage.expire(self.closed_until - self.stage.length_us + self.stage.slide_us)
+
+    def _run(self, due: list[tuple[int, int]]) -> None:
+        if not due:
+            return
+        res = self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
+                             ansi=self.flow.ansi, text_out=self.sql_text_path)
+        if self.echo_rows and res is not None:
+            echo(res, self.echo_rows, "window results:")
+
+    def _mark_progress(self) -> None:
+        """After all windows up to ``closed_until`` are written; marks only grow."""
+        (self.spark.range(1).select(F.lit(self.closed_until).alias("closed"), F.lit(self.last_seen).alias("seen"))
+             .write.mode("append").json(f"{self.checkpoint}/progress"))
+
+    def _progress(self) -> tuple[int, int]:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.checkpoint}/progress")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return NEVER, NEVER
+        row = (self.spark.read.schema("closed long, seen long").json(f"{self.checkpoint}/progress")
+               .agg(F.max("closed"), F.max("seen")).first())
+        return (NEVER, NEVER) if row[0] is None else (row[0], row[1])
 
 
 def stream_window_stats(flow: LogFlow, lines: DataFrame, value_field: str,
-                        watermark: str = "0 seconds") -> DataFrame:
+                        watermark: str | None = "0 seconds") -> DataFrame:
     """Path N on a stream: per-window sum, count, min, max of one input field.
 
     Write it with ``outputMode("update")`` for early results, or ``"append"``
-    for one final row per window once the watermark passes its end.
+    for one final row per window once the watermark passes its end. ``watermark=None``
+    (update mode only) loses no row however late; state is one aggregate a window for ever.
     """
     typed = flow.parse(lines)
     ntz = isinstance(typed.schema[flow.time_col].dataType, T.TimestampNTZType)
@@ -206,7 +273,8 @@ def stream_window_stats(flow: LogFlow, lines: DataFrame, value_field: str,
         # the watermark needs instants: read the wall-clock time as UTC (no
         # session time zone involved), and turn window bounds back afterwards
         typed = typed.withColumn(flow.time_col, F.timestamp_micros(micros_of(typed, flow.time_col)))
-    typed = typed.withWatermark(flow.time_col, watermark)
+    if watermark is not None:
+        typed = typed.withWatermark(flow.time_col, watermark)
     # one event-time window aggregation, so the watermark can expire its state
     stats = window_stats(typed, value_field, *flow.window_args(), panes=False)
     if ntz:

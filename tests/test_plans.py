@@ -20,7 +20,9 @@ def test_window_aggregation_is_partial_before_the_shuffle(spark):
 
 
 def test_parse_runs_once_under_pushed_filters(spark):
-    df = Q.q_sql_semi_join(spark, SF_SMALL)
+    views = Q.keyed_flow().views(Q.keyed_lines(spark, SF_SMALL))
+    df = Q.run_sql(views, "SELECT uid, event_type FROM input "
+                          "WHERE uid IN (SELECT k FROM output WHERE size LIKE '1%')")
     p = df._jdf.queryExecution().optimizedPlan().toString()
     # each scan's parse appears once (in a Project feeding a Generate), not inlined in filters
     assert p.count("split(") == 2 and "Generate" in p
@@ -38,19 +40,14 @@ def test_no_static_broadcast_and_no_python(spark):
     assert "Python" not in p and "CartesianProduct" not in p and "NestedLoop" not in p
 
 
-def test_column_pruning_reaches_the_scan(spark):
+def test_a_line_source_reads_the_line_columns_and_a_projection_one(spark):
     p = Q.q_window_tumbling(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p
     lite = Q.table(spark, SF_SMALL, "orders").select("o_orderkey")
     assert "ReadSchema: struct<o_orderkey:bigint>" in lite._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_only_when_the_source_is_under_partitioned(spark, tmp_path):
-    from rillet.sources import spread
-    n = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=n * 2)
-    assert spread(many) is many                                   # no extra shuffle
-    one = spark.range(0, 1000, numPartitions=1)
-    spread_one = spread(one)
-    assert spread_one.rdd.getNumPartitions() == n
-    assert "RoundRobinPartitioning" in spread_one._jdf.queryExecution().executedPlan().toString()
+def test_queries_of_both_views_parse_once(spark):
+    for q in (Q.q_sql_semi_join, Q.q_tagged_union, Q.q_sql_set_ops, Q.q_sql_outer_joins):
+        p = q(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "split(" not in p and "events.parquet" not in p  # the typed table is read, not the lines

@@ -156,7 +156,7 @@ def test_expired_buckets_do_not_change_results(spark, tmp_path):
     f = flow()
     out = str(tmp_path / "windows")
     runner = FlowStream(f, spark.createDataFrame([], "value string, arrival_ts timestamp"),
-                        sql_output_path=out, checkpoint=str(tmp_path / "ck"))
+                        sql_output_path=out, checkpoint=str(tmp_path / "ck"), lateness="1 second")
     mk = lambda secs: spark.createDataFrame(
         [(ACCESS_LINES[0], dt.datetime(2024, 1, 1) + dt.timedelta(seconds=secs))],
         "value string, arrival_ts timestamp")

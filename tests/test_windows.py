@@ -160,16 +160,3 @@ def test_rows_without_time_belong_to_no_window(spark, tmp_path):
     # windows [-12,6) [-6,12) [0,18) [6,24) s around the rows at 1 s and 7 s
     assert sorted(r.s for r in res.collect()) == [1, 3, 4, 4]
     assert stage.expire(0) == 0
-
-
-def test_only_small_windows_run_as_one_task(spark, tmp_path):
-    # a hot bucket (30 rows at 1 s) and a quiet one (2 rows at 40 s)
-    rows = [(at(1), i) for i in range(30)] + [(at(40), 1), (at(41), 2)]
-    df = spark.createDataFrame(rows, "arrival_ts timestamp, v int")
-    stage = SlideStage(spark, "arrival_ts", 6000, 6000, root=str(tmp_path / "stage"),
-                       single_task_rows=10)
-    stage.append("input", df)
-    hot, quiet = stage.windows()
-    plan = lambda w: stage.window_views(w)["input"]._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition 1, false" not in plan(hot)      # the hot window keeps its parallel plan
-    assert "Repartition 1, false" in plan(quiet)        # the quiet one runs as a single task
