@@ -106,16 +106,16 @@ def _word_counts(rows: DataFrame) -> DataFrame:
             .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Ridge-regularised logistic weights (Newton steps); the constant is last."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Ridge-regularised logistic weights (Newton steps) of rows that count ``times``; the constant is last."""
     x = np.hstack([x, np.ones((len(x), 1))])
     keep = np.full(x.shape[1], ridge)
     keep[-1] = 1e-6
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -40, 40)))
-        g = x.T @ (p - y) + keep * w
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(keep) + 1e-9 * np.eye(len(w))
+        g = x.T @ (times * (p - y)) + keep * w
+        h = (x * (times * p * (1 - p))[:, None]).T @ x + np.diag(keep) + 1e-9 * np.eye(len(w))
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -133,7 +133,8 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", sample_rows:
     quarters choose the dictionaries' content, the rest calibrates. Toxic content
     are the ``toxic_words`` words whose document frequency under label 1 exceeds the
     expected one most (``least_score`` standard deviations and ``least_lift`` times
-    at least). Spark counts; bounded lists and rows of features reach the driver.
+    at least). Spark counts; bounded lists and the sample's distinct rows of features
+    reach the driver, so a text with very many copies costs one row there.
     Without both labels the result is the share of toxic rows, a constant score.
     """
     rows = (docs.filter(F.col(label).isin(0, 1))
@@ -173,15 +174,18 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", sample_rows:
             x = np.array([gains.features(t) for t in batch["text"]]).reshape(-1, width)
             yield pd.DataFrame({"x": list(x), "label": batch["label"].to_numpy()})
 
-    got = hold.select("text", "label").mapInPandas(features, "x array<double>, label int").collect()
+    # copies have equal features: one row with its number, however many there are
+    got = (hold.select("text", "label").mapInPandas(features, "x array<double>, label int")
+           .groupBy("x", "label").agg(F.count(F.lit(1)).alias("n")).collect())
     x = np.array([r.x for r in got]).reshape(-1, width)
-    y = np.array([r.label for r in got], dtype=float)
+    y, times = (np.array([r[c] for r in got], dtype=float) for c in ("label", "n"))
     if not len(y) or y.min() == y.max():
         return toxic_n / n
     order = np.lexsort([*x.T, y])  # the same weights in whatever order rows arrive
-    x, y = x[order], y[order]
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return ToxicityModel(ordinary, toxic, level, mean, scale, _logistic((x - mean) / scale, y))
+    x, y, times = x[order], y[order], times[order]
+    mean = np.average(x, axis=0, weights=times)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=times)) + 1e-9
+    return ToxicityModel(ordinary, toxic, level, mean, scale, _logistic((x - mean) / scale, y, times))
 
 
 def score(docs: DataFrame, model: ToxicityModel | float, text: str = "text", column: str = "score") -> DataFrame:
