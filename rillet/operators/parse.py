@@ -54,7 +54,8 @@ def parse_lines(
       null. ``strict_keys`` makes an undeclared key a bad line.
     * ``xml``: ``<entry key="field">value</entry>`` children of the root
       element, the last of duplicate keys wins, an empty element is ``""``.
-      ``xml_any_depth`` also finds nested ``entry`` elements (slower: XPath).
+      ``xml_any_depth`` also finds nested ``entry`` elements and takes content after
+      the root element for malformed (slower: XPath).
     """
     schema = as_schema(schema)
     if fmt not in FORMATS:
@@ -160,15 +161,13 @@ def _json(df: DataFrame, line: Column, schema: Schema, strict_keys: bool):
 def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_depth: bool):
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
             "ignoreSurroundingSpaces": "false"}
-    # the any-depth reader uses from_xml only to check well-formedness: no fields
-    ddl = (f"{_CORRUPT} string" if any_depth
-           else f"entry array<struct<_key:string,_VALUE:string>>, {_CORRUPT} string")
+    if any_depth:
+        return _xml_any_depth(df, line, schema, strict_keys, opts)
+    ddl = f"entry array<struct<_key:string,_VALUE:string>>, {_CORRUPT} string"
     staged = df.withColumn(_PARSED, F.from_xml(line, ddl, opts))
     p = F.col(_PARSED)
     wellformed = line.isNotNull() & p.isNotNull() & p[_CORRUPT].isNull()
     problems = [F.when(line.isNotNull() & ~wellformed, F.lit("malformed xml"))]
-    if any_depth:
-        return _xml_any_depth(staged, line, schema, strict_keys, wellformed, problems)
     # Built-in array functions only (no lambdas): the last entry with a key is
     # found by its position in the reversed key list.
     keys = F.reverse(F.coalesce(p["entry"]["_key"], F.array()))
@@ -191,38 +190,59 @@ def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_dep
 # safely separates the pieces of one XPath result.
 _XSEP = "\x01"
 _XPATH = "__rillet_xpath"
+_WHOLE = "__rillet_line"  # the element put around a line; a column of the same name holds the result
+_XPATH_FIELDS = 5  # XPath allows 100 operators in an expression, a field takes about a dozen
 
 
-def _xml_any_depth(staged: DataFrame, line: Column, schema: Schema, strict_keys: bool,
-                   wellformed: Column, problems: list):
-    """Entries at any depth with a single XPath evaluation per line.
+def _xml_any_depth(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, opts: dict):
+    """Entries at any depth, by one XPath evaluation for every few fields of a line.
 
-    One ``concat`` returns, per field, "1" + the text of the last entry with
-    that key (or "" when there is none), then flags for entries without a key
-    and for undeclared keys, separated by U+0001.
+    The line (without XML and plain DOCTYPE declarations) is put into an element of its
+    own, so that ``from_xml`` checks it to its end, content after the root element
+    included, before XPath, which raises on malformed text, sees it. One ``concat``
+    returns, per field, "1" + the text of the last entry with that key (or "" when there
+    is none), separated by U+0001; the first also holds flags for anything but one root
+    element and for entries without a key.
     """
     def flag(cond: str) -> str:
-        return f"substring('1', 1, count(//entry[{cond}]))"
+        return f"substring('1', 1, {cond})"
 
-    parts = []
-    for f in schema:
-        q = _xpath_quote(f.name)
-        parts.append(f"concat({flag(f'@key={q}')}, (//entry[@key={q}])[last()])")
-    parts.append(flag("not(@key)"))
-    names = " or ".join(f"@key={_xpath_quote(n)}" for n in schema.names)
-    parts.append(flag(f"@key and not({names})"))
-    expr = "concat(" + f", '{_XSEP}', ".join(parts) + ")"
-    found = F.split(F.xpath_string(line, F.lit(expr)), _XSEP, -1)
-    staged = staged.withColumn(_XPATH, F.when(wellformed, found))
-    x = F.col(_XPATH)
-    texts = {}
-    for i, f in enumerate(schema):
-        piece = F.get(x, i)
-        texts[f.name] = F.when(piece.startswith("1"), F.substr(piece, F.lit(2)))
-    n = len(schema)
-    problems.append(F.when(F.get(x, n) == "1", F.lit("entry without key")))
+    def evaluated(parts: list[str]) -> Column:
+        expr = "concat(" + f", '{_XSEP}', ".join([*parts, "''"]) + ")"
+        return F.split(F.xpath_string(F.col(_WHOLE), F.lit(expr)), _XSEP, -1)
+
+    body = F.regexp_replace(line, r"^\s*<\?xml\b[^>]*\?>", "")
+    body = F.regexp_replace(body, r"^((?:\s|<!--(?:(?!-->)[\s\S])*+-->)*+)<!DOCTYPE[^>\[]*>", "$1")
+    staged = df.withColumn(_WHOLE, F.when(~line.contains(_WHOLE), F.concat(
+        F.lit(f"<{_WHOLE}>"), body, F.lit(f"</{_WHOLE}>"))))
+    staged = staged.withColumn(_PARSED, F.from_xml(_WHOLE, f"{_CORRUPT} string", opts))
+    p = F.col(_PARSED)
+    wellformed = F.col(_WHOLE).isNotNull() & p.isNotNull() & p[_CORRUPT].isNull()
+
+    flags = [flag(f"1 - count(/{_WHOLE}/*)"), flag(f"count(/{_WHOLE}/*[2])"),
+             flag(f"count(/{_WHOLE}/text()[normalize-space(.)])"), flag("count(//entry[not(@key)])")]
+    columns, texts = {f"{_XPATH}_flags": evaluated(flags)}, {}
+    for a in range(0, len(schema.names), _XPATH_FIELDS):
+        column, parts = f"{_XPATH}_{a}", []
+        for i, name in enumerate(schema.names[a:a + _XPATH_FIELDS]):
+            q = _xpath_quote(name)
+            parts.append(f"concat({flag(f'count(//entry[@key={q}])')}, (//entry[@key={q}])[last()])")
+            piece = F.get(F.col(column), i)
+            texts[name] = F.when(piece.startswith("1"), F.substr(piece, F.lit(2)))
+        columns[column] = evaluated(parts)
+    if strict_keys:
+        columns[f"{_XPATH}_keys"] = F.xpath(F.col(_WHOLE), F.lit("//entry/@key"))
+    staged = staged.withColumns({c: F.when(wellformed, x) for c, x in columns.items()})
+
+    found = F.col(f"{_XPATH}_flags")
+    one_root = F.coalesce(F.concat(F.get(found, 0), F.get(found, 1), F.get(found, 2)) == "", F.lit(False))
+    # what stands in a line that is not one element counts for nothing
+    texts = {name: F.when(one_root, text) for name, text in texts.items()}
+    problems = [F.when(line.isNotNull() & ~one_root, F.lit("malformed xml")),
+                F.when(one_root & (F.get(found, 3) == "1"), F.lit("entry without key"))]
     if strict_keys:
-        problems.append(F.when(F.get(x, n + 1) == "1", F.lit("undeclared keys")))
+        extra = F.array_except(F.col(f"{_XPATH}_keys"), F.array(*[F.lit(n) for n in schema.names]))
+        problems.append(F.when(one_root & (F.size(extra) > 0), F.lit("undeclared keys")))
     return staged, texts, problems
 
 

@@ -139,3 +139,26 @@ def test_field_names_with_dots_and_spaces(lines):
     derived = apply_rules(out, ["n:MyFunctions:addOne:$c d", "s:MyFunctions:getOriginalStr:$a.b"],
                           {"n": "Integer", "s": "String"}, schema)
     assert rows(derived) == [(4, "x")]
+
+
+def test_any_depth_marks_content_after_the_root(lines):
+    good = '<xml><g><entry key="a">1</entry></g><entry key="b">x</entry></xml>'
+    cases = {good: None, '<?xml version="1.0"?>' + good: None, " " + good + " <!-- end --> ": None,
+             "<!-- first --><!DOCTYPE xml>" + good: None,
+             good + "<xml/>": "malformed xml", good + "junk": "malformed xml", good + "<entry": "malformed xml",
+             "<!-- only -->": "malformed xml", "": "malformed xml", "junk" + good: "malformed xml",
+             good + "</__rillet_line><__rillet_line>": "malformed xml",
+             "<xml><entry>1</entry></xml>": "entry without key"}
+    schema = {"a": "Integer", "b": "String"}
+    got = {r._raw: r._errors for r in
+           parse_lines(lines(list(cases)), schema, "xml", on_error="quarantine", xml_any_depth=True).collect()}
+    assert {k: v and v.split(";")[0] for k, v in got.items()} == cases
+    nulls = parse_lines(lines([good + "junk", good]), schema, "xml", on_error="null", xml_any_depth=True).collect()
+    assert [tuple(r) for r in nulls] == [(None, None), (1, "x")]
+
+
+def test_any_depth_reads_many_fields(lines):
+    names = [f"f{i}" for i in range(23)]
+    line = "<xml><g>" + "".join(f'<entry key="{n}">{n}!</entry>' for n in names) + "</g></xml>"
+    row = parse_lines(lines([line]), {n: "String" for n in names}, "xml", xml_any_depth=True).first()
+    assert list(row) == [f"{n}!" for n in names]
