@@ -13,6 +13,7 @@ analysis, and the session setting is restored afterwards.
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Mapping
 from contextlib import contextmanager
@@ -66,20 +67,104 @@ def borrowed_views(spark: SparkSession, names):
                     df.createOrReplaceTempView(name)
 
 
-def referenced_views(views: Mapping[str, DataFrame], text: str,
-                     spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
-    """The names in ``views`` that ``text`` reads: all views are registered, the text is
-    analysed once (not run), and the view names are read from the analysed plan. Names
-    are compared as Spark resolves them, without regard to case. Functions and views of
-    the session can be used in the text; the session's own views are left as they were.
-    Pass cheap stand-ins (empty DataFrames with the views' schemas)."""
+def analysed_nodes(views: Mapping[str, DataFrame], text: str, spark: SparkSession | None = None,
+                   ansi: bool = False) -> list[str]:
+    """The lines of the text's analysed plan, top first: all views are registered and the
+    text is analysed once (not run). Functions and views of the session can be used in the
+    text; the session's own views are left as they were. Pass cheap stand-ins (empty
+    DataFrames with the views' schemas)."""
     if spark is None:
         spark = next(iter(views.values())).sparkSession
     with borrowed_views(spark, views), ansi_mode(spark, ansi):
         for name, df in views.items():
             df.createOrReplaceTempView(name)
-        plan = spark.sql(text)._jdf.queryExecution().analyzed().treeString().lower()
-    return {name for name in views if f"view (`{name.lower()}`" in plan}
+        tree = spark.sql(text)._jdf.queryExecution().analyzed().treeString()
+    return [line.lstrip(" :+-") for line in tree.splitlines() if line.strip(" :+-")]
+
+
+def view_reads(nodes: list[str], names) -> dict[str, int]:
+    """How often the analysed plan reads each view. Names are compared as Spark resolves
+    them, without regard to case."""
+    plan = "\n".join(nodes).lower()
+    return {n: plan.count(f"view (`{n.lower()}`") for n in names}
+
+
+def referenced_views(views: Mapping[str, DataFrame], text: str,
+                     spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
+    """The names in ``views`` that ``text`` reads (see :func:`analysed_nodes`)."""
+    reads = view_reads(analysed_nodes(views, text, spark, ansi), views)
+    return {name for name, n in reads.items() if n}
+
+
+def _above_view(nodes: list[str]) -> list[str] | None:
+    """Kinds of the plan's nodes above the one view it reads; None for any other shape."""
+    kinds = [n.split(" ", 1)[0] for n in nodes]
+    views = [i for i, k in enumerate(kinds) if k == "View"]
+    if len(views) != 1 or any("-subquery#" in n for n in nodes):
+        return None
+    above = kinds[:views[0]]
+    while above and above[-1] == "SubqueryAlias":
+        above = above[:-1]
+    return above
+
+
+_LITERAL = re.compile(r"'(?:[^'\\\\]|\\\\.)*'|\"(?:[^\"\\\\]|\\\\.)*\"|`[^`]*`", re.S)
+_CLAUSES = ("select", "group by", "having")
+
+
+def _clauses(text: str) -> dict[str, tuple[int, int]] | None:
+    """Where the one SELECT, GROUP BY and HAVING of a plain statement stand (literals and
+    quoted names do not count); None if one occurs twice or there are comments."""
+    bare = _LITERAL.sub(lambda m: "x" * len(m.group()), text)
+    if "--" in bare or "/*" in bare or not re.match(r"\s*select\b", bare, re.I):
+        return None
+    found = {}
+    for word in _CLAUSES:
+        hits = [m.span() for m in re.finditer(rf"\b{word.replace(' ', chr(92) + 's+')}\b", bare, re.I)]
+        if len(hits) > 1:
+            return None
+        if hits:
+            found[word] = hits[0]
+    return found
+
+
+def grouped_text(text: str, nodes: list[str], by: str) -> str | None:
+    """The text with the columns ``by`` selected first and added to its grouping, if its
+    analysed plan is one aggregate over one view, so that one job over all groups gives
+    what the text gives for each group of rows; else None.
+
+    A condition on the rows is taken only with a GROUP BY of the text's own: a global
+    aggregate has a row for a group without matching rows, a grouping has none.
+    """
+    above, at = _above_view(nodes), _clauses(text)
+    if above is None or at is None or "Aggregate" not in above:
+        return None
+    top, below = above[:above.index("Aggregate")], above[above.index("Aggregate") + 1:]
+    own = "group by" in at
+    if any(k not in ("Project", "Filter") for k in top) or any(k != "Filter" for k in below) or below and not own:
+        return None
+    if ("Filter" in top) != ("having" in at):
+        return None
+    text = text.rstrip().rstrip(";")
+    if own:
+        rest = text[at["group by"][1]:]
+        # positions would shift, and ALL means the selected columns
+        if re.match(r"\s*all\b", rest, re.I) or re.search(r"(?:^|,)\s*[0-9]+\s*(?:,|$|having\b)", rest, re.I):
+            return None
+        text = f"{text[:at['group by'][1]]} {by},{rest}"
+    else:
+        end = at["having"][0] if "having" in at else len(text)
+        text = f"{text[:end]} GROUP BY {by} {text[end:]}"
+    return f"{text[:at['select'][1]]} {by},{text[at['select'][1]:]}"
+
+
+def row_wise_text(text: str, nodes: list[str], column: str) -> str | None:
+    """The text with ``column`` of its view selected too, if its analysed plan
+    only filters and projects the rows of one view; else None."""
+    above, at = _above_view(nodes), _clauses(text)
+    if not above or at is None or len(at) != 1 or any(k not in ("Project", "Filter") for k in above):
+        return None
+    return f"{text[:at['select'][1]]} {column},{text[at['select'][1]:]}"
 
 
 def stringify(df: DataFrame) -> DataFrame:

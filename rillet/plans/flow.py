@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from ..functions import FunctionRegistry
 from ..operators.parse import bad_rows, good_rows, parse_lines
 from ..operators.rules import compile_rules, parse_rules
-from ..operators.sql_stage import referenced_views, run_sql
-from ..operators.windows import (SlideStage, explode_windows, micros_of, ts_literal, window_stats,
-                                 windowed_sql)
+from ..operators.sql_stage import (analysed_nodes, borrowed_views, grouped_text, row_wise_text, run_sql,
+                                   view_reads)
+from ..operators.windows import (WINDOW_END, WINDOW_START, SlideStage, explode_windows,
+                                 staged_windowed_sql, ts_literal, window_stats, windowed_sql)
 from ..session import scratch_dir
 from ..sources.lines import ARRIVAL
 from ..types import SchemaError, as_schema
@@ -50,7 +51,9 @@ class LogFlow:
       sliding by ``window_slide`` (ints are milliseconds), offset by ``window_start``;
     * ``ansi``: ANSI mode for the user SQL (off: lenient coercion);
     * ``registry``: rule functions (default: the shipped ones);
-    * ``time_col``: the arrival time column of the raw lines.
+    * ``time_col``: the arrival time column of the raw lines;
+    * ``batch_interval``: in a bounded replay, the micro-batch length (int: milliseconds) that
+      per-batch SQL without a time of its own is run for.
     """
 
     input_schema: object
@@ -70,6 +73,7 @@ class LogFlow:
     strict_keys: bool = False
     xml_any_depth: bool = False
     extra_sql_schema: object = None
+    batch_interval: object = None
     parsed_rules: list = field(init=False, repr=False)
     _compiled: list | None = field(init=False, repr=False, default=None)
 
@@ -113,30 +117,71 @@ class LogFlow:
         return typed.select(*self._compiled, *keep)
 
     def finalize(self, derived: DataFrame, batch_time_us: int | None = None) -> DataFrame:
-        """Per-batch SQL over ``extraInput`` (when set). A result without the
-        arrival time column is stamped with ``batch_time_us`` (microseconds
-        since the epoch; default: the batch's earliest arrival)."""
+        """Per-batch SQL over ``extraInput`` (when set) for one micro-batch. A result
+        without the arrival time column is stamped with ``batch_time_us``
+        (microseconds since the epoch)."""
         if self.extra_sql is None:
             return derived
-        result = run_sql({EXTRA_INPUT: derived}, self.extra_sql, ansi=self.ansi)
-        if self.extra_sql_schema is not None:
-            # optional check: the analysed result must have the declared columns
-            got = [c for c in result.columns if c != self.time_col]
-            if got != self.extra_sql_schema.names:
-                raise SchemaError(f"per-batch SQL returns {got}, "
-                                  f"declared {self.extra_sql_schema.names}")
-            result = result.select(*[F.col(f"`{f.name}`").cast(f.data_type).alias(f.name)
-                                     for f in self.extra_sql_schema],
-                                   *[c for c in result.columns if c == self.time_col])
+        result = self._declared(run_sql({EXTRA_INPUT: derived}, self.extra_sql, ansi=self.ansi))
         if self.time_col in result.columns or self.time_col not in derived.columns:
             return result
         if batch_time_us is None:
-            batch_time_us = derived.agg(F.min(micros_of(derived, self.time_col))).first()[0]
+            raise SchemaError(f"per-batch SQL returns no {self.time_col!r}: give the batch's time")
         ntz = isinstance(derived.schema[self.time_col].dataType, T.TimestampNTZType)
         return result.withColumn(self.time_col, ts_literal(batch_time_us, ntz))
 
+    def _declared(self, result: DataFrame) -> DataFrame:
+        """Optional check: the analysed result must have the declared columns."""
+        if self.extra_sql_schema is None:
+            return result
+        got = [c for c in result.columns if c != self.time_col]
+        if got != self.extra_sql_schema.names:
+            raise SchemaError(f"per-batch SQL returns {got}, "
+                              f"declared {self.extra_sql_schema.names}")
+        return result.select(*[F.col(f"`{f.name}`").cast(f.data_type).alias(f.name)
+                               for f in self.extra_sql_schema],
+                             *[c for c in result.columns if c == self.time_col])
+
+    def finalize_replay(self, derived: DataFrame) -> DataFrame:
+        """Per-batch SQL (when set) in a bounded replay, where all batches come at once.
+
+        A text that returns the arrival time is run as it is. One that only filters and
+        projects rows carries each row's arrival time along. Any other text is run for
+        each ``batch_interval`` of the arrival time, whose rows get its start, and
+        without one it is an error when the plan is built. No job runs for the first
+        two, nor for aggregates, which become one grouping over all batches.
+        """
+        if self.extra_sql is None or self.time_col not in derived.columns:
+            return self.finalize(derived)
+        spark, text = derived.sparkSession, self.extra_sql
+        empty = spark.createDataFrame([], derived.schema)
+        with borrowed_views(spark, [EXTRA_INPUT]):
+            if self.time_col in run_sql({EXTRA_INPUT: empty}, text, ansi=self.ansi).columns:
+                return self.finalize(derived)
+            nodes = analysed_nodes({EXTRA_INPUT: empty}, text, spark, self.ansi)
+            carried = row_wise_text(text, nodes, f"`{self.time_col}`")
+            if carried is not None:
+                result = run_sql({EXTRA_INPUT: derived}, carried, ansi=self.ansi)
+                time = F.col(f"`{self.time_col}`")
+            elif self.batch_interval is None:
+                raise SchemaError(f"per-batch SQL that returns no {self.time_col!r} and combines rows needs "
+                                  "a batch_interval in a bounded replay")
+            else:
+                grouped = grouped_text(text, nodes, WINDOW_START)
+                if grouped is not None:
+                    result = windowed_sql({EXTRA_INPUT: derived}, grouped, self.time_col, self.batch_interval,
+                                          ansi=self.ansi)
+                else:
+                    result = staged_windowed_sql({EXTRA_INPUT: derived}, text, self.time_col,
+                                                 self.batch_interval, ansi=self.ansi)
+                    if result is None:  # no rows, so no batches
+                        return self.finalize(empty, batch_time_us=0)
+                time = F.col(WINDOW_START)
+        kept = [F.col(f"`{c}`") for c in result.columns if c not in (self.time_col, WINDOW_START, WINDOW_END)]
+        return self._declared(result.select(*kept, time.alias(self.time_col)))
+
     def views(self, raw: DataFrame, materialize: bool = False) -> dict[str, DataFrame]:
-        """``input`` and ``output`` for a bounded replay (the whole input is one batch).
+        """``input`` and ``output`` for a bounded replay.
 
         Both views come from one parse plan, which Spark runs once per view a
         query reads. ``materialize`` parses once instead: the typed rows are
@@ -147,8 +192,8 @@ class LogFlow:
         if materialize:
             path = scratch_dir(typed.sparkSession, "typed")
             typed.write.parquet(path)
-            typed = typed.sparkSession.read.parquet(path)
-        return {INPUT: typed, OUTPUT: self.finalize(self.derive(typed))}
+            typed = typed.sparkSession.read.schema(typed.schema).parquet(path)
+        return {INPUT: typed, OUTPUT: self.finalize_replay(self.derive(typed))}
 
     # -- windows ----------------------------------------------------------
     def window_args(self) -> tuple:
@@ -163,21 +208,34 @@ class LogFlow:
         return {n: explode_windows(d, *self.window_args()) for n, d in self.views(raw).items()}
 
     def window_sql_grouped(self, raw: DataFrame, text: str | None = None) -> DataFrame:
-        """Path A: SQL that groups or joins on the window columns, all windows in one job."""
-        return windowed_sql(self.views(raw), text or self.window_sql, *self.window_args(),
+        """Path A: SQL that groups or joins on the window columns, all windows in one job.
+        Lines are parsed once: a text that reads more than one view (or one twice) reads
+        the typed table written for it."""
+        text = text or self.window_sql
+        empty = {n: explode_windows(d, *self.window_args()) for n, d in self._stand_ins(self.parse(raw)).items()}
+        reads = view_reads(analysed_nodes(empty, text, raw.sparkSession, self.ansi), (INPUT, OUTPUT))
+        return windowed_sql(self.views(raw, materialize=sum(reads.values()) > 1), text, *self.window_args(),
                             ansi=self.ansi)
 
     def window_sql_each(self, raw: DataFrame, text: str | None = None,
                         chunk: int = 16, workers: int = 8) -> DataFrame | None:
-        """Path S: the unchanged text once per window (staged rows, pruned reads).
+        """The unchanged text over each window.
 
-        Only the views the text reads are staged. Without per-batch SQL the
-        derived rows are a row-wise function of the input, so ``output`` is
-        derived per window from the staged input instead of being staged.
+        Where the analysed text is one aggregate over one view, the window joins its
+        grouping and one job computes all windows (path A). Any other text is run once
+        per window (path S: staged rows, pruned reads). There only the views the text
+        reads are staged; without per-batch SQL the derived rows are a row-wise function
+        of the input, so ``output`` is derived per window from the staged input.
         """
         text = text or self.window_sql
         typed = self.parse(raw)
-        needed = self.needed_views(typed, text)
+        empty = self._stand_ins(typed)
+        nodes = analysed_nodes(empty, text, typed.sparkSession, self.ansi)
+        needed = {n for n, times in view_reads(nodes, (INPUT, OUTPUT)).items() if times}
+        grouped = grouped_text(text, nodes, f"{WINDOW_START}, {WINDOW_END}")
+        if grouped is not None and not {WINDOW_START, WINDOW_END} & {c.lower() for d in empty.values() for c in d.columns}:
+            views = {INPUT: typed} if INPUT in needed else {OUTPUT: self.finalize_replay(self.derive(typed))}
+            return windowed_sql(views, grouped, *self.window_args(), ansi=self.ansi)
         stage = SlideStage(typed.sparkSession, *self.window_args())
         if INPUT in needed or (OUTPUT in needed and self.extra_sql is None):
             stage.append(INPUT, typed)
@@ -185,12 +243,17 @@ class LogFlow:
             if self.extra_sql is None:
                 stage.derived[OUTPUT] = lambda views: self.derive(views[INPUT])
             else:
-                stage.append(OUTPUT, self.finalize(self.derive(typed)))
+                stage.append(OUTPUT, self.finalize_replay(self.derive(typed)))
         return stage.run(text, ansi=self.ansi, chunk=chunk, workers=workers)
 
-    def needed_views(self, typed: DataFrame, text: str) -> set[str]:
-        """Which of ``input`` / ``output`` the window text reads (analysis only)."""
+    def _stand_ins(self, typed: DataFrame) -> dict[str, DataFrame]:
+        """Empty views of the same schemas, with no plan of their own."""
         spark = typed.sparkSession
         empty = spark.createDataFrame([], typed.schema)
-        probe = {INPUT: empty, OUTPUT: self.finalize(self.derive(empty), batch_time_us=0)}
-        return referenced_views(probe, text, spark, ansi=self.ansi)
+        output = self.finalize(self.derive(empty), batch_time_us=0)
+        return {INPUT: empty, OUTPUT: spark.createDataFrame([], output.schema)}
+
+    def needed_views(self, typed: DataFrame, text: str) -> set[str]:
+        """Which of ``input`` / ``output`` the window text reads (analysis only)."""
+        nodes = analysed_nodes(self._stand_ins(typed), text, typed.sparkSession, self.ansi)
+        return {n for n, times in view_reads(nodes, (INPUT, OUTPUT)).items() if times}

@@ -41,6 +41,11 @@ ORACLE_SQL = {
     "parse_separator_regex": (
         "SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_quantity FROM lineitem"),
     "parse_xml_nested": "SELECT event_id, user_id, event_type, value FROM events",
+    "parse_xml_bad_rows": (
+        "SELECT event_id AS id, event_type AS kind, CASE WHEN ok THEN event_id END AS event_id, "
+        "CASE WHEN ok THEN CAST(user_id AS BIGINT) END AS user_id, CASE WHEN ok THEN value END AS value, "
+        "CASE WHEN NOT ok THEN 'malformed xml' END AS reason "
+        "FROM (SELECT *, event_type NOT IN ('click', 'error', 'purchase') AS ok FROM events)"),
     "parse_null_mode": (
         "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL "
         "ELSE CAST(user_id AS INTEGER) END AS user_id, event_type FROM events"),
@@ -92,6 +97,9 @@ ORACLE_SQL = {
     "stream_native_window_stats": (
         f"SELECT {_WIN_COLS}, ROUND(SUM(value), 2) AS sum_value, COUNT(*) AS n, "
         f"MIN(value) AS min_value, MAX(value) AS max_value FROM {_win('value')} GROUP BY ws"),
+    "sink_rows": (
+        "SELECT '[' || CAST(user_id AS VARCHAR) || ' MB, error, ' || CAST(user_id + 1 AS VARCHAR) || ']' AS value "
+        "FROM events WHERE event_type = 'error'"),
     "window_tumbling": (
         "SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, "
         "time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS window_end, event_type, "
@@ -100,6 +108,12 @@ ORACLE_SQL = {
         f"SELECT {_WIN_COLS}, CAST(SUM(user_id) AS BIGINT) AS sum_user, COUNT(*) AS cnt, "
         "CAST(MIN(user_id) AS INTEGER) AS min_user, CAST(MAX(user_id) AS INTEGER) AS max_user "
         f"FROM {_win('user_id')} GROUP BY ws"),
+    "window_sql_topn": (
+        f"SELECT {_WIN_COLS}, event_id, value FROM {_win('event_id, value')} QUALIFY "
+        "row_number() OVER (PARTITION BY ws ORDER BY value DESC, event_id) <= 3"),
+    "extra_sql_batches": (
+        "SELECT event_type AS kind, COUNT(*) AS cnt, CAST(SUM(user_id + 1) AS BIGINT) AS sum_n, "
+        "time_bucket(INTERVAL 6 HOUR, ts) AS batch_start FROM events GROUP BY 1, 4"),
     "window_sql_grouped": (
         f"SELECT {_WIN_COLS}, event_type, COUNT(*) AS cnt, ROUND(SUM(value), 2) AS sum_value "
         f"FROM {_win('event_type, value')} GROUP BY ws, event_type"),

@@ -19,7 +19,7 @@ from ..operators.rules import apply_rules
 from ..operators.sql_stage import run_sql, stringify
 from ..operators.union import tagged_union
 from ..operators.windows import window_agg
-from ..sources.lines import ARRIVAL, table_lines, xml_entries
+from ..sources.lines import ARRIVAL, table_lines, xml_entries, xml_line
 from .flow import LogFlow
 
 HOURS_18 = "18 hours"
@@ -124,6 +124,19 @@ def q_parse_xml_nested(spark, sf_dir):
     return parse_lines(ev.select(line.alias("value")), schema, "xml", xml_any_depth=True)
 
 
+def q_parse_xml_bad_rows(spark, sf_dir):
+    """Lines with something after the root element, each kind of event its own way."""
+    ev = table(spark, sf_dir, "events")
+    tail = F.expr("CASE event_type WHEN 'click' THEN '<xml/>' WHEN 'view' THEN ' <!-- end -->' "
+                  "WHEN 'error' THEN 'text' WHEN 'purchase' THEN '<entry' ELSE '' END")
+    line = F.concat(xml_line(["event_id", "user_id", "event_type", "value", "props", "ts"]), tail)
+    schema = {"event_id": "Long", "user_id": "Long", "event_type": "String", "value": "Double",
+              "props": "String", "ts": "String"}
+    parsed = parse_lines(ev.select("event_id", "event_type", line.alias("value")).withColumnsRenamed(
+        {"event_id": "id", "event_type": "kind"}), schema, "xml", on_error="quarantine", xml_any_depth=True)
+    return parsed.select("id", "kind", "event_id", "user_id", "value", F.col(ERRORS_COL).alias("reason"))
+
+
 def q_parse_null_mode(spark, sf_dir):
     # the user id of every error event arrives as "x" and is read as null
     ev = table(spark, sf_dir, "events").select(
@@ -294,6 +307,19 @@ def q_window_sql_input(spark, sf_dir):
     return event_flow().window_sql_each(event_lines(spark, sf_dir), WINDOW_INPUT_SQL)
 
 
+def q_window_sql_topn(spark, sf_dir):
+    """Path S: the three largest values of each window, a text that no grouping expresses."""
+    return event_flow().window_sql_each(event_lines(spark, sf_dir), (
+        "SELECT event_id, value FROM input ORDER BY value DESC, event_id LIMIT 3"))
+
+
+def q_extra_sql_batches(spark, sf_dir):
+    """Per-batch SQL that combines rows, run for each six hours of a bounded replay."""
+    flow = event_flow(extra_sql="SELECT kind, COUNT(*) AS cnt, SUM(n) AS sum_n FROM extraInput GROUP BY kind",
+                      batch_interval=HOURS_6)
+    return flow.views(event_lines(spark, sf_dir))["output"].withColumnRenamed(ARRIVAL, "batch_start")
+
+
 def q_window_sql_grouped(spark, sf_dir):
     text = ("SELECT window_start, window_end, event_type, COUNT(*) AS cnt, "
             "ROUND(SUM(value), 2) AS sum_value FROM input "
@@ -316,9 +342,9 @@ def q_window_sql_join(spark, sf_dir):
     return keyed_flow().window_sql_grouped(keyed_lines(spark, sf_dir), text)
 
 
-# The shipped settings: XML input, the two size rules, per-batch SQL keeping
-# one derived column (and the arrival time), and the window statistics text
-# run unchanged over ``output`` in every window.
+# The per-batch SQL and the window statistics text of the shipped settings,
+# run as they are: XML input, the two size rules, one derived column kept.
+SHIPPED_EXTRA_SQL = "SELECT size FROM extraInput"
 SHIPPED_WINDOW_SQL = "SELECT SUM(size), COUNT(*), MIN(size), MAX(size) FROM output"
 
 
@@ -329,7 +355,7 @@ def q_shipped_settings_flow(spark, sf_dir):
         input_schema={"event_id": "Long", "contentSize": "Integer", "event_type": "String"},
         output_schema={"contentSizeWithUnit": "String", "size": "String"},
         rules=SIZE_RULES_CONTENT, fmt="xml",
-        extra_sql="SELECT size, arrival_ts FROM extraInput",
+        extra_sql=SHIPPED_EXTRA_SQL, xml_any_depth=True,
         window_sql=SHIPPED_WINDOW_SQL, window_length=HOURS_18, window_slide=HOURS_6)
     return flow.window_sql_each(raw)
 
@@ -392,6 +418,20 @@ def q_stream_restart(spark, sf_dir):
     return spark.read.parquet(f"{root}/windows").drop("_wend")
 
 
+def q_sink_rows(spark, sf_dir):
+    """The text sink of a stream read back: derived rows of every batch as ``[a, b]`` lines;
+    per-batch SQL keeps none in the batches without an error event."""
+    from ..streaming import FlowStream
+    root = _stream_root(spark)
+    flow = event_flow(extra_sql="SELECT size, kind, n FROM extraInput WHERE kind = 'error'")
+    query = FlowStream(flow, _line_files(spark, event_lines(spark, sf_dir), root, F.col(ARRIVAL)),
+                       output_path=f"{root}/rows", checkpoint=f"{root}/checkpoint").start(available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema("value string").text(f"{root}/rows").select("value")
+
+
 def q_stream_native_window_stats(spark, sf_dir):
     """Native streaming statistics on the whole ``events`` table: lines as a file
     stream, ``groupBy(window)`` in the state store, update mode written per window
@@ -471,6 +511,7 @@ QUERIES = {
     "parse_xml": q_parse_xml,
     "parse_separator_regex": q_parse_separator_regex,
     "parse_xml_nested": q_parse_xml_nested,
+    "parse_xml_bad_rows": q_parse_xml_bad_rows,
     "parse_null_mode": q_parse_null_mode,
     "coerce_types": q_coerce_types,
     "coerce_bad_rows": q_coerce_bad_rows,
@@ -489,6 +530,8 @@ QUERIES = {
     "window_stats": q_window_stats,
     "window_tumbling": q_window_tumbling,
     "window_sql_input": q_window_sql_input,
+    "window_sql_topn": q_window_sql_topn,
+    "extra_sql_batches": q_extra_sql_batches,
     "window_sql_grouped": q_window_sql_grouped,
     "window_sql_output": q_window_sql_output,
     "window_sql_join": q_window_sql_join,
@@ -496,6 +539,7 @@ QUERIES = {
     "stream_flow_windows": q_stream_flow_windows,
     "stream_late_rows": q_stream_late_rows,
     "stream_restart": q_stream_restart,
+    "sink_rows": q_sink_rows,
     "stream_native_window_stats": q_stream_native_window_stats,
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,

@@ -60,6 +60,7 @@ def flow_from_settings(settings: Mapping[str, str] | str, base_dir: str | None =
     extra = None
     if (get(KEY_EXTRA_ENABLE) or "false").strip().lower() == "true":
         extra = get(KEY_EXTRA_SQL) or DEFAULT_EXTRA_SQL
+    batch_seconds = float((get(KEY_BATCH_SECONDS) or "2").strip())
     args = dict(
         input_schema=read_format(_path(base_dir, settings[KEY_INPUT_FORMAT_FILE])),
         output_schema=read_format(_path(base_dir, settings[KEY_OUTPUT_FORMAT_FILE])),
@@ -70,11 +71,14 @@ def flow_from_settings(settings: Mapping[str, str] | str, base_dir: str | None =
         window_sql=get(KEY_WINDOW_SQL),
         window_length=int((get(KEY_WINDOW_MS) or "18000").strip()),
         window_slide=int((get(KEY_SLIDE_MS) or "6000").strip()),
+        batch_interval=round(batch_seconds * 1000),
+        # as settings files of this kind mean it: entries count wherever they stand
+        xml_any_depth=True,
     )
     args.update(overrides)
     return StreamSettings(
         flow=LogFlow(**args),
-        batch_seconds=float((get(KEY_BATCH_SECONDS) or "2").strip()),
+        batch_seconds=batch_seconds,
         output_path=(get(KEY_OUTPUT_PATH) or "").strip() or None,
         sql_output_path=(get(KEY_SQL_OUTPUT_PATH) or "").strip() or None,
         topics=(get(KEY_TOPICS) or "").strip() or None,

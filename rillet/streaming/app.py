@@ -38,7 +38,10 @@ def build(spark: SparkSession, args: argparse.Namespace) -> FlowStream:
         topics = args.topics or st.topics
         if not (args.bootstrap_servers and topics):
             raise SystemExit("Kafka needs --bootstrap-servers and topics")
-        lines = kafka_lines(spark, args.bootstrap_servers, topics)
+        group = getattr(args, "group_id", None)
+        lines = kafka_lines(spark, args.bootstrap_servers, topics,
+                            starting_offsets=getattr(args, "starting_offsets", None) or "latest",
+                            **({"kafka.group.id": group} if group else {}))
     sql_out = st.sql_output_path
     return FlowStream(st.flow, lines, output_path=st.output_path,
                       sql_output_path=f"{sql_out}/results" if sql_out else None,
@@ -53,6 +56,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", required=True, help="shared folder for offsets and staging")
     p.add_argument("--bootstrap-servers", help="Kafka bootstrap servers")
     p.add_argument("--topics", help="comma-separated topics (default: from the settings)")
+    p.add_argument("--starting-offsets", default="latest",
+                   help="where a first run starts: latest, earliest or JSON (later runs: the checkpoint)")
+    p.add_argument("--group-id", default=None, help="Kafka consumer group id")
     p.add_argument("--text-dir", help="read lines from text files in this folder instead")
     p.add_argument("--max-files", type=int, default=None, help="files per micro-batch")
     p.add_argument("--available-now", action="store_true",

@@ -48,6 +48,13 @@ def test_a_line_source_reads_the_line_columns_and_a_projection_one(spark):
 
 
 def test_queries_of_both_views_parse_once(spark):
-    for q in (Q.q_sql_semi_join, Q.q_tagged_union, Q.q_sql_set_ops, Q.q_sql_outer_joins):
+    for q in (Q.q_sql_semi_join, Q.q_tagged_union, Q.q_window_sql_join, Q.q_sql_set_ops, Q.q_sql_outer_joins):
         p = q(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         assert "split(" not in p and "events.parquet" not in p  # the typed table is read, not the lines
+
+
+def test_plain_window_aggregates_are_one_job_over_all_windows(spark):
+    for q in (Q.q_window_sql_input, Q.q_shipped_settings_flow):
+        p = plan_of(q(spark, SF_SMALL))
+        assert "Expand" in p and "partial_" in p and p.count("FileScan") == 1
+        assert p.index("partial_") > p.index("Exchange")

@@ -281,3 +281,22 @@ def test_window_updates_replace_only_their_windows(spark, tmp_path):
     write_window_batch(mk([(t(6), t(24), 2), (t(12), t(30), 1)]), path)   # the same batch replayed
     got = {r.window_end: r.n for r in spark.read.parquet(path).collect()}
     assert got == {t(18): 1, t(24): 2, t(30): 1}
+
+
+def test_per_batch_sql_in_a_replay_keeps_or_needs_a_time(lines):
+    import pytest
+    from rillet.types import SchemaError
+    at = [dt.datetime(2024, 1, 1, 0, 0, s) for s in (1, 30, 31)]
+    raw = lines([(f"{i}\tx", t) for i, t in enumerate(at)], with_time=True)
+
+    def out(text, **kw):
+        f = LogFlow({"a": "Integer", "b": "String"}, {"n": "String"}, ["n:MyFunctions:getOriginalStr:$b"],
+                    extra_sql=text, **kw)
+        return sorted((r.n, r.arrival_ts) for r in f.views(raw)["output"].collect())
+
+    assert out("SELECT n FROM extraInput") == [("x", t) for t in at]
+    with pytest.raises(SchemaError):
+        out("SELECT MAX(n) AS n FROM extraInput")
+    starts = [dt.datetime(2024, 1, 1, 0, 0, s) for s in (0, 30)]
+    assert out("SELECT MAX(n) AS n FROM extraInput", batch_interval="10 seconds") == [("x", t) for t in starts]
+    assert out("SELECT n FROM extraInput ORDER BY n LIMIT 1", batch_interval=10_000) == [("x", t) for t in starts]

@@ -80,3 +80,35 @@ def test_referenced_views_uses_the_flows_ansi_mode(spark):
         assert spark.conf.get("spark.sql.ansi.enabled") == "true"   # restored
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_only_plain_aggregates_of_one_view_join_a_grouping(spark):
+    from rillet.operators.sql_stage import analysed_nodes, grouped_text, row_wise_text
+    empty = spark.createDataFrame([], "x int, size string, t timestamp")
+    views = {"input": empty, "output": empty}
+
+    def grouped(text):
+        return grouped_text(text, analysed_nodes(views, text, spark), "w")
+
+    assert grouped("SELECT SUM(size) FROM Output i") == "SELECT w, SUM(size) FROM Output i GROUP BY w "
+    assert grouped("SELECT 'having' h, MAX(x) FROM input HAVING MAX(x) > 1") == \
+        "SELECT w, 'having' h, MAX(x) FROM input  GROUP BY w HAVING MAX(x) > 1"
+    assert grouped("SELECT x, COUNT(DISTINCT size) FROM input WHERE x > 1 GROUP BY x") == \
+        "SELECT w, x, COUNT(DISTINCT size) FROM input WHERE x > 1 GROUP BY w, x"
+    for text in ("SELECT COUNT(*) FROM input WHERE x > 1",  # a row also where none matches
+                 "SELECT x, COUNT(*) FROM input GROUP BY 1", "SELECT x, COUNT(*) FROM input GROUP BY ALL",
+                 "SELECT x, COUNT(*) FROM input GROUP BY ROLLUP(x)", "SELECT DISTINCT x FROM input",
+                 "SELECT COUNT(*) FROM input ORDER BY 1", "SELECT COUNT(*) FROM input LIMIT 1",
+                 "SELECT COUNT(*) FROM (SELECT DISTINCT x FROM input)", "SELECT x FROM input",
+                 "SELECT COUNT(*) FROM input i JOIN output o ON i.x = o.x", "SELECT 1 AS one",
+                 "SELECT MAX(x) FROM input -- GROUP BY x", "WITH a AS (SELECT x FROM input) SELECT MAX(x) FROM a",
+                 "SELECT MAX(x) FROM input GROUP BY x HAVING MAX(x) > (SELECT MIN(x) FROM output)"):
+        assert grouped(text) is None, text
+
+    def carried(text):
+        return row_wise_text(text, analysed_nodes(views, text, spark), "t")
+
+    assert carried("SELECT size FROM input WHERE x > 1") == "SELECT t, size FROM input WHERE x > 1"
+    for text in ("SELECT DISTINCT x FROM input", "SELECT MAX(x) FROM input", "SELECT x FROM input ORDER BY x LIMIT 2",
+                 "SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS r FROM input", "SELECT explode(array(x, 1)) FROM input"):
+        assert carried(text) is None, text
