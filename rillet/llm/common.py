@@ -30,6 +30,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quota(sizes: list[int], total: int) -> int:
+    """Rows that each class may give at most so that all together give about ``total``:
+    classes of fewer rows give all of theirs, and the others share what is left evenly."""
+    left = total
+    for i, n in enumerate(sorted(sizes)):
+        even = left // (len(sizes) - i)
+        if n > even:
+            return max(1, even)
+        left -= n
+    return max(sizes, default=0)
+
+
+HASH_RANGE = 1 << 30
+
+
+def class_sample(rows: DataFrame, label: str, sizes: dict, most: int) -> DataFrame:
+    """Distinct texts of every class (value of ``label``): all of a class with up to ``most``
+    of them (``sizes`` has the numbers), about ``most`` of a larger one.
+
+    ``rows`` has the text's 64-bit hash as ``full``; it picks the same texts everywhere. Adds
+    ``h``, a hash below ``HASH_RANGE`` times the class's share. Copies count once, so neither
+    a class nor the size of the sample hangs on one text.
+    """
+    picked = rows.withColumn("h", F.pmod("full", F.lit(HASH_RANGE)))
+    cuts = {c: max(1, int(most / n * HASH_RANGE)) for c, n in sizes.items() if n > most}
+    if cuts:
+        at = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+        picked = picked.filter(F.col("h") < F.coalesce(at[F.col(label)], F.lit(HASH_RANGE)))
+    return picked.dropDuplicates([label, "full"])
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Few rows that cost much each, dealt over all cores whatever their bytes."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def map_frame(df: DataFrame, func, schema: str) -> DataFrame:
     """``func(DataFrame) -> DataFrame`` over Arrow batches of ``df``."""
     def run(batches):

@@ -7,8 +7,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import class_sample, quota, spread
+
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
+SEED = 17  # of the sample's hash
 CHUNK = 1 << 16  # characters hashed at a time, so that long texts need bounded memory
 
 _LETTER: np.ndarray | None = None
@@ -76,16 +79,21 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
         alpha: float = 0.5, max_langs: int = 512) -> tuple[list[str], np.ndarray]:
     """Learned languages (sorted) and their log-probability matrix (buckets x langs).
 
-    ``docs`` holds the training rows; rows with null lang are left out. At most
-    about ``sample_rows`` of them are read closely: a hash of the text picks the
-    same share everywhere once there are more. The counts are summed by Spark;
-    only ``langs x 65,536`` sums reach the driver, and over ``max_langs``
-    languages is an error. No training rows: no languages.
+    ``docs`` holds the training rows; rows with null lang are left out. All of them
+    name the languages; about ``sample_rows`` of their distinct texts are read closely:
+    every text of a language with few, and an equal number of each other language, picked
+    by a hash of the text. The counts are summed by Spark; only ``langs x 65,536`` sums
+    reach the driver, and over ``max_langs`` languages is an error. No training rows: no
+    languages.
     """
-    rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    n = rows.count()
-    if n > sample_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1 << 30)) < int(sample_rows / n * (1 << 30)))
+    rows = (docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+            .withColumn("full", F.xxhash64("text", F.lit(SEED))))
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count_distinct("full").alias("n"))
+             .limit(max_langs + 1).collect()}
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages to learn")
+    names = sorted(sizes)
+    rows = spread(class_sample(rows, "lang", sizes, quota(list(sizes.values()), sample_rows)), "full")
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
@@ -109,12 +117,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
                     yield from flush()
         yield from flush()
 
-    counted = (rows.mapInPandas(count, "lang string, bucket int, n long")
+    counted = (rows.select("lang", "text").mapInPandas(count, "lang string, bucket int, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).persist())
     try:
-        names = sorted(r.lang for r in rows.select("lang").distinct().limit(max_langs + 1).collect())
-        if len(names) > max_langs:
-            raise ValueError(f"more than {max_langs} languages to learn")
         sums = counted.toPandas()
     finally:
         counted.unpersist()

@@ -68,8 +68,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_toxicity(docs: DataFrame, labels: DataFrame):
     """The model learned from labelled documents outside the held-out fold."""
     marked = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    learn = docs.filter(_rest("doc_id", 5) != 0).select("doc_id", "text").join(marked, "doc_id")
-    return toxicity.fit(learn)
+    return toxicity.fit(docs.filter(_rest("doc_id", 5) != 0).select("doc_id", "text"), labels=marked)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import HASH_RANGE, class_sample, cut, quota, spread
+
+SEED = 5  # of the sample's hash
 CARRIER = b"|#0q7Zk2~Vx9^Jw4=Lm8;Rt6?Bn3!Hd5"
 GAINS = (2, 3, 4, 5, 6)  # thresholds whose exceedances are counted
 MEMO = 150_000
@@ -125,27 +128,45 @@ def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 1.
 
 def fit(docs: DataFrame, text: str = "text", label: str = "toxic", sample_rows: int = 24_000,
         toxic_words: int = 800, ordinary_words: int = 20_000, least_score: float = 4.0,
-        least_lift: float = 10.0, level: int = 6) -> ToxicityModel | float:
+        least_lift: float = 10.0, level: int = 6, labels: DataFrame | None = None,
+        doc_id: str = "doc_id") -> ToxicityModel | float:
     """Dictionaries and calibration from labelled rows (label 1 toxic, 0 ordinary).
 
-    Rows with another or no label are left out. At most about ``sample_rows`` rows
-    are read closely, the same share everywhere by a hash of the text: three
-    quarters choose the dictionaries' content, the rest calibrates. Toxic content
+    Rows with another or no label are left out. About ``sample_rows`` distinct texts are
+    read closely: every text of a label with few, else an equal number of each label, by a
+    hash of the text. Three quarters of each label's choose the dictionaries' content, the
+    rest calibrates, weighed back to the labels' numbers of distinct texts. Toxic content
     are the ``toxic_words`` words whose document frequency under label 1 exceeds the
     expected one most (``least_score`` standard deviations and ``least_lift`` times
     at least). Spark counts; bounded lists and the sample's distinct rows of features
-    reach the driver, so a text with very many copies costs one row there.
+    reach the driver. A text with very many copies counts once per label.
+    With ``labels``, ``label`` is a column of that table (a row per ``doc_id``); only ids and
+    hashes are joined with it, and texts of the sample alone move.
     Without both labels the result is the share of toxic rows, a constant score.
     """
-    rows = (docs.filter(F.col(label).isin(0, 1))
-            .select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"),
-                    F.pmod(F.xxhash64(F.col(text), F.lit(5)), F.lit(1 << 30)).alias("h")))
-    n, toxic_n = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    full = F.xxhash64(F.col(text), F.lit(SEED)).alias("full")
+    if labels is None:
+        rows = docs.select(F.col(text).alias("text"), F.col(label).alias("label"), full)
+    else:
+        marked = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"))
+        rows = docs.select(F.col(doc_id).alias("doc_id"), full).join(marked, "doc_id")
+    rows = rows.filter(F.col("label").isin(0, 1)).withColumn("label", F.col("label").cast("int"))
+    found = (rows.groupBy("label")
+             .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("full").alias("texts")).collect())
+    n, toxic_n = sum(r.n for r in found), sum(r.n for r in found if r.label)
     if not n or not toxic_n or toxic_n == n:
         return toxic_n / n if n else 0.0
-    share = min(1.0, sample_rows / n)
-    cut_at, half = int(share * (1 << 30)), int(share * 0.75 * (1 << 30))
-    learn, hold = rows.filter(F.col("h") < half), rows.filter((F.col("h") >= half) & (F.col("h") < cut_at))
+    sizes = {r.label: r.texts for r in found}
+    most = quota(list(sizes.values()), sample_rows)
+    share = {c: min(1.0, most / k) for c, k in sizes.items()}
+    picked = class_sample(rows, "label", sizes, most)
+    if labels is not None:  # about sample_rows rows of ids and hashes are broadcast
+        picked = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), full)
+                  .join(F.broadcast(picked), ["doc_id", "full"]).dropDuplicates(["label", "full"]))
+    sample = cut(spread(picked, "full").select("text", "label", "h"), "toxicsample")
+    half = F.when(F.col("label") == 1, F.lit(int(share[1] * 0.75 * HASH_RANGE))).otherwise(
+        F.lit(int(share[0] * 0.75 * HASH_RANGE)))
+    learn, hold = sample.filter(F.col("h") < half), sample.filter(F.col("h") >= half)
     n1, n0 = learn.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     n1, n0 = n1 or 0, n0 or 0
     counts = _word_counts(learn).persist()
@@ -183,6 +204,9 @@ def fit(docs: DataFrame, text: str = "text", label: str = "toxic", sample_rows:
         return toxic_n / n
     order = np.lexsort([*x.T, y])  # the same weights in whatever order rows arrive
     x, y, times = x[order], y[order], times[order]
+    seen = times.sum()
+    times /= np.where(y == 1, share[1], share[0])
+    times *= seen / times.sum()
     mean = np.average(x, axis=0, weights=times)
     scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=times)) + 1e-9
     return ToxicityModel(ordinary, toxic, level, mean, scale, _logistic((x - mean) / scale, y, times))

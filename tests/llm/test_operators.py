@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import brute
 from rillet.llm import bpe, langid, lattice, linededup, packing, pii, simhash, substring, topk, toxicity
-from rillet.llm.common import components, sha256_hex
+from rillet.llm.common import class_sample, components, quota, sha256_hex
 from rillet.llm.queries import vocabulary
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -85,6 +85,30 @@ def test_language_id(spark, docs, none):
     assert {r.lang_pred for r in langid.predict(docs, *langid.fit(none)).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned_from_a_large_table(spark):
+    alphabets = ["αβγδεζηθ", "бвгджзик", "אבגדהוזח", "กขคงจฉชซ", "アイウエオカキク", "ԱԲԳԴԵԶԷԸ"]
+    r = random.Random(9)
+
+    def words(letters):
+        return " ".join("".join(r.choice(letters) for _ in range(5)) for _ in range(20))
+    learn = [(words("abcdefgh"), "en") for _ in range(3000)] + [("one text only zzyzx", "copies")] * 1500
+    learn += [(words(a), f"rare{i}") for i, a in enumerate(alphabets) for _ in range(3)]
+    names, matrix = langid.fit(spark.createDataFrame(learn, "text string, lang string"), sample_rows=200)
+    assert names == sorted({lang for _, lang in learn})
+    test = spark.createDataFrame([(words(a), f"rare{i}") for i, a in enumerate(alphabets)] + [
+        (words("abcdefgh"), "en"), ("one text only zzyzx", "copies")], "text string, want string")
+    assert all(x.lang_pred == x.want for x in langid.predict(test, names, matrix).collect())
+
+
+def test_class_samples(spark):
+    assert quota([10, 20, 1000], 300) == 270 and quota([5, 6], 20) == 6 and quota([], 5) == 0 and quota([9, 9, 9], 2) == 1
+    rows = spark.createDataFrame([(f"t{i}", "a") for i in range(5000)] + [("same", "b")] * 900 + [("x", "c"), ("y", "c")],
+                                 "text string, lang string").withColumn("full", F.xxhash64("text"))
+    got = class_sample(rows, "lang", {"a": 5000, "b": 1, "c": 2}, 500).groupBy("lang").count().collect()
+    n = {r[0]: r[1] for r in got}
+    assert n["b"] == 1 and n["c"] == 2 and 400 < n["a"] < 600
+
+
 def test_language_scores_do_not_depend_on_pieces(monkeypatch):
     codes = langid.letter_codes(sentence(500))
     whole = np.sort(langid.gram_buckets(codes))
@@ -262,6 +286,22 @@ def test_toxicity(spark, docs, none):
     assert {x.score for x in toxicity.score(docs, toxicity.fit(learn.filter("toxic = 0"))).collect()} == {0.0}
 
 
+def test_toxicity_learns_a_rare_label_of_a_large_table(spark):
+    r = random.Random(4)
+
+    def row(bad):
+        w = ["".join(r.choice(["an", "the", "on", "er", "ing", "st"]) for _ in range(r.randint(1, 4))) for _ in range(40)]
+        if bad:
+            w[7], w[21] = r.choice(["wretch", "scoundrel"]), r.choice(["wretch", "scoundrel"])
+        return " ".join(w), int(bad)
+    learn = spark.createDataFrame([row(False) for _ in range(6000)] + [row(True) for _ in range(60)], "text string, toxic int")
+    model = toxicity.fit(learn, sample_rows=600)
+    assert isinstance(model, toxicity.ToxicityModel)
+    test = spark.createDataFrame([row(i % 2) for i in range(200)], "text string, toxic int")
+    got = toxicity.score(test, model).collect()
+    assert sum((x.score >= 0.5) == (x.toxic == 1) for x in got) >= 0.95 * len(got)
+
+
 # -- near duplicates ---------------------------------------------------------
 
 def test_simhash(docs, none):
