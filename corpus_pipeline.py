@@ -34,14 +34,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component one document stays: that of the smallest doc_id.
+    """Of each SimHash component of texts one row stays: that of the smallest doc_id, and
+    of several texts of that doc_id the one of the least hash.
 
-    Rows without doc_id stay. Of several rows with the kept doc_id one stays.
+    Rows without doc_id stay. Different texts of one doc_id are not tied by it.
     """
-    found = simhash.near_duplicates(docs, words=4, seed=42, distance=4)
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    return left.filter("doc_id IS NULL").unionAll(left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    stay = simhash.one_of_each(docs, words=4, seed=42, distance=4).select(
+        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__stay"))
+    hashed = docs.filter("doc_id IS NOT NULL").withColumn("__hash", simhash.text_hash())
+    left = (hashed.join(stay, (F.col("doc_id").cast("long") == F.col("__doc")) & (F.col("__hash") == F.col("__stay")),
+                        "left_semi").dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
+    return docs.filter("doc_id IS NULL").unionAll(left)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

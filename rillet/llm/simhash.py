@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import components, cut, each_group, split_buckets
 
 SHINGLES_AT_ONCE = 1 << 16
+HASH_SEED = 9
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -133,6 +134,13 @@ def links(classes: DataFrame, distance: int = 4, block: int = 4096) -> DataFrame
                       ["k", "part", "pi", "pj"], run, "a long, b long")
 
 
+def _fingerprints(words: int, seed: int):
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, words, seed) for t in texts], dtype="int64")
+    return fp
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: int = 4,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fp`` (signed 64 bits) and ``component_id``,
@@ -143,11 +151,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
     and has a null component. Equal fingerprints are one class from the start, so
     groups of copies cost one row. An empty table gives no rows.
     """
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, words, seed) for t in texts], dtype="int64")
-
-    prints = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fp(F.col(text)).alias("fp")), "simhash")
+    prints = cut(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+                             _fingerprints(words, seed)(F.col(text)).alias("fp")), "simhash")
     held = prints.filter("doc_id IS NOT NULL")
     classes = held.groupBy("fp").agg(F.min("doc_id").alias("node"))
     classes = cut(classes, "classes")
@@ -161,3 +166,24 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
              .select("fp", F.coalesce("component", "node").alias("component_id")))
     return (prints.join(named, "fp", "left")
             .select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+def text_hash(text: str = "text"):
+    return F.xxhash64(F.col(text), F.lit(HASH_SEED))
+
+
+def one_of_each(docs: DataFrame, words: int = 4, seed: int = 42, distance: int = 4,
+                doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, text_hash`` of one row of each component of texts: that of the smallest
+    doc_id, and of its texts there the one of the least hash.
+
+    Fingerprints are the nodes here, so two texts under one doc_id are not linked by it.
+    Rows without doc_id take no part.
+    """
+    prints = (docs.filter(F.col(doc_id).isNotNull())
+              .select(F.struct(F.col(doc_id).cast("long").alias("doc_id"), text_hash(text).alias("text_hash")).alias("row"),
+                      _fingerprints(words, seed)(F.col(text)).alias("fp")))
+    classes = cut(prints.groupBy("fp").agg(F.min("row").alias("row")).withColumn("node", F.col("fp")), "classes")
+    found = components(links(classes, distance))
+    return (classes.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
+            .agg(F.min("row").alias("row")).select("row.doc_id", "row.text_hash"))

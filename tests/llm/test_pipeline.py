@@ -39,6 +39,14 @@ def test_stages_on_a_small_table(spark, tmp_path):
     assert {"doc_id", "start", "length", "ids"} <= set(docs.columns) and docs.count() > 0
 
 
+def test_near_duplicates_with_repeated_doc_ids(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, one), (5, two), (5, two), (8, two), (9, one), (3, "another text of its own"), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()]
+    assert sorted(got, key=str) == sorted([(5, one), (5, two), (3, "another text of its own"), (None, one)], key=str)
+
+
 def test_stages_on_an_empty_table(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
