@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import brute
 from rillet.llm import bpe, langid, lattice, linededup, packing, pii, simhash, substring, topk, toxicity
 from rillet.llm.common import class_sample, components, quota, sha256_hex
-from rillet.llm.queries import vocabulary
+from rillet.llm.queries import op10_lattice_dedup, vocabulary
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 VECS = "vec_id long, embedding array<float>, label int"
@@ -406,6 +406,33 @@ def test_lattice_dedup(spark, block):
     assert sum(comp[r.vec_id] == r.component_id for r in got if r.vec_id is not None) >= 0.95 * len(ids)
 
 
+def test_lattice_recall_near_the_threshold(spark):
+    g = np.random.default_rng(11)
+    rows = []
+    for cosine in np.linspace(0.931, 0.96, 300):  # pairs far from each other, no copies
+        x, y = g.normal(size=(2, 64))
+        x /= np.linalg.norm(x)
+        y -= x * (x @ y)
+        y /= np.linalg.norm(y)
+        rows += [(len(rows) + i, [float(np.float32(a)) for a in v], 0)
+                 for i, v in enumerate((x, cosine * x + np.sqrt(1 - cosine ** 2) * y))]
+    links = len(brute.cosine_links(rows))
+    got = lattice.near_duplicates(spark.createDataFrame(rows, VECS)).collect()
+    found = sum(r.n_links for r in got) / 2
+    print("recall of pairs at cosine 0.931 to 0.96:", found, "of", links)
+    assert links >= 300 and 0.95 * links <= found <= links
+
+
+def test_op10_against_brute_force(spark):
+    # no pair there reaches 0.93, so this shows the absence of false links, not recall
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in
+            spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    links = len(brute.cosine_links(rows))
+    found = sum(r.n_links for r in op10_lattice_dedup(spark, "/root/testdata/sf0.001").collect()) / 2
+    print("op10 on sf0.001:", found, "of", links)
+    assert 0.95 * links <= found <= links
+
+
 def test_lattice_empty(spark):
     assert lattice.near_duplicates(spark.createDataFrame([], VECS)).count() == 0
 
