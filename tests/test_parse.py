@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import ACCESS_FIELDS, ACCESS_JSON, ACCESS_LINES, ACCESS_XML
+from access_log import ACCESS_FIELDS, ACCESS_JSON, ACCESS_LINES, ACCESS_XML
 from rillet.operators.parse import bad_rows, good_rows, parse_lines
 from rillet.types import SchemaError
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from access_log import SF_SMALL
 from rillet.plans import queries as Q
 
 

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from access_log import SF_SMALL
 from rillet.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

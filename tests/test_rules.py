@@ -3,7 +3,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
+from access_log import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
 from rillet.functions import default_registry
 from rillet.operators.parse import parse_lines
 from rillet.operators.rules import FieldRef, Literal, Rule, apply_rules, parse_argument

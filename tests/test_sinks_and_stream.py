@@ -2,7 +2,7 @@ import datetime as dt
 import os
 import time
 
-from conftest import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
+from access_log import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
 from rillet.plans import LogFlow
 from rillet.sinks import write_if_rows, write_lines, write_partition
 from rillet.sources import table_lines, text_lines
@@ -93,7 +93,7 @@ def test_table_lines_round_trip(spark):
 
 
 def test_flow_from_a_settings_file(spark, tmp_path, lines):
-    from conftest import ACCESS_XML
+    from access_log import ACCESS_XML
     from rillet.plans.settings import flow_from_settings
     import json
     (tmp_path / "in.json").write_text(json.dumps(ACCESS_FIELDS, indent=1))

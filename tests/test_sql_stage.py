@@ -1,4 +1,4 @@
-from conftest import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
+from access_log import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
 from rillet.operators.parse import parse_lines
 from rillet.operators.render import render
 from rillet.operators.rules import apply_rules

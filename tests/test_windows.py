@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ACCESS_FIELDS, ACCESS_LINES
+from access_log import ACCESS_FIELDS, ACCESS_LINES
 from rillet.operators.parse import parse_lines
 from rillet.operators.windows import (SlideStage, duration_us, explode_windows,
                                       staged_windowed_sql, window_agg, window_stats)
