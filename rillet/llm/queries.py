@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lattice, linededup, packing, pii, simhash, substring, topk, toxicity
+from . import (alignment, bpe, bytebpe, langid, lattice, linededup, packing, pii, repair, simhash, substring, topk,
+               toxicity)
 from .common import sha256_hex, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -80,9 +81,26 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"),
+                           digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damage(conversations), conversations)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_pii, op3_bpe, op4_packing, op5_substring_dedup, op6_exact_topk, op7_line_dedup,
-    op8_toxicity, op9_simhash, op10_lattice_dedup)}
+    op8_toxicity, op9_simhash, op10_lattice_dedup, op11_byte_bpe, op12_token_alignment,
+    op13_conversation_repair)}
 
 ORACLE_SQL = {
     "op5_substring_dedup": r"""
