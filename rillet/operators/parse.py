@@ -1,9 +1,9 @@
 """Raw text lines -> typed columns (delimited, JSON or XML).
 
-Every format is parsed with built-in Catalyst expressions (``split``,
-``from_json``, ``from_xml``), so parsing stays inside whole-stage codegen and
-runs the same on static and streaming DataFrames. Fields are matched by name,
-and each line is parsed once.
+Delimited and JSON lines are parsed with built-in Catalyst expressions (``split``,
+``from_json``), so parsing stays inside whole-stage codegen; XML, whose entries may lie at
+any depth, by one pass of a parser over Arrow batches. All run the same on static and
+streaming DataFrames. Fields are matched by name, and each line is parsed once.
 
 Error policies (``on_error``):
 
@@ -16,6 +16,9 @@ Error policies (``on_error``):
 
 from __future__ import annotations
 
+from xml.parsers import expat
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +42,7 @@ def parse_lines(
     on_error: str = "fail",
     value_col: str = "value",
     strict_keys: bool = False,
-    xml_any_depth: bool = False,
+    xml_any_depth: bool = True,
 ) -> DataFrame:
     """Parse ``value_col`` into the declared fields, in declared order.
 
@@ -52,10 +55,10 @@ def parse_lines(
     * ``json``: one flat object per line; numbers may be bare or quoted,
       nested values of a String field arrive as JSON text, missing keys give
       null. ``strict_keys`` makes an undeclared key a bad line.
-    * ``xml``: ``<entry key="field">value</entry>`` children of the root
-      element, the last of duplicate keys wins, an empty element is ``""``.
-      ``xml_any_depth`` also finds nested ``entry`` elements and takes content after
-      the root element for malformed (slower: XPath).
+    * ``xml``: ``<entry key="field">value</entry>`` elements at any depth, the last of
+      duplicate keys wins, an empty element is ``""``. ``xml_any_depth=False`` takes the
+      children of the root element alone, with Spark's own reader, which does not look at
+      what follows the root element.
     """
     schema = as_schema(schema)
     if fmt not in FORMATS:
@@ -159,10 +162,10 @@ def _json(df: DataFrame, line: Column, schema: Schema, strict_keys: bool):
 
 
 def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_depth: bool):
+    if any_depth:
+        return _xml_any_depth(df, line, schema, strict_keys)
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
             "ignoreSurroundingSpaces": "false"}
-    if any_depth:
-        return _xml_any_depth(df, line, schema, strict_keys, opts)
     ddl = f"entry array<struct<_key:string,_VALUE:string>>, {_CORRUPT} string"
     staged = df.withColumn(_PARSED, F.from_xml(line, ddl, opts))
     p = F.col(_PARSED)
@@ -187,68 +190,72 @@ def _xml(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, any_dep
 
 
 # XML 1.0 text cannot hold U+0001 (not even as a character reference), so it
-# safely separates the pieces of one XPath result.
+# safely stands for a null among keys.
 _XSEP = "\x01"
-_XPATH = "__rillet_xpath"
-_WHOLE = "__rillet_line"  # the element put around a line; a column of the same name holds the result
-_XPATH_FIELDS = 5  # XPath allows 100 operators in an expression, a field takes about a dozen
 
 
-def _xml_any_depth(df: DataFrame, line: Column, schema: Schema, strict_keys: bool, opts: dict):
-    """Entries at any depth, by one XPath evaluation for every few fields of a line.
+def _xml_any_depth(df: DataFrame, line: Column, schema: Schema, strict_keys: bool):
+    """Entries at any depth, by one pass of expat over a line, in Arrow batches.
 
-    The line (without XML and plain DOCTYPE declarations) is put into an element of its
-    own, so that ``from_xml`` checks it to its end, content after the root element
-    included, before XPath, which raises on malformed text, sees it. One ``concat``
-    returns, per field, "1" + the text of the last entry with that key (or "" when there
-    is none), separated by U+0001; the first also holds flags for anything but one root
-    element and for entries without a key.
+    Spark's own readers need a schema of known depth, and its XPath functions build a
+    document a call. Names are compared as written, prefix included; an entry's text is
+    all text inside it; of several entries with a key the last to begin wins.
     """
-    def flag(cond: str) -> str:
-        return f"substring('1', 1, {cond})"
-
-    def evaluated(parts: list[str]) -> Column:
-        expr = "concat(" + f", '{_XSEP}', ".join([*parts, "''"]) + ")"
-        return F.split(F.xpath_string(F.col(_WHOLE), F.lit(expr)), _XSEP, -1)
-
-    body = F.regexp_replace(line, r"^\s*<\?xml\b[^>]*\?>", "")
-    body = F.regexp_replace(body, r"^((?:\s|<!--(?:(?!-->)[\s\S])*+-->)*+)<!DOCTYPE[^>\[]*>", "$1")
-    staged = df.withColumn(_WHOLE, F.when(~line.contains(_WHOLE), F.concat(
-        F.lit(f"<{_WHOLE}>"), body, F.lit(f"</{_WHOLE}>"))))
-    staged = staged.withColumn(_PARSED, F.from_xml(_WHOLE, f"{_CORRUPT} string", opts))
+    names = schema.names
+    at = {name: i for i, name in enumerate(names)}
+    columns = ["problem", *[f"f{i}" for i in range(len(names))]]
+
+    @F.pandas_udf(", ".join(f"{c} string" for c in columns))
+    def read(lines: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in lines:
+            row = [None] * len(columns)
+            if text is not None:
+                entries = xml_entries_of(text)
+                if entries is None:
+                    row[0] = "malformed xml"
+                else:
+                    problems = []
+                    if any(key is None for key, _ in entries):
+                        problems.append("entry without key")
+                    if strict_keys and any(key is not None and key not in at for key, _ in entries):
+                        problems.append("undeclared keys")
+                    row[0] = "; ".join(problems) or None
+                    for key, value in entries:
+                        if key in at:
+                            row[1 + at[key]] = value
+            rows.append(row)
+        return pd.DataFrame(rows, columns=columns, dtype=object)
+
+    staged = df.withColumn(_PARSED, read(line))
     p = F.col(_PARSED)
-    wellformed = F.col(_WHOLE).isNotNull() & p.isNotNull() & p[_CORRUPT].isNull()
-
-    flags = [flag(f"1 - count(/{_WHOLE}/*)"), flag(f"count(/{_WHOLE}/*[2])"),
-             flag(f"count(/{_WHOLE}/text()[normalize-space(.)])"), flag("count(//entry[not(@key)])")]
-    columns, texts = {f"{_XPATH}_flags": evaluated(flags)}, {}
-    for a in range(0, len(schema.names), _XPATH_FIELDS):
-        column, parts = f"{_XPATH}_{a}", []
-        for i, name in enumerate(schema.names[a:a + _XPATH_FIELDS]):
-            q = _xpath_quote(name)
-            parts.append(f"concat({flag(f'count(//entry[@key={q}])')}, (//entry[@key={q}])[last()])")
-            piece = F.get(F.col(column), i)
-            texts[name] = F.when(piece.startswith("1"), F.substr(piece, F.lit(2)))
-        columns[column] = evaluated(parts)
-    if strict_keys:
-        columns[f"{_XPATH}_keys"] = F.xpath(F.col(_WHOLE), F.lit("//entry/@key"))
-    staged = staged.withColumns({c: F.when(wellformed, x) for c, x in columns.items()})
-
-    found = F.col(f"{_XPATH}_flags")
-    one_root = F.coalesce(F.concat(F.get(found, 0), F.get(found, 1), F.get(found, 2)) == "", F.lit(False))
-    # what stands in a line that is not one element counts for nothing
-    texts = {name: F.when(one_root, text) for name, text in texts.items()}
-    problems = [F.when(line.isNotNull() & ~one_root, F.lit("malformed xml")),
-                F.when(one_root & (F.get(found, 3) == "1"), F.lit("entry without key"))]
-    if strict_keys:
-        extra = F.array_except(F.col(f"{_XPATH}_keys"), F.array(*[F.lit(n) for n in schema.names]))
-        problems.append(F.when(one_root & (F.size(extra) > 0), F.lit("undeclared keys")))
-    return staged, texts, problems
-
-
-def _xpath_quote(text: str) -> str:
-    if '"' not in text:
-        return f'"{text}"'
-    if "'" not in text:
-        return f"'{text}'"
-    raise SchemaError(f"field name {text!r} cannot be quoted in XPath")
+    return staged, {name: p[f"f{i}"] for name, i in at.items()}, [p["problem"]]
+
+
+def xml_entries_of(line: str) -> list[tuple[str | None, str]] | None:
+    """Key (None: no such attribute) and text of each ``entry`` element, in the order in
+    which they begin; None for a line that is not one well-formed document."""
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    found, inside = [], []
+
+    def begin(name, attributes):
+        if name == "entry":
+            entry = (attributes.get("key"), [])
+            found.append(entry)
+            inside.append(entry)
+
+    def end(name):
+        if name == "entry":
+            inside.pop()
+
+    def text(part):
+        for entry in inside:
+            entry[1].append(part)
+
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = begin, end, text
+    try:
+        parser.Parse(line.lstrip(), True)
+    except (expat.ExpatError, UnicodeEncodeError):
+        return None
+    return [(key, "".join(parts)) for key, parts in found]

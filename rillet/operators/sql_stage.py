@@ -1,6 +1,7 @@
 """Running user SQL text over named DataFrames.
 
-The text is handed to Spark SQL unchanged; Catalyst plans it. Views are
+The text is handed to Spark SQL unchanged; Catalyst plans it, also where it is to be run
+for many groups of rows at once (:func:`run_sql_each`). Views are
 registered in the session of the DataFrames just before the text is analysed.
 An analysed DataFrame keeps its resolved plan, so later re-registration of the
 same view names does not change a DataFrame returned earlier.
@@ -18,22 +19,32 @@ import threading
 from collections.abc import Mapping
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ANSI = "spark.sql.ansi.enabled"
 _lock = threading.RLock()
 
 
 @contextmanager
-def ansi_mode(spark: SparkSession, enabled: bool):
+def borrowed_settings(spark: SparkSession, settings: Mapping[str, str]):
+    """Session settings used for a while; the ones before are back afterwards."""
     with _lock:
-        before = spark.conf.get(_ANSI)
-        spark.conf.set(_ANSI, "true" if enabled else "false")
+        before = {k: spark.conf.get(k) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         try:
             yield
         finally:
-            spark.conf.set(_ANSI, before)
+            for k, v in before.items():
+                spark.conf.set(k, v)
+
+
+def ansi_mode(spark: SparkSession, enabled: bool):
+    return borrowed_settings(spark, {_ANSI: "true" if enabled else "false"})
 
 
 def run_sql(views: Mapping[str, DataFrame], text: str, ansi: bool = False,
@@ -67,104 +78,118 @@ def borrowed_views(spark: SparkSession, names):
                     df.createOrReplaceTempView(name)
 
 
-def analysed_nodes(views: Mapping[str, DataFrame], text: str, spark: SparkSession | None = None,
-                   ansi: bool = False) -> list[str]:
-    """The lines of the text's analysed plan, top first: all views are registered and the
-    text is analysed once (not run). Functions and views of the session can be used in the
-    text; the session's own views are left as they were. Pass cheap stand-ins (empty
-    DataFrames with the views' schemas)."""
+def referenced_views(views: Mapping[str, DataFrame], text: str,
+                     spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
+    """The names in ``views`` that ``text`` cannot be analysed without. Nothing is run; functions
+    and views of the session can be used in the text, and the session's own views are left as
+    they were. Pass cheap stand-ins (empty DataFrames with the views' schemas)."""
     if spark is None:
         spark = next(iter(views.values())).sparkSession
     with borrowed_views(spark, views), ansi_mode(spark, ansi):
         for name, df in views.items():
             df.createOrReplaceTempView(name)
-        tree = spark.sql(text)._jdf.queryExecution().analyzed().treeString()
-    return [line.lstrip(" :+-") for line in tree.splitlines() if line.strip(" :+-")]
+        spark.sql(text)  # what is wrong with the text itself is raised here
+        found = set()
+        for name, df in views.items():
+            spark.catalog.dropTempView(name)
+            try:
+                if spark.catalog.tableExists(name):  # a stored table would stand in for the view
+                    found.add(name)
+                else:
+                    spark.sql(text)
+            except AnalysisException:
+                found.add(name)
+            finally:
+                df.createOrReplaceTempView(name)
+        return found
+
+
+def run_sql_each(groups: DataFrame, views: Mapping[str, DataFrame], key: str, text: str,
+                 ansi: bool = False) -> DataFrame:
+    """``text`` run for every row of ``groups`` in one plan: the row's columns, then the text's.
+
+    For a row, each view holds the rows that are equal in ``key`` (a column of ``groups``
+    and of all ``views`` that the text does not see). The text is used unchanged, as a
+    correlated subquery whose views are named in a WITH in front of it; Spark turns the
+    equality into a grouping or join on ``key``, and a LIMIT into a ranking by it.
+    See :func:`runs_each` for the texts that Spark can take this way.
+    """
+    spark = groups.sparkSession
+    stored = {name: f"__rillet_rows_{i}" for i, name in enumerate(views)}
+    with borrowed_views(spark, [_GROUPS, *stored.values()]), ansi_mode(spark, ansi):
+        groups.createOrReplaceTempView(_GROUPS)
+        named = []
+        for name, df in views.items():
+            df.createOrReplaceTempView(stored[name])
+            columns = ", ".join(quote(c) for c in df.columns if c != key)
+            named.append(f"{quote(name)} AS (SELECT {columns} FROM {stored[name]} {_ROW} WHERE {_ROW}.{quote(key)} = {_GROUP}.{quote(key)})")
+        shown = ", ".join(f"{_GROUP}.{quote(c)}" for c in groups.columns if c != key)
+        return spark.sql(f"SELECT {shown}, {_RESULT}.* FROM {_GROUPS} {_GROUP}, LATERAL (WITH {', '.join(named)} "
+                         f"SELECT * FROM (\n{_statement(text)}\n)) {_RESULT}")
+
+
+def run_sql_rows(rows: DataFrame, name: str, keep: str, text: str, ansi: bool = False) -> DataFrame:
+    """A ``text`` that handles each row of its view ``name`` by itself (:func:`is_row_wise`), with
+    the column ``keep`` of the row in front of what it makes of it. The view is the one row
+    that stands outside, so a projection stays a projection."""
+    spark = rows.sparkSession
+    with borrowed_views(spark, [_GROUPS]), ansi_mode(spark, ansi):
+        rows.createOrReplaceTempView(_GROUPS)
+        row = ", ".join(f"{_GROUP}.{quote(c)} AS {quote(c)}" for c in rows.columns)
+        return spark.sql(f"SELECT {_GROUP}.{quote(keep)}, {_RESULT}.* FROM {_GROUPS} {_GROUP}, LATERAL (WITH {quote(name)} AS "
+                         f"(SELECT {row}) SELECT * FROM (\n{_statement(text)}\n)) {_RESULT}")
+
+
+def runs_each(schemas: Mapping[str, T.StructType], text: str, spark: SparkSession, ansi: bool = False) -> bool:
+    """Whether :func:`run_sql_each` can run ``text`` over views of these schemas: not where it
+    has outer joins, nested subqueries over the views or ROLLUP. The text is tried on a
+    single made-up row, without adaptive planning, which might leave parts of it out."""
+    key = "__rillet_key"
+    views = {n: _made_up(spark, s, 1).withColumn(key, F.col(_ID)).drop(_ID) for n, s in schemas.items()}
+    groups = spark.range(1).select(F.col("id").alias(key), F.col("id").alias("__rillet_group"))
+    with borrowed_settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "1"}):
+        try:
+            run_sql_each(groups, views, key, text, ansi).collect()
+        except (AnalysisException, Py4JJavaError, PySparkException):
+            return False
+    return True
 
 
-def view_reads(nodes: list[str], names) -> dict[str, int]:
-    """How often the analysed plan reads each view. Names are compared as Spark resolves
-    them, without regard to case."""
-    plan = "\n".join(nodes).lower()
-    return {n: plan.count(f"view (`{n.lower()}`") for n in names}
+def is_row_wise(name: str, schema: T.StructType, text: str, spark: SparkSession, ansi: bool = False) -> bool:
+    """Whether ``text`` handles each row of its view ``name`` by itself: its EXPLAIN shows
+    nothing but filters, projections and generators."""
+    rows = _made_up(spark, schema, 1 << 40).drop(_ID)
+    with borrowed_views(spark, [name]), ansi_mode(spark, ansi):
+        rows.createOrReplaceTempView(name)
+        plan = spark.sql(f"EXPLAIN {_statement(text)}").first()[0]
+    steps = {m.group(1) for m in re.finditer(r"^[ :+*()0-9-]*([A-Za-z]+)", plan, re.M)}
+    return steps <= {"Project", "Filter", "Generate", "Range", "BatchEvalPython", "ArrowEvalPython"}
 
 
-def referenced_views(views: Mapping[str, DataFrame], text: str,
-                     spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
-    """The names in ``views`` that ``text`` reads (see :func:`analysed_nodes`)."""
-    reads = view_reads(analysed_nodes(views, text, spark, ansi), views)
-    return {name for name, n in reads.items() if n}
-
-
-def _above_view(nodes: list[str]) -> list[str] | None:
-    """Kinds of the plan's nodes above the one view it reads; None for any other shape."""
-    kinds = [n.split(" ", 1)[0] for n in nodes]
-    views = [i for i, k in enumerate(kinds) if k == "View"]
-    if len(views) != 1 or any("-subquery#" in n for n in nodes):
-        return None
-    above = kinds[:views[0]]
-    while above and above[-1] == "SubqueryAlias":
-        above = above[:-1]
-    return above
-
-
-_LITERAL = re.compile(r"'(?:[^'\\\\]|\\\\.)*'|\"(?:[^\"\\\\]|\\\\.)*\"|`[^`]*`", re.S)
-_CLAUSES = ("select", "group by", "having")
-
-
-def _clauses(text: str) -> dict[str, tuple[int, int]] | None:
-    """Where the one SELECT, GROUP BY and HAVING of a plain statement stand (literals and
-    quoted names do not count); None if one occurs twice or there are comments."""
-    bare = _LITERAL.sub(lambda m: "x" * len(m.group()), text)
-    if "--" in bare or "/*" in bare or not re.match(r"\s*select\b", bare, re.I):
-        return None
-    found = {}
-    for word in _CLAUSES:
-        hits = [m.span() for m in re.finditer(rf"\b{word.replace(' ', chr(92) + 's+')}\b", bare, re.I)]
-        if len(hits) > 1:
-            return None
-        if hits:
-            found[word] = hits[0]
-    return found
-
-
-def grouped_text(text: str, nodes: list[str], by: str) -> str | None:
-    """The text with the columns ``by`` selected first and added to its grouping, if its
-    analysed plan is one aggregate over one view, so that one job over all groups gives
-    what the text gives for each group of rows; else None.
-
-    A condition on the rows is taken only with a GROUP BY of the text's own: a global
-    aggregate has a row for a group without matching rows, a grouping has none.
-    """
-    above, at = _above_view(nodes), _clauses(text)
-    if above is None or at is None or "Aggregate" not in above:
-        return None
-    top, below = above[:above.index("Aggregate")], above[above.index("Aggregate") + 1:]
-    own = "group by" in at
-    if any(k not in ("Project", "Filter") for k in top) or any(k != "Filter" for k in below) or below and not own:
-        return None
-    if ("Filter" in top) != ("having" in at):
-        return None
-    text = text.rstrip().rstrip(";")
-    if own:
-        rest = text[at["group by"][1]:]
-        # positions would shift, and ALL means the selected columns
-        if re.match(r"\s*all\b", rest, re.I) or re.search(r"(?:^|,)\s*[0-9]+\s*(?:,|$|having\b)", rest, re.I):
-            return None
-        text = f"{text[:at['group by'][1]]} {by},{rest}"
-    else:
-        end = at["having"][0] if "having" in at else len(text)
-        text = f"{text[:end]} GROUP BY {by} {text[end:]}"
-    return f"{text[:at['select'][1]]} {by},{text[at['select'][1]:]}"
-
-
-def row_wise_text(text: str, nodes: list[str], column: str) -> str | None:
-    """The text with ``column`` of its view selected too, if its analysed plan
-    only filters and projects the rows of one view; else None."""
-    above, at = _above_view(nodes), _clauses(text)
-    if not above or at is None or len(at) != 1 or any(k not in ("Project", "Filter") for k in above):
-        return None
-    return f"{text[:at['select'][1]]} {column},{text[at['select'][1]:]}"
+_GROUPS, _GROUP, _ROW, _RESULT = "__rillet_groups", "__rillet_group_row", "__rillet_row", "__rillet_result"
+_ID = "__rillet_id"
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _statement(text: str) -> str:
+    return text.strip().rstrip(";").rstrip()
+
+
+def _made_up(spark: SparkSession, schema: T.StructType, rows: int) -> DataFrame:
+    """Rows of ``schema`` (and their number) that Spark cannot work out before they are read."""
+    def value(f: T.StructField):
+        x = F.col("id")
+        if isinstance(f.dataType, (T.TimestampNTZType, T.DateType)):
+            x = F.timestamp_micros(x)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.from_json(x.cast("string"), f.dataType).alias(f.name)
+        elif isinstance(f.dataType, T.BinaryType):
+            x = x.cast("string")
+        return x.cast(f.dataType).alias(f.name)
+    return spark.range(rows).select(F.col("id").alias(_ID), *[value(f) for f in schema.fields])
 
 
 def stringify(df: DataFrame) -> DataFrame:

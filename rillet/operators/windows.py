@@ -2,7 +2,7 @@
 
 Windows are half-open ``[start, end)``; starts are multiples of the slide
 (plus an optional offset), as in :func:`pyspark.sql.functions.window`; only
-windows holding at least one row exist. Three ways to compute over them:
+windows holding at least one row exist. Four ways to compute over them:
 
 * :func:`window_stats` / :func:`window_agg` (path N): ``groupBy(window)``
   with partial aggregation before the shuffle; a single hot window costs
@@ -10,12 +10,13 @@ windows holding at least one row exist. Three ways to compute over them:
 * :func:`explode_windows` (path A): each row tagged with every window that
   holds it (``window_start``, ``window_end``), so SQL that groups or joins on
   the window columns computes all windows in one job.
-* :class:`SlideStage` (path S): the unchanged SQL text run once per window.
-  Rows are written once to the shared scratch folder, partitioned by slide
-  bucket; each window reads only its buckets (a partition filter), and
-  results are written per window, partitioned by window end. Use it for text
-  that cannot group by window (ORDER BY ... LIMIT per window, a plain
-  aggregate); prefer path A or N otherwise.
+* :func:`sql_per_window` (path L): the unchanged SQL text over the rows of each window, as
+  a correlated subquery, so that one job computes all windows (a LIMIT becomes a ranking by
+  window, an aggregate a grouping). For the texts that :func:`runs_each` takes.
+* :class:`SlideStage` (path S): rows written once to the shared scratch folder,
+  partitioned by slide bucket, for streams: an emit reads only the buckets of its windows
+  (a partition filter) and runs the text over them as path L. Texts that path L cannot
+  take run once per window, a chunk of windows a job.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ import datetime as dt
 import math
 import re
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,14 +32,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_dir
+from ..sinks.window_results import WEND as _WEND
+from ..sinks.window_results import WindowResults
 from ..types import SchemaError
+from .panes import (PANE, distinct_panes_exact, distinct_panes_sketch, floor_div, merged_windows, pane_of,
+                    window_bounds)
 from .render import render
-from .sql_stage import ansi_mode, borrowed_views, run_sql
+from .sql_stage import ansi_mode, borrowed_views, run_sql, run_sql_each, runs_each
 
 WINDOW_START = "window_start"
 WINDOW_END = "window_end"
 BUCKET = "_bucket"
-_WEND = "_wend"
+_KEY = "__rillet_window_key"
 _EPOCH = dt.datetime(1970, 1, 1)
 _UNITS_US = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -103,10 +107,9 @@ def window_stats(df: DataFrame, value_col: str, time_col: str, length, slide=Non
     """The default statistics per window: sum, count of rows, min and max of one field.
 
     ``panes`` (default: when a row falls into more than 4 windows) aggregates
-    per pane of width gcd(length, slide) first and combines the panes of each
-    window afterwards, so only pane rows, not input rows, are multiplied by
-    the number of windows per row. Both plans pre-aggregate before every
-    shuffle.
+    per pane of width gcd(length, slide) first and merges running aggregates of the
+    panes (see :mod:`rillet.operators.panes`), so nothing is multiplied by the number of
+    windows per row. Both plans pre-aggregate before every shuffle.
     """
     length_us = duration_us(length)
     slide_us = duration_us(length if slide is None else slide)
@@ -119,25 +122,44 @@ def window_stats(df: DataFrame, value_col: str, time_col: str, length, slide=Non
             F.sum(v).alias(names[0]), F.count(F.lit(1)).alias(names[1]),
             F.min(v).alias(names[2]), F.max(v).alias(names[3])])
     start_us = duration_us(start) if start else 0
-    g = math.gcd(length_us, slide_us)
-    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
-    pane = _floor_div(micros_of(df, time_col) - F.lit(start_us), g)
-    per_pane = (df.groupBy(pane.alias("_pane"))
+    pane = pane_of(micros_of(df, time_col), length_us, slide_us, start_us)
+    per_pane = (df.groupBy(pane.alias(PANE))
                 .agg(F.sum(v).alias("_s"), F.count(F.lit(1)).alias("_n"),
-                     F.min(v).alias("_lo"), F.max(v).alias("_hi")))
-    # window k starts at start + k*slide; it holds pane p when
-    # k*slide <= p*g and (p+1)*g <= k*slide + length
-    p = F.col("_pane")
-    k_first = -_floor_div(-((p + 1) * F.lit(g) - F.lit(length_us)), slide_us)
-    k_last = _floor_div(p * F.lit(g), slide_us)
-    per_window = (per_pane.withColumn("_k", F.explode(F.sequence(k_first, k_last)))
-                  .groupBy("_k")
-                  .agg(F.sum("_s").alias(names[0]), F.sum("_n").alias(names[1]),
-                       F.min("_lo").alias(names[2]), F.max("_hi").alias(names[3])))
-    begin = F.col("_k") * F.lit(slide_us) + F.lit(start_us)
-    return per_window.select(_ts_from_micros(begin, ntz).alias(WINDOW_START),
-                             _ts_from_micros(begin + F.lit(length_us), ntz).alias(WINDOW_END),
-                             *names)
+                     F.min(v).alias("_lo"), F.max(v).alias("_hi")).filter(F.col(PANE).isNotNull()))
+    per_window = merged_windows(per_pane, [], {"_s": F.sum, "_n": F.sum, "_lo": F.min, "_hi": F.max}, length_us, slide_us)
+    return per_window.select(*window_bounds(length_us, slide_us, start_us, _clock(df, time_col)),
+                             *[F.col(c).alias(n) for c, n in zip(("_s", "_n", "_lo", "_hi"), names)])
+
+
+def window_distinct(df: DataFrame, value_col: str, time_col: str, length, slide=None, start=None,
+                    by: Iterable[str] = (), lg_k: int | None = None) -> DataFrame:
+    """The number of distinct values of one column per window (and ``by`` keys), as ``n_distinct``.
+
+    Exact for an integer column, by bitmaps. With ``lg_k`` of any column, by HyperLogLog
+    sketches of 2**lg_k registers, whose standard error is about 1.04 / sqrt(2**lg_k) of
+    the number. Both are kept per pane and merged (see :mod:`rillet.operators.panes`), so
+    a value is looked at once, not once a window. Nulls do not count; a window (and key)
+    that holds rows with nulls only has 0.
+    """
+    length_us = duration_us(length)
+    slide_us = duration_us(length if slide is None else slide)
+    start_us = duration_us(start) if start else 0
+    by = list(by)
+    pane = pane_of(micros_of(df, time_col), length_us, slide_us, start_us)
+    if lg_k is None:
+        panes = distinct_panes_exact(df, pane, value_col, by)
+        merged = merged_windows(panes, [*by, "_bucket"], {"_bits": F.bitmap_or_agg}, length_us, slide_us)
+        counts = merged.groupBy("_k", *by).agg(F.sum(F.bitmap_count("_bits")).alias("n_distinct"))
+    else:
+        panes = distinct_panes_sketch(df, pane, value_col, by, lg_k)
+        merged = merged_windows(panes, by, {"_sketch": F.hll_union_agg}, length_us, slide_us)
+        counts = merged.select("_k", *by, F.hll_sketch_estimate("_sketch").alias("n_distinct"))
+    return counts.select(*window_bounds(length_us, slide_us, start_us, _clock(df, time_col)), *by, "n_distinct")
+
+
+def _clock(df: DataFrame, time_col: str) -> Callable[[Column], Column]:
+    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    return lambda us: _ts_from_micros(us, ntz)
 
 
 def _ts_from_micros(us: Column, ntz: bool) -> Column:
@@ -156,6 +178,30 @@ def windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, lengt
     return run_sql(exploded, text, ansi=ansi)
 
 
+def windows_of(df: DataFrame, time_col: str, length, slide=None, start=None) -> DataFrame:
+    """The windows that hold a row: ``window_start``, ``window_end``."""
+    w = "__rillet_window"
+    return (df.select(window_column(time_col, length, slide, start).alias(w)).distinct()
+            .select(F.col(f"{w}.start").alias(WINDOW_START), F.col(f"{w}.end").alias(WINDOW_END)))
+
+
+def _keyed(df: DataFrame, time_col: str, length, slide=None, start=None) -> DataFrame:
+    """Every row once per window that holds it, with the window's start under a private name."""
+    w = "__rillet_window"
+    return (df.withColumn(w, window_column(time_col, length, slide, start))
+            .select("*", F.col(f"{w}.start").alias(_KEY)).drop(w))
+
+
+def sql_per_window(views: Mapping[str, DataFrame], text: str, time_col: str, length, slide=None, start=None,
+                   ansi: bool = False, windows: DataFrame | None = None) -> DataFrame:
+    """Path L: ``text`` over each window's rows of ``views``, in one job. ``windows`` (default:
+    those that hold a row of the first view) has ``window_start`` and ``window_end``."""
+    if windows is None:
+        windows = windows_of(next(iter(views.values())), time_col, length, slide, start)
+    keyed = {n: _keyed(d, time_col, length, slide, start) for n, d in views.items()}
+    return run_sql_each(windows.withColumn(_KEY, F.col(WINDOW_START)), keyed, _KEY, text, ansi)
+
+
 def micros_of(df: DataFrame, time_col: str) -> Column:
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.TimestampNTZType):
@@ -166,11 +212,6 @@ def micros_of(df: DataFrame, time_col: str) -> Column:
     raise SchemaError(f"time column {time_col!r} must be a timestamp, not {dtype}")
 
 
-def _floor_div(x: Column, d: int) -> Column:
-    """Exact floor division of a long by a positive constant (also before 1970)."""
-    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("long")
-
-
 def ts_literal(us: int, ntz: bool) -> Column:
     if ntz:
         text = (_EPOCH + timedelta(microseconds=us)).isoformat(sep=" ")
@@ -204,6 +245,8 @@ class SlideStage:
         self._counts: dict[str, dict[int, int]] = {}  # rows per bucket per staged view
         self._schemas: dict[str, T.StructType] = {}  # staged schema incl. partition columns
         self._batches: dict[str, set] = {}
+        self._results: dict[str, WindowResults] = {}
+        self._each: dict[tuple, bool] = {}  # texts tried: can they run for all windows at once
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -287,7 +330,7 @@ class SlideStage:
         return self._bucket_of(df)
 
     def _bucket_of(self, df: DataFrame) -> Column:
-        return _floor_div(micros_of(df, self.time_col) - F.lit(self.start_us), self.bucket_us)
+        return floor_div(micros_of(df, self.time_col) - F.lit(self.start_us), self.bucket_us)
 
     def staged(self, name: str) -> DataFrame:
         """The staged rows of one view; listed once until the next append."""
@@ -350,186 +393,136 @@ class SlideStage:
                 starts.add(self.start_us + k * self.slide_us)
         return [(s, s + self.length_us) for s in sorted(starts)]
 
-    def window_views(self, window: tuple[int, int], session: SparkSession | None = None,
-                     bases: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    def window_views(self, window: tuple[int, int]) -> dict[str, DataFrame]:
         """Each view restricted to one window: a partition filter on the bucket
         (staged views) or a time-range filter (direct views); then derived views."""
-        lo = (window[0] - self.start_us) // self.bucket_us
-        hi = (window[1] - self.start_us) // self.bucket_us - 1
-        views = {}
-        for name in self.names:
-            if name in self.direct:
-                t = F.col(self.time_col)
-                views[name] = self.direct[name].where(
-                    (t >= ts_literal(window[0], bool(self.ntz)))
-                    & (t < ts_literal(window[1], bool(self.ntz))))
-                continue
-            views[name] = self._staged_range(name, lo, hi, session or self.spark,
-                                             (bases or {}).get(name))
+        views = {n: self._direct(n, *window) if n in self.direct else self._staged(n, self._range(window))
+                 for n in self.names}
         for name, fn in self.derived.items():
             views[name] = fn(views)
         return views
 
-    def _staged_range(self, name: str, lo: int, hi: int, session: SparkSession,
-                      base: DataFrame | None = None) -> DataFrame:
-        """Rows of buckets ``lo..hi`` of a staged view.
+    def _direct(self, name: str, lo: int, hi: int) -> DataFrame:
+        t = F.col(self.time_col)
+        return self.direct[name].where((t >= ts_literal(lo, bool(self.ntz))) & (t < ts_literal(hi, bool(self.ntz))))
 
-        With a known schema only bucket folders that hold rows are read (no
-        listing of the whole history, no footer inference): those of this
-        window, or of ``base`` (:meth:`_chunk_read`, one listing for a chunk
-        of windows) with a partition filter. Otherwise the whole staged
-        table with a partition filter.
-        """
+    def _staged(self, name: str, buckets: Iterable[int]) -> DataFrame:
+        """Rows of these buckets of a staged view, with a partition filter. With a known
+        schema only the folders of buckets that hold rows are listed, no footer is read."""
+        buckets = sorted(buckets)
         schema = self._schemas.get(name)
         if schema is None:
-            staged = (self.staged(name) if session is self.spark
-                      else session.read.parquet(self.path(name)))
-            return staged.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
-        counts = self.view_counts(name)
-        present = [b for b in range(lo, hi + 1) if b in counts]
-        if not present:
-            return session.createDataFrame([], schema).drop(BUCKET, "_batch")
-        if base is None:
-            base = self._read_buckets(name, present, session)
-        return base.where(F.col(BUCKET).between(lo, hi)).drop(BUCKET, "_batch")
-
-    def _read_buckets(self, name: str, buckets, session: SparkSession) -> DataFrame:
-        paths = [f"{self.path(name)}/{BUCKET}={b}" for b in sorted(buckets)]
-        return (session.read.schema(self._schemas[name]).option("basePath", self.path(name))
-                .parquet(*paths))
-
-    def _chunk_read(self, windows, session: SparkSession) -> dict[str, DataFrame]:
-        """Per staged view with a known schema, one read of all buckets the
-        chunk's windows hold (one file listing for the chunk)."""
-        bases = {}
-        for name in self.names:
-            if name in self.direct or name not in self._schemas:
-                continue
+            rows = self.staged(name)
+        else:
             counts = self.view_counts(name)
-            wanted = {b for w in windows
-                      for b in range((w[0] - self.start_us) // self.bucket_us,
-                                     (w[1] - self.start_us) // self.bucket_us)
-                      if b in counts}
-            if wanted:
-                bases[name] = self._read_buckets(name, wanted, session)
-        return bases
+            present = [b for b in buckets if b in counts]
+            if not present:
+                return self.spark.createDataFrame([], schema).drop(BUCKET, "_batch")
+            rows = (self.spark.read.schema(schema).option("basePath", self.path(name))
+                    .parquet(*[f"{self.path(name)}/{BUCKET}={b}" for b in present]))
+        if buckets:
+            rows = rows.where(F.col(BUCKET).between(buckets[0], buckets[-1]))
+        return rows.drop(BUCKET, "_batch")
 
     def run(self, text: str, windows: Iterable[tuple[int, int]] | None = None,
             out: str | None = None, ansi: bool = False, chunk: int = 16,
-            workers: int = 8, text_out: str | None = None) -> DataFrame | None:
-        """Run ``text`` once per window; results land in ``out`` partitioned by window end.
-
-        Each window's views are registered and the text analysed under a lock
-        (analysis is eager and cheap); the analysed plans of a chunk of windows
-        form one write job, and chunks run concurrently on ``workers`` threads.
-        Re-running a window replaces its partition only. ``text_out`` also
-        writes each result row as a ``[a,b]`` text line (the result columns,
-        without the window columns), partitioned the same way. Returns the
-        results of these windows read back (a partition filter on the window
-        end), or None when no window holds a row.
+            text_out: str | None = None, read: bool = True) -> DataFrame | None:
+        """Run ``text`` over each window; results land in ``out`` as a versioned set
+        (:class:`~rillet.sinks.window_results.WindowResults`).
+
+        Running a window again replaces its result, also by none: then it is not read any
+        more. ``text_out`` also holds each result row as a ``[a,b]`` text line (the result
+        columns, without the window columns), partitioned by window end. Returns the
+        results of these windows read back, or None when no window holds a row or
+        they are not to be ``read``.
         """
         windows = list(self.windows() if windows is None else windows)
         if not windows:
             return None
         out = out or f"{self.root}/_results"
-        chunks = [windows[i:i + chunk] for i in range(0, len(windows), chunk)]
-        with borrowed_views(self.spark, [*self.names, *self.derived, *map(_chunk_view, self.names)]):
-            # analysis takes turns in the caller's session (whose functions and views the
-            # text may use); the chunks' jobs run at the same time
-            plans = [self._plan_chunk(text, c, ansi) for c in chunks]
-        if len(plans) == 1 or workers <= 1:
-            for plan in plans:
-                self._write_chunk(plan, out)
+        results = self._results.setdefault(out, WindowResults(self.spark, out))
+        ends = [w[1] for w in windows]
+        if self.runs_each(text, ansi):
+            rows = self._per_window(text, windows, ansi)
+            counts = results.write(rows, ends)
         else:
-            with ThreadPoolExecutor(max_workers=min(workers, len(plans))) as pool:
-                for f in [pool.submit(self._write_chunk, plan, out) for plan in plans]:
-                    f.result()
-        results = self._results(out, [w[1] for w in windows], plans[0].schema)
+            counts = {}
+            for i in range(0, len(windows), chunk):
+                rows = self._chunk(text, windows[i:i + chunk], ansi)
+                counts |= results.write(rows, ends[i:i + chunk])
+        if not read and not text_out:
+            return None
+        schema = T.StructType([f for f in rows.schema.fields if f.name != _WEND])
+        found = results.read(ends, schema)
         if text_out:
-            cols = [c for c in results.columns if c not in (WINDOW_START, WINDOW_END, _WEND)]
-            (render(results, "row", cols, keep=[_WEND]).write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").partitionBy(_WEND).text(text_out))
-        return results.drop(_WEND)
-
-    def _results(self, out: str, ends: list[int], schema: T.StructType) -> DataFrame:
-        """The results of the windows that end at ``ends``: only their folders are read,
-        with the known schema; windows without a result row have none."""
-        jvm, hconf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        paths = [f"{out}/{_WEND}={e}" for e in ends]
-        fs = jvm.org.apache.hadoop.fs.Path(out).getFileSystem(hconf)
-        there = [p for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p))]
-        if not there:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", out).parquet(*there)
-
-    def _plan_chunk(self, text: str, windows, ansi: bool) -> DataFrame:
-        """The analysed union of the text over a chunk of windows."""
-        session = self.spark
-        bases = self._chunk_read(windows, session)
-        # all views staged with known schemas, none derived: each window's view is one SQL
-        # definition over the chunk's read
-        by_sql = not self.direct and not self.derived and all(n in self._schemas for n in self.names)
+            self._write_text(found, text_out, counts)
+        return found
+
+    def _write_text(self, found: DataFrame, text_out: str, counts: Mapping[int, int]) -> None:
+        cols = [c for c in found.columns if c not in (WINDOW_START, WINDOW_END)]
+        lines = render(found.withColumn(_WEND, micros_of(found, WINDOW_END)), "row", cols, keep=[_WEND])
+        (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(_WEND).text(text_out))
+        # windows without a row any more: their lines of an earlier run go
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(text_out).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for end, n in counts.items():
+            if not n:
+                fs.delete(path(f"{text_out}/{_WEND}={end}"), True)
+
+    def runs_each(self, text: str, ansi: bool) -> bool:
+        """Whether the text can run for all windows at once (tried once per text)."""
+        if (text, ansi) not in self._each:
+            empty = self.window_views((self.start_us, self.start_us + self.length_us))
+            self._each[text, ansi] = runs_each({n: d.schema for n, d in empty.items()}, text, self.spark, ansi)
+        return self._each[text, ansi]
+
+    def _per_window(self, text: str, windows: list[tuple[int, int]], ansi: bool) -> DataFrame:
+        """The text over these windows as one plan, from their buckets alone."""
+        lo, hi = min(w[0] for w in windows), max(w[1] for w in windows)
+        wanted = {b for w in windows for b in self._range(w)}
+        views = {}
+        for name in self.names:
+            views[name] = self._direct(name, lo, hi) if name in self.direct else self._staged(name, wanted)
+        for name, fn in self.derived.items():
+            views[name] = fn(views)
+        rows = self.spark.createDataFrame([(w[0],) for w in windows], "_start long")
+        due = rows.select(_ts_from_micros(F.col("_start"), bool(self.ntz)).alias(WINDOW_START),
+                          _ts_from_micros(F.col("_start") + F.lit(self.length_us), bool(self.ntz)).alias(WINDOW_END))
+        start = _interval(self.start_us) if self.start_us else None
+        res = sql_per_window(views, text, self.time_col, _interval(self.length_us), _interval(self.slide_us),
+                             start, ansi, due)
+        return res.withColumn(_WEND, micros_of(res, WINDOW_END))
+
+    def _range(self, window: tuple[int, int]) -> range:
+        """The buckets of a window."""
+        return range((window[0] - self.start_us) // self.bucket_us, (window[1] - self.start_us) // self.bucket_us)
+
+    def _chunk(self, text: str, windows: list[tuple[int, int]], ansi: bool) -> DataFrame:
+        """The text analysed for each of a few windows, and the union of these plans."""
         parts = []
-        with ansi_mode(session, ansi):
-            if by_sql:
-                for name, base in bases.items():
-                    base.createOrReplaceTempView(_chunk_view(name))
+        with borrowed_views(self.spark, [*self.names, *self.derived]), ansi_mode(self.spark, ansi):
             for w in windows:
-                res = (self._analyse_by_sql(session, w, text, bases) if by_sql
-                       else _analyse(session, self.window_views(w, session, bases), text))
+                for name, df in self.window_views(w).items():
+                    df.createOrReplaceTempView(name)
+                res = self.spark.sql(text)
                 parts.append(res.select(ts_literal(w[0], bool(self.ntz)).alias(WINDOW_START),
                                         ts_literal(w[1], bool(self.ntz)).alias(WINDOW_END),
                                         *res.columns, F.lit(w[1]).cast("long").alias(_WEND)))
-        # every part has the text's columns in the same order: a balanced tree of
-        # positional unions analyses n log n nodes, not n squared
+        # every part has the text's columns in the same order
         while len(parts) > 1:
             parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
                      for i in range(0, len(parts), 2)]
         return parts[0]
 
-    def _write_chunk(self, plan: DataFrame, out: str) -> None:
-        (plan.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(_WEND).parquet(out))
-
-    def _analyse_by_sql(self, session: SparkSession, window, text: str,
-                        bases: dict[str, DataFrame]) -> DataFrame:
-        lo = (window[0] - self.start_us) // self.bucket_us
-        hi = (window[1] - self.start_us) // self.bucket_us - 1
-        for name in self.names:
-            schema = self._schemas[name]
-            keep = [c for c in schema.fieldNames() if c not in (BUCKET, "_batch")]
-            counts = self.view_counts(name)
-            rows = sum(counts.get(b, 0) for b in range(lo, hi + 1))
-            if name not in bases or rows == 0:
-                session.createDataFrame([], schema).drop(BUCKET, "_batch").createOrReplaceTempView(name)
-                continue
-            cols = ", ".join(_quote(c) for c in keep)
-            session.sql(f"CREATE OR REPLACE TEMP VIEW {_quote(name)} AS SELECT {cols} "
-                        f"FROM {_quote(_chunk_view(name))} WHERE {BUCKET} BETWEEN {lo} AND {hi}")
-        return session.sql(text)
-
-
-def _chunk_view(name: str) -> str:
-    return f"__rillet_chunk_{name}"
-
-
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _analyse(session: SparkSession, views: Mapping[str, DataFrame], text: str) -> DataFrame:
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return session.sql(text)
-
 
 def staged_windowed_sql(views: Mapping[str, DataFrame], text: str, time_col: str, length,
                         slide=None, start=None, ansi: bool = False, chunk: int = 16,
-                        workers: int = 8, stage: bool = True) -> DataFrame | None:
-    """Path S for bounded input: the unchanged ``text`` once per window.
+                        stage: bool = True) -> DataFrame | None:
+    """Path S for bounded input: the unchanged ``text`` over each window of staged views.
     ``stage=False`` filters the views by time range instead of staging them."""
     spark = next(iter(views.values())).sparkSession
     st = SlideStage(spark, time_col, length, slide, start)
     for name, df in views.items():
         st.append(name, df, stage=stage)
-    return st.run(text, ansi=ansi, chunk=chunk, workers=workers)
+    return st.run(text, ansi=ansi, chunk=chunk)

@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from ..functions import FunctionRegistry
 from ..operators.parse import bad_rows, good_rows, parse_lines
 from ..operators.rules import compile_rules, parse_rules
-from ..operators.sql_stage import (analysed_nodes, borrowed_views, grouped_text, row_wise_text, run_sql,
-                                   view_reads)
-from ..operators.windows import (WINDOW_END, WINDOW_START, SlideStage, explode_windows,
-                                 staged_windowed_sql, ts_literal, window_stats, windowed_sql)
+from ..operators.sql_stage import (borrowed_views, is_row_wise, referenced_views, run_sql, run_sql_rows,
+                                   runs_each)
+from ..operators.windows import (WINDOW_END, WINDOW_START, SlideStage, explode_windows, sql_per_window,
+                                 staged_windowed_sql, ts_literal, window_stats, windowed_sql, windows_of)
 from ..session import scratch_dir
 from ..sources.lines import ARRIVAL
 from ..types import SchemaError, as_schema
@@ -71,7 +71,7 @@ class LogFlow:
     registry: FunctionRegistry | None = None
     time_col: str = ARRIVAL
     strict_keys: bool = False
-    xml_any_depth: bool = False
+    xml_any_depth: bool = True
     extra_sql_schema: object = None
     batch_interval: object = None
     parsed_rules: list = field(init=False, repr=False)
@@ -145,11 +145,11 @@ class LogFlow:
     def finalize_replay(self, derived: DataFrame) -> DataFrame:
         """Per-batch SQL (when set) in a bounded replay, where all batches come at once.
 
-        A text that returns the arrival time is run as it is. One that only filters and
-        projects rows carries each row's arrival time along. Any other text is run for
-        each ``batch_interval`` of the arrival time, whose rows get its start, and
-        without one it is an error when the plan is built. No job runs for the first
-        two, nor for aggregates, which become one grouping over all batches.
+        A text that returns the arrival time is run as it is. One that handles each row by
+        itself gives its arrival time to what it makes of it: such a text should return the
+        arrival time itself where it filters, as Spark then needs no join of the rows with
+        their results. Any other text is run for each ``batch_interval`` of the arrival
+        time, whose rows get its start, and without one it is an error when the plan is built.
         """
         if self.extra_sql is None or self.time_col not in derived.columns:
             return self.finalize(derived)
@@ -158,27 +158,21 @@ class LogFlow:
         with borrowed_views(spark, [EXTRA_INPUT]):
             if self.time_col in run_sql({EXTRA_INPUT: empty}, text, ansi=self.ansi).columns:
                 return self.finalize(derived)
-            nodes = analysed_nodes({EXTRA_INPUT: empty}, text, spark, self.ansi)
-            carried = row_wise_text(text, nodes, f"`{self.time_col}`")
-            if carried is not None:
-                result = run_sql({EXTRA_INPUT: derived}, carried, ansi=self.ansi)
-                time = F.col(f"`{self.time_col}`")
-            elif self.batch_interval is None:
-                raise SchemaError(f"per-batch SQL that returns no {self.time_col!r} and combines rows needs "
-                                  "a batch_interval in a bounded replay")
-            else:
-                grouped = grouped_text(text, nodes, WINDOW_START)
-                if grouped is not None:
-                    result = windowed_sql({EXTRA_INPUT: derived}, grouped, self.time_col, self.batch_interval,
-                                          ansi=self.ansi)
-                else:
-                    result = staged_windowed_sql({EXTRA_INPUT: derived}, text, self.time_col,
-                                                 self.batch_interval, ansi=self.ansi)
-                    if result is None:  # no rows, so no batches
-                        return self.finalize(empty, batch_time_us=0)
-                time = F.col(WINDOW_START)
+        if is_row_wise(EXTRA_INPUT, derived.schema, text, spark, self.ansi):
+            result = run_sql_rows(derived, EXTRA_INPUT, self.time_col, text, self.ansi)
+            return self._declared(result.select(*[f"`{c}`" for c in result.columns if c != self.time_col], self.time_col))
+        if self.batch_interval is None:
+            raise SchemaError(f"per-batch SQL that returns no {self.time_col!r} and combines rows needs "
+                              "a batch_interval in a bounded replay")
+        if runs_each({EXTRA_INPUT: derived.schema}, text, spark, self.ansi):
+            result = sql_per_window({EXTRA_INPUT: derived}, text, self.time_col, self.batch_interval, ansi=self.ansi)
+        else:
+            result = staged_windowed_sql({EXTRA_INPUT: derived}, text, self.time_col,
+                                         self.batch_interval, ansi=self.ansi)
+            if result is None:  # no rows, so no batches
+                return self.finalize(empty, batch_time_us=0)
         kept = [F.col(f"`{c}`") for c in result.columns if c not in (self.time_col, WINDOW_START, WINDOW_END)]
-        return self._declared(result.select(*kept, time.alias(self.time_col)))
+        return self._declared(result.select(*kept, F.col(WINDOW_START).alias(self.time_col)))
 
     def views(self, raw: DataFrame, materialize: bool = False) -> dict[str, DataFrame]:
         """``input`` and ``output`` for a bounded replay.
@@ -213,30 +207,31 @@ class LogFlow:
         the typed table written for it."""
         text = text or self.window_sql
         empty = {n: explode_windows(d, *self.window_args()) for n, d in self._stand_ins(self.parse(raw)).items()}
-        reads = view_reads(analysed_nodes(empty, text, raw.sparkSession, self.ansi), (INPUT, OUTPUT))
-        return windowed_sql(self.views(raw, materialize=sum(reads.values()) > 1), text, *self.window_args(),
-                            ansi=self.ansi)
+        both = len(referenced_views(empty, text, raw.sparkSession, self.ansi)) > 1
+        return windowed_sql(self.views(raw, materialize=both), text, *self.window_args(), ansi=self.ansi)
 
-    def window_sql_each(self, raw: DataFrame, text: str | None = None,
-                        chunk: int = 16, workers: int = 8) -> DataFrame | None:
-        """The unchanged text over each window.
+    def window_sql_each(self, raw: DataFrame, text: str | None = None, chunk: int = 16) -> DataFrame | None:
+        """The unchanged text over each window that holds a line.
 
-        Where the analysed text is one aggregate over one view, the window joins its
-        grouping and one job computes all windows (path A). Any other text is run once
-        per window (path S: staged rows, pruned reads). There only the views the text
-        reads are staged; without per-batch SQL the derived rows are a row-wise function
+        One job computes all windows (path L); lines are parsed once, or written typed
+        where the text reads both views. A text that Spark cannot take as a correlated
+        subquery runs once per window over staged rows (path S). There only the views the
+        text reads are staged; without per-batch SQL the derived rows are a row-wise function
         of the input, so ``output`` is derived per window from the staged input.
         """
         text = text or self.window_sql
         typed = self.parse(raw)
         empty = self._stand_ins(typed)
-        nodes = analysed_nodes(empty, text, typed.sparkSession, self.ansi)
-        needed = {n for n, times in view_reads(nodes, (INPUT, OUTPUT)).items() if times}
-        grouped = grouped_text(text, nodes, f"{WINDOW_START}, {WINDOW_END}")
-        if grouped is not None and not {WINDOW_START, WINDOW_END} & {c.lower() for d in empty.values() for c in d.columns}:
-            views = {INPUT: typed} if INPUT in needed else {OUTPUT: self.finalize_replay(self.derive(typed))}
-            return windowed_sql(views, grouped, *self.window_args(), ansi=self.ansi)
-        stage = SlideStage(typed.sparkSession, *self.window_args())
+        spark = typed.sparkSession
+        needed = referenced_views(empty, text, spark, self.ansi)
+        if runs_each({n: empty[n].schema for n in empty}, text, spark, self.ansi):
+            views = self.views(raw, materialize=len(needed) > 1)
+            # a quarantined line holds no row; any other line is one
+            lines = typed if self.on_error == "quarantine" else raw
+            return sql_per_window({n: d for n, d in views.items() if n in needed}, text, *self.window_args(),
+                                  ansi=self.ansi, windows=windows_of(lines, *self.window_args())) if needed else \
+                sql_per_window(views, text, *self.window_args(), ansi=self.ansi)
+        stage = SlideStage(spark, *self.window_args())
         if INPUT in needed or (OUTPUT in needed and self.extra_sql is None):
             stage.append(INPUT, typed)
         if OUTPUT in needed:
@@ -244,7 +239,7 @@ class LogFlow:
                 stage.derived[OUTPUT] = lambda views: self.derive(views[INPUT])
             else:
                 stage.append(OUTPUT, self.finalize_replay(self.derive(typed)))
-        return stage.run(text, ansi=self.ansi, chunk=chunk, workers=workers)
+        return stage.run(text, ansi=self.ansi, chunk=chunk)
 
     def _stand_ins(self, typed: DataFrame) -> dict[str, DataFrame]:
         """Empty views of the same schemas, with no plan of their own."""
@@ -255,5 +250,4 @@ class LogFlow:
 
     def needed_views(self, typed: DataFrame, text: str) -> set[str]:
         """Which of ``input`` / ``output`` the window text reads (analysis only)."""
-        nodes = analysed_nodes(self._stand_ins(typed), text, typed.sparkSession, self.ansi)
-        return {n for n, times in view_reads(nodes, (INPUT, OUTPUT)).items() if times}
+        return referenced_views(self._stand_ins(typed), text, typed.sparkSession, self.ansi)

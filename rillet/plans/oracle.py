@@ -97,6 +97,23 @@ ORACLE_SQL = {
     "stream_native_window_stats": (
         f"SELECT {_WIN_COLS}, ROUND(SUM(value), 2) AS sum_value, COUNT(*) AS n, "
         f"MIN(value) AS min_value, MAX(value) AS max_value FROM {_win('value')} GROUP BY ws"),
+    "window_stats_dense": (
+        "SELECT ws AS window_start, ws + INTERVAL 250 HOUR AS window_end, ROUND(SUM(value), 2) AS sum_value, "
+        "COUNT(*) AS n, MIN(value) AS min_value, MAX(value) AS max_value FROM (SELECT value, "
+        "UNNEST(generate_series(time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 15 MINUTE * 999, "
+        "time_bucket(INTERVAL 15 MINUTE, ts), INTERVAL 15 MINUTE)) AS ws FROM events) GROUP BY ws"),
+    "window_distinct": (
+        f"SELECT {_WIN_COLS}, event_type, COUNT(DISTINCT user_id) AS n_distinct "
+        f"FROM {_win('user_id, event_type')} GROUP BY ws, event_type"),
+    "window_distinct_sketch": (
+        f"SELECT {_WIN_COLS}, COUNT(DISTINCT user_id) AS n_distinct, true AS within "
+        f"FROM {_win('user_id')} GROUP BY ws"),
+    "stream_distinct": (
+        "SELECT DISTINCT event_type, CAST(dayofyear(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour FROM events"),
+    "sql_band_semi_join": (
+        "SELECT event_id, CAST(user_id AS INTEGER) AS user_id, event_type FROM events i WHERE EXISTS (SELECT 1 FROM events e "
+        "WHERE e.user_id = i.user_id AND e.event_type = 'error' AND e.ts >= i.ts - INTERVAL 24 HOUR "
+        "AND e.ts <= i.ts - INTERVAL 1 SECOND)"),
     "sink_rows": (
         "SELECT '[' || CAST(user_id AS VARCHAR) || ' MB, error, ' || CAST(user_id + 1 AS VARCHAR) || ']' AS value "
         "FROM events WHERE event_type = 'error'"),
@@ -170,5 +187,9 @@ ORACLE_SQL = {
         "CASE WHEN value > 100 THEN 'hi' ELSE 'lo' END AS f FROM events"),
 }
 
+ORACLE_SQL["stream_late_having"] = (
+    f"SELECT {_WIN_COLS}, COUNT(*) AS n, CAST(SUM(user_id) AS BIGINT) AS sum_user "
+    f"FROM {_win('user_id')} GROUP BY ws HAVING COUNT(*) % 2 = 0")
+ORACLE_SQL["stream_join"] = ORACLE_SQL["window_sql_join"]
 # late rows and restarts must not change any window
 ORACLE_SQL["stream_late_rows"] = ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_flow_windows"]

@@ -18,7 +18,9 @@ from ..operators.render import list_line, row_line, tab_line
 from ..operators.rules import apply_rules
 from ..operators.sql_stage import run_sql, stringify
 from ..operators.union import tagged_union
-from ..operators.windows import window_agg
+from ..operators.band import band_semi_join
+from ..operators.windows import micros_of, window_agg, window_distinct, window_stats
+from ..sinks.window_results import read_window_results
 from ..sources.lines import ARRIVAL, table_lines, xml_entries, xml_line
 from .flow import LogFlow
 
@@ -292,6 +294,40 @@ def q_window_stats(spark, sf_dir):
     return stats.withColumn("sum_value", F.round("sum_value", 2))
 
 
+def q_window_stats_dense(spark, sf_dir):
+    """250 hours sliding by 15 minutes: every row is in 1,000 windows, and no row is copied for them."""
+    typed = event_flow().parse(event_lines(spark, sf_dir))
+    return window_stats(typed, "value", ARRIVAL, "250 hours", "15 minutes").withColumn("sum_value", F.round("sum_value", 2))
+
+
+def q_window_distinct(spark, sf_dir):
+    """COUNT(DISTINCT user_id) of each window, exact, from bitmaps per pane."""
+    typed = event_flow().parse(event_lines(spark, sf_dir))
+    return window_distinct(typed, "user_id", ARRIVAL, HOURS_18, HOURS_6, by=["event_type"])
+
+
+def q_window_distinct_sketch(spark, sf_dir):
+    """The same from sketches of 4,096 registers: whether each number is within four standard
+    errors (6.5 %) of the exact one, which stands beside it."""
+    typed = event_flow().parse(event_lines(spark, sf_dir))
+    near = window_distinct(typed, "user_id", ARRIVAL, HOURS_18, HOURS_6, lg_k=12).withColumnRenamed("n_distinct", "near")
+    exact = window_distinct(typed, "user_id", ARRIVAL, HOURS_18, HOURS_6)
+    return exact.join(near, ["window_start", "window_end"]).select(
+        "window_start", "window_end", "n_distinct",
+        (F.abs(F.col("near") - F.col("n_distinct")) <= F.col("n_distinct") * 0.065).alias("within"))
+
+
+def q_sql_band_semi_join(spark, sf_dir):
+    """Left semi join on a theta condition: rows up to a day after an error of the same user,
+    WHERE EXISTS (SELECT 1 FROM input e WHERE e.user_id = i.user_id AND e.event_type = 'error'
+    AND i.arrival_ts - e.arrival_ts BETWEEN INTERVAL 1 SECOND AND INTERVAL 24 HOURS)."""
+    typed = event_flow().views(event_lines(spark, sf_dir), materialize=True)["input"]
+    errors = typed.where("event_type = 'error'")
+    day = 24 * 3600 * 1_000_000
+    at = micros_of(typed, ARRIVAL)
+    return band_semi_join(typed, errors, at, at, -day, -1_000_000, on=["user_id"]).select("event_id", "user_id", "event_type")
+
+
 def q_window_tumbling(spark, sf_dir):
     typed = event_flow().parse(event_lines(spark, sf_dir))
     res = window_agg(typed, ARRIVAL, HOURS_6, by=["event_type"],
@@ -308,7 +344,7 @@ def q_window_sql_input(spark, sf_dir):
 
 
 def q_window_sql_topn(spark, sf_dir):
-    """Path S: the three largest values of each window, a text that no grouping expresses."""
+    """The three largest values of each window: the text's LIMIT becomes a ranking by window."""
     return event_flow().window_sql_each(event_lines(spark, sf_dir), (
         "SELECT event_id, value FROM input ORDER BY value DESC, event_id LIMIT 3"))
 
@@ -373,9 +409,9 @@ def _line_stream(spark, lines, root) -> DataFrame:
             .parquet(f"{root}/src"))
 
 
-def _run_stream(stream, root, flush=True):
+def _run_stream(stream, root, flush=True, text=WINDOW_INPUT_SQL):
     from ..streaming import FlowStream
-    runner = FlowStream(event_flow(window_sql=WINDOW_INPUT_SQL), stream, sql_output_path=f"{root}/windows",
+    runner = FlowStream(event_flow(window_sql=text), stream, sql_output_path=f"{root}/windows",
                         checkpoint=f"{root}/checkpoint")
     query = runner.start(available_now=True)
     query.awaitTermination()
@@ -396,7 +432,7 @@ def q_stream_flow_windows(spark, sf_dir):
     batch id); windows run as arrival times close them, the last ones at the end."""
     root, lines = _stream_root(spark), event_lines(spark, sf_dir)
     _run_stream(_line_files(spark, lines, root, F.col(ARRIVAL)), root)
-    return spark.read.parquet(f"{root}/windows").drop("_wend")
+    return read_window_results(spark, f"{root}/windows")
 
 
 def q_stream_late_rows(spark, sf_dir):
@@ -404,7 +440,18 @@ def q_stream_late_rows(spark, sf_dir):
     windows that ran before, which are completed."""
     root, lines = _stream_root(spark), event_lines(spark, sf_dir)
     _run_stream(_line_files(spark, lines, root, F.xxhash64("value")), root)
-    return spark.read.parquet(f"{root}/windows").drop("_wend")
+    return read_window_results(spark, f"{root}/windows")
+
+
+WINDOW_HAVING_SQL = "SELECT COUNT(*) AS n, SUM(user_id) AS sum_user FROM input HAVING COUNT(*) % 2 = 0"
+
+
+def q_stream_late_having(spark, sf_dir):
+    """Late rows that take results away: every batch brings rows of windows that ran before,
+    and a window has a result only while it holds an even number of rows."""
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    _run_stream(_line_files(spark, lines, root, F.xxhash64("value")), root, text=WINDOW_HAVING_SQL)
+    return read_window_results(spark, f"{root}/windows")
 
 
 def q_stream_restart(spark, sf_dir):
@@ -415,7 +462,7 @@ def q_stream_restart(spark, sf_dir):
     _run_stream(_line_files(spark, lines.where(half == 0), root, F.col(ARRIVAL)), root)
     lines.where(half == 1).repartitionByRange(F.col(ARRIVAL)).write.mode("append").parquet(f"{root}/src")
     _run_stream(_line_stream(spark, lines, root), root)
-    return spark.read.parquet(f"{root}/windows").drop("_wend")
+    return read_window_results(spark, f"{root}/windows")
 
 
 def q_sink_rows(spark, sf_dir):
@@ -447,6 +494,46 @@ def q_stream_native_window_stats(spark, sf_dir):
     return res.withColumn("sum_value", F.round("sum_value", 2))
 
 
+def _run_to_end(frame, path, checkpoint):
+    query = (frame.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def q_stream_distinct(spark, sf_dir):
+    """SELECT DISTINCT event_type, day, hour over a stream of all lines. Files come to the
+    micro-batches in any order, so the watermark is as long as the table's span."""
+    from ..streaming import stream_distinct
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    typed = event_flow().parse(_line_files(spark, lines, root, F.col(ARRIVAL)))
+    keyed = typed.withColumn("day", F.dayofyear(ARRIVAL)).withColumn("hour", F.hour(ARRIVAL))
+    _run_to_end(stream_distinct(keyed, ["event_type", "day", "hour"], ARRIVAL, "40 days"), f"{root}/rows", f"{root}/ck")
+    return spark.read.schema("event_type string, day int, hour int").parquet(f"{root}/rows")
+
+
+def q_stream_join(spark, sf_dir):
+    """The join of ``input`` and ``output`` in each window on streams, stopped half way and taken
+    up again from its checkpoint; the pairs it wrote are counted per window at the end."""
+    from ..streaming import stream_join_in_windows
+    root, lines, flow = _stream_root(spark), keyed_lines(spark, sf_dir), keyed_flow()
+
+    def run():
+        typed, again = (flow.parse(_line_stream(spark, lines, root)) for _ in range(2))
+        pairs = stream_join_in_windows(typed, flow.derive(again), {"uid": "k"}, *flow.window_args(), lateness="40 days")
+        _run_to_end(pairs.select("window_start", "window_end", "value", "size"), f"{root}/pairs", f"{root}/ck")
+
+    half = F.dayofyear(ARRIVAL) < 16
+    lines.where(half).repartitionByRange(F.col(ARRIVAL)).write.parquet(f"{root}/src")
+    run()
+    lines.where(~half).repartitionByRange(F.col(ARRIVAL)).write.mode("append").parquet(f"{root}/src")
+    run()
+    pairs = spark.read.parquet(f"{root}/pairs")
+    return pairs.groupBy("window_start", "window_end").agg(
+        F.count(F.lit(1)).alias("pairs"), F.countDistinct("size").alias("sizes"), F.round(F.sum("value"), 2).alias("sum_value"))
+
+
 def q_tagged_union(spark, sf_dir):
     views = keyed_flow().views(keyed_lines(spark, sf_dir), materialize=True)
     both = tagged_union(views["input"], views["output"])
@@ -528,6 +615,9 @@ QUERIES = {
     "extra_sql_agg": q_extra_sql_agg,
     "stringify_result": q_stringify_result,
     "window_stats": q_window_stats,
+    "window_stats_dense": q_window_stats_dense,
+    "window_distinct": q_window_distinct,
+    "window_distinct_sketch": q_window_distinct_sketch,
     "window_tumbling": q_window_tumbling,
     "window_sql_input": q_window_sql_input,
     "window_sql_topn": q_window_sql_topn,
@@ -538,12 +628,16 @@ QUERIES = {
     "shipped_settings_flow": q_shipped_settings_flow,
     "stream_flow_windows": q_stream_flow_windows,
     "stream_late_rows": q_stream_late_rows,
+    "stream_late_having": q_stream_late_having,
     "stream_restart": q_stream_restart,
     "sink_rows": q_sink_rows,
     "stream_native_window_stats": q_stream_native_window_stats,
+    "stream_distinct": q_stream_distinct,
+    "stream_join": q_stream_join,
     "tagged_union": q_tagged_union,
     "sql_distinct": q_sql_distinct,
     "sql_semi_join": q_sql_semi_join,
+    "sql_band_semi_join": q_sql_band_semi_join,
     "sql_outer_joins": q_sql_outer_joins,
     "sql_set_ops": q_sql_set_ops,
     "sql_topk": q_sql_topk,

@@ -10,8 +10,9 @@
 4. stages ``input`` rows (and ``output`` rows when per-batch SQL is set;
    otherwise they are derived per window) by slide bucket, and runs the
    window SQL for every window that closed (window end <= latest arrival -
-   lateness), writing partition ``_wend`` of ``sql_output_path`` (and, with
-   ``sql_text_path``, the same rows as ``[a,b]`` text lines).
+   lateness), writing a versioned set to ``sql_output_path`` (read it with
+   :meth:`FlowStream.results` or ``read_window_results``) and, with
+   ``sql_text_path``, the same rows as ``[a,b]`` text lines.
 
 No record is lost by default: without ``lateness``, a window that already ran is run
 again when a later batch brings rows for it, and staged rows stay. With ``lateness``, a
@@ -22,8 +23,9 @@ Empty batches write nothing. :meth:`FlowStream.flush` runs the windows still
 open when the input ends; they are provisional, a later run completes them. Spark's
 checkpoint (``checkpoint``) makes the source offsets recoverable; staged rows and a
 progress mark, written only after all windows of an emit, are taken up again after a
-restart. Every write is idempotent, so a batch replayed after a failure produces the
-same files.
+restart. A batch replayed after a failure replaces its own rows, and window results count
+only once they are committed: a window that is run again, after late rows or a failure,
+has the result of its last run, or none if that gave no row.
 
 :func:`stream_window_stats` is the native alternative for the default
 statistics query: ``withWatermark`` + ``groupBy(window)``, with one aggregate
@@ -45,6 +47,7 @@ from ..operators.parse import bad_rows, good_rows
 from ..operators.render import render
 from ..operators.windows import SlideStage, duration_us, micros_of, wall_clock, window_stats
 from ..sinks import echo
+from ..sinks.window_results import WindowResults
 from ..plans.flow import DEFAULT_BATCH_SECONDS, INPUT, OUTPUT, LogFlow
 from ..session import scratch_dir
 
@@ -86,6 +89,7 @@ class FlowStream:
             self.stage = SlideStage(self.spark, flow.time_col, flow.window_length,
                                     flow.window_slide, flow.window_start,
                                     root=stage_root or f"{self.checkpoint}/stage")
+            WindowResults(self.spark, sql_output_path).clean()  # what a crash left uncommitted
             # stage only what the window text reads; without per-batch SQL the
             # derived rows are a row-wise function of the input: derive per window
             typed_schema = flow.parse(self.spark.createDataFrame([], lines.schema))
@@ -241,10 +245,14 @@ class FlowStream:
         if not due:
             return
         res = self.stage.run(self.flow.window_sql, due, out=self.sql_output_path,
-                             ansi=self.flow.ansi, text_out=self.sql_text_path)
+                             ansi=self.flow.ansi, text_out=self.sql_text_path, read=bool(self.echo_rows))
         if self.echo_rows and res is not None:
             echo(res, self.echo_rows, "window results:")
 
+    def results(self) -> DataFrame:
+        """The current results of the window SQL."""
+        return WindowResults(self.spark, self.sql_output_path).read()
+
     def _mark_progress(self) -> None:
         """After all windows up to ``closed_until`` are written; marks only grow."""
         (self.spark.range(1).select(F.lit(self.closed_until).alias("closed"), F.lit(self.last_seen).alias("seen"))

@@ -9,6 +9,7 @@ from rillet.functions import default_registry
 from rillet.operators.sql_stage import referenced_views
 from rillet.operators.windows import SlideStage
 from rillet.plans.flow import LogFlow
+from rillet.sinks.window_results import WindowResults, read_window_results
 from rillet.streaming import FlowStream
 from rillet.types import SchemaError
 
@@ -19,7 +20,7 @@ TEXT = "SELECT COUNT(*) AS n FROM INPUT"
 def flow(**kw):
     return LogFlow(input_schema={"name": "String", "v": "Integer"}, output_schema={"name": "String"},
                    rules=["name:MyFunctions:getOriginalStr:$name"], window_length=kw.pop("length", 18000),
-                   window_slide=kw.pop("slide", 6000), window_sql=TEXT, **kw)
+                   window_slide=kw.pop("slide", 6000), window_sql=kw.pop("text", TEXT), **kw)
 
 
 class Source:
@@ -38,14 +39,12 @@ class Source:
                 .option("maxFilesPerTrigger", "1").parquet(self.root))
 
 
-def runner(source, root, **kw):
-    return FlowStream(flow(), source.stream(), sql_output_path=f"{root}/windows", checkpoint=f"{root}/ck", **kw)
+def runner(source, root, text=TEXT, **kw):
+    return FlowStream(flow(text=text), source.stream(), sql_output_path=f"{root}/windows", checkpoint=f"{root}/ck", **kw)
 
 
 def counts(spark, root):
-    rows = spark.read.parquet(f"{root}/windows").collect()
-    base = int((T0 - datetime(1970, 1, 1)).total_seconds())
-    return {r._wend // 1_000_000 - base: r.n for r in rows}
+    return {int((r.window_end - T0).total_seconds()): r.n for r in read_window_results(spark, f"{root}/windows").collect()}
 
 
 def expected(seconds, length=18, slide=6):
@@ -130,6 +129,64 @@ def test_lateness_keeps_what_comes_too_late(spark, tmp_path, source):
     assert {e: n for e, n in after.items() if e > 36} == {e: n for e, n in expected([1, 38, 40]).items() if e > 36}
 
 
+HAVING = "SELECT COUNT(*) AS n FROM input HAVING COUNT(*) < 3"
+
+
+@pytest.mark.parametrize("text", [HAVING, "SELECT COUNT(*) AS n FROM input HAVING COUNT(*) < (SELECT 3)"])
+def test_a_rerun_without_rows_takes_the_result_away(spark, tmp_path, source, text):
+    r = runner(source, tmp_path, text, sql_text_path=f"{tmp_path}/lines")
+    r.process_batch(source.rows(1, 2, 40), 0)
+    assert counts(spark, tmp_path) == {e: n for e, n in expected([1, 2, 40]).items() if e <= 40}
+    r.process_batch(source.rows(3, 4, 7), 1)
+    r.flush()
+    want = {e: n for e, n in expected([1, 2, 3, 4, 7, 40]).items() if n < 3}
+    assert counts(spark, tmp_path) == want
+    lines = spark.read.text(f"{tmp_path}/lines").collect()
+    assert sorted(x.value for x in lines) == sorted(f"[{n}]" for n in want.values())
+    # a new late row makes all of them vanish or come back as the text says, after a restart too
+    again = runner(source, tmp_path, text)
+    again.process_batch(source.rows(41, 42), 2)
+    again.flush()
+    assert counts(spark, tmp_path) == {e: n for e, n in expected([1, 2, 3, 4, 7, 40, 41, 42]).items() if n < 3}
+
+
+def test_a_crash_between_write_and_commit_shows_nothing(spark, tmp_path, source):
+    r = runner(source, tmp_path, HAVING)
+    r.process_batch(source.rows(1, 40), 0)
+    before = counts(spark, tmp_path)
+    real, WindowResults.commit = WindowResults.commit, None
+    try:
+        with pytest.raises(TypeError):  # rows of the re-run windows are written, not committed
+            r.process_batch(source.rows(2, 3, 60), 1)
+    finally:
+        WindowResults.commit = real
+    assert counts(spark, tmp_path) == before
+    folders = len(list((tmp_path / "windows").glob("_attempt=*")))
+    again = runner(source, tmp_path, HAVING)  # deletes what the crash left
+    assert len(list((tmp_path / "windows").glob("_attempt=*"))) == folders - 1
+    again.process_batch(source.rows(2, 3, 60), 1)
+    again.flush()
+    assert counts(spark, tmp_path) == {e: n for e, n in expected([1, 2, 3, 40, 60]).items() if n < 3}
+    assert {(c.wend, c.rows) for c in WindowResults(spark, f"{tmp_path}/windows").current().collect()
+            if c.rows == 0}  # windows without a result are committed too
+
+
+def test_superseded_results_are_deleted(spark, tmp_path):
+    results = WindowResults(spark, f"{tmp_path}/w")
+    with pytest.raises(FileNotFoundError):
+        results.read()
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), "_wend long, n int")
+    assert results.write(rows((6, 1), (6, 2), (12, 3)), [6, 12, 18]) == {6: 2, 12: 1, 18: 0}
+    assert results.write(rows((18, 4)), [6, 18]) == {6: 0, 18: 1}
+    assert sorted(r.n for r in results.read().collect()) == [3, 4]
+    assert [r.n for r in results.read([12, 6]).collect()] == [3]
+    assert sorted(p.name for p in (tmp_path / "w").glob("_attempt=*/_wend=*")) == ["_wend=12", "_wend=18"]
+    assert results.write(rows(), [12, 18]) == {12: 0, 18: 0}
+    assert results.read().collect() == [] and results.read().columns == ["n"]
+    results.stage(rows((6, 9)))
+    assert results.clean() == 1 and results.clean() == 0 and results.read().collect() == []
+
+
 def test_append_without_batch_adds(spark, tmp_path):
     st = SlideStage(spark, "arrival_ts", 6000, root=f"{tmp_path}/stage")
     for i in range(2):

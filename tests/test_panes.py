@@ -1,0 +1,129 @@
+"""Sliding windows merged from panes, distinct counts, band joins and stateful stream operators."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillet.operators.band import band_semi_join
+from rillet.operators.panes import PANE, pane_of, window_parts
+from rillet.operators.windows import duration_us, micros_of, window_agg, window_distinct, window_stats
+
+T0 = dt.datetime(2024, 1, 1)
+SIZES = [(18000, 6000), (10000, 4000), (60000, 2000), (6000, 6000), (7000, 3000)]
+
+
+def events(spark, seconds):
+    rng = random.Random(3)
+    rows = [(T0 + dt.timedelta(seconds=s), rng.choice([None, *range(-5, 70_000, 9_000)]), rng.choice("ab")) for s in seconds]
+    return spark.createDataFrame([*rows, (None, 5, "a")], "t timestamp, v int, k string")
+
+
+@pytest.fixture(scope="module")
+def sparse(spark):
+    rng = random.Random(4)
+    return events(spark, [*range(-40, 30), *sorted(rng.sample(range(100, 2000), 40))]).cache()
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("length,slide", SIZES)
+def test_merged_statistics_equal_expanded(sparse, length, slide):
+    a, b = (window_stats(sparse, "v", "t", length, slide, start=1000, panes=panes) for panes in (True, False))
+    assert rows(a) == rows(b)
+
+
+@pytest.mark.parametrize("length,slide", SIZES)
+def test_distinct_counts(sparse, length, slide):
+    want = rows(window_agg(sparse, "t", length, slide, aggs=[F.countDistinct("v").alias("n")], by=["k"]))
+    assert rows(window_distinct(sparse, "v", "t", length, slide, by=["k"])) == want
+    # few values: the sketch holds all of them
+    assert rows(window_distinct(sparse, "v", "t", length, slide, by=["k"], lg_k=12)) == want
+
+
+def test_distinct_of_text_needs_a_sketch(sparse):
+    with pytest.raises(ValueError, match="integer"):
+        window_distinct(sparse, "k", "t", 6000)
+    assert {r.n_distinct for r in window_distinct(sparse, "k", "t", "1 hour", lg_k=10).collect()} == {2}
+
+
+def test_rows_behind_the_pane_step_do_not_grow_with_the_overlap(spark):
+    """1,000 windows a row: as many rows as panes and windows, not a thousand a pane."""
+    df = events(spark, range(0, 4000))
+    length, slide = duration_us("1000 seconds"), duration_us("1 second")
+    panes = df.groupBy(pane_of(micros_of(df, "t"), length, slide, 0).alias(PANE)).agg(F.sum("v").alias("s")).filter(f"{PANE} IS NOT NULL")
+    parts = window_parts(panes, [], {"s": F.sum}, length, slide).count()
+    windows = 4000 + 999
+    assert panes.count() == 4000 and windows <= parts <= 2 * windows
+
+
+def test_merging_has_no_copy_for_each_window(sparse):
+    p = window_stats(sparse, "v", "t", 60000, 2000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in p and "sequence" in p and p.count("Aggregate") == 2
+
+
+@pytest.mark.parametrize("low,high", [(-10, -1), (0, 0), (-3, 4), (5, 9)])
+@pytest.mark.parametrize("anti", [False, True])
+def test_band_semi_join(spark, low, high, anti):
+    rng = random.Random(low * 100 + high)
+    left = [(i, rng.choice([None, "a", "b"]), rng.choice([None, *range(-30, 30)])) for i in range(80)] * 2
+    right = [(rng.choice([None, "a", "b", "c"]), rng.choice([None, *range(-30, 30)])) for _ in range(12)] + [("a", 0)] * 30
+    l, r = spark.createDataFrame(left, "id int, k string, x int"), spark.createDataFrame(right, "k string, x int")
+    joined = band_semi_join(l, r, F.col("x"), F.col("x"), low, high, on=["k"], anti=anti)
+
+    def met(k, x):
+        return any(k == rk and k is not None and x is not None and rx is not None and x + low <= rx <= x + high for rk, rx in right)
+
+    assert rows(joined) == sorted(((i, k, x) for i, k, x in left if met(k, x) != anti), key=repr)
+    p = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def _stream(spark, root, parts, schema):
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{root}/src")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/src")
+
+
+def _to_end(frame, root):
+    q = (frame.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    return q
+
+
+def test_stream_distinct_state_expires(spark, tmp_path):
+    from rillet.streaming import stream_distinct
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    parts = [[(at(10 * b + i), f"v{i % 4}", b) for i in range(10)] for b in range(8)]
+    src = _stream(spark, tmp_path, parts, "t timestamp, v string, b int")
+    q = _to_end(stream_distinct(src, ["v", "b"], "t", "10 seconds"), tmp_path)
+    got = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert sorted(got) == sorted({(v, b) for part in parts for _, v, b in part})
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(held) < len(got) and held[-1] < max(held)  # the state holds the last batches, not all of them
+
+
+def test_stream_join_equals_bounded_and_survives_a_restart(spark, tmp_path):
+    from rillet.streaming import stream_join_in_windows
+    rng = random.Random(9)
+    rows_ = [(T0 + dt.timedelta(seconds=s), rng.choice("abc"), s) for s in range(60)]
+    schema = "t timestamp, k string, n int"
+
+    def joined():
+        a, b = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{tmp_path}/src") for _ in range(2))
+        return stream_join_in_windows(a, b, {"k": "k"}, "t", 18000, 6000, lateness="20 seconds")
+
+    for half in (rows_[:30], rows_[30:]):
+        for i in range(0, 30, 10):
+            spark.createDataFrame(half[i:i + 10], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/src")
+        q = _to_end(joined(), tmp_path)
+    got = sorted((r.window_start, r.k, r.n, r.n_right) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    want = sorted((T0 + dt.timedelta(seconds=w), k, n, m) for w in range(-12, 60, 6)
+                  for t, k, n in rows_ if w <= n < w + 18 for _, k2, m in rows_ if k == k2 and w <= m < w + 18)
+    assert got == want
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] < 2 * len(rows_)

@@ -81,9 +81,30 @@ def test_xml_cases(lines):
 
 def test_xml_any_depth(lines):
     df = lines(['<xml><g><entry key="a">deep</entry></g><entry key="b">7</entry></xml>'])
-    assert rows(parse_lines(df, THREE, "xml", on_error="null")) == [(None, 7, None)]
-    assert rows(parse_lines(df, THREE, "xml", xml_any_depth=True, on_error="null")) == [
-        ("deep", 7, None)]
+    assert rows(parse_lines(df, THREE, "xml", xml_any_depth=False, on_error="null")) == [(None, 7, None)]
+    assert rows(parse_lines(df, THREE, "xml", on_error="null")) == [("deep", 7, None)]
+
+
+def test_xml_entries_as_written(lines):
+    """Nested entries, CDATA, comments, entities, prefixes, a default name space, quotes, one pass each."""
+    cases = {
+        '<x><entry key="a">1<entry key="b">2</entry>3</entry></x>': ("123", 2, None),
+        '<x><entry key="a">x<![CDATA[<&]]><!-- no -->y&#65;</entry></x>': ("x<&yA", None, None),
+        '<x xmlns="urn:u"><entry key="a">n</entry></x>': ("n", None, None),
+        '<x><p:entry key="a">other</p:entry></x>': (None, None, None),
+        "<entry key='a'>root</entry>": ("root", None, None),
+        '<?xml version="1.0" encoding="ISO-8859-1"?><x><entry key="a">é中</entry></x>': ("é中", None, None),
+        '<!DOCTYPE x [<!ENTITY e "v">]><x><entry key="a">&e;</entry></x>': ("v", None, None),
+        '<x><entry key="a">&nope;</entry></x>': "malformed xml", "<x>\x01</x>": "malformed xml",
+        '<x><entry key="a" key="b"/></x>': "malformed xml",
+    }
+    got = parse_lines(lines(list(cases)), THREE, "xml", on_error="quarantine").collect()
+    assert {r._raw: r._errors or (r.a, r.b, r.c) for r in got} == cases
+
+
+def test_xml_is_parsed_once_a_line(lines):
+    plan = parse_lines(lines([ACCESS_XML]), ACCESS_FIELDS, "xml")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "xpath" not in plan and "from_xml" not in plan
 
 
 def test_other_columns_pass_through(lines):

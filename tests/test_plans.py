@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -56,5 +57,16 @@ def test_queries_of_both_views_parse_once(spark):
 def test_plain_window_aggregates_are_one_job_over_all_windows(spark):
     for q in (Q.q_window_sql_input, Q.q_shipped_settings_flow):
         p = plan_of(q(spark, SF_SMALL))
-        assert "Expand" in p and "partial_" in p and p.count("FileScan") == 1
+        assert "Expand" in p and "partial_" in p and "NestedLoop" not in p and "Cartesian" not in p
+        # the rows are read once; the list of windows needs the time column alone
+        scans = re.findall(r"ReadSchema: struct<([^>]*)>", p)
+        assert sorted(s == "ts:timestamp_ntz" for s in scans)[:2] == [False, True]
         assert p.index("partial_") > p.index("Exchange")
+
+
+def test_a_limit_per_window_is_a_ranking_with_a_bound_before_the_shuffle(spark):
+    df = Q.q_window_sql_topn(spark, SF_SMALL)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "Cartesian" not in p and "row_number()" in p
+    # a window's rows are cut to three in each task before they meet
+    assert p.index("WindowGroupLimit") < p.rindex("Exchange") < p.rindex("WindowGroupLimit")

@@ -5,6 +5,7 @@ import time
 from access_log import ACCESS_FIELDS, ACCESS_LINES, ACCESS_OUTPUT, ACCESS_RULES
 from rillet.plans import LogFlow
 from rillet.sinks import write_if_rows, write_lines, write_partition
+from rillet.sinks.window_results import read_window_results
 from rillet.sources import table_lines, text_lines
 from rillet.streaming import FlowStream, stream_window_stats
 
@@ -52,7 +53,7 @@ def test_stream_matches_bounded_replay(spark, tmp_path):
     q = runner.start(available_now=True)
     q.awaitTermination(120)
     runner.flush()
-    streamed = sorted(tuple(r) for r in spark.read.parquet(sql_out).drop("_wend").collect())
+    streamed = sorted(tuple(r) for r in read_window_results(spark, sql_out).collect())
     bounded = flow().window_sql_each(text_lines(spark, str(src), streaming=False))
     assert streamed == sorted(tuple(r) for r in bounded.collect())
     assert len(streamed) >= 4
@@ -65,7 +66,7 @@ def test_stream_matches_bounded_replay(spark, tmp_path):
     # a replayed batch id changes nothing
     runner.process_batch(text_lines(spark, str(src / "part-0.txt"), streaming=False), 0)
     assert spark.read.text(out).count() == 7
-    again = sorted(tuple(r) for r in spark.read.parquet(sql_out).drop("_wend").collect())
+    again = sorted(tuple(r) for r in read_window_results(spark, sql_out).collect())
     assert again == streamed
 
 
@@ -144,11 +145,11 @@ def test_empty_batches_and_late_rows(spark, tmp_path):
         "value string, arrival_ts timestamp")
     runner.process_batch(mk(1), 1)
     runner.process_batch(mk(13), 2)     # latest 13 s - 6 s lateness: windows ending <= 7 s closed
-    ends = sorted(r.window_end for r in spark.read.parquet(sql_out).collect())
+    ends = sorted(r.window_end for r in read_window_results(spark, sql_out).collect())
     assert ends == [dt.datetime(2024, 1, 1, 0, 0, 6)]
     runner.process_batch(mk(5), 3)      # a late row inside lateness: its open windows still see it
     runner.flush()
-    got = {r.window_end: r.n for r in spark.read.parquet(sql_out).collect()}
+    got = {r.window_end: r.n for r in read_window_results(spark, sql_out).collect()}
     assert got[dt.datetime(2024, 1, 1, 0, 0, 12)] == 2 and got[dt.datetime(2024, 1, 1, 0, 0, 18)] == 3
 
 
@@ -165,7 +166,7 @@ def test_expired_buckets_do_not_change_results(spark, tmp_path):
     runner.flush()
     staged = os.listdir(tmp_path / "ck" / "stage" / "input")
     assert len([d for d in staged if d.startswith("_bucket=")]) < 7   # old buckets removed
-    got = {r.window_end: r.n for r in spark.read.parquet(out).collect()}
+    got = {r.window_end: r.n for r in read_window_results(spark, out).collect()}
     # every row in its 3 windows: 7 rows, 21 memberships
     assert sum(got.values()) == 21
     assert got[dt.datetime(2024, 1, 1, 0, 0, 18)] == 3
@@ -235,7 +236,7 @@ def test_tick_emits_windows_without_new_lines(spark, tmp_path):
     assert not os.path.exists(out)                      # no window has closed yet
     epoch_us = lambda d: int((d - dt.datetime(1970, 1, 1)).total_seconds() * 1e6)
     runner.tick(epoch_us(t0 + dt.timedelta(seconds=12)))  # wall clock passes two window ends
-    ends = sorted(r.window_end for r in spark.read.parquet(out).collect())
+    ends = sorted(r.window_end for r in read_window_results(spark, out).collect())
     assert ends == [t0 + dt.timedelta(seconds=6), t0 + dt.timedelta(seconds=12)]
 
 

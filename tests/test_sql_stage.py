@@ -82,33 +82,59 @@ def test_referenced_views_uses_the_flows_ansi_mode(spark):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-def test_only_plain_aggregates_of_one_view_join_a_grouping(spark):
-    from rillet.operators.sql_stage import analysed_nodes, grouped_text, row_wise_text
-    empty = spark.createDataFrame([], "x int, size string, t timestamp")
-    views = {"input": empty, "output": empty}
-
-    def grouped(text):
-        return grouped_text(text, analysed_nodes(views, text, spark), "w")
-
-    assert grouped("SELECT SUM(size) FROM Output i") == "SELECT w, SUM(size) FROM Output i GROUP BY w "
-    assert grouped("SELECT 'having' h, MAX(x) FROM input HAVING MAX(x) > 1") == \
-        "SELECT w, 'having' h, MAX(x) FROM input  GROUP BY w HAVING MAX(x) > 1"
-    assert grouped("SELECT x, COUNT(DISTINCT size) FROM input WHERE x > 1 GROUP BY x") == \
-        "SELECT w, x, COUNT(DISTINCT size) FROM input WHERE x > 1 GROUP BY w, x"
-    for text in ("SELECT COUNT(*) FROM input WHERE x > 1",  # a row also where none matches
-                 "SELECT x, COUNT(*) FROM input GROUP BY 1", "SELECT x, COUNT(*) FROM input GROUP BY ALL",
-                 "SELECT x, COUNT(*) FROM input GROUP BY ROLLUP(x)", "SELECT DISTINCT x FROM input",
-                 "SELECT COUNT(*) FROM input ORDER BY 1", "SELECT COUNT(*) FROM input LIMIT 1",
-                 "SELECT COUNT(*) FROM (SELECT DISTINCT x FROM input)", "SELECT x FROM input",
-                 "SELECT COUNT(*) FROM input i JOIN output o ON i.x = o.x", "SELECT 1 AS one",
-                 "SELECT MAX(x) FROM input -- GROUP BY x", "WITH a AS (SELECT x FROM input) SELECT MAX(x) FROM a",
-                 "SELECT MAX(x) FROM input GROUP BY x HAVING MAX(x) > (SELECT MIN(x) FROM output)"):
-        assert grouped(text) is None, text
-
-    def carried(text):
-        return row_wise_text(text, analysed_nodes(views, text, spark), "t")
-
-    assert carried("SELECT size FROM input WHERE x > 1") == "SELECT t, size FROM input WHERE x > 1"
+PER_GROUP = [
+    "SELECT SUM(v) AS s, COUNT(*) AS n FROM input", "SELECT SUM(v) AS s, COUNT(*) AS n FROM input WHERE v > 8",
+    "SELECT ALL v FROM input", "SELECT ALL COUNT(*) AS n FROM Input i", "SELECT COUNT(*) AS n FROM input HAVING COUNT(*) < 3",
+    "SELECT v FROM input ORDER BY v DESC LIMIT 2 -- GROUP BY v", "SELECT DISTINCT k FROM input;",
+    "SELECT k, COUNT(*) AS n FROM input GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1", "/* ; ) */ SELECT 'a;b' AS x, ')' AS y FROM input",
+    "WITH a AS (SELECT k, v FROM input WHERE v > 3) SELECT MAX(v) AS m FROM a", "SELECT k, COUNT(*) AS c FROM input GROUP BY ALL",
+    "SELECT COUNT(*) AS n FROM input i JOIN output o ON i.v = o.n", "SELECT v FROM input UNION SELECT n FROM output",
+    "SELECT v, ROW_NUMBER() OVER (PARTITION BY k ORDER BY v) AS r FROM input", "SELECT COUNT(DISTINCT k) AS c FROM input",
+    "SELECT explode(array(v, 1)) AS x FROM input", "SELECT 'having' AS h, MAX(v) AS m FROM input HAVING MAX(v) > 1",
+    "SELECT k FROM input EXCEPT SELECT size FROM output WHERE n > 4", "SELECT 1 AS one"]
+ONE_BY_ONE = ["SELECT i.v, o.n FROM input i LEFT JOIN output o ON i.v = o.n + 1", "SELECT v FROM input WHERE v IN (SELECT n FROM output)",
+              "SELECT v FROM input i WHERE EXISTS (SELECT 1 FROM output o WHERE o.n = i.v)",
+              "SELECT v FROM input WHERE v = (SELECT MAX(n) FROM output)", "SELECT k, COUNT(*) AS c FROM input GROUP BY ROLLUP(k)"]
+
+
+def test_text_for_each_group_in_one_plan(spark):
+    """Every text gives what it gives over each group by itself; the others are told apart."""
+    from rillet.operators.sql_stage import run_sql_each, runs_each
+    rows = spark.createDataFrame([(g, v, None if v == 5 else f"k{v % 3}") for g in range(3) for v in range(g * 4)] + [(None, 1, "k")],
+                                 "g int, v int, k string")
+    views = {"input": rows, "output": rows.withColumnsRenamed({"v": "n", "k": "size"})}
+    groups = spark.createDataFrame([(g, f"group {g}") for g in range(4)], "g int, name string")
+    schemas = {n: d.drop("g").schema for n, d in views.items()}
+    for text in PER_GROUP:
+        assert runs_each(schemas, text, spark), text
+        got = sorted((tuple(r) for r in run_sql_each(groups, views, "g", text).collect()), key=repr)
+        want = [(f"group {g}", *r) for g in range(4)
+                for r in run_sql({n: d.where(f"g = {g}").drop("g") for n, d in views.items()}, text.rstrip(";")).collect()]
+        assert got == sorted(want, key=repr), text
+    for text in ONE_BY_ONE:
+        assert not runs_each(schemas, text, spark), text
+    spark.range(2).createOrReplaceTempView("input")
+    run_sql_each(groups, views, "g", PER_GROUP[0])
+    assert spark.table("input").columns == ["id"]  # the caller's own view is not touched
+    spark.catalog.dropTempView("input")
+
+
+def test_texts_that_handle_each_row_by_itself(spark):
+    from rillet.operators.sql_stage import is_row_wise, run_sql_rows
+    rows = spark.createDataFrame([(1, "1 MB", 10), (2, "2 MB", 20), (2, "2 MB", 20), (None, None, None)], "x int, size string, t int")
+
+    def wise(text):
+        return is_row_wise("input", rows.schema, text, spark)
+
+    for text, want in (("SELECT size FROM Input", [(10, "1 MB"), (20, "2 MB"), (20, "2 MB"), (None, None)]),
+                       ("SELECT ALL size AS s FROM input WHERE x > 1 -- x", [(20, "2 MB"), (20, "2 MB")]),
+                       ("SELECT explode(array(x, 1)) AS y FROM input WHERE t = 10", [(10, 1), (10, 1)])):
+        assert wise(text), text
+        got = run_sql_rows(rows, "input", "t", text)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    plain = run_sql_rows(rows, "input", "t", "SELECT size FROM input")
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
     for text in ("SELECT DISTINCT x FROM input", "SELECT MAX(x) FROM input", "SELECT x FROM input ORDER BY x LIMIT 2",
-                 "SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS r FROM input", "SELECT explode(array(x, 1)) FROM input"):
-        assert carried(text) is None, text
+                 "SELECT x FROM input LIMIT 1", "SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS r FROM input",
+                 "SELECT x FROM input WHERE x > (SELECT AVG(x) FROM input)", "SELECT x FROM input UNION ALL SELECT x FROM input"):
+        assert not wise(text), text
