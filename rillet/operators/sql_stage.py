@@ -80,8 +80,8 @@ def borrowed_views(spark: SparkSession, names):
 
 def referenced_views(views: Mapping[str, DataFrame], text: str,
                      spark: SparkSession | None = None, ansi: bool = False) -> set[str]:
-    """The names in ``views`` that ``text`` cannot be analysed without. Nothing is run; functions
-    and views of the session can be used in the text, and the session's own views are left as
+    """The names in ``views`` that ``text`` reads, by its EXPLAIN. Nothing is run; functions and
+    views of the session can be used in the text, and the session's own views are left as
     they were. Pass cheap stand-ins (empty DataFrames with the views' schemas)."""
     if spark is None:
         spark = next(iter(views.values())).sparkSession
@@ -89,19 +89,9 @@ def referenced_views(views: Mapping[str, DataFrame], text: str,
         for name, df in views.items():
             df.createOrReplaceTempView(name)
         spark.sql(text)  # what is wrong with the text itself is raised here
-        found = set()
-        for name, df in views.items():
-            spark.catalog.dropTempView(name)
-            try:
-                if spark.catalog.tableExists(name):  # a stored table would stand in for the view
-                    found.add(name)
-                else:
-                    spark.sql(text)
-            except AnalysisException:
-                found.add(name)
-            finally:
-                df.createOrReplaceTempView(name)
-        return found
+        plan = spark.sql(f"EXPLAIN EXTENDED {_statement(text)}").first()[0].lower()
+    # names as Spark resolves them, without regard to case
+    return {name for name in views if f"view (`{name.lower()}`" in plan}
 
 
 def run_sql_each(groups: DataFrame, views: Mapping[str, DataFrame], key: str, text: str,

@@ -1,15 +1,16 @@
 """Results of windows as a versioned set.
 
-Every run over a set of windows writes its rows into a folder of its own,
-``_attempt=A/_wend=E`` (the window's end in microseconds), and then commits: one line a window,
+Every run over a set of windows writes its rows, with the window's end in ``_wend``
+(microseconds), into a folder of its own, ``_attempt=A``, and then commits: one line a window,
 with the attempt and its number of rows, zero too, appended as one file to the folder
 ``<path>_commits``. A read follows the commits: for each window the latest attempt alone
 counts. So a window whose new run gives no row has no result any more, a run that ended
-between writing and committing is not seen, and a reader never meets half of a run.
+between writing and committing is not seen, and a reader never meets half of a run. A run
+writes few files however many windows it covers.
 
-Folders of attempts that a commit supersedes are deleted after it, so the folder as it stands
-holds the current results only; a reader that began before may have to read again.
-``clean`` deletes what runs left that never committed. One writer at a time.
+Attempts of which no window counts any more are deleted after a commit, and with them what
+runs left that never committed; a reader that began before may have to read again.
+``compact`` brings the windows that count into one attempt. One writer at a time.
 """
 
 from __future__ import annotations
@@ -79,51 +80,40 @@ class WindowResults:
         # same number do not share a folder
         attempt = f"{self._next:012d}-{uuid.uuid4().hex[:8]}"
         self._next += 1
-        rows.write.partitionBy(WEND).parquet(f"{self.path}/{ATTEMPT}={attempt}")
+        rows.write.parquet(self._folder(attempt))
         return attempt
 
     def commit(self, attempt: str, schema: T.StructType, ends: list[int]) -> dict[int, int]:
-        folder = f"{self.path}/{ATTEMPT}={attempt}"
-        # rows a window, from the files' footers
-        found = self.spark.read.schema(schema).parquet(folder).groupBy(WEND).count().collect()
+        found = self.spark.read.schema(schema).parquet(self._folder(attempt)).groupBy(WEND).count().collect()
         rows = dict.fromkeys(ends, 0) | {r[0]: r[1] for r in found}
-        before = self.current().join(self._ends(ends), "wend").filter("rows > 0").select("wend", "attempt").collect()
         text = T.StructType([f for f in schema.fields if f.name != WEND]).json()
         (self.spark.createDataFrame([(e, attempt, n, text) for e, n in rows.items()], _COMMIT)
              .coalesce(1).write.mode("append").json(self.log))
-        for wend, old in before:
-            self._drop(old, [f"{WEND}={wend}"])
-        if not found:
-            self._delete(folder)
+        self.clean()
         return rows
 
-    def _ends(self, ends: list[int]) -> DataFrame:
-        return self.spark.createDataFrame([(e,) for e in ends], "wend long")
+    def clean(self) -> int:
+        """Delete the attempts that no commit counts. Returns how many."""
+        live = self._live(self.current())
+        dead = [n for n in self._names(self.path) if n.startswith(f"{ATTEMPT}=") and n.partition("=")[2] not in live]
+        for name in dead:
+            self._delete(f"{self.path}/{name}")
+        return len(dead)
 
-    def _drop(self, attempt: str, windows: list[str]) -> None:
-        """Delete windows of an attempt, and its folder with the last of them."""
-        folder = f"{self.path}/{ATTEMPT}={attempt}"
-        for window in windows:
-            self._delete(f"{folder}/{window}")
-        if not any(n.startswith(f"{WEND}=") for n in self._names(folder)):
-            self._delete(folder)
+    def compact(self) -> None:
+        """Write the results that count as one attempt."""
+        ends = [r[0] for r in self.current().filter("rows > 0").select("wend").collect()]
+        if ends:
+            self.write(self._rows(self.current()), ends)
 
-    def clean(self) -> int:
-        """Delete what no commit counts: runs that did not commit, and windows of superseded
-        attempts that a crash kept from being deleted. Returns the folders deleted."""
-        live = {(r[0], r[1]) for r in self.current().filter("rows > 0").select("attempt", "wend").collect()}
-        gone = 0
-        for name in self._names(self.path):
-            if not name.startswith(f"{ATTEMPT}="):
-                continue
-            attempt = name.partition("=")[2]
-            dead = [w for w in self._names(f"{self.path}/{name}") if w.startswith(f"{WEND}=")
-                    and (attempt, int(w.partition("=")[2])) not in live]
-            alive = any(a == attempt for a, _ in live)
-            if dead or not alive:
-                self._drop(attempt, dead)
-                gone += max(1, len(dead))
-        return gone
+    def _folder(self, attempt: str) -> str:
+        return f"{self.path}/{ATTEMPT}={attempt}"
+
+    def _live(self, current: DataFrame) -> set[str]:
+        return {r[0] for r in current.filter("rows > 0").select("attempt").distinct().collect()}
+
+    def _ends(self, ends: list[int]) -> DataFrame:
+        return self.spark.createDataFrame([(e,) for e in ends], "wend long")
 
     # -- reading ------------------------------------------------------------
     def read(self, ends: list[int] | None = None, schema: T.StructType | None = None) -> DataFrame:
@@ -132,21 +122,22 @@ class WindowResults:
         current = self.current()
         if ends is not None:
             current = current.join(self._ends(ends), "wend")
+        return self._rows(current, schema).drop(WEND)
+
+    def _rows(self, current: DataFrame, schema: T.StructType | None = None) -> DataFrame:
         last = self.commits().agg(F.max_by("schema", "attempt")).first()[0]
         if last is not None:
             schema = T.StructType.fromJson(json.loads(last))
         if schema is None:
             raise FileNotFoundError(f"no window results at {self.path}")
-        columns = schema.fieldNames()
-        live = [r[0] for r in current.filter("rows > 0").select("attempt").distinct().collect()]
+        stored = T.StructType([*schema.fields, T.StructField(WEND, T.LongType())])
+        live = self._live(current)
         if not live:
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType()), T.StructField(WEND, T.LongType())])
-        rows = (self.spark.read.schema(stored).option("basePath", self.path)
-                .parquet(*[f"{self.path}/{ATTEMPT}={a}" for a in live]))
-        kept = current.filter("rows > 0").select("attempt", "wend")
-        return (rows.join(kept, (F.col(ATTEMPT) == F.col("attempt")) & (F.col(WEND) == F.col("wend")), "left_semi")
-                .select(*[F.col(f"`{c}`") for c in columns]))
+            return self.spark.createDataFrame([], stored)
+        rows = (self.spark.read.schema(T.StructType([*stored.fields, T.StructField(ATTEMPT, T.StringType())]))
+                .option("basePath", self.path).parquet(*[self._folder(a) for a in sorted(live)]))
+        kept = current.filter("rows > 0").select(F.col("attempt").alias(ATTEMPT), F.col("wend").alias(WEND))
+        return rows.join(kept, [ATTEMPT, WEND], "left_semi").select(*[F.col(f"`{c}`") for c in stored.fieldNames()])
 
 
 def read_window_results(spark: SparkSession, path: str) -> DataFrame:
