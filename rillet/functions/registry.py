@@ -8,9 +8,11 @@ primitive spellings share one kind, matching is exact (no widening).
 
 Functions are ordinary Column builders, so built-in ones compile to Catalyst
 expressions. Custom logic can be added as a vectorised ``pandas_udf``
-(:meth:`FunctionRegistry.register_pandas`) or as any function known to Spark
+(:meth:`FunctionRegistry.register_pandas`), as any function known to Spark
 SQL, for example a JVM UDF registered with ``spark.udf.registerJavaFunction``
-(:meth:`FunctionRegistry.register_sql`).
+(:meth:`FunctionRegistry.register_sql`), or needs no registration at all: a full class
+name that is not registered is looked for on Spark's class path, and its public static
+method is called in the JVM (:func:`jvm_method`).
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..types import SchemaError, kind_of, spark_type
@@ -40,12 +43,41 @@ def simple_name(namespace: str) -> str:
     return namespace.rsplit(".", 1)[-1]
 
 
+# The kinds that a JVM method can take, as Spark's reflect passes them.
+_JVM_KINDS = ("boolean", "byte", "short", "int", "long", "float", "double", "string")
+
+
+def jvm_method(class_name: str, name: str, arg_kinds: Sequence[str]) -> FunctionDef:
+    """A public static method of a class on Spark's class path (``--jars`` and the like), found by
+    the argument kinds (boxed or primitive parameters). Its result arrives as text and is
+    read as the output field's declared type. A class or method that Spark does not find,
+    asked here when the plan is built, is a :class:`~rillet.types.SchemaError`."""
+    kinds = tuple("string" if k == "char" else k for k in arg_kinds)
+
+    def build(*cols: Column) -> Column:
+        return F.call_function("reflect", F.lit(class_name), F.lit(name), *cols)
+
+    spark = SparkSession.getActiveSession()
+    if spark is None or not set(kinds) <= set(_JVM_KINDS):
+        raise SchemaError(f"unknown function class {class_name!r}")
+    try:
+        spark.range(1).select(build(*[F.lit(None).cast(spark_type(k)) for k in kinds]))
+    except AnalysisException as e:
+        shown = f"{class_name}.{name}({', '.join(arg_kinds)})"
+        raise SchemaError(f"unknown function class or no public static method {shown}: "
+                          f"{e.getCondition() or e}") from None
+    return FunctionDef(class_name, name, tuple(arg_kinds), "string", build)
+
+
 class FunctionRegistry:
-    def __init__(self) -> None:
+    """``jvm_classes``: whether rules may name classes on Spark's class path."""
+
+    def __init__(self, jvm_classes: bool = True) -> None:
         self._defs: dict[tuple[str, str, tuple[str, ...]], FunctionDef] = {}
+        self.jvm_classes = jvm_classes
 
     def copy(self) -> FunctionRegistry:
-        other = FunctionRegistry()
+        other = FunctionRegistry(self.jvm_classes)
         other._defs = dict(self._defs)
         return other
 
@@ -90,7 +122,12 @@ class FunctionRegistry:
         return found[0]
 
     def resolve(self, namespace: str, name: str, arg_kinds: Sequence[str]) -> FunctionDef:
-        ns = self._find(namespace)
+        try:
+            ns = self._find(namespace)
+        except SchemaError:
+            if self.jvm_classes and "." in namespace:
+                return jvm_method(namespace, name, arg_kinds)
+            raise
         fdef = self._defs.get((ns, name, tuple(arg_kinds)))
         if fdef is None:
             known = sorted(d.signature() for (n, m, _), d in self._defs.items()

@@ -114,6 +114,14 @@ ORACLE_SQL = {
         "SELECT event_id, CAST(user_id AS INTEGER) AS user_id, event_type FROM events i WHERE EXISTS (SELECT 1 FROM events e "
         "WHERE e.user_id = i.user_id AND e.event_type = 'error' AND e.ts >= i.ts - INTERVAL 24 HOUR "
         "AND e.ts <= i.ts - INTERVAL 1 SECOND)"),
+    "rules_jvm_class": (
+        "SELECT lower(to_hex(user_id)) AS hex, CAST(user_id % 7 AS INTEGER) AS slot, false AS known, "
+        "event_id AS kind FROM events"),
+    "stream_counts": (
+        "SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (event_type = 'error') AS rows_bad, "
+        "COUNT(*) FILTER (event_type = 'view') AS rows_out, COUNT(*) FILTER (event_type = 'view') AS lines_written, "
+        "COUNT(*) FILTER (event_type = 'error') AS lines_rejected FROM events"),
+    "sink_guard": "SELECT event_type AS kind, COUNT(*) AS cnt FROM events GROUP BY event_type",
     "sink_rows": (
         "SELECT '[' || CAST(user_id AS VARCHAR) || ' MB, error, ' || CAST(user_id + 1 AS VARCHAR) || ']' AS value "
         "FROM events WHERE event_type = 'error'"),
@@ -191,5 +199,5 @@ ORACLE_SQL["stream_late_having"] = (
     f"SELECT {_WIN_COLS}, COUNT(*) AS n, CAST(SUM(user_id) AS BIGINT) AS sum_user "
     f"FROM {_win('user_id')} GROUP BY ws HAVING COUNT(*) % 2 = 0")
 ORACLE_SQL["stream_join"] = ORACLE_SQL["window_sql_join"]
-# late rows and restarts must not change any window
-ORACLE_SQL["stream_late_rows"] = ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_flow_windows"]
+# late rows, restarts and triggers must not change any window
+ORACLE_SQL["stream_late_rows"] = ORACLE_SQL["stream_trigger"] = ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_flow_windows"]

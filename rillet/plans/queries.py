@@ -223,6 +223,14 @@ def q_rules_typed_output(spark, sf_dir):
     return apply_rules(typed, rules, out, fields)
 
 
+def q_rules_jvm_class(spark, sf_dir):
+    """Rules that name classes on Spark's class path: their static methods run in the JVM,
+    found by the argument types; results are read as the declared types."""
+    return _derive(spark, sf_dir, ["hex:java.lang.Integer:toHexString:$user_id", "slot:java.lang.Math:floorMod:$user_id,7",
+                                   "known:java.lang.Boolean:parseBoolean:$event_type", "kind:java.lang.String:valueOf:$event_id"],
+                   {"hex": "String", "slot": "Integer", "known": "Boolean", "kind": "Long"})
+
+
 def q_fn_upper(spark, sf_dir):
     return _derive(spark, sf_dir, [f"u:{NS}:toUpperCase:$event_type"], {"u": "String"})
 
@@ -479,6 +487,54 @@ def q_sink_rows(spark, sf_dir):
     return spark.read.schema("value string").text(f"{root}/rows").select("value")
 
 
+def q_stream_counts(spark, sf_dir):
+    """The counters of a stream's batches, summed: lines in, lines rejected (the user id of every
+    error event is "x") and rows out of a per-batch SQL that keeps views."""
+    from ..streaming import FlowStream
+    root, ev = _stream_root(spark), table(spark, sf_dir, "events")
+    ev = ev.withColumn("user_id", F.when(F.col("event_type") == "error", "x").otherwise(F.col("user_id").cast("string")))
+    lines = table_lines(ev, list(EVENT_FIELDS), time_col="ts")
+    flow = event_flow(extra_sql="SELECT size, kind FROM extraInput WHERE kind = 'view'", on_error="quarantine")
+    runner = FlowStream(flow, _line_files(spark, lines, root, F.col(ARRIVAL)), output_path=f"{root}/rows",
+                        bad_path=f"{root}/bad", checkpoint=f"{root}/checkpoint")
+    query = runner.start(available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    counts = spark.createDataFrame(list(runner.counts), "batch_id long, rows_in long, rows_bad long, rows_out long")
+    stored = spark.read.text(f"{root}/rows").count(), spark.read.schema("_raw string").parquet(f"{root}/bad").count()
+    return counts.agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_bad").alias("rows_bad"), F.sum("rows_out").alias("rows_out")
+                      ).withColumns({"lines_written": F.lit(stored[0]).cast("long"), "lines_rejected": F.lit(stored[1]).cast("long")})
+
+
+def q_stream_trigger(spark, sf_dir):
+    """The runner on its processing-time trigger: micro-batches a second apart until the files
+    are read, then the wall clock closes the windows that no line closes."""
+    from ..streaming import FlowStream
+    root, lines = _stream_root(spark), event_lines(spark, sf_dir)
+    runner = FlowStream(event_flow(window_sql=WINDOW_INPUT_SQL), _line_files(spark, lines, root, F.col(ARRIVAL)),
+                        sql_output_path=f"{root}/windows", checkpoint=f"{root}/checkpoint", trigger_seconds=1)
+    query = runner.start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    runner.query = None
+    runner.tick()
+    return runner.results()
+
+
+def q_sink_guard(spark, sf_dir):
+    """The empty guard: a partition is written for each kind that has rows, none for the kinds
+    that have none; what was written is read back and counted."""
+    from ..sinks import write_if_rows, write_partition
+    root = _stream_root(spark)
+    rows = event_flow().parse(event_lines(spark, sf_dir)).select("event_id", "event_type")
+    for kind in ("click", "error", "nothing", "purchase", "signup", "view", "void"):
+        write_if_rows(rows.where(F.col("event_type") == kind), write_partition, f"{root}/kinds", "kind", kind)
+    return spark.read.parquet(f"{root}/kinds").groupBy("kind").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def q_stream_native_window_stats(spark, sf_dir):
     """Native streaming statistics on the whole ``events`` table: lines as a file
     stream, ``groupBy(window)`` in the state store, update mode written per window
@@ -606,6 +662,7 @@ QUERIES = {
     "rules_field_and_literal": q_rules_field_and_literal,
     "rules_overloads": q_rules_overloads,
     "rules_typed_output": q_rules_typed_output,
+    "rules_jvm_class": q_rules_jvm_class,
     "fn_upper": q_fn_upper,
     "fn_add_one": q_fn_add_one,
     "fn_identity": q_fn_identity,
@@ -632,6 +689,9 @@ QUERIES = {
     "stream_restart": q_stream_restart,
     "sink_rows": q_sink_rows,
     "stream_native_window_stats": q_stream_native_window_stats,
+    "sink_guard": q_sink_guard,
+    "stream_counts": q_stream_counts,
+    "stream_trigger": q_stream_trigger,
     "stream_distinct": q_stream_distinct,
     "stream_join": q_stream_join,
     "tagged_union": q_tagged_union,

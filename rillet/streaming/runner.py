@@ -36,14 +36,17 @@ from __future__ import annotations
 
 import threading
 import time
+from collections import deque
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.parse import bad_rows, good_rows
+from ..operators.parse import ERRORS_COL, bad_rows, good_rows
 from ..operators.render import render
 from ..operators.windows import SlideStage, duration_us, micros_of, wall_clock, window_stats
 from ..sinks import echo
@@ -61,13 +64,34 @@ class _Stats(NamedTuple):
     last: int | None
 
 
+class BatchCounts(NamedTuple):
+    """Rows of one micro-batch; ``rows_out`` is None where nothing was written."""
+    batch_id: int
+    rows_in: int
+    rows_bad: int
+    rows_out: int | None
+
+
+def _observed(seen: Observation) -> int:
+    """The rows counted; 0 where Spark saw on the way that there are none and counted nothing."""
+    try:
+        return seen.get.get("rows", 0)
+    except Py4JJavaError:
+        return 0
+
+
 class FlowStream:
+    """See the module's text. ``counts`` holds the :class:`BatchCounts` of the last 1,000
+    batches, taken while their rows are read and written, without a job of their own;
+    ``on_batch`` is called with each."""
+
     def __init__(self, flow: LogFlow, lines: DataFrame, output_path: str | None = None,
                  sql_output_path: str | None = None, checkpoint: str | None = None,
                  trigger_seconds: float = DEFAULT_BATCH_SECONDS, lateness=None,
                  output_form: str = "list", stage_root: str | None = None,
                  echo_rows: int = 0, bad_path: str | None = None, expire: bool = True,
-                 sql_text_path: str | None = None, late_path: str | None = None):
+                 sql_text_path: str | None = None, late_path: str | None = None,
+                 on_batch: Callable[[BatchCounts], None] | None = None):
         self.flow = flow
         self.lines = lines
         self.output_path = output_path
@@ -78,6 +102,8 @@ class FlowStream:
         self.lateness_us = duration_us(lateness) if lateness is not None else None
         self.late_path = late_path or f"{self.checkpoint}/late"
         self.late_rows = 0
+        self.counts: deque[BatchCounts] = deque(maxlen=1000)
+        self.on_batch = on_batch
         self.output_form = output_form
         self.echo_rows = echo_rows
         self.bad_path = bad_path
@@ -156,30 +182,36 @@ class FlowStream:
         parsed = (flow.parse_checked(batch) if quarantine else flow.parse(batch)).persist()
         typed = good_rows(parsed) if quarantine else parsed
         try:
-            # one small job: rows, first and last arrival, rows per slide bucket
-            micros = micros_of(typed, flow.time_col)
-            key = self.stage.bucket_of(typed) if self.stage is not None else F.lit(0)
-            per_bucket = (typed.groupBy(key.alias("b"))
-                          .agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("first"),
-                               F.max(micros).alias("last")).collect())
+            # one small job: good and bad rows, first and last arrival, rows per slide bucket
+            good = F.col(ERRORS_COL).isNull() if quarantine else F.lit(True)
+            micros = F.when(good, micros_of(parsed, flow.time_col))
+            key = F.when(good, self.stage.bucket_of(parsed)) if self.stage is not None else F.lit(0)
+            per_bucket = (parsed.groupBy(key.alias("b"))
+                          .agg(F.count_if(good).alias("n"), F.count_if(~good).alias("bad"),
+                               F.min(micros).alias("first"), F.max(micros).alias("last")).collect())
             stats = _Stats(sum(r.n for r in per_bucket),
                            min((r.first for r in per_bucket if r.first is not None), default=None),
                            max((r.last for r in per_bucket if r.last is not None), default=None))
+            bad = sum(r.bad for r in per_bucket)
             if self.bad_path and quarantine:
                 (bad_rows(parsed).withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
                     .parquet(self.bad_path))
             if stats.n == 0:
+                self._count(batch_id, bad, bad, None)
                 return
             final = flow.finalize(flow.derive(typed), batch_time_us=stats.first)
             if flow.extra_sql is not None:
                 final = final.persist()  # several outputs read it; the text runs once
+            # counted by the first write; an echo reads a few rows only
+            written = Observation()
+            counted = final.observe(written, F.count(F.lit(1)).alias("rows"))
             cols = [c for c in final.columns if c != flow.time_col]
             if self.echo_rows:
                 echo(batch.select("value"), self.echo_rows, f"batch {batch_id} lines:")
                 echo(final.select(*cols), self.echo_rows, f"batch {batch_id} rows:")
             if self.output_path:
-                lines = render(final, self.output_form, cols).withColumn(
+                lines = render(counted, self.output_form, cols).withColumn(
                     "batch_id", F.lit(int(batch_id)))
                 (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .partitionBy("batch_id").text(self.output_path))
@@ -189,15 +221,22 @@ class FlowStream:
                     self.stage.append(INPUT, typed, batch_id, track=True,
                                       counts={r.b: r.n for r in per_bucket})
                 if self._stages(OUTPUT):
-                    self.stage.append(OUTPUT, final, batch_id, track=True)
+                    self.stage.append(OUTPUT, final if self.output_path else counted, batch_id, track=True)
                 if stats.last is not None:
                     self.last_seen = max(self.last_seen, stats.last)
                     self._emit(self.last_seen - (self.lateness_us or 0),
                                {r.b for r in per_bucket if r.b is not None})
+            wrote = bool(self.output_path or (self.stage is not None and self._stages(OUTPUT)))
         finally:
             if flow.extra_sql is not None and stats is not None and stats.n:
                 final.unpersist()
             parsed.unpersist()
+        self._count(batch_id, stats.n + bad, bad, _observed(written) if wrote else None)
+
+    def _count(self, batch_id: int, rows_in: int, rows_bad: int, rows_out: int | None) -> None:
+        self.counts.append(BatchCounts(batch_id, rows_in, rows_bad, rows_out))
+        if self.on_batch is not None:
+            self.on_batch(self.counts[-1])
 
     def _keep_late(self, typed: DataFrame, batch_id: int) -> None:
         """With a lateness: rows of windows that are final go to the late rows' table."""

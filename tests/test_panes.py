@@ -122,6 +122,14 @@ def test_stream_join_equals_bounded_and_survives_a_restart(spark, tmp_path):
         for i in range(0, 30, 10):
             spark.createDataFrame(half[i:i + 10], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/src")
         q = _to_end(joined(), tmp_path)
+        # the state as it lies in the checkpoint: rows of both sides wait for partners, no more
+        # than can still meet one
+        sides = [spark.read.format("statestore").option("joinSide", side).load(f"{tmp_path}/ck").select(n).collect()
+                 for side, n in (("left", "value.n"), ("right", "value.n_right"))]
+        held = [{r[0] for r in side} for side in sides]
+        assert held[0] and held[0] == held[1] and max(held[0]) == half[-1][2] and min(held[0]) >= half[-1][2] - 60
+        if half[0][2]:
+            assert min(held[0]) > 0  # rows of the first run have left it
     got = sorted((r.window_start, r.k, r.n, r.n_right) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     want = sorted((T0 + dt.timedelta(seconds=w), k, n, m) for w in range(-12, 60, 6)
                   for t, k, n in rows_ if w <= n < w + 18 for _, k2, m in rows_ if k == k2 and w <= m < w + 18)

@@ -122,3 +122,24 @@ def test_builtin_rules_stay_in_the_jvm(access):
     # an unused derived column is pruned away
     pruned = out.select("size")._jdf.queryExecution().optimizedPlan().toString()
     assert "KB" not in pruned
+
+
+def test_classes_on_the_class_path(lines):
+    """Static methods by argument types (boxed or primitive), results as the declared types; what
+    is not there fails when the plan is built."""
+    typed = parse_lines(lines(["10\ta b", "-3\tc"]), {"n": "Integer", "s": "String"})
+
+    def derive(rules, out, **kw):
+        return apply_rules(typed, rules, out, {"n": "Integer", "s": "String"}, **kw)
+
+    out = derive(["h:java.lang.Integer:toHexString:$n", "m:java.lang.Math:floorMod:$n,4", 'e:java.net.URLEncoder:encode:$s,"UTF-8"',
+                  "d:java.lang.Double:valueOf:$s1".replace("$s1", '"2.5"')],
+                 {"h": "String", "m": "Integer", "e": "String", "d": "Double"})
+    assert [tuple(r) for r in out.collect()] == [("a", 2, "a+b", 2.5), ("fffffffd", 1, "c", 2.5)]
+    for rule, error in (("h:com.example.Nope:f:$n", "Nope"), ("h:java.lang.Integer:nope:$n", "nope"),
+                        ("h:java.lang.Integer:toHexString:$s", "toHexString"), ("h:Nope:f:$n", "unknown function class")):
+        with pytest.raises(SchemaError, match=error):
+            derive([rule], {"h": "String"})
+    from rillet.functions.registry import FunctionRegistry
+    with pytest.raises(SchemaError, match="unknown function class"):
+        derive(["h:java.lang.Integer:toHexString:$n"], {"h": "String"}, registry=FunctionRegistry(jvm_classes=False))

@@ -301,3 +301,45 @@ def test_per_batch_sql_in_a_replay_keeps_or_needs_a_time(lines):
     starts = [dt.datetime(2024, 1, 1, 0, 0, s) for s in (0, 30)]
     assert out("SELECT MAX(n) AS n FROM extraInput", batch_interval="10 seconds") == [("x", t) for t in starts]
     assert out("SELECT n FROM extraInput ORDER BY n LIMIT 1", batch_interval=10_000) == [("x", t) for t in starts]
+
+
+def test_batches_are_counted_as_they_are_read_and_written(spark, tmp_path):
+    mk = lambda *vs: spark.createDataFrame([(v, dt.datetime(2024, 1, 1)) for v in vs], "value string, arrival_ts timestamp")
+    seen = []
+    runner = FlowStream(flow(on_error="quarantine"), mk(), str(tmp_path / "rows"), checkpoint=str(tmp_path / "ck"),
+                        echo_rows=1, on_batch=seen.append)
+    runner.process_batch(mk(*ACCESS_LINES[:3], "broken"), 0)
+    runner.process_batch(mk("broken", "broken"), 1)
+    runner.process_batch(mk(), 2)
+    assert [tuple(c) for c in seen] == [(0, 4, 1, 3), (1, 2, 2, None), (2, 0, 0, None)] == [tuple(c) for c in runner.counts]
+
+
+def test_run_until_stopped_on_the_processing_time_trigger(spark, tmp_path):
+    """run() blocks, reads what comes, and closes windows by the wall clock in between."""
+    import threading
+    src = tmp_path / "src"
+    mk = lambda secs: spark.createDataFrame(
+        [(ACCESS_LINES[0], dt.datetime(2024, 1, 1) + dt.timedelta(seconds=secs))], "value string, arrival_ts timestamp")
+    mk(1).write.parquet(str(src))
+    lines = spark.readStream.schema("value string, arrival_ts timestamp").parquet(str(src))
+    runner = FlowStream(flow(), lines, sql_output_path=str(tmp_path / "w"), checkpoint=str(tmp_path / "ck"), trigger_seconds=0.5)
+    thread = threading.Thread(target=runner.run)
+    thread.start()
+    try:
+        for more, n in ((None, 3), (7, 4)):
+            if more is not None:
+                mk(more).write.mode("append").parquet(str(src))
+            for _ in range(240):
+                time.sleep(0.5)
+                try:
+                    if len(read_window_results(spark, str(tmp_path / "w")).collect()) == n:
+                        break
+                except Exception:  # noqa: BLE001 - nothing committed yet, or replaced while it was read
+                    pass
+            else:
+                raise AssertionError("windows were not emitted")
+    finally:
+        runner.query.stop()
+        thread.join(60)
+    assert not thread.is_alive()
+    assert sorted(r.n for r in runner.results().collect()) == [1, 1, 2, 2]
