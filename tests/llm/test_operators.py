@@ -141,6 +141,33 @@ def test_pii_random_texts(spark):
         assert r.base == ",".join(f"{k}:{s}:{e}" for k, s, e in brute.pii_spans(r.text) if True), r.text[:80]
 
 
+def test_iban_ends_where_its_country_says(spark):
+    texts = ["Pay GB82 WEST 1234 5698 7654 32 BY 5 May", "DE89 3704 0044 0532 0130 00 AND", "GB82WEST12345698765432", "GB82WEST123456987654329",
+             "NO93 8601 1117 947", "ZZ89 3704 0044 0532 0130 00", "DE88 3704 0044 0532 0130 00"]
+    got = [[(s.start, s.end) for s in r.pii if s.kind == "iban"] for r in pii.find(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [[(4, 31)], [(0, 27)], [(0, 22)], [], [(0, 18)], [], []]
+
+
+def test_masking_a_long_text_full_of_spans(spark):
+    """20,000 addresses in a row, some overlapping other kinds, and a text between blocks of spans."""
+    import time
+    line = "".join(f"mail user{i}@host{i % 7}.example.org or 10.0.{i % 256}.1, " for i in range(20_000))
+    short = "".join(f"é{i}@b.cc 1.2.3.4@x.y {i};" for i in range(700)) + "tail é"
+    frame = spark.createDataFrame([(1, line), (2, short)], "doc_id long, text string")
+    begun = time.monotonic()
+    got = {r.doc_id: r.text for r in pii.mask(frame).collect()}
+    assert time.monotonic() - begun < 60
+    found = {r.doc_id: r.pii for r in pii.find(frame).collect()}
+    for doc_id, text in ((1, line), (2, short)):
+        out, at = [], 0
+        for s in found[doc_id]:
+            if s.start >= at:
+                out += [text[at:s.start], f"[{s.kind.upper()}]"]
+            at = max(at, s.end)
+        assert got[doc_id] == "".join(out) + text[at:]
+
+
 def test_pii_added_kinds_and_mask(spark, none):
     df = spark.createDataFrame([(1, TEXTS[28]), (2, None), (3, "plain"), (4, "x a@b.cc, 4111 1111 1111 1111 é 1.2.3.4")],
                                "doc_id long, text string")
