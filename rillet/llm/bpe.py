@@ -18,6 +18,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ class WordBpe:
     generations of that many words, so that words in use outlive the rare ones.
     """
 
-    def __init__(self, path: str, cache_words: int = 200_000):
+    def __init__(self, path: str, cache_words: int = 400_000):
         import ahocorasick
         from tokenizers import Tokenizer
 
@@ -81,7 +82,8 @@ class WordBpe:
                 k = key(token)
                 by_key[k] = i
                 self._length[i] = len(k)
-                self._match.add_word(k, i)
+                if len(k) > 1:  # single characters are looked up where nothing longer matches
+                    self._match.add_word(k, i)
         self._match.make_automaton()
         self._by_key = by_key
         # The longest token that is a proper prefix of each token, or -1.
@@ -106,8 +108,8 @@ class WordBpe:
         self._latin_split = re.compile(pattern).findall if plain else None
         self._bytes_as = {b: self._split_one(bytes([b])) for b in range(256)}
         self._limit = cache_words
-        self._chunks: dict[bytes, tuple[int, ...]] = {}
-        self._older: dict[bytes, tuple[int, ...]] = {}
+        self._chunks: dict[bytes, bytes] = {}  # ids as little-endian 32-bit numbers
+        self._older: dict[bytes, bytes] = {}
         self._words: dict[str, tuple[int, ...]] = {}
 
     # -- pair compatibility ---------------------------------------------------
@@ -152,12 +154,14 @@ class WordBpe:
             return (whole,)
         n = len(text)
         longest = [-1] * (n + 1)
-        length, shorter, known = self._length, self._shorter, self._fits
+        length, shorter, known, single = self._length, self._shorter, self._fits, self._by_key.get
         for end, token in self._match.iter(text):  # ends grow: the longest comes last
             longest[end + 1 - length[token]] = token
         dead = bytearray(n + 1)
         out: list[int] = []
         pos, token, last = 0, longest[0], -1
+        if token < 0:
+            token = single(text[0], -1)
         while pos < n:
             while token >= 0:
                 if not dead[pos + length[token]]:
@@ -173,6 +177,9 @@ class WordBpe:
                 last, token = token, longest[pos]
                 if token >= 0 or pos == n:
                     continue
+                token = single(text[pos], -1)
+                if token >= 0:
+                    continue
             # no token goes on from here: take the last one back, try a shorter one
             dead[pos] = 1
             if not out:
@@ -192,59 +199,60 @@ class WordBpe:
 
     def _pieces(self, chunk: bytes) -> list[str]:
         word = chunk.decode("utf-8")
-        if self._latin_split is None or max(word) > "\u024f":
-            return [piece for piece, _ in self._split(word)]
-        if word.isascii():
+        if self._latin_split is not None and word.isascii():
             return self._latin_split(word) if word.isprintable() else [
                 p.translate(self._bytes_as) for p in self._latin_split(word)]
+        if self._latin_split is None or max(word) > "\u024f":
+            return [piece for piece, _ in self._split(word)]
         return [p.encode("utf-8").decode("latin-1").translate(self._bytes_as) for p in self._latin_split(word)]
 
-    def _chunk(self, chunk: bytes) -> tuple[int, ...]:
-        """Ids of a blank-delimited chunk that the younger memo does not hold."""
-        ids = self._older.get(chunk)
-        if ids is None:
-            out: list[int] = []
-            words = self._words
-            for piece in self._pieces(chunk):
-                got = words.get(piece)
-                if got is None:
-                    if len(words) >= self._limit:
-                        words.clear()
-                    got = words[piece] = self.encode_word(piece)
-                out += got
-            ids = tuple(out)
+    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """The younger memo, which then holds all of these blank-delimited chunks."""
         if len(self._chunks) >= self._limit:
-            # cleared in place: the caller holds the younger memo's lookup
-            self._older = dict(self._chunks)
-            self._chunks.clear()
-        self._chunks[chunk] = ids
-        return ids
+            self._chunks, self._older = {}, self._chunks
+        young, older, words = self._chunks, self._older.get, self._words
+        for chunk in set(chunks).difference(young):
+            ids = older(chunk)
+            if ids is None:
+                out: list[int] = []
+                for piece in self._pieces(chunk):
+                    got = words.get(piece)
+                    if got is None:
+                        if len(words) >= self._limit:
+                            words.clear()
+                        got = words[piece] = self.encode_word(piece)
+                    out += got
+                ids = array("I", out).tobytes()
+            young[chunk] = ids
+        return young
 
     # -- texts ----------------------------------------------------------------
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a whole text; None is the empty text."""
-        out: list[int] = []
+    def packed(self, text: str | None) -> bytes:
+        """Ids of a whole text as little-endian unsigned 32-bit numbers; None is the empty text."""
         if not text:
-            return out
+            return b""
+        out: list[bytes] = []
         parts = self._special_re.split(text) if self._special_re and "<" in text else [text]
-        get, chunk, beyond = self._chunks.get, self._chunk, BEYOND_LATIN.search
         for part in parts:
             if part in self._special:
-                out.append(self._special[part])
+                out.append(self._special[part].to_bytes(4, "little"))
                 continue
             # White space is dropped by the pre-tokenizer and ends every match, so
             # blank-separated chunks can be encoded, and remembered, on their own.
             if part.isascii():
                 raw = part.encode("utf-8").lower()
-            elif self._latin_split and not beyond(part):  # composed already, no contextual case
+            elif self._latin_split and not BEYOND_LATIN.search(part):  # composed already, no contextual case
                 raw = part.lower().replace("\x85", " ").replace("\xa0", " ").encode("utf-8")
             else:
                 raw = self._normalize(part).encode("utf-8")
-            for c in raw.split():
-                ids = get(c)
-                out += chunk(c) if ids is None else ids
-        return out
+            chunks = raw.split()
+            out += map(self._learn(chunks).__getitem__, chunks)
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        """Ids of a whole text; None is the empty text."""
+        return np.frombuffer(self.packed(text), dtype="<u4").tolist()
 
     def decode_bytes(self, ids) -> bytes:
         """UTF-8 text of ``ids``: the tokens' texts joined by one blank each."""
@@ -278,7 +286,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         bpe = open_bpe(path)
-        return pd.Series([np.array(bpe.encode(t), dtype=np.int32) for t in texts])
+        return pd.Series([np.frombuffer(bpe.packed(t), dtype="<i4") for t in texts])
     return docs.withColumn(ids, run(F.col(text)))
 
 

@@ -49,11 +49,11 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
         return out
 
     def run(batches):
-        bpe = open_bpe(path)
+        bpe, end = open_bpe(path), end_id.to_bytes(4, "little")
         for batch in batches:
             rows, held = [], 0
             for d, t in zip(batch["doc_id"], batch["text"]):
-                ids = np.array([*bpe.encode(t), end_id], dtype="<u4")
+                ids = np.frombuffer(bpe.packed(t) + end, dtype="<u4")
                 d, n, start = None if pd.isna(d) else int(d), len(ids), 0
                 for size in piece_lengths(n, max_length):
                     piece = ids[start:start + size]
