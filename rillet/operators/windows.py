@@ -244,7 +244,8 @@ class SlideStage:
         self.direct: dict[str, DataFrame] = {}
         self._counts: dict[str, dict[int, int]] = {}  # rows per bucket per staged view
         self._schemas: dict[str, T.StructType] = {}  # staged schema incl. partition columns
-        self._batches: dict[str, set] = {}
+        self._last: dict[str, int] = {}  # the latest batch id staged: only that one can come again
+        self._cold: int | None = None    # buckets before it are not tracked any more
         self._results: dict[str, WindowResults] = {}
         self._each: dict[tuple, bool] = {}  # texts tried: can they run for all windows at once
 
@@ -296,19 +297,23 @@ class SlideStage:
         self._read.pop(name, None)
         if written is not None and name in self._counts:
             # a replayed batch id rewrites its own rows: add only new batches
-            if batch_id is None or batch_id not in self._batches.setdefault(name, set()):
+            if batch_id is None or batch_id > self._last.get(name, -1):
                 for b, n in written.items():
-                    self._counts[name][b] = self._counts[name].get(b, 0) + n
-            self._batches.setdefault(name, set()).add(batch_id)
+                    if self._cold is None or b >= self._cold:
+                        self._counts[name][b] = self._counts[name].get(b, 0) + n
         else:
             self._counts.pop(name, None)   # counted again when next needed
+        if batch_id is not None:
+            self._last[name] = max(batch_id, self._last.get(name, -1))
+
+    def _exists(self, path: str) -> bool:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
     def restore(self, name: str, schema: T.StructType) -> bool:
         """Take up view ``name`` (rows of ``schema``) as an earlier run staged it, with
-        its buckets and their row counts; False if nothing was staged."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+        its tracked buckets and their row counts; False if nothing was staged."""
+        if not self._exists(self.path(name)):
             return False
         self.ntz = isinstance(schema[self.time_col].dataType, T.TimestampNTZType)
         if name not in self.names:
@@ -316,15 +321,23 @@ class SlideStage:
         self._schemas[name] = T.StructType([*schema.fields, T.StructField(BUCKET, T.LongType()),
                                             T.StructField("_batch", T.LongType())])
         self._read[name] = self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
-        rows = self._read[name].groupBy(BUCKET, "_batch").count().collect()
-        counts: dict[int, int] = {}
-        for r in rows:
-            if r[0] is not None:
-                counts[r[0]] = counts.get(r[0], 0) + r[2]
-        self._counts[name] = counts
-        self._batches[name] = {r[1] for r in rows}
+        staged = self._read[name]
+        self._last[name] = staged.agg(F.max("_batch")).first()[0] or 0
+        tracked = staged if self._cold is None else staged.where(F.col(BUCKET) >= self._cold)
+        self._counts[name] = {r[0]: r[1] for r in tracked.groupBy(BUCKET).count().collect() if r[0] is not None}
         return True
 
+    def forget(self, before_us: int) -> None:
+        """Stop tracking the buckets that end at or before ``before_us``: no window still to come
+        holds them, so what the driver knows does not grow with the time span. Their rows
+        stay; a window that late rows open again looks for its buckets in the folder."""
+        cutoff = (before_us - self.start_us) // self.bucket_us
+        if self._cold is None or cutoff > self._cold:
+            self._cold = cutoff
+            for counts in self._counts.values():
+                for b in [b for b in counts if b < cutoff]:
+                    del counts[b]
+
     def bucket_of(self, df: DataFrame) -> Column:
         """The slide bucket of each row of ``df`` (a long)."""
         return self._bucket_of(df)
@@ -342,8 +355,10 @@ class SlideStage:
         """Rows per non-empty bucket of a staged view: tracked, or one count
         grouped by the partition column (parquet answers it from metadata)."""
         if name not in self._counts:
-            self._counts[name] = {r[0]: r[1] for r in
-                                  self.staged(name).groupBy(BUCKET).count().collect()
+            rows = self.staged(name)
+            if self._cold is not None:
+                rows = rows.where(F.col(BUCKET) >= self._cold)
+            self._counts[name] = {r[0]: r[1] for r in rows.groupBy(BUCKET).count().collect()
                                   if r[0] is not None}   # rows without a time: no window
         return self._counts[name]
 
@@ -415,7 +430,8 @@ class SlideStage:
             rows = self.staged(name)
         else:
             counts = self.view_counts(name)
-            present = [b for b in buckets if b in counts]
+            present = [b for b in buckets if b in counts or self._cold is not None and b < self._cold
+                       and self._exists(f"{self.path(name)}/{BUCKET}={b}")]
             if not present:
                 return self.spark.createDataFrame([], schema).drop(BUCKET, "_batch")
             rows = (self.spark.read.schema(schema).option("basePath", self.path(name))

@@ -125,6 +125,8 @@ class FlowStream:
         self.closed_until, self.last_seen = self._progress()
         if self.stage is not None:
             empty = self.spark.createDataFrame([], typed_schema.schema)
+            if self.lateness_us is None and self.closed_until > NEVER:
+                self.stage.forget(self._open_from())
             if self._stages(INPUT):
                 self.stage.restore(INPUT, typed_schema.schema)
             if self._stages(OUTPUT):
@@ -267,8 +269,7 @@ class FlowStream:
         again: set[tuple[int, int]] = set()
         if self.lateness_us is None and touched:
             again = {w for w in self.stage.windows(touched) if w[1] <= self.closed_until}
-        due = [w for w in self.stage.windows()
-               if self.closed_until < w[1] <= closed_before_us or w in again]
+        due = sorted(again.union(w for w in self.stage.windows() if self.closed_until < w[1] <= closed_before_us))
         if not due:
             return
         self._run(due)
@@ -276,9 +277,14 @@ class FlowStream:
         if last > self.closed_until:
             self.closed_until = last
             self._mark_progress()
-            if self.lateness_us is not None and self.expire:
-                # buckets wholly before the earliest window still to come
-                self.stage.expire(self.closed_until - self.stage.length_us + self.stage.slide_us)
+            if self.lateness_us is None:
+                self.stage.forget(self._open_from())
+            elif self.expire:
+                self.stage.expire(self._open_from())
+
+    def _open_from(self) -> int:
+        """The start of the earliest window still to come."""
+        return self.closed_until - self.stage.length_us + self.stage.slide_us
 
     def _run(self, due: list[tuple[int, int]]) -> None:
         if not due:
