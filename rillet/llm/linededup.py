@@ -4,6 +4,10 @@ The exact table holds, for every line key and document, how many of the document
 lines have that key. Sharded cuckoo filters stand before it: they answer "surely not
 there" without reading it, and take keys out again when a document is deleted, so an
 insertion can be undone. What a filter lets through is always settled by the table.
+
+A whole table goes through the same index in increments of rising doc_id: each one's
+keys are looked up in the filters of the increments before it, the possible ones are
+settled by the exact keys, and the new ones enter both.
 """
 
 from __future__ import annotations
@@ -55,27 +59,41 @@ class CuckooFilter:
         p, a, b = self._places(keys)
         return ((self.table[a] == p[:, None]) | (self.table[b] == p[:, None])).any(axis=1)
 
+    def _fill(self, print_, at) -> np.ndarray:
+        """Put fingerprints into free slots of their buckets ``at``; True for those that found one."""
+        order = np.argsort(at, kind="stable")
+        bucket = at[order]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = bucket[1:] != bucket[:-1]
+        begin = np.flatnonzero(new)
+        rank = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+        taken = self.table[bucket] != 0
+        fits = rank < SLOTS - taken.sum(axis=1)
+        slot = np.argsort(taken[fits], axis=1, kind="stable")[np.arange(fits.sum()), rank[fits]]
+        self.table[bucket[fits], slot] = print_[order[fits]]
+        placed = np.zeros(len(at), dtype=bool)
+        placed[order[fits]] = True
+        return placed
+
     def insert(self, keys) -> bool:
         """Add keys; False if the filter is too full (rebuild it larger)."""
         table = self.table
-        for p, a, b in zip(*(x.tolist() for x in self._places(keys))):
-            for at in (a, b):
+        print_, first, second = self._places(keys)
+        left = ~self._fill(print_, first)
+        print_, second = print_[left], second[left]
+        left = ~self._fill(print_, second)
+        print_, second = print_[left], second[left]
+        for p, at in zip(print_.tolist(), second.tolist()):
+            for turn in range(500):
+                slot = (p + turn) % SLOTS
+                p, table[at, slot] = int(table[at, slot]), p
+                at ^= int(self._jump(p))
                 free = (table[at] == 0).nonzero()[0]
                 if len(free):
                     table[at, free[0]] = p
                     break
             else:
-                at = b
-                for turn in range(500):
-                    slot = (p + turn) % SLOTS
-                    p, table[at, slot] = int(table[at, slot]), p
-                    at ^= int(self._jump(p))
-                    free = (table[at] == 0).nonzero()[0]
-                    if len(free):
-                        table[at, free[0]] = p
-                        break
-                else:
-                    return False
+                return False
         return True
 
     def delete(self, keys) -> None:
@@ -136,66 +154,174 @@ def references(docs: DataFrame, least: int = 10, doc_id: str = "doc_id", text: s
     return source.mapInPandas(run, "k1 long, k2 long, doc_id long, refs long")
 
 
-def first_holders(refs: DataFrame) -> DataFrame:
-    """``k1, k2, first`` of the keys that at least two documents hold."""
-    return (refs.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-            .filter("first <> last").select("k1", "k2", "first"))
+def keys_of(refs: DataFrame) -> DataFrame:
+    """``k1, k2, first, last, n``: each key's least and greatest doc_id and number of rows."""
+    return refs.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                        F.count(F.lit(1)).alias("n"))
 
 
-def build_filters(keys: DataFrame, n_keys: int, shard_keys: int = SHARD_KEYS) -> DataFrame:
-    """``shard, shards, filter`` over distinct ``keys(k1, k2)``: about ``shard_keys`` keys in each."""
-    shards = max(1, -(-n_keys // shard_keys))
+class LineIndex:
+    """Incremental state: the exact table ``refs``, its distinct ``keys`` and their sharded
+    ``filters``, as tables of the shared folder.
 
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        made = CuckooFilter.of(group["k1"].to_numpy().view(np.uint64))
-        return pd.DataFrame({"shard": group["shard"].iloc[:1].to_numpy(), "shards": shards, "filter": [made.dump()]})
+    ``insert`` tells which keys of new documents were there before and adds them;
+    ``delete`` takes documents out again, after which everything is as if they had
+    never been inserted. An insertion appends to the exact tables, reads of the keys only
+    those that a filter lets through, and writes the filters; a shard that reports full is
+    built anew from its keys. A deletion writes all three anew. Old tables stay readable
+    until the caller lets them go. A shard holds distinct keys only, so a line that very
+    many documents hold is one key in it.
+    """
 
-    return (keys.select("k1", F.pmod(F.col("k2"), F.lit(shards)).cast("int").alias("shard"))
-            .groupBy("shard").applyInPandas(build, "shard int, shards int, filter binary"))
+    def __init__(self, refs: DataFrame, keys: DataFrame | None, filters: DataFrame | None, shards: int):
+        self.refs, self.keys, self.filters, self.shards = refs, keys, filters, shards
 
+    @classmethod
+    def empty(cls, refs: DataFrame, n_keys: int) -> LineIndex:
+        """An index without references, with shards for about ``n_keys`` keys; ``refs`` lends its columns."""
+        return cls(refs.filter(F.lit(False)), None, None, max(1, -(-n_keys // SHARD_KEYS)))
 
-def probe(refs: DataFrame, filters: DataFrame, shards: int, at_once: int = 100_000) -> DataFrame:
-    """Rows ``k1, k2, doc_id`` whose key the filters may hold: all that they do, few others.
+    @classmethod
+    def build(cls, docs: DataFrame, least: int = 10) -> LineIndex:
+        refs = cut(references(docs, least), "lineindex")
+        index = cls.empty(refs, refs.agg(F.approx_count_distinct("k1")).first()[0])
+        return index.add(refs, index.look(refs))
+
+    def _shard(self, keys: DataFrame) -> DataFrame:
+        return keys.withColumn("shard", F.pmod(F.col("k2"), F.lit(self.shards)).cast("int"))
+
+    def look(self, refs: DataFrame) -> DataFrame:
+        """``k1, k2, first, last, n, known`` of the distinct keys of ``refs``; ``known``: the index holds it."""
+        keys = keys_of(refs)
+        if self.filters is None:
+            return cut(keys.withColumn("known", F.lit(False)), "linekeys")
+
+        def probe(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+            ours = ours.drop(columns="shard")
+            maybe = np.zeros(len(ours), dtype=bool)
+            if len(ours) and len(theirs):
+                maybe = CuckooFilter.load(theirs["filter"].iloc[0]).contains(ours["k1"].to_numpy().view(np.uint64))
+            return ours.assign(maybe=maybe)
+
+        probed = cut(self._shard(keys).groupBy("shard").cogroup(self.filters.groupBy("shard"))
+                     .applyInPandas(probe, "k1 long, k2 long, first long, last long, n long, maybe boolean"), "lineprobe")
+        maybe = probed.filter("maybe").drop("maybe")
+        known = self.keys.join(maybe.select("k1", "k2"), ["k1", "k2"], "left_semi").withColumn("known", F.lit(True))
+        settled = maybe.join(known, ["k1", "k2"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+        return cut(probed.filter("NOT maybe").drop("maybe").withColumn("known", F.lit(False)).unionByName(settled),
+                   "linekeys")
+
+    def add(self, refs: DataFrame, keys: DataFrame) -> LineIndex:
+        """The index with the written table ``refs``, of which ``keys`` is what ``look`` said."""
+        fresh = keys.filter("NOT known").select("k1", "k2")
+        held = fresh if self.keys is None else self.keys.unionAll(fresh)
+        schema = "shard int, filter binary"
+
+        def enter(key, ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+            if len(theirs) and not len(ours):
+                return theirs[["shard", "filter"]]
+            f = (CuckooFilter.load(theirs["filter"].iloc[0]) if len(theirs)
+                 else CuckooFilter(max(SHARD_KEYS, len(ours))))
+            kept = f.insert(ours["k1"].to_numpy().view(np.uint64))
+            return pd.DataFrame({"shard": [int(key[0])], "filter": [f.dump() if kept else None]})
+
+        def rebuild(key, ours: pd.DataFrame) -> pd.DataFrame:
+            made = CuckooFilter.of(ours["k1"].to_numpy().view(np.uint64))
+            return pd.DataFrame({"shard": [int(key[0])], "filter": [made.dump()]})
+
+        old = self.filters
+        if old is None:
+            old = keys.sparkSession.createDataFrame([], schema)
+        filters = cut(self._shard(fresh).groupBy("shard").cogroup(old.groupBy("shard"))
+                      .applyInPandas(enter, schema), "linefilters")
+        full = filters.filter("filter IS NULL").select("shard")
+        if not full.isEmpty():
+            again = (self._shard(held).join(full, "shard", "left_semi").groupBy("shard")
+                     .applyInPandas(rebuild, schema))
+            filters = cut(filters.filter("filter IS NOT NULL").unionAll(again), "linefilters")
+        return LineIndex(self.refs.unionByName(refs.select(*self.refs.columns)), held, filters, self.shards)
+
+    def insert(self, docs: DataFrame, least: int = 10) -> tuple[LineIndex, DataFrame]:
+        """The index with ``docs`` and ``k1, k2, doc_id`` of their lines that it held before."""
+        new = cut(references(docs, least), "linerefs")
+        keys = self.look(new)
+        known = limited(new, keys.filter("known").withColumn("after", F.lit(None).cast("long")), new.count())
+        return self.add(new, keys), known
 
-    References meet the filter of their shard in groups of about ``at_once`` rows: a
-    shard with more (a line that very many documents hold) is dealt over several
-    groups, each with a copy of the filter.
+    def delete(self, doc_ids: DataFrame) -> LineIndex:
+        """The index without the documents of ``doc_ids(doc_id)``; filters lose their last keys."""
+        ids = doc_ids.select("doc_id").distinct()
+        left = cut(self.refs.join(ids, "doc_id", "left_anti").select(*self.refs.columns), "lineindex")
+        touched = self.refs.join(ids, "doc_id", "left_semi").select("k1", "k2").distinct()
+        lost = cut(touched.join(left.select("k1", "k2").distinct(), ["k1", "k2"], "left_anti"), "linekeys")
+        if self.keys is None:
+            return LineIndex(left, None, None, self.shards)
+
+        def take(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+            if len(ours) and len(theirs):
+                f = CuckooFilter.load(theirs["filter"].iloc[0])
+                f.delete(ours["k1"].to_numpy().view(np.uint64))
+                theirs = theirs.assign(filter=[f.dump()])
+            return theirs[["shard", "filter"]]
+
+        filters = cut(self._shard(lost).groupBy("shard").cogroup(self.filters.groupBy("shard"))
+                      .applyInPandas(take, "shard int, filter binary"), "linefilters")
+        return LineIndex(left, cut(self.keys.join(lost, ["k1", "k2"], "left_anti"), "linekeys"), filters, self.shards)
+
+
+def limited(refs: DataFrame, keys: DataFrame, n_refs: int, hot: int = 1000) -> DataFrame:
+    """``k1, k2, doc_id`` of the references whose key is in ``keys(k1, k2, n, after)`` and whose
+    doc_id is greater than ``after`` (null: any).
+
+    At most ``hot`` keys can each have over one in ``hot`` of the ``n_refs`` references: these
+    are broadcast, so a line that very many documents hold meets in no one task.
     """
-    def test(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if not len(ours) or not len(theirs):
-            return ours.iloc[:0][["k1", "k2", "doc_id"]]
-        held = CuckooFilter.load(theirs["filter"].iloc[0])
-        return ours[held.contains(ours["k1"].to_numpy().view(np.uint64))][["k1", "k2", "doc_id"]]
-
-    dealt = refs.select("k1", "k2", "doc_id", F.pmod(F.col("k2"), F.lit(shards)).cast("int").alias("shard"))
-    sizes = (dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-             .select("shard", F.ceil(F.col("n") / at_once).cast("int").alias("parts")))
-    ours = (dealt.join(sizes, "shard")
-            .withColumn("part", F.pmod(F.xxhash64("doc_id", "k1"), F.col("parts")).cast("int")).drop("parts"))
-    theirs = (filters.join(sizes, "shard")
-              .select("shard", "filter", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
-    return (ours.groupBy("shard", "part").cogroup(theirs.groupBy("shard", "part"))
-            .applyInPandas(test, "k1 long, k2 long, doc_id long"))
+    keys = keys.select("k1", "k2", "n", "after")
+    many = F.col("n") > F.lit(n_refs / hot)
+    over = "after IS NULL OR doc_id > after"
+    often = F.broadcast(keys.filter(many).select("k1", "k2", "after", F.lit(True).alias("often")))
+    met = refs.select("k1", "k2", "doc_id").join(often, ["k1", "k2"], "left")
+    rest = (met.filter("often IS NULL").select("k1", "k2", "doc_id")
+            .join(keys.filter(~many).select("k1", "k2", "after"), ["k1", "k2"]).filter(over))
+    return (met.filter("often").filter(over).select("k1", "k2", "doc_id")
+            .unionAll(rest.select("k1", "k2", "doc_id")))
 
 
 def drop_repeated(docs: DataFrame, least: int = 10, doc_id: str = "doc_id", text: str = "text",
-                  digest: bool = False) -> DataFrame:
+                  digest: bool = False, increments: int = 2) -> DataFrame:
     """Drop every line whose key occurs in a document of a smaller doc_id.
 
+    The documents go through a ``LineIndex`` in ``increments`` of rising doc_id, without
+    effect on the result.
+
     Keys shorter than ``least`` code points are never dropped, nor are lines of rows
     without doc_id. A document keeps its own repeats. Rows sharing a doc_id are one
     document. Returns all columns of ``docs`` with the new text (null and empty texts are
-    as they were if nothing was dropped) plus ``n_lines`` and ``n_dropped``; with
+    as they were if nothing was dropped; an empty table gives no rows; a text of any length
+    is one row) plus ``n_lines`` and ``n_dropped``; with
     ``digest`` only ``doc_id, n_lines, n_dropped, kept_sha256``.
     """
     refs = cut(references(docs, least, doc_id, text), "linerefs")
-    held = cut(first_holders(refs), "lineheld")
-    n = held.count()
-    shards = max(1, -(-n // SHARD_KEYS))
-    filters = build_filters(held, n)
-    maybe = probe(refs, filters, shards)
-    gone = (maybe.join(held, ["k1", "k2"]).filter("doc_id > first")
-            .groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("k1", "k2"))).alias("__keys"))
+    shares = [i / increments for i in range(1, increments)]
+    n, n_keys, ends = refs.agg(F.count(F.lit(1)), F.approx_count_distinct("k1"),
+                               F.percentile_approx("doc_id", shares or [0.5], 1000)).first()
+    ends = sorted(set(ends or [])) if shares else []
+    index = LineIndex.empty(refs, n_keys)
+    gone = None
+    for i in range(len(ends) + 1):
+        own = refs
+        if i:
+            own = own.filter(F.col("doc_id") > ends[i - 1])
+        if i < len(ends):
+            own = own.filter(F.col("doc_id") <= ends[i])
+        keys = index.look(own)
+        if i < len(ends):  # the index ends with this call: nobody asks it after the last increment
+            index = index.add(own, keys)
+        repeated = (keys.filter("known OR first <> last")
+                    .withColumn("after", F.when(~F.col("known"), F.col("first"))))
+        found = limited(own, repeated, n)
+        gone = found if gone is None else gone.unionAll(found)
+    gone = (gone.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("k1", "k2"))).alias("__keys"))
             .select(F.col("doc_id").alias("__doc"), F.col("__keys.k1").alias("__k1"), F.col("__keys.k2").alias("__k2")))
     met = docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("__doc"), "left")
 
@@ -224,57 +350,3 @@ def drop_repeated(docs: DataFrame, least: int = 10, doc_id: str = "doc_id", text
     cols = [F.col("__line.text").alias(text) if c == text else F.col(f"`{c}`")
             for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return done.select(*cols, "__line.n_lines", "__line.n_dropped")
-
-
-class LineIndex:
-    """Incremental state: the exact table and its filters, as tables of a shared folder.
-
-    ``insert`` tells which keys of new documents were there before and adds them;
-    ``delete`` takes documents out again, after which everything is as if they had
-    never been inserted. Each change writes new tables; the old ones stay readable
-    until the caller lets them go.
-    """
-
-    def __init__(self, refs: DataFrame, filters: DataFrame, n_keys: int):
-        self.refs, self.filters, self.n_keys = refs, filters, n_keys
-        self.shards = max(1, -(-n_keys // SHARD_KEYS))
-
-    @classmethod
-    def of(cls, refs: DataFrame) -> LineIndex:
-        refs = cut(refs.groupBy("k1", "k2", "doc_id").agg(F.sum("refs").alias("refs")).filter("refs > 0"), "lineindex")
-        keys = refs.select("k1", "k2").distinct()
-        n = keys.count()
-        return cls(refs, cut(build_filters(keys, n), "linefilters"), n)
-
-    @classmethod
-    def build(cls, docs: DataFrame, least: int = 10) -> LineIndex:
-        return cls.of(references(docs, least))
-
-    def insert(self, docs: DataFrame, least: int = 10) -> tuple[LineIndex, DataFrame]:
-        """The index with ``docs`` and ``k1, k2, doc_id`` of their lines that it held before."""
-        new = cut(references(docs, least), "linerefs")
-        known = probe(new, self.filters, self.shards).join(
-            self.refs.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
-        return LineIndex.of(self.refs.unionAll(new.select(*self.refs.columns))), known
-
-    def delete(self, doc_ids: DataFrame) -> LineIndex:
-        """The index without the documents of ``doc_ids(doc_id)``; filters lose their last keys."""
-        left = cut(self.refs.join(doc_ids.select("doc_id").distinct(), "doc_id", "left_anti")
-                   .select(*self.refs.columns), "lineindex")
-        gone = (self.refs.select("k1", "k2").distinct()
-                .join(left.select("k1", "k2").distinct(), ["k1", "k2"], "left_anti"))
-        shards = self.shards
-
-        def take(key, out, old):
-            for data in old["filter"]:
-                f = CuckooFilter.load(data)
-                f.delete(out["k1"].to_numpy().view(np.uint64))
-                return pd.DataFrame({"shard": [int(key[0])], "shards": [shards], "filter": [f.dump()]})
-            return pd.DataFrame({"shard": [], "shards": [], "filter": []})
-
-        lost = gone.select("k1", F.pmod(F.col("k2"), F.lit(shards)).cast("int").alias("shard"))
-        filters = (lost.groupBy("shard").cogroup(self.filters.groupBy("shard"))
-                   .applyInPandas(take, "shard int, shards int, filter binary"))
-        made = LineIndex(left, cut(filters, "linefilters"), self.n_keys)
-        made.shards = shards
-        return made

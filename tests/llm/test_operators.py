@@ -251,6 +251,8 @@ def test_line_dedup(docs, none, monkeypatch):
     same(linededup.drop_repeated(docs, digest=True).collect(), brute.line_dedup(PAIRS))
     monkeypatch.setattr(linededup, "SHARD_KEYS", 2)
     same(linededup.drop_repeated(docs, digest=True).collect(), brute.line_dedup(PAIRS))
+    for parts in (1, 5):
+        same(linededup.drop_repeated(docs, digest=True, increments=parts).collect(), brute.line_dedup(PAIRS))
     whole = linededup.drop_repeated(clash(docs))
     assert set(docs.columns) <= set(whole.columns)
     digests = whole.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.coalesce("text", F.lit(""))).alias("d"))
@@ -277,6 +279,31 @@ def test_line_index_is_reversible(spark):
     assert known.count() == 1
 
 
+def test_line_index_over_many_increments(spark, monkeypatch):
+    """Filters that become full are built anew; deleting all that was inserted empties them."""
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 4)
+    r = random.Random(5)
+    docs = [(i, "\n".join(f"a line of number {r.randrange(60)}" for _ in range(20))) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    index, seen = linededup.LineIndex.build(frame.filter("doc_id < 3")), {}
+    start = index.keys.count()
+    for d, t in docs[:3]:
+        seen.update({k: d for k in linededup.line_keys(t, 10)[1]})
+    for low in (3, 20):
+        new = frame.filter((F.col("doc_id") >= low) & (F.col("doc_id") < low + 17))
+        index, known = index.insert(new)
+        lines = [(d, k) for d, t in docs[low:low + 17] for k in set(linededup.line_keys(t, 10)[1])]
+        got = sorted((x.doc_id, x.k1) for x in known.collect())
+        assert got == sorted((d, int.from_bytes(k[:8], "little", signed=True)) for d, k in lines if k in seen)
+        seen.update({k: d for d, k in lines})
+    assert index.keys.count() == len(seen) == index.refs.select("k1").distinct().count()
+    back = index.delete(frame.filter("doc_id >= 3"))
+    assert back.keys.count() == start
+    none = back.delete(frame)
+    assert none.keys.count() == 0 and none.refs.count() == 0
+    assert not any(np.frombuffer(x["filter"], dtype=np.uint16).any() for x in none.filters.collect())
+
+
 def test_cuckoo_filter():
     keys = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
     f = linededup.CuckooFilter.of(keys)
