@@ -429,13 +429,31 @@ def test_topk(spark, monkeypatch):
     assert topk.nearest(one, F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_crowds_and_long_numbers(spark, monkeypatch):
+    """Few cells, so that bounds settle little; blocks with many candidates are searched exactly."""
+    g = np.random.default_rng(9)
+    centre = g.normal(size=8)
+    rows = [(i, [float(x) for x in centre + 0.01 * g.normal(size=8)]) for i in range(120)]
+    rows += [(i, [float(x) for x in g.normal(size=8) * (1e4 if i % 7 == 0 else 1)]) for i in range(120, 260)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expect = brute.topk(rows)
+    for cells, crowd in ((4, 512), (4, 20), (256, 512)):
+        monkeypatch.setattr(topk, "CROWD", crowd)
+        search = topk.Search(df, F.col("vec_id") % 50 == 0, 5, 256.0, "vec_id", "embedding", cells)
+        same(search.best().collect(), expect)
+        assert (search.crowded.count() > 0) == (crowd == 20)
+    assert search.left.count() < 0.2 * 6 * len(rows)  # fine cells: few exact vectors are read
+
+
 def test_va_file_bounds():
     g = np.random.default_rng(8)
     x = g.integers(-200, 200, (500, 12))
     q = g.integers(-200, 200, (20, 12))
-    low, high = topk.VaFile(x).bounds(q)
     exact = q @ x.T
-    assert (low <= exact).all() and (exact <= high).all()
+    for cells in (1, 16, 256):
+        low, high = topk.VaFile(*topk.approximate(x, cells)).bounds(q)
+        assert (low <= exact).all() and (exact <= high).all()
+        assert cells < 256 or (high - low).max() < 12 * 200 * 2
 
 
 @pytest.mark.parametrize("block", [1024, 7])
