@@ -266,14 +266,15 @@ class WordBpe:
         return self.blob[at].tobytes()[:-1]
 
 
-_OPEN: dict[str, WordBpe] = {}
+_OPEN: dict[tuple[str, int], WordBpe] = {}
+MEMO_WORDS = 400_000
 
 
-def open_bpe(path: str) -> WordBpe:
-    """The worker process's encoder for a vocabulary file (loaded once)."""
-    if path not in _OPEN:
-        _OPEN[path] = WordBpe(path)
-    return _OPEN[path]
+def open_bpe(path: str, memo_words: int = MEMO_WORDS) -> WordBpe:
+    """The worker process's encoder for a vocabulary file and size of memo (loaded once)."""
+    if (path, memo_words) not in _OPEN:
+        _OPEN[path, memo_words] = WordBpe(path, memo_words)
+    return _OPEN[path, memo_words]
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

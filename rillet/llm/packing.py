@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import crc32_ids, open_bpe
+from .bpe import MEMO_WORDS, crc32_ids, open_bpe
 
 
 TOKENS_HELD = 1 << 20  # a task hands its pieces on after about this many tokens
@@ -27,7 +27,8 @@ def piece_lengths(n: int, max_length: int) -> list[int]:
 
 
 def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
-         doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+         doc_id: str = "doc_id", text: str = "text", with_ids: bool = True,
+         memo_words: int = MEMO_WORDS) -> DataFrame:
     """One row per piece of each document's tokens followed by ``end_id``:
     ``doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset, bucket``
     and, if asked for, ``ids``.
@@ -35,7 +36,8 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
     ``max_length`` must be a power of two. A null or empty text is the one token
     ``end_id``. Documents are packed where they are read: no shuffle, no state
     across documents. ``sequence_id`` is unique in the result; equal rows give
-    separate sequences; an empty table gives none. ``bucket`` is the power.
+    separate sequences; an empty table gives none. ``bucket`` is the power. A worker
+    keeps the encoder and its memo of ``memo_words`` words after the job.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
@@ -49,7 +51,7 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
         return out
 
     def run(batches):
-        bpe, end = open_bpe(path), end_id.to_bytes(4, "little")
+        bpe, end = open_bpe(path, memo_words), end_id.to_bytes(4, "little")
         for batch in batches:
             rows, held = [], 0
             for d, t in zip(batch["doc_id"], batch["text"]):
