@@ -51,11 +51,11 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
         return out
 
     def run(batches):
-        bpe, end = open_bpe(path, memo_words), end_id.to_bytes(4, "little")
+        bpe, end = open_bpe(path, memo_words, together=True), np.array([end_id], dtype="<u4")
         for batch in batches:
             rows, held = [], 0
-            for d, t in zip(batch["doc_id"], batch["text"]):
-                ids = np.frombuffer(bpe.packed(t) + end, dtype="<u4")
+            for d, ids in zip(batch["doc_id"], bpe.encode_whole(batch["text"])):
+                ids = np.concatenate([ids, end])
                 d, n, start = None if pd.isna(d) else int(d), len(ids), 0
                 for size in piece_lengths(n, max_length):
                     piece = ids[start:start + size]
