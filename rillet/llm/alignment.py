@@ -113,32 +113,51 @@ class Pair:
             self.b_bytes.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i)
                                 else piece.replace(BLANK, " ").encode("utf-8"))
         self.a_size, self.b_size = (np.array([len(t) for t in ts]) for ts in (self.a_bytes, self.b_bytes))
+        self._b_blob, self._b_start = np.frombuffer(b"".join(self.b_bytes), dtype=np.uint8), np.cumsum(self.b_size) - self.b_size
         self.a_text, self.b_text = (np.array([f"{i}{sep}" for sep in (",", end) for i in range(len(ts))], dtype=object)
                                     for ts, end in ((self.a_bytes, "|"), (self.b_bytes, ";")))
         self._split, self._unsettled = regex.compile(BYTE_SPLIT).findall, regex.compile(UNSETTLED).search
         self._limit = cache_pieces
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._lossy: set[str] = set()  # pre-tokens of the memo that A's tokens do not give back
 
-    def _a_encode(self, texts: list[str]) -> list[np.ndarray]:
-        """A's ids. Pre-tokens are encoded for themselves, so the library sees each once."""
+    def _a_encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
+        """A's ids, and whether their bytes are known to give back the text. Pre-tokens are
+        encoded, and compared with their bytes, for themselves: each once."""
         out: list[np.ndarray | None] = [None] * len(texts)
         settled = [n for n, t in enumerate(texts) if not self._unsettled(t)]
         pieces = [self._split(texts[n]) for n in settled]
         if len(self._young) > self._limit:
             self._young, self._old = {}, self._young
-        young, old = self._young, self._old
+            self._lossy.intersection_update(self._old)
+        young, old, lossy, a_bytes = self._young, self._old, self._lossy, self.a_bytes.__getitem__
         wanted = set().union(*pieces).difference(young)
         young.update({p: old[p] for p in wanted if p in old})
         wanted = [p for p in wanted if p not in young]
         for piece, found in zip(wanted, self.a.encode_batch_fast(wanted, add_special_tokens=False)):
-            young[piece] = array("I", found.ids).tobytes()
+            ids = found.ids
+            young[piece] = array("I", ids).tobytes()
+            if b"".join(map(a_bytes, ids)) != piece.encode("utf-8"):
+                lossy.add(piece)
         for n, of_text in zip(settled, pieces):
             out[n] = np.frombuffer(b"".join(map(young.__getitem__, of_text)), dtype="<u4")
         rest = [n for n, ids in enumerate(out) if ids is None]
         for n, found in zip(rest, self.a.encode_batch_fast([texts[n] for n in rest], add_special_tokens=False)):
             out[n] = np.array(found.ids, dtype="<u4")
-        return out
+        whole = [False] * len(texts)
+        for n, of_text in zip(settled, pieces):
+            whole[n] = not lossy or lossy.isdisjoint(of_text)
+        return out, whole
+
+    def _b_texts(self, ids: list[np.ndarray]) -> Iterator[bytes]:
+        """The joined bytes of each list of B's ids, gathered for all of them at once."""
+        flat = np.concatenate([np.empty(0, dtype="<u4"), *ids])
+        size = self.b_size[flat]
+        ends = np.append(0, np.cumsum(size))
+        got = self._b_blob[np.arange(ends[-1]) + np.repeat(self._b_start[flat] - ends[:-1], size)].tobytes()
+        cuts = ends[np.cumsum([0, *map(len, ids)])].tolist()
+        return (got[x:y] for x, y in zip(cuts, cuts[1:]))
 
     def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """A's ids of a blank and the text, and B's of the text (B adds the blank). None for
@@ -146,13 +165,12 @@ class Pair:
         none = np.empty(0, dtype="<u4")
         out = [(none, none)] * len(texts)
         there = [n for n, t in enumerate(texts) if t]
-        a_ids = self._a_encode([" " + texts[n] for n in there])
-        b_ids = self.b.encode([texts[n] for n in there], num_threads=1) if there else []
-        for n, a, b in zip(there, a_ids, b_ids):
+        a_ids, whole = self._a_encode([" " + texts[n] for n in there])
+        b_ids = [np.array(b, dtype="<u4") for b in self.b.encode([texts[n] for n in there], num_threads=1)] if there else []
+        for n, a, same, b, b_text in zip(there, a_ids, whole, b_ids, self._b_texts(b_ids)):
             raw = (" " + texts[n]).encode("utf-8")
-            if (b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
-                    and b"".join(map(self.b_bytes.__getitem__, b)) == raw):
-                out[n] = a, np.array(b, dtype="<u4")
+            if b_text == raw and (same or b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw):
+                out[n] = a, b
         return out
 
     def group_texts(self, a: np.ndarray, b: np.ndarray, ia, ib, both, bounds) -> list[str]:
@@ -163,7 +181,7 @@ class Pair:
         # a token stands after all tokens of its side before it and, on the other side, all
         # of the groups before it (A tokens) or up to its own (B tokens)
         a_ends, b_ends = ia[both] + 1, ib[both] + 1
-        a_group, b_group = np.searchsorted(a_ends, np.arange(len(a)), "right"), np.searchsorted(b_ends, np.arange(len(b)), "right")
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
         b_before = np.append(0, b_ends)
         line = np.empty(len(a) + len(b), dtype=object)
         line[np.arange(len(a)) + b_before[a_group]] = self.a_text[a + a_last * len(self.a_size)]
@@ -196,7 +214,8 @@ def _linked(pair: Pair, docs: list[tuple[int | None, np.ndarray, np.ndarray]]) -
     starts = np.append(0, bounds[:-1])
     closed = np.append(0, np.cumsum(both))
     packed = a[ia] * len(pair.b_size) + b[ib]
-    keys, at, times = np.unique(packed, return_inverse=True, return_counts=True)
+    at, keys = pd.factorize(packed)
+    times = np.bincount(at, minlength=len(keys))
     owner = np.repeat(np.arange(len(docs)), bounds - starts)
     mine, counts = np.unique(owner * max(len(keys), 1) + at, return_counts=True)
     cuts = np.searchsorted(mine, np.arange(len(docs) + 1) * max(len(keys), 1))
