@@ -54,8 +54,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document's tokens, with the ids."""
-    # workers that go on to other stages keep the memo: half of the usual one
-    return packing.pack(docs, vocabulary(), max_length=4096, memo_words=200_000)
+    # workers go on to other stages: half of the usual memo, and none after a task
+    return packing.pack(docs, vocabulary(), max_length=4096, memo_words=200_000, keep_memo=False)
 
 
 STAGES = [

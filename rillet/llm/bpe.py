@@ -410,6 +410,11 @@ class WordBpe:
                 held, size = [], 0
         yield from self._joined(held)
 
+    def forget(self) -> None:
+        """Empties the memo."""
+        self._chunks, self._older, self._words = {}, {}, {}
+        self._fits.clear()
+
     def packed(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit numbers; None is the empty text."""
         return next(self.encode_whole([text])).tobytes()

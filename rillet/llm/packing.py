@@ -28,7 +28,7 @@ def piece_lengths(n: int, max_length: int) -> list[int]:
 
 def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
          doc_id: str = "doc_id", text: str = "text", with_ids: bool = True,
-         memo_words: int = MEMO_WORDS) -> DataFrame:
+         memo_words: int = MEMO_WORDS, keep_memo: bool = True) -> DataFrame:
     """One row per piece of each document's tokens followed by ``end_id``:
     ``doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset, bucket``
     and, if asked for, ``ids``.
@@ -37,7 +37,8 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
     ``end_id``. Documents are packed where they are read: no shuffle, no state
     across documents. ``sequence_id`` is unique in the result; equal rows give
     separate sequences; an empty table gives none. ``bucket`` is the power. A worker
-    keeps the encoder and its memo of ``memo_words`` words after the job.
+    keeps the encoder after the job, and with ``keep_memo`` its memo of ``memo_words``
+    words; without, the memo lasts for one task.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
@@ -68,6 +69,8 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
                     rows, held = [], 0
             if rows:
                 yield frame(rows)
+        if not keep_memo:
+            bpe.forget()
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return (source.mapInPandas(run, schema)

@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from tokenizers import Tokenizer
 
-from rillet.llm import bpe
+from rillet.llm import bpe, packing
 from rillet.llm.queries import vocabulary
 
 
@@ -42,3 +43,23 @@ def test_short_words_are_merged_together(texts, monkeypatch):
     monkeypatch.setattr(mine, "encode_word", lambda w: (alone.append(w), one(w))[1])
     assert mine.encode_words(words) == want
     assert len(short) > 50 and not set(alone) & set(short)
+
+
+def test_packing_leaves_no_memo_behind(spark):
+    docs = spark.createDataFrame([(n, f"some words of text {n}") for n in range(40)], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        for _ in batches:
+            pass
+        words = [len(b._chunks) + len(b._older) + len(b._words) for key, b in bpe._OPEN.items() if key[1:] == (777, True)]
+        yield pd.DataFrame({"words": words or [-1]})
+
+    def after(**kw):
+        packed = packing.pack(docs, vocabulary(), memo_words=777, **kw)
+        rows = [tuple(r) for r in packed.orderBy("doc_id", "start").drop("sequence_id").collect()]
+        return rows, spark.range(1).coalesce(1).mapInPandas(held, "words long").first().words
+
+    kept, n = after()
+    gone, none = after(keep_memo=False)
+    assert kept == gone and len(kept) > 40
+    assert none <= 0 and (n > 0 or n == -1)
