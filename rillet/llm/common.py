@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Gives memory that this process has freed, but Arrow's pool and the C library keep
+    for later, back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError, TypeError):  # not the GNU library
+        pass
+
+
 def quota(sizes: list[int], total: int) -> int:
     """Rows that each class may give at most so that all together give about ``total``:
     classes of fewer rows give all of theirs, and the others share what is left evenly."""

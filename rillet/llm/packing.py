@@ -9,15 +9,25 @@ bucket at a time.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import MEMO_WORDS, crc32_ids, open_bpe
+from .common import give_back
 
 
 TOKENS_HELD = 1 << 20  # a task hands its pieces on after about this many tokens
+STRINGS_HELD = 256  # so many of a batch's texts are Python strings at once
+
+
+def _strings(column: pa.Array) -> Iterator[str | None]:
+    """The texts of an Arrow column, which holds them in fewer bytes than Python does."""
+    for at in range(0, len(column), STRINGS_HELD):
+        yield from column.slice(at, STRINGS_HELD).to_pylist()
 
 
 def piece_lengths(n: int, max_length: int) -> list[int]:
@@ -38,41 +48,48 @@ def pack(docs: DataFrame, path: str, max_length: int = 4096, end_id: int = 2,
     across documents. ``sequence_id`` is unique in the result; equal rows give
     separate sequences; an empty table gives none. ``bucket`` is the power. A worker
     keeps the encoder after the job, and with ``keep_memo`` its memo of ``memo_words``
-    words; without, the memo lasts for one task.
+    words; without, the memo lasts for one task, and the memory it took goes back to the system.
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
-    names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "bucket"] + ["ids"] * with_ids
+    names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "bucket"]
     schema = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, bucket int" + \
         ", ids array<int>" * with_ids
 
-    def frame(rows):
-        out = pd.DataFrame(rows, columns=names)
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
+    def frame(owner, rows, tokens):
+        columns = [owner, *(pa.array(c, pa.int64()) for c in zip(*rows))]
+        bucket = pa.array([r[1].bit_length() - 1 for r in rows], pa.int32())
+        if not with_ids:
+            return pa.RecordBatch.from_arrays([*columns, bucket], names)
+        cuts = np.cumsum([0, *(r[1] for r in rows)], dtype=np.int32)
+        ids = pa.ListArray.from_arrays(cuts, np.concatenate(tokens).view(np.int32))
+        return pa.RecordBatch.from_arrays([*columns, bucket, ids], [*names, "ids"])
 
     def run(batches):
         bpe, end = open_bpe(path, memo_words, together=True), np.array([end_id], dtype="<u4")
         for batch in batches:
-            rows, held = [], 0
-            for d, ids in zip(batch["doc_id"], bpe.encode_whole(batch["text"])):
+            owner, at, rows, tokens, held = batch.column("doc_id"), [], [], [], 0
+            for k, ids in enumerate(bpe.encode_whole(_strings(batch.column("text")))):
                 ids = np.concatenate([ids, end])
-                d, n, start = None if pd.isna(d) else int(d), len(ids), 0
+                n, start = len(ids), 0
                 for size in piece_lengths(n, max_length):
-                    piece = ids[start:start + size]
-                    row = (d, start, size, n, crc32_ids(piece), size.bit_length() - 1)
-                    rows.append((*row, piece.astype(np.int32)) if with_ids else row)
+                    at.append(k)
+                    rows.append((start, size, n, crc32_ids(ids[start:start + size])))
                     start += size
+                if with_ids:
+                    tokens.append(ids)
                 held += n
                 if held >= TOKENS_HELD:
-                    yield frame(rows)
-                    rows, held = [], 0
+                    yield frame(owner.take(pa.array(at)), rows, tokens)
+                    at, rows, tokens, held = [], [], [], 0
             if rows:
-                yield frame(rows)
+                yield frame(owner.take(pa.array(at)), rows, tokens)
         if not keep_memo:
             bpe.forget()
+            batch = owner = tokens = None
+            give_back()
 
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return (source.mapInPandas(run, schema)
+    return (source.mapInArrow(run, schema)
             .withColumn("sequence_id", F.monotonically_increasing_id())
             .withColumn("offset", F.lit(0).cast("long")))

@@ -1,13 +1,17 @@
 """Encoding whole blocks of texts gives what one text at a time gives."""
 
 import random
+import zlib
+from unittest.mock import MagicMock
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from rillet.llm import bpe, packing
+from rillet.llm.common import give_back
 from rillet.llm.queries import vocabulary
 
 
@@ -63,3 +67,52 @@ def test_packing_leaves_no_memo_behind(spark):
     gone, none = after(keep_memo=False)
     assert kept == gone and len(kept) > 40
     assert none <= 0 and (n > 0 or n == -1)
+
+
+def task_of(**kw):
+    """The function that packing hands to Spark."""
+    docs = MagicMock()
+    packing.pack(docs, vocabulary(), **kw)
+    return docs.select.return_value.mapInArrow.call_args[0][0]
+
+
+def test_packing_gives_its_memory_back(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(4, 12)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1500)), "text": [
+        " ".join(word() for _ in range(120)) for _ in range(1500)]})
+    task = task_of(memo_words=200_000, keep_memo=False)
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith(("Pss_Anon", "Pss_Shmem"))) / 1024
+
+    assert sum(out.num_rows for out in task([batch])) > 1500  # the encoder is there from now on
+    give_back()
+    before = held()
+    peak = max(held() for _ in task([batch, batch]))
+    after = held()
+    give_back()
+    assert peak > before + 30
+    assert after < held() + 10 and after < before + 20
+
+
+def test_packing_over_several_slices_of_a_batch(spark, texts, monkeypatch):
+    monkeypatch.setattr(packing, "STRINGS_HELD", 7)
+    monkeypatch.setattr(packing, "TOKENS_HELD", 500)
+    ids = [None if n % 11 == 0 else n // 2 for n in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": texts})
+    lib = Tokenizer.from_file(vocabulary())
+    lib.no_truncation(), lib.no_padding()
+    want = []
+    for d, t in zip(ids, texts):
+        tokens, start = [*lib.encode(t or "", add_special_tokens=False).ids, 2], 0
+        for size in packing.piece_lengths(len(tokens), 64):
+            piece = tokens[start:start + size]
+            crc = zlib.crc32(np.array(piece, dtype="<u4").tobytes())
+            want.append((d, start, size, len(tokens), crc, size.bit_length() - 1, piece))
+            start += size
+    for with_ids in (True, False):
+        got = list(task_of(max_length=64, with_ids=with_ids)([batch.slice(0, 0), batch]))
+        rows = [tuple(row.values()) for out in got for row in out.to_pylist()]
+        assert rows == [w if with_ids else w[:-1] for w in want] and len(got) > 5
